@@ -16,16 +16,35 @@ EMPTY, TOO_FEW, BAD_ID = "empty", "too_few_fields", "bad_id"
 
 _INT = r"\A[+-]?[0-9]+\z"
 _NUMBER_PREFIX = r"\A[ \t\n]*([+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?)"
-_OUTER_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_BLANKS = "".join(map(chr, range(0x21)))
 
 
-def fields(value: Column) -> Column:
-    return F.split(value, ",", 4)
+def _up_to_comma(text: Column, n: int) -> Column:
+    """What comes before the n-th comma, all of it if there are fewer; from the end for n < 0."""
+    return F.substring_index(text, ",", n)
+
+
+def fields(value: Column) -> list[Column]:
+    """The four texts of a line. They cut bytes, which a split by pattern would decode first."""
+    front = _up_to_comma(value, 3)
+    return [
+        _up_to_comma(value, 1),
+        _up_to_comma(_up_to_comma(value, 2), -1),
+        _up_to_comma(front, -1),
+        F.substr(value, F.length(front) + 2),
+    ]
+
+
+def has_fields(value: Column) -> Column:
+    """Three commas or more: then what comes before the third is not yet the whole line."""
+    return F.octet_length(_up_to_comma(value, 3)) < F.octet_length(value)
 
 
 def strict_int(text: Column) -> Column:
-    """int32 or NULL. The pattern is needed: a cast alone would accept blanks."""
-    return F.when(text.rlike(_INT), text.try_cast("int"))
+    """int32 or NULL. The pattern is needed, as a cast alone would accept blanks; a number
+    in its usual form is spared it."""
+    number = text.try_cast("int")
+    return F.when((number.cast("string") == text) | text.rlike(_INT), number)
 
 
 def lenient_number(text: Column) -> Column:
@@ -35,7 +54,7 @@ def lenient_number(text: Column) -> Column:
 
 def normalize(value: Column) -> Column:
     """Strip every character up to U+0020 at both ends, not only spaces."""
-    return F.regexp_replace(value, _OUTER_BLANKS, "")
+    return F.btrim(value, F.lit(_BLANKS))
 
 
 def serialize() -> Column:
@@ -55,36 +74,28 @@ def key_text(key: str) -> Column:
 
 
 def parse_all(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Every line with its fields and a ``reason``, which is NULL where it parsed."""
-    parts = F.col("_parts")
-    id_ = F.col("_id")
-    reason = (
-        F.when(F.col(value).isNull() | (F.col(value) == ""), F.lit(EMPTY))
-        .when(F.size(parts) < 4, F.lit(TOO_FEW))
-        .when(id_.isNull(), F.lit(BAD_ID))
-    )
-    return (
-        lines.withColumn("_parts", fields(F.col(value)))
-        .withColumn("_id", strict_int(F.get(parts, F.lit(0))))
-        .select(
-            *[F.col(c) for c in lines.columns],
-            id_.alias("id"),
-            *[F.get(parts, F.lit(i)).alias(f) for i, f in enumerate(FIELDS) if i],
-            reason.alias("reason"),
-        )
-    )
+    """Every line with its fields and a ``reason``, which is NULL where it parsed.
+
+    Only a line that parses has an id."""
+    line = F.col(value)
+    texts = fields(line)
+    whole = has_fields(line)
+    reason = F.when(line.isNull() | (line == ""), EMPTY).when(~whole, TOO_FEW).otherwise(BAD_ID)
+    return lines.select(
+        *lines.columns,
+        F.when(whole, strict_int(texts[0])).alias("id"),
+        *[t.alias(f) for t, f in zip(texts[1:], FIELDS[1:])],
+    ).withColumn("reason", F.when(F.col("id").isNull(), reason))
 
 
 def parse(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """The records of the lines that parse, with the columns named in ``keep``."""
-    good = parse_all(lines, value).filter(F.col("reason").isNull())
-    return good.select(*keep, *FIELDS)
+    return parse_all(lines, value).filter(F.col("id").isNotNull()).select(*keep, *FIELDS)
 
 
 def quarantine(lines: DataFrame, value: str = "value") -> DataFrame:
     """The lines that do not parse, with the reason."""
-    bad = parse_all(lines, value).filter(F.col("reason").isNotNull())
-    return bad.select(*lines.columns, "reason")
+    return parse_all(lines, value).filter(F.col("id").isNull()).select(*lines.columns, "reason")
 
 
 def to_lines(records: DataFrame) -> DataFrame:
@@ -100,12 +111,12 @@ def drop_empty(lines: DataFrame) -> DataFrame:
 
 
 def positional(lines: DataFrame) -> DataFrame:
-    """Fields 1 (as a number), 2 and 4 of every line, parsed or not."""
-    parts = F.col("_parts")
-    part = lambda i: F.coalesce(F.get(parts, F.lit(i)), F.lit(""))
-    return lines.withColumn("_parts", fields(F.col("value"))).select(
+    """Fields 1 (as a number), 2 and 4 of every line, parsed or not; missing ones are empty."""
+    first, second, _, fourth = fields(F.col("value"))
+    commas = F.length("value") - F.length(F.replace(F.col("value"), F.lit(",")))
+    return lines.select(
         "value",
-        lenient_number(part(0)).alias("number"),
-        part(1).alias("second"),
-        part(3).alias("fourth"),
+        lenient_number(first).alias("number"),
+        F.when(commas >= 1, second).otherwise("").alias("second"),
+        F.when(commas >= 3, fourth).otherwise("").alias("fourth"),
     )

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordlog.operators.order_check import HASH_BITS
-
 _GROUPS = 4096
+_HALF = 32
 
 
 def fingerprint(df: DataFrame, *columns: str | Column) -> DataFrame:
@@ -17,9 +16,9 @@ def fingerprint(df: DataFrame, *columns: str | Column) -> DataFrame:
     per-row work is plain integer addition; wide decimals only meet the few group sums.
     """
     h = F.xxhash64(*(columns or df.columns))
-    low = h.bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+    low = h.bitwiseAND(F.lit((1 << _HALF) - 1))
     return (
-        df.select(F.shiftrightunsigned(h, HASH_BITS).alias("hi"), low.alias("lo"))
+        df.select(F.shiftrightunsigned(h, _HALF).alias("hi"), low.alias("lo"))
         .groupBy(F.pmod("lo", F.lit(_GROUPS)).alias("g"))
         .agg(F.count("*").alias("rows"), F.sum("hi").alias("hi"), F.sum("lo").alias("lo"))
         .agg(

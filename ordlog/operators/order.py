@@ -50,6 +50,18 @@ def bucket_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("rows"))
 
 
+def bucket_rank(df: DataFrame, key: str, max_buckets: int = LOW_CARDINALITY) -> Column | None:
+    """Each row's place among the key's values; None if there are ``max_buckets`` or more."""
+    counts = bucket_counts(df, key).orderBy(F.col(key).asc_nulls_first()).limit(max_buckets)
+    keys = [r[0] for r in counts.collect()]  # at most max_buckets rows
+    if len(keys) >= max_buckets:
+        return None
+    rank = F.lit(None).cast("int")
+    for i, k in enumerate(keys):
+        rank = F.when(F.col(key).eqNullSafe(F.lit(k)), F.lit(i)).otherwise(rank)
+    return rank
+
+
 def bucketed(df: DataFrame, key: str, max_buckets: int = LOW_CARDINALITY) -> DataFrame:
     """Order by a key with few values, without a shuffle.
 
@@ -59,15 +71,10 @@ def bucketed(df: DataFrame, key: str, max_buckets: int = LOW_CARDINALITY) -> Dat
     ``bucket_first``, ``bucket_last`` and ``offset``. With ``max_buckets`` keys or more the
     table is range-sorted instead, and the same columns come from that.
     """
-    spark = df.sparkSession
-    counts = bucket_counts(df, key).orderBy(F.col(key).asc_nulls_first()).limit(max_buckets)
-    keys = [r[0] for r in counts.collect()]  # at most max_buckets rows
-    if len(keys) >= max_buckets:
+    rank = bucket_rank(df, key, max_buckets)
+    if rank is None:
         return _range_bucketed(df, key)
-    rank = F.lit(None).cast("int")
-    for i, k in reversed(list(enumerate(keys))):
-        rank = F.when(F.col(key).eqNullSafe(F.lit(k)), F.lit(i)).otherwise(rank)
-    path = workspace.fresh(spark, "buckets")
+    path = workspace.fresh(df.sparkSession, "buckets")
     grouped = segments.number(df.withColumn("bucket", rank).sortWithinPartitions("bucket"))
     data = segments.stage(grouped, f"{path}/data", partition_by=["bucket"])
     parts = segments.starts(data, ["bucket"])

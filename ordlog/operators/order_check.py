@@ -1,40 +1,139 @@
 """Is a log in order? Every adjacent pair of rows is compared, over the whole log.
 
-One window over a whole partition would put it in one task. So neighbouring offsets are
-cut into pieces of ``width``: pairs inside a piece are compared by a window over that
-piece; each piece then shrinks to its first and last key, and the seams between pieces
-are compared the same way, ``width`` pieces at a time, until one row is left. No window
-sees more than ``width`` rows (the last: the log's length / width squared). Offsets may
-have gaps. A missing key counts as the smallest.
+Done in two steps, so that the log itself is not shuffled:
+
+1. Where the rows lie. Each Arrow batch is cut into runs of consecutive offsets; a run
+   shrinks to one row with its first and last key and what was found inside it. A stored
+   log is read in offset order, so a batch is mostly one run.
+2. Between runs. The runs are ordered by window, but never a whole log partition in one
+   task: neighbouring runs are cut into pieces of ``width`` offsets, each piece shrinks to
+   one row again, and the pieces are treated the same way until one row is left.
+
+The result does not depend on how the rows arrive: in the worst case each is a run of its
+own. Offsets may have gaps; a missing key counts as the smallest.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordlog.schema import REPORTED_VIOLATIONS
 
 BY = ("topic", "partition")
 WIDTH = 100_000
-HASH_BITS = 32
-
-
-def _piece(offset: str, width: int) -> Column:
-    return F.expr(f"{offset} div {width}")
-
 
-def _halves(line_hash: Column) -> list[Column]:
-    """A 64-bit hash as two numbers small enough to be added up without overflow."""
-    low = line_hash.bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-    return [F.shiftrightunsigned(line_hash, HASH_BITS), low]
 
-
-def _key(key: Column | str) -> Column:
-    """Wrapped, so that comparing a missing key gives an answer instead of NULL."""
-    return F.struct((F.col(key) if isinstance(key, str) else key).alias("k"))
+def _shrink(by: list[str], report: int) -> Callable[[Iterator], Iterator]:
+    """Batch of (by, offset, key, hash) -> its runs. Needs nothing but Arrow on the workers."""
+
+    def cut(batch, pc, np):
+        offset = np.asarray(batch.column("offset"))
+        joined = np.ones(max(len(offset) - 1, 0), dtype=bool)
+        for c in by:
+            column = batch.column(c)
+            joined &= np.asarray(pc.equal(column[1:], column[:-1]).fill_null(False))
+        joined &= offset[1:] == offset[:-1] + 1
+        return offset, joined
+
+    def inverted(key, pa, pc, np):
+        """True where a key is followed by a smaller one."""
+        before, after = key[:-1], key[1:]
+        down = np.asarray(pc.greater(before, after).fill_null(False))
+        known = np.asarray(pc.is_valid(key))
+        if pa.types.is_floating(key.type):
+            # NaN is the largest number
+            nan = np.asarray(pc.is_nan(key).fill_null(False))
+            down = down | (nan[:-1] & known[1:] & ~nan[1:])
+        return down | (known[:-1] & ~known[1:])
+
+    def shrink(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            offset, joined = cut(batch, pc, np)
+            if not joined.all():
+                wanted = [(c, "ascending") for c in (*by, "offset")]
+                batch = batch.take(pc.sort_indices(batch, sort_keys=wanted))
+                offset, joined = cut(batch, pc, np)
+            key = batch.column("key")
+            down = inverted(key, pa, pc, np) & joined
+            starts = np.concatenate([[0], np.flatnonzero(~joined) + 1])
+            ends = np.concatenate([starts[1:], [len(offset)]]) - 1
+            hashes = np.asarray(batch.column("hash")).view(np.uint64)
+            counted = np.concatenate([down, [False]]).astype(np.int64)
+            columns = {c: batch.column(c).take(pa.array(starts)) for c in by}
+            columns |= {
+                "rows": ends - starts + 1,
+                "violations": np.add.reduceat(counted, starts),
+                "repeats": np.zeros(len(starts), dtype=np.int64),
+                "first": key.take(pa.array(starts)),
+                "last": key.take(pa.array(ends)),
+                "begin": offset[starts],
+                "end": offset[ends],
+                "hash_high": np.add.reduceat((hashes >> np.uint64(32)).astype(np.int64), starts),
+                "hash_low": np.add.reduceat((hashes & np.uint64(0xFFFFFFFF)).astype(np.int64), starts),
+            }
+            if report:
+                at = np.flatnonzero(down)
+                run = np.searchsorted(starts, at, side="right") - 1
+                nth = np.arange(len(at)) - np.searchsorted(run, run, side="left")
+                kept = at[nth < report]
+                run = run[nth < report]
+                found = pa.StructArray.from_arrays(
+                    [pa.array(offset[kept + 1]), key.take(pa.array(kept)), key.take(pa.array(kept + 1))],
+                    ["offset", "before", "key"],
+                )
+                bounds = np.searchsorted(run, np.arange(len(starts) + 1)).astype(np.int32)
+                columns["found"] = pa.ListArray.from_arrays(pa.array(bounds), found)
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return shrink
+
+
+def _runs(
+    log: DataFrame, key: Column | str, by: list[str], line: Column | None = None, report: int = 0
+) -> DataFrame:
+    line_hash = F.xxhash64(line) if line is not None else F.lit(0).cast("bigint")
+    key = F.col(key) if isinstance(key, str) else key
+    rows = log.select(*by, F.col("offset").cast("bigint"), key.alias("key"), line_hash.alias("hash"))
+    key_type = rows.schema["key"].dataType
+    schema = T.StructType([rows.schema[c] for c in by])
+    for name in ("rows", "violations", "repeats"):
+        schema = schema.add(name, T.LongType())
+    schema = schema.add("first", key_type).add("last", key_type)
+    for name in ("begin", "end", "hash_high", "hash_low"):
+        schema = schema.add(name, T.LongType())
+    if report:
+        pair = T.StructType().add("offset", T.LongType()).add("before", key_type).add("key", key_type)
+        schema = schema.add("found", T.ArrayType(pair))
+    return rows.mapInArrow(_shrink(by, report), schema)
+
+
+def _greater(left: str, right: str) -> Column:
+    """Compared as rows, where a missing value has a place: before all others."""
+    return F.struct(F.col(left).alias("k")) > F.struct(F.col(right).alias("k"))
+
+
+def _levels(by: list[str], width: int) -> list[tuple[list[str], int]]:
+    """Groups in which neighbours are compared, and the width of their pieces."""
+    return [([*by, "piece"], width), ([*by, "piece"], width * width), (by, 0)]
+
+
+def _neighbours(level: DataFrame, group: list[str], width: int) -> DataFrame:
+    window = Window.partitionBy(*group).orderBy("begin")
+    pieces = level.withColumn("piece", F.expr(f"begin div {width}L")) if width else level
+    return pieces.withColumns(
+        {"last_before": F.lag("last").over(window), "end_before": F.lag("end").over(window)}
+    )
 
 
 def order_report(
@@ -50,87 +149,28 @@ def order_report(
     ``hash_low``), for comparing the log's rows as a multiset with another table's.
     """
     by = list(by)
-    line_hash = F.xxhash64(line) if line is not None else F.lit(0).cast("bigint")
-    high, low = _halves(F.col("hash"))
-    group = [*by, "piece"]
-    window = Window.partitionBy(*group).orderBy("offset")
-    summary = (
-        log.select(*by, "offset", _key(key).alias("key"), line_hash.alias("hash"))
-        .withColumn("piece", _piece("offset", width))
-        .withColumn("before", F.lag("key").over(window))
-        .withColumn("offset_before", F.lag("offset").over(window))
-        .groupBy(*group)
-        .agg(
-            F.count("*").alias("rows"),
-            F.count_if(F.col("before") > F.col("key")).alias("violations"),
-            F.count_if(F.col("offset_before") == F.col("offset")).alias("repeats"),
-            F.min_by("key", "offset").alias("first"),
-            F.max_by("key", "offset").alias("last"),
-            F.min("offset").alias("begin"),
-            F.max("offset").alias("end"),
-            F.sum(high).cast("decimal(38,0)").alias("hash_high"),
-            F.sum(low).cast("decimal(38,0)").alias("hash_low"),
-        )
-    )
-    for group in ([*by, "wide"], by):
-        window = Window.partitionBy(*group).orderBy("piece")
-        if "wide" in group:
-            summary = summary.withColumn("wide", _piece("piece", width))
-        summary = (
-            summary.withColumn("seam", F.lag("last").over(window) > F.col("first"))
+    level = _runs(log, key, by, line)
+    seam = F.col("end_before").isNotNull()
+    for group, piece_width in _levels(by, width):
+        level = (
+            _neighbours(level, group, piece_width)
             .groupBy(*group)
             .agg(
                 F.sum("rows").alias("rows"),
-                (F.sum("violations") + F.count_if("seam")).alias("violations"),
-                F.sum("repeats").alias("repeats"),
-                F.min_by("first", "piece").alias("first"),
-                F.max_by("last", "piece").alias("last"),
+                (F.sum("violations") + F.count_if(seam & _greater("last_before", "first"))).alias("violations"),
+                (F.sum("repeats") + F.count_if(F.col("end_before") >= F.col("begin"))).alias("repeats"),
+                F.min_by("first", "begin").alias("first"),
+                F.max_by("last", "begin").alias("last"),
                 F.min("begin").alias("begin"),
                 F.max("end").alias("end"),
-                F.sum("hash_high").alias("hash_high"),
-                F.sum("hash_low").alias("hash_low"),
+                F.sum(F.col("hash_high").cast("decimal(38,0)")).alias("hash_high"),
+                F.sum(F.col("hash_low").cast("decimal(38,0)")).alias("hash_low"),
             )
+            .drop("piece")
         )
-        if "wide" in group:
-            summary = summary.withColumnRenamed("wide", "piece")
     dense = (F.col("end") - F.col("begin") + 1 == F.col("rows")) & (F.col("repeats") == 0)
     kept = [*by, "rows", "violations", dense.alias("gapless")]
-    return summary.select(*kept, *(["hash_high", "hash_low"] if line is not None else []))
-
-
-def adjacent_pairs(
-    log: DataFrame, key: Column | str, by: tuple[str, ...] = BY, width: int = WIDTH
-) -> DataFrame:
-    """Each row but a partition's first, with the key before it: offset, before, key."""
-    by = list(by)
-    level = log.select(*by, F.col("offset").alias("at"), _key(key).alias("first"))
-    level = level.withColumns({"last": F.col("first"), "piece": _piece("at", width)})
-    found = []
-    for group in ([*by, "piece"], [*by, "wide"], by):
-        window = Window.partitionBy(*group).orderBy("at")
-        if "wide" in group:
-            level = level.withColumn("wide", _piece("piece", width))
-        pairs = level.select(*by, "at", F.lag("last").over(window).alias("before"), "first")
-        found.append(
-            pairs.filter(F.col("before").isNotNull()).select(
-                *by, F.col("at").alias("offset"), F.col("before.k").alias("before"), F.col("first.k").alias("key")
-            )
-        )
-        carried = [c for c in group if c not in by]
-        level = level.groupBy(*group).agg(
-            F.min_by("first", "at").alias("first"), F.max_by("last", "at").alias("last"), F.min("at").alias("at")
-        )
-        if carried == ["wide"]:
-            level = level.withColumnRenamed("wide", "piece")
-    return reduce(DataFrame.unionByName, found)
-
-
-def violations(
-    log: DataFrame, key: Column | str, by: tuple[str, ...] = BY, width: int = WIDTH
-) -> DataFrame:
-    """Every row whose key is smaller than the key before it."""
-    pairs = adjacent_pairs(log, key, by, width)
-    return pairs.filter(F.struct("before") > F.struct("key"))
+    return level.select(*kept, *(["hash_high", "hash_low"] if line is not None else []))
 
 
 def first_violations(
@@ -140,7 +180,30 @@ def first_violations(
     by: tuple[str, ...] = BY,
     width: int = WIDTH,
 ) -> DataFrame:
-    """The first n of each partition, numbered; each task passes on no more than n."""
+    """The first n rows of each partition whose key is smaller than the one before, numbered.
+
+    A run reports its first n; what lies between runs is added, and the first n of all stay.
+    """
+    by = list(by)
+    level = _runs(log, key, by, report=n)
+    inside = level.select(*by, F.inline("found"))
+    found = [inside]
+    for group, piece_width in _levels(by, width):
+        pairs = _neighbours(level, group, piece_width)
+        broken = pairs.filter(F.col("end_before").isNotNull() & _greater("last_before", "first"))
+        found.append(
+            broken.select(*by, F.col("begin").alias("offset"), F.col("last_before").alias("before"), F.col("first").alias("key"))
+        )
+        level = (
+            pairs.groupBy(*group)
+            .agg(
+                F.min_by("first", "begin").alias("first"),
+                F.max_by("last", "begin").alias("last"),
+                F.min("begin").alias("begin"),
+                F.max("end").alias("end"),
+            )
+            .drop("piece")
+        )
     window = Window.partitionBy(*by).orderBy("offset")
-    ranked = violations(log, key, by, width).withColumn("nth", F.row_number().over(window))
+    ranked = reduce(DataFrame.unionByName, found).withColumn("nth", F.row_number().over(window))
     return ranked.filter(F.col("nth") <= n)

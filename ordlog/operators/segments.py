@@ -22,6 +22,7 @@ from ordlog import workspace
 
 _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number here
 TASK = "_task"
+ROWS_PER_SHARD = 4_000_000
 
 
 def task_position() -> Column:
@@ -37,6 +38,13 @@ def columns_of(df: DataFrame, order: list) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def shards_for(spark: SparkSession, rows: int) -> int | None:
+    """How many shards a sort of this many rows needs, or None where the session's own
+    number of shuffle partitions is enough and adaptive execution may lower it."""
+    wanted = -(-rows // ROWS_PER_SHARD)
+    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def range_sorted(
     df: DataFrame, order: list, ties: list[str] | None = None, shards: int | None = None
 ) -> DataFrame:

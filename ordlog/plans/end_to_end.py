@@ -9,13 +9,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ordlog import workspace
 from ordlog.functions import codec
 from ordlog.operators import compare, order_check, reconcile, segments
-from ordlog.schema import FIELDS, KEYS, SOURCE_PARTITIONS, SOURCE_TOPIC
+from ordlog.schema import FIELDS, KEYS, LOW_CARDINALITY, SOURCE_PARTITIONS, SOURCE_TOPIC
 from ordlog.sources import log, synth
 
 
@@ -29,36 +29,47 @@ class Run:
     malformed: int
 
 
-def sort_topics(records: DataFrame, root: str, keys: tuple[str, ...] = KEYS) -> dict[str, int]:
+def sort_topics(
+    records: DataFrame,
+    root: str,
+    keys: tuple[str, ...] = KEYS,
+    few_values: tuple[str, ...] = (),
+    shards: int | None = None,
+) -> dict[str, int]:
     """Publish one ordered topic for each key, side by side; returns the rows of each.
 
-    The sorts are independent jobs: submitted together, one fills the cores that the last
-    tasks of another leave idle.
+    Keys in ``few_values`` go by buckets, which takes no shuffle, the others by range. The
+    sorts are independent jobs: submitted together, one fills the cores that the last tasks
+    of another leave idle.
     """
+
+    def publish(key: str) -> int:
+        by = log.publish_buckets if key in few_values else log.publish_sorted
+        return by(records, root, key, key, shards=shards)
+
     with ThreadPoolExecutor(len(keys)) as pool:
-        sent = {k: pool.submit(log.publish_sorted, records, root, k, k) for k in keys}
-        return {k: f.result() for k, f in sent.items()}
+        return dict(zip(keys, pool.map(publish, keys)))
 
 
-def sort_key(topic: Column) -> Column:
-    """The key an ordered topic is sorted by, comparable within that topic: the id as a
-    number, texts as texts."""
-    number = F.when(topic == "id", F.col("id"))
-    text = reduce(lambda other, k: F.when(topic == k, F.col(k)).otherwise(other), KEYS[1:], F.lit(None))
-    return F.struct(number.alias("number"), text.alias("text"))
+def verify_topic(topic: DataFrame, key: str, width: int = order_check.WIDTH) -> DataFrame:
+    """Rows, inversions of the key, gapless offsets and hash sums of one ordered topic."""
+    parsed = codec.parse(topic, keep=("partition", "offset", "value"))
+    report = order_check.order_report(
+        parsed, codec.key_column(key), by=("partition",), line=F.col("value"), width=width
+    )
+    return report.select(F.lit(key).alias("topic"), "*")
 
 
 def verify_topics(
-    ordered: DataFrame, expected: DataFrame | None = None, width: int = order_check.WIDTH
+    topics: dict[str, DataFrame], expected: DataFrame | None = None, width: int = order_check.WIDTH
 ) -> DataFrame:
-    """One verdict for each ordered topic, over its whole length.
+    """One verdict for each ordered topic, given by its key, over its whole length.
 
-    ``ordered`` holds the topics named after their keys. PASS needs rows, no inversion,
-    gapless offsets and, given ``expected`` (the records that went in), the same multiset
-    of rows. Lines are read once for order, count and fingerprint together.
+    PASS needs rows, no inversion, gapless offsets and, given ``expected`` (the records
+    that went in), the same multiset of rows. Each log is read once for order, count and
+    fingerprint together.
     """
-    parsed = codec.parse(ordered, keep=("topic", "partition", "offset", "value"))
-    report = order_check.order_report(parsed, sort_key(F.col("topic")), line=F.col("value"), width=width)
+    report = reduce(DataFrame.unionByName, [verify_topic(t, k, width) for k, t in topics.items()])
     good = (F.col("rows") > 0) & (F.col("violations") == 0) & F.col("gapless")
     if expected is not None:
         wanted = compare.fingerprint(codec.to_lines(expected), "value").alias("w")
@@ -83,8 +94,9 @@ def run(
 ) -> Run:
     """The whole job on the given records, or on ``count`` generated ones.
 
-    What is consumed is parsed into a typed table once; the three sorts read that. Lines
-    that do not parse are kept in ``<root>/quarantine``. ``strict`` raises when a stage
+    What is consumed is parsed into a typed table once; the three sorts read that. The same
+    pass sketches how many values each key has, which decides how it is sorted. Lines that
+    do not parse are kept in ``<root>/quarantine``. ``strict`` raises when a stage
     lost or gained rows.
     """
     root = root or workspace.fresh(spark, "run")
@@ -96,7 +108,10 @@ def run(
     read = Observation("read")
     bad = F.col("reason").isNotNull()
     parsed = codec.parse_all(log.consume(spark, root, SOURCE_TOPIC)).observe(
-        read, F.count("*").alias("rows"), F.count_if(bad).alias("malformed")
+        read,
+        F.count("*").alias("rows"),
+        F.count_if(bad).alias("malformed"),
+        *[F.approx_count_distinct(k).alias(k) for k in KEYS],
     )
     # a parsed line can be had back from its fields
     kept = parsed.withColumn("value", F.when(bad, F.col("value")))
@@ -107,12 +122,16 @@ def run(
         rejected = consumed.filter(F.col("reason").isNotNull()).select("value", "reason")
         rejected.write.mode("overwrite").parquet(f"{root}/quarantine")
 
-    topics = sort_topics(valid, root)
+    few_values = tuple(k for k in KEYS if read.get[k] < LOW_CARDINALITY)
+    rows = read.get["rows"] - malformed
+    topics = sort_topics(
+        valid, root, few_values=few_values, shards=segments.shards_for(spark, rows)
+    )
     stages = {"generated": made.get["rows"], SOURCE_TOPIC: sent, "consumed": read.get["rows"]}
-    wanted = dict.fromkeys(stages, stages["generated"]) | dict.fromkeys(topics, read.get["rows"] - malformed)
+    wanted = dict.fromkeys(stages, stages["generated"]) | dict.fromkeys(topics, rows)
     return Run(
         root=root,
         summary=reconcile.reconcile(spark, stages | topics, wanted, strict),
-        report=verify_topics(log.read_log(spark, root, *KEYS), expected=valid),
+        report=verify_topics({k: log.read_topic(spark, root, k) for k in KEYS}, expected=valid),
         malformed=malformed,
     )

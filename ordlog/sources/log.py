@@ -2,10 +2,11 @@
 
 Layout below a root folder::
 
-    data/topic=<t>/run=<n>/partition=<p>/   rows: shard, pos, key, value
-    segments/topic=<t>/run=<n>/             one row for each segment: where it begins
+    data/topic=<t>/run=<n>/       rows: partition, shard, pos, key, value
+    segments/topic=<t>/run=<n>/   one row for each segment: where it begins
 
-Every publish is a run. Its rows are numbered by the tasks that write them and become
+A partition is a column, not a folder: writing folders would cost each task a sort, and
+readers take a topic whole. Every publish is a run. Its rows are numbered by the tasks that write them and become
 visible when its segments are recorded, so a publish that dies half-way is never read.
 One publisher at a time writes to a topic. The same rows come from a Kafka topic through
 ``ordlog.sources.kafka``.
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 
 from ordlog.functions.codec import drop_empty, key_column, normalize_lines, serialize
 from ordlog.operators import segments
+from ordlog.operators.order import bucket_rank
 from ordlog.schema import LOG, SOURCE_PARTITIONS
 
 _LEGAL_TOPIC = re.compile(r"[a-zA-Z0-9._-]{1,249}")
@@ -29,18 +31,18 @@ _BEFORE = -1  # segment of a partition that holds what was there before
 
 STORED = T.StructType(
     [
-        T.StructField("shard", T.IntegerType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("shard", T.LongType()),
         T.StructField("pos", T.LongType()),
         T.StructField("key", T.StringType()),
         T.StructField("value", T.StringType()),
         T.StructField("run", T.IntegerType()),
-        T.StructField("partition", T.IntegerType()),
     ]
 )
 SEGMENTS = T.StructType(
     [
         T.StructField("partition", T.IntegerType()),
-        T.StructField("shard", T.IntegerType()),
+        T.StructField("shard", T.LongType()),
         T.StructField("rows", T.LongType()),
         T.StructField("first", T.LongType()),
         T.StructField("start", T.LongType()),
@@ -85,42 +87,47 @@ def recorded_runs(spark: SparkSession, root: str, topic: str) -> list[int]:
 def create_log(spark: SparkSession, root: str, topic: str, partitions: int = 1) -> None:
     """Make the topic, empty, with this many partitions; an older one goes."""
     empty = spark.createDataFrame([], STORED)
-    empty.write.mode("overwrite").partitionBy("run", "partition").parquet(data_path(root, topic))
+    empty.write.mode("overwrite").partitionBy("run").parquet(data_path(root, topic))
     begin = spark.range(0, partitions, 1, 1).select(
         F.col("id").cast("int").alias("partition"),
-        F.lit(_BEFORE).alias("shard"),
+        F.lit(_BEFORE).cast("bigint").alias("shard"),
         *[F.lit(0).cast("bigint").alias(c) for c in ("rows", "first", "start")],
         F.lit(_BEFORE).alias("run"),
     )
     begin.write.mode("overwrite").partitionBy("run").parquet(_segments_path(root, topic))
 
 
-def _record_segments(spark: SparkSession, root: str, topic: str, run: int, known: DataFrame) -> int:
-    """Work out where the run's segments begin and make them visible; returns its rows."""
-    counts = _read_run(spark, root, topic, [run]).groupBy("partition", "shard").agg(F.count("*").alias("rows"))
-    before = known.groupBy("partition").agg(F.max(F.col("start") + F.col("rows")).alias("rows"))
-    before = before.select("partition", F.lit(_BEFORE).alias("shard"), "rows")
-    table = segments.running_starts(counts.unionByName(before), ["partition"])
-    shaped = table.filter(F.col("shard") != _BEFORE).select(
-        "partition", "shard", "rows", F.lit(0).cast("bigint").alias("first"), "start"
-    )
-    shaped.coalesce(1).write.mode("overwrite").parquet(f"{_segments_path(root, topic)}/run={run}")
-    return segment_table(spark, root, topic, [run]).agg(F.sum("rows")).first()[0]
+def _append(rows: DataFrame, root: str, topic: str, parts_of_tasks: bool = False) -> int:
+    """Write a run of numbered rows, then record its segments; returns its rows.
 
-
-def _append(data: DataFrame, root: str, topic: str, partition: Column, pos: Column, spread: bool) -> int:
-    """``data`` has columns key and value; its rows are numbered as they are written."""
-    spark = data.sparkSession
+    ``parts_of_tasks``: segments are stretches of their task's rows, not all of them.
+    """
+    spark = rows.sparkSession
     runs = recorded_runs(spark, root, topic)
     run = max(runs, default=_BEFORE) + 1
-    rows = data.select(F.spark_partition_id().alias("shard"), pos.alias("pos"), "key", "value")
-    target = f"{data_path(root, topic)}/run={run}"
-    if spread:
-        rows = rows.withColumn("partition", partition)
-        rows.write.mode("overwrite").partitionBy("partition").parquet(target)
-    else:
-        rows.write.mode("overwrite").parquet(f"{target}/partition=0")
-    return _record_segments(spark, root, topic, run, segment_table(spark, root, topic, runs))
+    rows.write.mode("overwrite").parquet(f"{data_path(root, topic)}/run={run}")
+
+    first = F.min("pos") if parts_of_tasks else F.lit(0).cast("bigint")
+    counts = (
+        _read_run(spark, root, topic, [run])
+        .groupBy("partition", "shard")
+        .agg(F.count("*").alias("rows"), first.alias("first"))
+    )
+    # what the partition held so far, as the segment ahead of the new ones
+    before = (
+        segment_table(spark, root, topic, runs)
+        .groupBy("partition")
+        .agg(F.max(F.col("start") + F.col("rows")).alias("rows"))
+        .select("partition", F.lit(_BEFORE).cast("bigint").alias("shard"), "rows", F.lit(0).alias("first"))
+    )
+    table = segments.running_starts(counts.unionByName(before), ["partition"])
+    table = table.filter(F.col("shard") != _BEFORE).select("partition", "shard", "rows", "first", "start")
+    table.coalesce(1).write.mode("overwrite").parquet(f"{_segments_path(root, topic)}/run={run}")
+    return segment_table(spark, root, topic, [run]).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+
+
+def _task() -> Column:
+    return F.spark_partition_id().cast("bigint")
 
 
 def publish(
@@ -135,17 +142,29 @@ def publish(
     if mode == "overwrite":
         create_log(spark, root, topic, partitions)
     else:
-        partitions = segment_table(spark, root, topic).select("partition").distinct().count()
+        partitions = segment_table(spark, root, topic, []).count()
     key = F.col("key") if "key" in lines.columns else F.lit(None).cast("string")
-    data = normalize_lines(lines.select(key.alias("key"), "value"))
-    nth = segments.task_position()
-    return _append(
-        data,
-        root,
-        topic,
-        partition=F.pmod(nth, F.lit(partitions)).cast("int"),
-        pos=F.floor(nth / partitions) if partitions > 1 else nth,
-        spread=partitions > 1,
+    nth = F.col("_nth")
+    numbered = normalize_lines(lines.select(key.alias("key"), "value")).select(
+        "*", _task().alias("shard"), segments.task_position().alias("_nth")
+    )
+    rows = numbered.select(
+        F.pmod(nth, F.lit(partitions)).cast("int").alias("partition"),
+        "shard",
+        F.expr(f"_nth div {partitions}").alias("pos"),
+        "key",
+        "value",
+    )
+    return _append(rows, root, topic)
+
+
+def _ordered_rows(ordered: DataFrame, shard: Column) -> DataFrame:
+    return ordered.select(
+        F.lit(0).alias("partition"),
+        shard.alias("shard"),
+        segments.task_position().alias("pos"),
+        F.lit(None).cast("string").alias("key"),
+        serialize().alias("value"),
     )
 
 
@@ -160,9 +179,26 @@ def publish_sorted(
     key_column(key)
     if mode == "overwrite":
         create_log(records.sparkSession, root, topic)
-    ordered = segments.range_sorted(records, [key], shards=shards)
-    data = ordered.select(F.lit(None).cast("string").alias("key"), serialize().alias("value"))
-    return _append(data, root, topic, F.lit(0), segments.task_position(), spread=False)
+    return _append(_ordered_rows(segments.range_sorted(records, [key], shards=shards), _task()), root, topic)
+
+
+def publish_buckets(
+    records: DataFrame, root: str, topic: str, key: str, mode: str = "overwrite", shards: int | None = None
+) -> int:
+    """``publish_sorted`` for a key with few values, without its shuffle.
+
+    Tasks group their rows by bucket. A segment is one bucket of one task, and segments
+    are numbered bucket first, so the log runs through the buckets in key order. Rows of
+    one bucket are in no particular order. A key with too many values is range-sorted.
+    """
+    rank = bucket_rank(records, key)
+    if rank is None:
+        return publish_sorted(records, root, topic, key, mode, shards)
+    if mode == "overwrite":
+        create_log(records.sparkSession, root, topic)
+    grouped = records.withColumn("_bucket", rank).sortWithinPartitions("_bucket")
+    shard = F.shiftleft(F.col("_bucket").cast("bigint"), 32) + _task()
+    return _append(_ordered_rows(grouped, shard), root, topic, parts_of_tasks=True)
 
 
 def _read_run(spark: SparkSession, root: str, topic: str, runs: list[int]) -> DataFrame:

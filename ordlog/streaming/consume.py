@@ -36,7 +36,7 @@ def _group_path(root: str, topic: str, group: str, part: str) -> str:
     return f"{root}/groups/{group}/{topic}/{part}"
 
 
-def drain(stream: DataFrame, table: str, checkpoint: str, timeout: int = DRAIN_SECONDS) -> StreamingQuery:
+def drain(stream: DataFrame, table: str, checkpoint: str, timeout: float = DRAIN_SECONDS) -> StreamingQuery:
     """Read the stream to its present end into a Parquet table; works on any source."""
     query = (
         stream.writeStream.format("parquet")
@@ -56,7 +56,7 @@ def consume_new(
     root: str,
     topic: str,
     group: str,
-    timeout: int = DRAIN_SECONDS,
+    timeout: float = DRAIN_SECONDS,
     max_files_per_trigger: int | None = None,
 ) -> int:
     """Bring the group's table up to the end of the topic; returns the rows read this time."""

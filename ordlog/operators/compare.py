@@ -31,13 +31,15 @@ def fingerprint(df: DataFrame, *columns: str | Column) -> DataFrame:
 
 def same_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: both counts, and whether the fingerprints agree."""
-    l, r = fingerprint(left).alias("l"), fingerprint(right).alias("r")  # noqa: E741
-    # one row on each side
-    equal = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("rows", "hash_high", "hash_low")]
-    return l.join(r, F.lit(True)).select(
+    prints = [
+        fingerprint(df).select(F.lit(side).alias("side"), F.struct("rows", "hash_high", "hash_low").alias("of"))
+        for side, df in enumerate((left, right))
+    ]
+    both = prints[0].unionByName(prints[1])
+    return both.agg(F.min_by("of", "side").alias("l"), F.max_by("of", "side").alias("r")).select(
         F.col("l.rows").alias("left_rows"),
         F.col("r.rows").alias("right_rows"),
-        (equal[0] & equal[1] & equal[2]).alias("equal"),
+        (F.col("l") == F.col("r")).alias("equal"),
     )
 
 

@@ -41,9 +41,11 @@ def first_rows(df: DataFrame, *order: str | Column, n: int = CHECKED_ROWS) -> Da
     return df.orderBy(*order).limit(n)
 
 
-def head(ordered: DataFrame, n: int) -> DataFrame:
-    """The first n rows of a table that already has offsets."""
-    return ordered.filter(F.col("offset") < n)
+def sorted_head(
+    df: DataFrame, *order: str | Column, n: int = CHECKED_ROWS, ties: list[str] | None = None
+) -> DataFrame:
+    """The first n rows with their places, read off the front of the sorted table."""
+    return segments.write_positioned(df, list(order), ties).head(n)
 
 
 def bucket_counts(df: DataFrame, key: str) -> DataFrame:
@@ -56,9 +58,9 @@ def bucket_rank(df: DataFrame, key: str, max_buckets: int = LOW_CARDINALITY) ->
     keys = [r[0] for r in counts.collect()]  # at most max_buckets rows
     if len(keys) >= max_buckets:
         return None
-    rank = F.lit(None).cast("int")
+    rank = F.lit(None).cast("bigint")
     for i, k in enumerate(keys):
-        rank = F.when(F.col(key).eqNullSafe(F.lit(k)), F.lit(i)).otherwise(rank)
+        rank = F.when(F.col(key).eqNullSafe(F.lit(k)), F.lit(i).cast("bigint")).otherwise(rank)
     return rank
 
 
@@ -105,5 +107,5 @@ def _range_bucketed(df: DataFrame, key: str) -> DataFrame:
     ranked = segments.positioned(edges, [key]).withColumnRenamed("offset", "bucket")
     ranked = ranked.withColumnRenamed(key, "_key")
     return ordered.join(ranked, F.col(key).eqNullSafe(F.col("_key"))).select(
-        *df.columns, F.col("bucket").cast("int"), "bucket_first", "bucket_last", "offset"
+        *df.columns, "bucket", "bucket_first", "bucket_last", "offset"
     )

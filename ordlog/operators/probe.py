@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordlog.operators.order import head
+from ordlog.operators.segments import Positioned
 from ordlog.schema import LOW_CARDINALITY, PROBE_ROWS
 
 LOW, HIGH = "LOW", "HIGH"
@@ -21,10 +21,10 @@ def _verdicts(counts: DataFrame, keys: list[str], threshold: int) -> DataFrame:
 
 
 def cardinality_probe(
-    ordered: DataFrame, keys: list[str], n: int = PROBE_ROWS, threshold: int = LOW_CARDINALITY
+    table: Positioned, keys: list[str], n: int = PROBE_ROWS, threshold: int = LOW_CARDINALITY
 ) -> DataFrame:
-    """Exact distinct keys among the first n rows of a positioned table."""
-    counted = head(ordered, n).agg(
+    """Exact distinct keys among the first n rows of a sorted table."""
+    counted = table.head(n).agg(
         F.count("*").alias("sampled"), *[F.count_distinct(F.col(k)).alias(f"_{k}") for k in keys]
     )
     return _verdicts(counted, keys, threshold)

@@ -14,6 +14,8 @@ shuffling on the segment.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,6 +93,18 @@ def place(data: DataFrame, table: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
+def place_head(data: DataFrame, table: DataFrame, group: list[str], n: int) -> DataFrame:
+    """The first n rows of each group.
+
+    The segment table tells which shard is the last to reach below n, so the scan drops
+    later files by their statistics instead of reading the whole table.
+    """
+    reached = table.filter(F.col("start") < n)
+    last = reached.agg(F.max("shard")).first()[0]
+    near = data.filter(F.col("shard") <= (-1 if last is None else last))
+    return place(near, reached, group).filter(F.col("offset") < n)
+
+
 def stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write numbered data once and read it back; the plan behind it does not run again."""
     writer = df.write.mode("overwrite")
@@ -105,22 +119,52 @@ def stage_table(table: DataFrame, path: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
-def positioned(
+@dataclass(frozen=True)
+class Positioned:
+    """A sorted table as it was written, with its segment table."""
+
+    data: DataFrame
+    table: DataFrame
+    group: list[str]
+    columns: list[str]
+
+    def _shaped(self, placed: DataFrame) -> DataFrame:
+        return placed.select(*self.group, "offset", *[c for c in self.columns if c not in self.group])
+
+    def rows(self) -> DataFrame:
+        return self._shaped(place(self.data, self.table, self.group))
+
+    def head(self, n: int) -> DataFrame:
+        """The first n rows (of each group), without reading the rest."""
+        return self._shaped(place_head(self.data, self.table, self.group, n))
+
+
+def write_positioned(
     df: DataFrame,
     order: list,
     ties: list[str] | None = None,
     within: list[str] | None = None,
     shards: int | None = None,
-) -> DataFrame:
-    """The table with ``offset``, each row's position in the given order.
+) -> Positioned:
+    """Sort the table and give each row its position in the given order.
 
     ``within`` restarts the offsets for each value of those columns, however the rows are
     spread over them. The sorted table is written once to the shared work folder: range
     bounds come from a sample, so the sort must not be evaluated twice.
     """
-    spark: SparkSession = df.sparkSession
     group = list(within or [])
-    path = workspace.fresh(spark, "sorted")
+    path = workspace.fresh(df.sparkSession, "sorted")
     data = stage(number(range_sorted(df, [*group, *order], ties, shards)), f"{path}/data")
     table = stage_table(starts(data, group), f"{path}/segments")
-    return place(data, table, group).select(*group, "offset", *[c for c in df.columns if c not in group])
+    return Positioned(data, table, group, df.columns)
+
+
+def positioned(
+    df: DataFrame,
+    order: list,
+    ties: list[str] | None = None,
+    within: list[str] | None = None,
+    shards: int | None = None,
+) -> DataFrame:
+    """``write_positioned`` as a table: the columns and ``offset``."""
+    return write_positioned(df, order, ties, within, shards).rows()

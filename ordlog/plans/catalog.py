@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordlog import workspace
 from ordlog.functions import codec, rules
-from ordlog.operators import compare, order, order_check, probe
+from ordlog.operators import compare, order, order_check, probe, segments
 from ordlog.plans import end_to_end
 from ordlog.schema import KEYS, PREVIEW_ROWS, SOURCE_TOPIC
 from ordlog.sources import lines, log, synth, tables
@@ -161,7 +163,7 @@ def merge_sorted(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def head_sorted(spark: SparkSession, folder: str) -> DataFrame:
     """The first 1,000 orders by name, with their places."""
-    return order.head(order.sort_records(tables.order_records(spark, folder), "name"), 1000)
+    return order.sorted_head(tables.order_records(spark, folder), "name")
 
 
 @query
@@ -172,7 +174,7 @@ def first_in_order(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def cardinality_probe(spark: SparkSession, folder: str) -> DataFrame:
-    ordered = order.sort_records(tables.order_records(spark, folder), "id")
+    ordered = segments.write_positioned(tables.order_records(spark, folder), ["id"])
     return probe.cardinality_probe(ordered, list(KEYS), n=5000)
 
 
@@ -226,7 +228,8 @@ def ordered_topics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def preview_topics(spark: SparkSession, folder: str) -> DataFrame:
-    return order.head(log.read_log(spark, _sorted_topics(spark, folder), *KEYS), PREVIEW_ROWS)
+    root = _sorted_topics(spark, folder)
+    return reduce(DataFrame.unionByName, [log.read_head(spark, root, k, PREVIEW_ROWS) for k in KEYS])
 
 
 @query

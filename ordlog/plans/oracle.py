@@ -147,10 +147,11 @@ def _topics(source: str = "records") -> str:
     )
 
 
-_BUCKETS = """select o.*, cast(b.bucket as int) as bucket, b.bucket_first, b.bucket_last, true as inside
+_BUCKETS = """select o.*, b.bucket, b.bucket_first, b.bucket_last, true as inside
   from orders_rec o join (
     select continent as k, row_number() over (order by continent) - 1 bucket,
-           sum(n) over (order by continent) - n bucket_first, sum(n) over (order by continent) - 1 bucket_last
+           cast(sum(n) over (order by continent) - n as bigint) bucket_first,
+           cast(sum(n) over (order by continent) - 1 as bigint) bucket_last
     from (select continent, count(*) n from orders_rec group by 1)) b on o.continent = b.k"""
 
 _VIOLATIONS = """select topic, "partition", "offset", before, key from (
@@ -159,7 +160,7 @@ _VIOLATIONS = """select topic, "partition", "offset", before, key from (
   where before > key"""
 
 _VERDICTS = " union all ".join(
-    f"""select '{k}' as topic, 0 as "partition", count(*) as "rows", 0 as violations, true as gapless,
+    f"""select '{k}' as topic, 0 as "partition", count(*) as "rows", 0::bigint as violations, true as gapless,
         'PASS' as verdict from records""" for k in ("id", "name", "continent")
 )
 
@@ -215,7 +216,7 @@ SQL = {
     "bucket_counts": 'select o_orderpriority, count(*) as "rows" from orders group by 1',
     "bucket_ordered": f"with {_ORDERS_REC} {_BUCKETS}",
     "bucket_order_check": f"""with {_ORDERS_REC}
-        select 'continent' as topic, 0 as "partition", count(*) as "rows", 0 as violations, true as gapless
+        select 'continent' as topic, 0 as "partition", count(*) as "rows", 0::bigint as violations, true as gapless
         from orders_rec""",
     "merge_sorted": f"""with {_RECORDS}, {_SUPPLIERS},
         merged as (select * from records union all select * from suppliers) {_sorted('merged', 'name')}""",
@@ -230,15 +231,15 @@ SQL = {
     + ")",
     "publish_consume": f"with {_LINES}, {_TRIMMED} {_KEPT}",
     "published_offsets": f"""with {_LINES}, {_ORDERS_REC}
-        select 'source' as topic, 3 as partitions,
+        select 'source' as topic, 3::bigint as partitions,
                (select count(*) from lines) + (select count(*) from orders_rec) as "rows",
-               0 as violations, true as gapless""",
+               0::bigint as violations, true as gapless""",
     "ordered_topics": f"with {_RECORDS} {_topics()}",
     "preview_topics": f"""with {_RECORDS} select * from ({_topics()}) where "offset" < 5""",
     "topic_counts": f"""with {_RECORDS}
         select topic, count(*) as "rows", count(*) as recorded
         from records, (values ('source'), ('id'), ('name'), ('continent')) t(topic) group by topic""",
-    "log_end_offsets": f"""with {_LOG} select topic, sum(span) as expected from (
+    "log_end_offsets": f"""with {_LOG} select topic, cast(sum(span) as bigint) as expected from (
         select topic, max("offset") + 1 - min("offset") span from log group by topic, "partition") group by topic""",
     "log_progress": f"""with {_LOG}, p as (
         select topic, "partition", max("offset") + 1 end_offset,
@@ -251,13 +252,13 @@ SQL = {
                (select count(*) from v where v."partition" = log."partition") as violations, true as gapless
         from log group by topic, "partition" """,
     "first_violations": f"""with {_LOG}, v as ({_VIOLATIONS})
-        select * from (select *, row_number() over (partition by "partition" order by "offset") as nth from v)
+        select * from (select *, cast(row_number() over (partition by "partition" order by "offset") as int) as nth from v)
         where nth <= 3""",
     "fingerprint_match": f"""with {_RECORDS}
         select 'sorted' as "case", count(*) as left_rows, count(*) as right_rows, true as equal from records
         union all
         select 'without ASIA', count(*), count(*) filter (continent <> 'ASIA'), false from records""",
-    "multiset_diff": """select key, sum(n) as surplus from (
+    "multiset_diff": """select key, cast(sum(n) as bigint) as surplus from (
           select o_custkey as key, 1 as n from orders union all select c_custkey, -1 from customer)
         group by key having sum(n) <> 0""",
     "observed_domain": f"with {_RECORDS} select distinct continent from records",
@@ -273,11 +274,11 @@ SQL = {
         union all select 1, r, o + r, true from n
         union all select 2, 0, o + r, true from n""",
     "run_summary": f"""with {_RECORDS}
-        select step, stage, n as "rows", 0 as lost, true as matches_source
+        select step, stage, n as "rows", 0::bigint as lost, true as matches_source
         from (select count(*) n from records),
              (values (0, 'generated'), (1, 'source'), (2, 'consumed'), (3, 'id'), (4, 'name'), (5, 'continent'))
                s(step, stage)""",
-    "run_report": """select t as topic, 0 as "partition", n as "rows", 0 as violations, true as gapless,
+    "run_report": """select t as topic, 0 as "partition", n as "rows", 0::bigint as violations, true as gapless,
                true as same_rows, 'PASS' as verdict
         from (select count(*) n from orders), (values ('id'), ('name'), ('continent')) s(t)""",
 }

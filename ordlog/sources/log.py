@@ -80,8 +80,12 @@ def segment_table(spark: SparkSession, root: str, topic: str, runs: list[int] |
 
 def recorded_runs(spark: SparkSession, root: str, topic: str) -> list[int]:
     """The publishes recorded at this moment: what a bounded read covers."""
-    found = segment_table(spark, root, topic).filter(F.col("run") != _BEFORE).select("run").distinct()
-    return sorted(r.run for r in found.collect())
+    return recorded(segment_table(spark, root, topic))
+
+
+def recorded(table: DataFrame) -> list[int]:
+    found = table.filter(F.col("run") != _BEFORE).select("run").distinct()
+    return sorted(r.run for r in found.collect())  # one for each publish
 
 
 def create_log(spark: SparkSession, root: str, topic: str, partitions: int = 1) -> None:
@@ -197,7 +201,7 @@ def publish_buckets(
     if mode == "overwrite":
         create_log(records.sparkSession, root, topic)
     grouped = records.withColumn("_bucket", rank).sortWithinPartitions("_bucket")
-    shard = F.shiftleft(F.col("_bucket").cast("bigint"), 32) + _task()
+    shard = F.shiftleft("_bucket", 32) + _task()
     return _append(_ordered_rows(grouped, shard), root, topic, parts_of_tasks=True)
 
 
@@ -215,6 +219,14 @@ def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
     return as_log(segments.place(stored, table, ["run", "partition"]), topic)
 
 
+def read_head(spark: SparkSession, root: str, topic: str, n: int) -> DataFrame:
+    """The first n rows of each partition; later runs and segments are not read."""
+    table = segment_table(spark, root, topic, recorded_runs(spark, root, topic))
+    runs = recorded(table.filter(F.col("start") < n))
+    near = segments.place_head(_read_run(spark, root, topic, runs), table, ["run", "partition"], n)
+    return as_log(near, topic)
+
+
 def as_log(placed: DataFrame, topic: str) -> DataFrame:
     return placed.select(F.lit(topic).alias("topic"), *LOG.fieldNames()[1:])
 

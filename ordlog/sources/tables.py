@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordlog.functions import codec
@@ -14,44 +16,41 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _int_id(column: str):
+def _int_id(column: str) -> Column:
     """Keys that outgrow an int32 wrap around instead of failing."""
     return F.pmod(F.col(column), F.lit(ID_LIMIT)).cast("int").alias("id")
 
 
-def _placed_customers(spark: SparkSession, folder: str) -> DataFrame:
-    # nation and region are tiny by their files' size, which is what Spark goes by
-    nation = table(spark, folder, "nation").join(
+def _located(spark: SparkSession, folder: str, who: str, nation_key: str) -> DataFrame:
+    """A table with its rows' nations and regions."""
+    # both are tiny by their files' size, which is what Spark goes by
+    nations = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    return table(spark, folder, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return table(spark, folder, who).join(nations, F.col(nation_key) == F.col("n_nationkey"))
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
-    return _placed_customers(spark, folder).select(
+    return _located(spark, folder, "customer", "c_nationkey").select(
         _int_id("c_custkey"),
         F.col("c_name").alias("name"),
-        F.concat_ws(" ", F.col("c_nationkey").cast("string"), F.col("c_mktsegment")).alias("address"),
+        F.concat_ws(" ", F.col("c_nationkey").cast("string"), "c_mktsegment").alias("address"),
         F.col("r_name").alias("continent"),
     )
 
 
 def supplier_records(spark: SparkSession, folder: str) -> DataFrame:
-    nation = table(spark, folder, "nation").join(
-        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    suppliers = table(spark, folder, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    return suppliers.select(
+    return _located(spark, folder, "supplier", "s_nationkey").select(
         _int_id("s_suppkey"),
         F.col("s_name").alias("name"),
-        F.concat_ws(" ", F.col("s_nationkey").cast("string"), F.col("n_name")).alias("address"),
+        F.concat_ws(" ", F.col("s_nationkey").cast("string"), "n_name").alias("address"),
         F.col("r_name").alias("continent"),
     )
 
 
 def order_records(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
-    places = _placed_customers(spark, folder).select("c_custkey", "r_name")
+    places = _located(spark, folder, "customer", "c_nationkey").select("c_custkey", "r_name")
     return orders.join(places, F.col("o_custkey") == F.col("c_custkey")).select(
         _int_id("o_orderkey"),
         F.concat(F.lit("Order#"), F.col("o_custkey").cast("string")).alias("name"),
@@ -73,10 +72,7 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
         t("nation").selectExpr("concat(' ', n_nationkey, ',', n_name, ',a,b ') value"),
         t("region").selectExpr("'' value"),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def event_log(spark: SparkSession, folder: str) -> DataFrame:

@@ -41,6 +41,21 @@ def test_append_goes_on_and_overwrite_starts_anew(spark, root, line_df):
     assert [(r.partition, r.offset, r.value) for r in log.read_log(spark, root, "t").collect()] == [(0, 0, "z")]
 
 
+def test_heads_of_topics(spark, root):
+    data = spark.range(0, 100, 1, 4).selectExpr("cast(id as string) value")
+    log.publish(data, root, "t", 3)
+    log.publish(data, root, "t", mode="append")
+    head = sorted((r.partition, r.offset) for r in log.read_head(spark, root, "t", 40).collect())
+    assert head == [(p, o) for p in range(3) for o in range(40)]
+    whole = {(r.partition, r.offset, r.value) for r in log.read_log(spark, root, "t").collect()}
+    assert {(r.partition, r.offset, r.value) for r in log.read_head(spark, root, "t", 40).collect()} <= whole
+    for publish in (log.publish_sorted, log.publish_buckets):
+        publish(synth.records(spark, 300, tasks=3), root, "continent", "continent")
+        head = log.read_head(spark, root, "continent", 5).collect()
+        assert sorted(r.offset for r in head) == list(range(5))
+        assert {r.value.rsplit(",", 1)[1] for r in head} == {"Africa"}
+
+
 def test_a_read_ends_where_the_log_ended_when_it_was_asked_for(spark, root, line_df):
     log.publish(line_df(["a"]), root, "t", 1)
     before, values = log.read_log(spark, root, "t"), log.consume(spark, root, "t")

@@ -20,6 +20,7 @@ from ordlog.operators import segments
 from ordlog.plans import catalog, end_to_end
 from ordlog.schema import KEYS, SOURCE_TOPIC
 from ordlog.sources import log, synth
+from ordlog.sources.logs import FileLogs
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -73,7 +74,7 @@ def steps(spark: SparkSession) -> dict[str, float]:
     took["consume"] = timed(lambda: segments.stage(parsed, staged))
     records = spark.read.schema(parsed.schema).parquet(staged)
     took["sort_and_publish"] = timed(
-        lambda: end_to_end.sort_topics(records, root, few_values=("continent",))
+        lambda: end_to_end.sort_topics(records, FileLogs(spark, root), few_values=("continent",))
     )
     topics = {k: log.read_topic(spark, root, k) for k in KEYS}
     took["verify"] = timed(lambda: end_to_end.verify_topics(topics, records).collect())

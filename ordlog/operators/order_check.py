@@ -26,6 +26,8 @@ from ordlog.schema import REPORTED_VIOLATIONS
 
 BY = ("topic", "partition")
 WIDTH = 100_000
+REPORT = ["rows", "violations", "gapless"]
+HASHES = ["hash_high", "hash_low"]
 
 
 def _shrink(by: list[str], report: int) -> Callable[[Iterator], Iterator]:
@@ -141,10 +143,14 @@ def order_report(
     key: Column | str,
     by: tuple[str, ...] = BY,
     line: Column | None = None,
+    chain: str | None = None,
     width: int = WIDTH,
 ) -> DataFrame:
     """One row for each log partition: rows, violations, whether offsets are gapless and unique.
 
+    ``chain`` names the column of ``by`` along which one log goes on: its partitions, say,
+    if they follow one another. The report is then on the whole, with their number.
+
     ``line`` is an expression whose hashes are summed in the same scan (``hash_high``,
     ``hash_low``), for comparing the log's rows as a multiset with another table's.
     """
@@ -169,8 +175,25 @@ def order_report(
             .drop("piece")
         )
     dense = (F.col("end") - F.col("begin") + 1 == F.col("rows")) & (F.col("repeats") == 0)
-    kept = [*by, "rows", "violations", dense.alias("gapless")]
-    return level.select(*kept, *(["hash_high", "hash_low"] if line is not None else []))
+    level = level.withColumn("gapless", dense)
+    if chain:
+        rest = [c for c in by if c != chain]
+        window = Window.partitionBy(*rest).orderBy(chain)
+        seam = F.col("chain_before").isNotNull() & _greater("last_before", "first")
+        level = (
+            level.withColumns({"last_before": F.lag("last").over(window), "chain_before": F.lag(chain).over(window)})
+            .groupBy(*rest)
+            .agg(
+                F.count("*").alias(f"{chain}s"),
+                F.sum("rows").alias("rows"),
+                (F.sum("violations") + F.count_if(seam)).alias("violations"),
+                F.bool_and("gapless").alias("gapless"),
+                F.sum("hash_high").alias("hash_high"),
+                F.sum("hash_low").alias("hash_low"),
+            )
+        )
+        by = [*rest, f"{chain}s"]
+    return level.select(*by, *REPORT, *(HASHES if line is not None else []))
 
 
 def first_violations(

@@ -13,6 +13,7 @@ from ordlog.operators import compare, order, order_check, probe, segments
 from ordlog.plans import end_to_end
 from ordlog.schema import KEYS, PREVIEW_ROWS, SOURCE_TOPIC
 from ordlog.sources import lines, log, synth, tables
+from ordlog.sources.logs import FileLogs
 from ordlog.streaming import consume
 
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -194,7 +195,7 @@ def _sorted_topics(spark: SparkSession, folder: str, source: bool = False) -> st
     records = tables.records(spark, folder)
     if source:
         log.publish(codec.to_lines(records), root, SOURCE_TOPIC)
-    end_to_end.sort_topics(records, root)
+    end_to_end.sort_topics(records, FileLogs(spark, root))
     return root
 
 

@@ -16,7 +16,8 @@ from ordlog import workspace
 from ordlog.functions import codec
 from ordlog.operators import compare, order_check, reconcile, segments
 from ordlog.schema import FIELDS, KEYS, LOW_CARDINALITY, SOURCE_PARTITIONS, SOURCE_TOPIC
-from ordlog.sources import log, synth
+from ordlog.sources import synth
+from ordlog.sources.logs import FileLogs, Logs
 
 
 @dataclass(frozen=True)
@@ -31,7 +32,7 @@ class Run:
 
 def sort_topics(
     records: DataFrame,
-    root: str,
+    logs: Logs,
     keys: tuple[str, ...] = KEYS,
     few_values: tuple[str, ...] = (),
     shards: int | None = None,
@@ -42,22 +43,26 @@ def sort_topics(
     sorts are independent jobs: submitted together, one fills the cores that the last tasks
     of another leave idle.
     """
-
-    def publish(key: str) -> int:
-        by = log.publish_buckets if key in few_values else log.publish_sorted
-        return by(records, root, key, key, shards=shards)
-
     with ThreadPoolExecutor(len(keys)) as pool:
-        return dict(zip(keys, pool.map(publish, keys)))
+        sent = pool.map(lambda k: logs.publish_ordered(records, k, k in few_values, shards), keys)
+        return dict(zip(keys, sent))
 
 
 def verify_topic(topic: DataFrame, key: str, width: int = order_check.WIDTH) -> DataFrame:
-    """Rows, inversions of the key, gapless offsets and hash sums of one ordered topic."""
+    """Rows, inversions of the key, gapless offsets and hash sums of one ordered topic.
+
+    Its partitions, if there are several, follow one another."""
     parsed = codec.parse(topic, keep=("partition", "offset", "value"))
     report = order_check.order_report(
-        parsed, codec.key_column(key), by=("partition",), line=F.col("value"), width=width
+        parsed,
+        codec.key_column(key),
+        by=("partition",),
+        line=F.col("value"),
+        chain="partition",
+        width=width,
     )
-    return report.select(F.lit(key).alias("topic"), "*")
+    # a topic without rows has no report
+    return report.filter(F.col("partitions") > 0).select(F.lit(key).alias("topic"), "*")
 
 
 def verify_topics(
@@ -73,11 +78,11 @@ def verify_topics(
     good = (F.col("rows") > 0) & (F.col("violations") == 0) & F.col("gapless")
     if expected is not None:
         wanted = compare.fingerprint(codec.to_lines(expected), "value").first()
-        same = [F.col(c) == F.lit(wanted[c]) for c in ("rows", "hash_high", "hash_low")]
+        same = [F.col(c) == F.lit(wanted[c]) for c in ("rows", *order_check.HASHES)]
         report = report.withColumn("same_rows", same[0] & same[1] & same[2])
         good = good & F.col("same_rows")
     verdict = F.when(good, F.lit("PASS")).otherwise(F.lit("FAIL"))
-    kept = ["topic", "partition", "rows", "violations", "gapless"]
+    kept = ["topic", "partitions", *order_check.REPORT]
     return report.select(*kept, *(["same_rows"] if expected is not None else []), verdict.alias("verdict"))
 
 
@@ -87,25 +92,28 @@ def run(
     count: int = 0,
     seed: int = 42,
     root: str | None = None,
+    logs: Logs | None = None,
     partitions: int = SOURCE_PARTITIONS,
     strict: bool = True,
 ) -> Run:
     """The whole job on the given records, or on ``count`` generated ones.
 
-    What is consumed is parsed into a typed table once; the three sorts read that. The same
-    pass sketches how many values each key has, which decides how it is sorted. Lines that
-    do not parse are kept in ``<root>/quarantine``. ``strict`` raises when a stage
-    lost or gained rows.
+    The logs are kept below ``root`` unless others are given. What is consumed is parsed
+    into a typed table at ``<root>/consumed`` once; the three sorts read that. The same pass
+    sketches how many values each key has, which decides how it is sorted. Lines that do
+    not parse are kept in ``<root>/quarantine``. ``strict`` raises when a stage lost or
+    gained rows.
     """
     root = root or workspace.fresh(spark, "run")
+    logs = logs or FileLogs(spark, root)
     made = Observation("made")
     source = synth.records(spark, count, seed) if records is None else records
     lines = codec.to_lines(source).observe(made, F.count("*").alias("rows"))
-    sent = log.publish(lines, root, SOURCE_TOPIC, partitions)
+    sent = logs.publish(lines, SOURCE_TOPIC, partitions)
 
     read = Observation("read")
     bad = F.col("reason").isNotNull()
-    parsed = codec.parse_all(log.consume(spark, root, SOURCE_TOPIC)).observe(
+    parsed = codec.parse_all(logs.consume(SOURCE_TOPIC)).observe(
         read,
         F.count("*").alias("rows"),
         F.count_if(bad).alias("malformed"),
@@ -122,14 +130,12 @@ def run(
 
     few_values = tuple(k for k in KEYS if read.get[k] < LOW_CARDINALITY)
     rows = read.get["rows"] - malformed
-    topics = sort_topics(
-        valid, root, few_values=few_values, shards=segments.shards_for(spark, rows)
-    )
+    topics = sort_topics(valid, logs, few_values=few_values, shards=segments.shards_for(spark, rows))
     stages = {"generated": made.get["rows"], SOURCE_TOPIC: sent, "consumed": read.get["rows"]}
     wanted = dict.fromkeys(stages, stages["generated"]) | dict.fromkeys(topics, rows)
     return Run(
         root=root,
         summary=reconcile.reconcile(spark, stages | topics, wanted, strict),
-        report=verify_topics({k: log.read_topic(spark, root, k) for k in KEYS}, expected=valid),
+        report=verify_topics({k: logs.read(k) for k in KEYS}, expected=valid),
         malformed=malformed,
     )

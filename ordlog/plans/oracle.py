@@ -160,8 +160,9 @@ _VIOLATIONS = """select topic, "partition", "offset", before, key from (
   where before > key"""
 
 _VERDICTS = " union all ".join(
-    f"""select '{k}' as topic, 0 as "partition", count(*) as "rows", 0::bigint as violations, true as gapless,
-        'PASS' as verdict from records""" for k in ("id", "name", "continent")
+    f"""select '{k}' as topic, 1::bigint as partitions, count(*) as "rows", 0::bigint as violations,
+        true as gapless, 'PASS' as verdict from records"""
+    for k in ("id", "name", "continent")
 )
 
 
@@ -278,7 +279,7 @@ SQL = {
         from (select count(*) n from records),
              (values (0, 'generated'), (1, 'source'), (2, 'consumed'), (3, 'id'), (4, 'name'), (5, 'continent'))
                s(step, stage)""",
-    "run_report": """select t as topic, 0 as "partition", n as "rows", 0::bigint as violations, true as gapless,
+    "run_report": """select t as topic, 1::bigint as partitions, n as "rows", 0::bigint as violations, true as gapless,
                true as same_rows, 'PASS' as verdict
         from (select count(*) n from orders), (values ('id'), ('name'), ('continent')) s(t)""",
 }

@@ -6,12 +6,14 @@ Batch and streaming reads, unordered and ordered writes. Options pass through wi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ordlog.functions.codec import drop_empty, key_column, normalize_lines, serialize
 from ordlog.operators import segments
 
+FORMAT = "kafka"
+
 # Producer settings of the workload this engine serves.
 PRODUCER = {
     "kafka.compression.type": "lz4",
@@ -47,22 +49,29 @@ def as_log(rows: DataFrame) -> DataFrame:
 def read_log(spark: SparkSession, bootstrap: str, *topics: str, **extra: str) -> DataFrame:
     """Everything from the earliest offsets to the latest at planning time."""
     options = read_options(bootstrap, *topics, **({"endingOffsets": "latest"} | extra))
-    return as_log(spark.read.format("kafka").options(**options).load())
+    return as_log(spark.read.format(FORMAT).options(**options).load())
 
 
 def stream_log(spark: SparkSession, bootstrap: str, *topics: str, **extra: str) -> DataFrame:
     options = read_options(bootstrap, *topics, **extra)
-    return as_log(spark.readStream.format("kafka").options(**options).load())
+    return as_log(spark.readStream.format(FORMAT).options(**options).load())
 
 
 def consume(spark: SparkSession, bootstrap: str, topic: str, **extra: str) -> DataFrame:
     return drop_empty(read_log(spark, bootstrap, topic, **extra).select("value"))
 
 
-def publish(lines: DataFrame, bootstrap: str, topic: str, **extra: str) -> None:
+def _send(rows: DataFrame, options: dict[str, str]) -> int:
+    """Write and count in one pass. A task that is run again may send its rows again, which
+    the order and row checks show."""
+    sent = Observation("sent")
+    rows.observe(sent, F.count("*").alias("rows")).write.format(FORMAT).options(**options).mode("append").save()
+    return sent.get["rows"]
+
+
+def publish(lines: DataFrame, bootstrap: str, topic: str, **extra: str) -> int:
     """Every line as a value without key; the topic's own partitioner spreads them."""
-    options = write_options(bootstrap, topic, **extra)
-    normalize_lines(lines.select("value")).write.format("kafka").options(**options).save()
+    return _send(normalize_lines(lines.select("value")), write_options(bootstrap, topic, **extra))
 
 
 def sorted_rows(records: DataFrame, key: str, partitions: int) -> DataFrame:
@@ -77,6 +86,6 @@ def sorted_rows(records: DataFrame, key: str, partitions: int) -> DataFrame:
 
 def publish_sorted(
     records: DataFrame, bootstrap: str, topic: str, key: str, partitions: int, **extra: str
-) -> None:
+) -> int:
     options = write_options(bootstrap, topic, ordered=True, **extra)
-    sorted_rows(records, key, partitions).write.format("kafka").options(**options).save()
+    return _send(sorted_rows(records, key, partitions), options)

@@ -181,7 +181,9 @@ def order_report(
         window = Window.partitionBy(*rest).orderBy(chain)
         seam = F.col("chain_before").isNotNull() & _greater("last_before", "first")
         level = (
-            level.withColumns({"last_before": F.lag("last").over(window), "chain_before": F.lag(chain).over(window)})
+            level.withColumns(
+                {"last_before": F.lag("last").over(window), "chain_before": F.lag(chain).over(window)}
+            )
             .groupBy(*rest)
             .agg(
                 F.count("*").alias(f"{chain}s"),
@@ -215,7 +217,12 @@ def first_violations(
         pairs = _neighbours(level, group, piece_width)
         broken = pairs.filter(F.col("end_before").isNotNull() & _greater("last_before", "first"))
         found.append(
-            broken.select(*by, F.col("begin").alias("offset"), F.col("last_before").alias("before"), F.col("first").alias("key"))
+            broken.select(
+                *by,
+                F.col("begin").alias("offset"),
+                F.col("last_before").alias("before"),
+                F.col("first").alias("key"),
+            )
         )
         level = (
             pairs.groupBy(*group)

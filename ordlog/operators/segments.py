@@ -36,10 +36,6 @@ def number(df: DataFrame) -> DataFrame:
     return df.select("*", F.spark_partition_id().alias("shard"), task_position().alias("pos"))
 
 
-def columns_of(df: DataFrame, order: list) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in order]
-
-
 def shards_for(spark: SparkSession, rows: int) -> int | None:
     """How many shards a sort of this many rows needs, or None where the session's own
     number of shuffle partitions is enough and adaptive execution may lower it."""
@@ -61,7 +57,7 @@ def range_sorted(
     # a named key is already ordered; an expression's own columns still break its ties
     named = [c for c in order if isinstance(c, str)]
     rest = [c for c in (sortable if ties is None else ties) if c not in named]
-    keys = columns_of(df, order) + [F.col(c) for c in rest]
+    keys = [F.col(c) if isinstance(c, str) else c for c in [*order, *rest]]
     tagged = df.withColumn(TASK, F.spark_partition_id())
     size = [shards] if shards else []
     return tagged.repartitionByRange(*size, *keys, F.col(TASK)).drop(TASK).sortWithinPartitions(*keys)
@@ -83,17 +79,28 @@ def starts(data: DataFrame, group: list[str]) -> DataFrame:
     return running_starts(counts, group)
 
 
-def place(data: DataFrame, table: DataFrame, group: list[str]) -> DataFrame:
-    """Give numbered data its ``offset`` from the segment table."""
-    start = table.select(*group, "shard", (F.col("start") - F.col("first")).alias("_shift"))
-    return (
-        data.join(start, [*group, "shard"])
-        .withColumn("offset", F.col("_shift") + F.col("pos"))
-        .drop("_shift", "shard", "pos")
+def place(
+    data: DataFrame, table: DataFrame, group: list[str], missing_groups: bool = False
+) -> DataFrame:
+    """Give numbered data its ``offset`` from the segment table.
+
+    ``missing_groups``: NULL is a group too, at the price of a costlier comparison."""
+    start = table.select(
+        *[F.col(g).alias(f"_{g}") for g in group],
+        F.col("shard").alias("_shard"),
+        (F.col("start") - F.col("first")).alias("_shift"),
     )
+    mine = F.col("shard") == F.col("_shard")
+    for g in group:
+        pair = F.col(g), F.col(f"_{g}")
+        mine = mine & (pair[0].eqNullSafe(pair[1]) if missing_groups else pair[0] == pair[1])
+    placed = data.join(start, mine).withColumn("offset", F.col("_shift") + F.col("pos"))
+    return placed.drop(*start.columns, "shard", "pos")
 
 
-def place_head(data: DataFrame, table: DataFrame, group: list[str], n: int) -> DataFrame:
+def place_head(
+    data: DataFrame, table: DataFrame, group: list[str], n: int, missing_groups: bool = False
+) -> DataFrame:
     """The first n rows of each group.
 
     The segment table tells which shard is the last to reach below n, so the scan drops
@@ -102,7 +109,7 @@ def place_head(data: DataFrame, table: DataFrame, group: list[str], n: int) -> D
     reached = table.filter(F.col("start") < n)
     last = reached.agg(F.max("shard")).first()[0]
     near = data.filter(F.col("shard") <= (-1 if last is None else last))
-    return place(near, reached, group).filter(F.col("offset") < n)
+    return place(near, reached, group, missing_groups).filter(F.col("offset") < n)
 
 
 def stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -132,11 +139,11 @@ class Positioned:
         return placed.select(*self.group, "offset", *[c for c in self.columns if c not in self.group])
 
     def rows(self) -> DataFrame:
-        return self._shaped(place(self.data, self.table, self.group))
+        return self._shaped(place(self.data, self.table, self.group, missing_groups=True))
 
     def head(self, n: int) -> DataFrame:
         """The first n rows (of each group), without reading the rest."""
-        return self._shaped(place_head(self.data, self.table, self.group, n))
+        return self._shaped(place_head(self.data, self.table, self.group, n, missing_groups=True))
 
 
 def write_positioned(

@@ -5,8 +5,6 @@ from __future__ import annotations
 from ordlog.schema import ADDRESS_CHARS, CONTINENTS, LETTERS
 from ordlog.sources import synth
 
-_NATION = "nation join region on n_regionkey = r_regionkey"
-
 _RECORDS = f"""records as (
   select cast(c_custkey % 2147483647 as int) id, c_name as name,
          concat(c_nationkey, ' ', c_mktsegment) address, r_name continent
@@ -264,7 +262,7 @@ SQL = {
         group by key having sum(n) <> 0""",
     "observed_domain": f"with {_RECORDS} select distinct continent from records",
     "domain_equality": f"""with {_LINES}, {_parsed('lines')},
-        seen as (select distinct address as value from parsed where id is not null)
+        seen as (select distinct continent as value from parsed where id is not null)
         select value, 'unexpected' as status from seen where value not in (select r_name from region)
         union all
         select r_name, 'missing' from region where r_name not in (select value from seen)""",

@@ -6,10 +6,10 @@ Layout below a root folder::
     segments/topic=<t>/run=<n>/   one row for each segment: where it begins
 
 A partition is a column, not a folder: writing folders would cost each task a sort, and
-readers take a topic whole. Every publish is a run. Its rows are numbered by the tasks that write them and become
-visible when its segments are recorded, so a publish that dies half-way is never read.
-One publisher at a time writes to a topic. The same rows come from a Kafka topic through
-``ordlog.sources.kafka``.
+readers take a topic whole. Every publish is a run. Its rows are numbered by the tasks that
+write them and become visible when its segments are recorded, so a publish that dies
+half-way is never read. One publisher at a time writes to a topic. The same rows come from
+a Kafka topic through ``ordlog.sources.kafka``.
 """
 
 from __future__ import annotations
@@ -139,8 +139,8 @@ def publish(
 ) -> int:
     """Write every line, outer blanks off, to the topic's partitions in turn; returns rows sent.
 
-    No shuffle: each task deals its rows out to the partitions and numbers them. With mode
-    ``append`` the topic and its partitions must exist.
+    No shuffle: each task deals its rows out to the partitions, tasks beginning at different
+    ones, and numbers them. With mode ``append`` the topic and its partitions must exist.
     """
     spark = lines.sparkSession
     if mode == "overwrite":
@@ -153,7 +153,7 @@ def publish(
         "*", _task().alias("shard"), segments.task_position().alias("_nth")
     )
     rows = numbered.select(
-        F.pmod(nth, F.lit(partitions)).cast("int").alias("partition"),
+        F.pmod(nth + F.col("shard"), F.lit(partitions)).cast("int").alias("partition"),
         "shard",
         F.expr(f"_nth div {partitions}").alias("pos"),
         "key",

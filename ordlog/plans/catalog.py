@@ -176,7 +176,7 @@ def first_in_order(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def cardinality_probe(spark: SparkSession, folder: str) -> DataFrame:
     ordered = segments.write_positioned(tables.order_records(spark, folder), ["id"])
-    return probe.cardinality_probe(ordered, list(KEYS), n=5000)
+    return probe.cardinality_probe(ordered, list(KEYS))
 
 
 @query

@@ -36,16 +36,20 @@ def sort_topics(
     keys: tuple[str, ...] = KEYS,
     few_values: tuple[str, ...] = (),
     shards: int | None = None,
+    at_once: int = 2,
 ) -> dict[str, int]:
-    """Publish one ordered topic for each key, side by side; returns the rows of each.
+    """Publish one ordered topic for each key; returns the rows of each.
 
-    Keys in ``few_values`` go by buckets, which takes no shuffle, the others by range. The
-    sorts are independent jobs: submitted together, one fills the cores that the last tasks
-    of another leave idle.
+    Keys in ``few_values`` go first and by buckets, which takes no shuffle, the others by
+    range. The sorts are independent jobs: with two under way, one fills the cores that the
+    last tasks of the other leave idle. Each range sort in progress holds a copy of the data
+    as shuffle files, so ``at_once`` is also a matter of disk.
     """
-    with ThreadPoolExecutor(len(keys)) as pool:
-        sent = pool.map(lambda k: logs.publish_ordered(records, k, k in few_values, shards), keys)
-        return dict(zip(keys, sent))
+    lightest_first = sorted(keys, key=lambda k: k not in few_values)
+    with ThreadPoolExecutor(at_once) as pool:
+        sent = pool.map(lambda k: logs.publish_ordered(records, k, k in few_values, shards), lightest_first)
+        rows = dict(zip(lightest_first, sent))
+    return {k: rows[k] for k in keys}
 
 
 def verify_topic(topic: DataFrame, key: str, width: int = order_check.WIDTH) -> DataFrame:

@@ -223,7 +223,7 @@ SQL = {
     "first_in_order": f"""with {_ORDERS_REC}
         select id, name, address, continent from ({_sorted('orders_rec', 'name')}) where "offset" < 1000""",
     "cardinality_probe": f"""with {_ORDERS_REC}, head as (
-        select * from ({_sorted('orders_rec', 'id')}) where "offset" < 5000) """
+        select * from ({_sorted('orders_rec', 'id')}) where "offset" < 500000) """
     + _probe(("id", "name", "continent"), "head"),
     "cardinality_approx": "select key, sampled, verdict from ("
     + _probe(("l_returnflag", "l_linenumber", "l_suppkey", "l_orderkey"), "lineitem")

@@ -34,6 +34,20 @@ def base(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def folder(spark: SparkSession) -> str:
+    """All that this application stages lies below."""
+    return f"{base(spark)}/ordlog/{spark.sparkContext.applicationId}"
+
+
 def fresh(spark: SparkSession, label: str) -> str:
     """A path that nothing else uses; Spark creates it on write."""
-    return f"{base(spark)}/ordlog/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged; tables read from it are no longer valid.
+
+    Never called by the library: only the caller knows when the last result is taken.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ordlog import workspace
 from ordlog.functions import codec
+from ordlog.operators import order
 from ordlog.plans import catalog, end_to_end, oracle
 from ordlog.schema import KEYS
 from ordlog.sources import kafka, log, synth
@@ -85,6 +86,15 @@ def test_work_folder_is_the_clusters(spark):
     assert workspace.fresh(spark, "x") != workspace.fresh(spark, "x")
 
 
+def test_staged_tables_can_be_dropped(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(workspace, "base", lambda _: str(tmp_path))
+    (tmp_path / "other").mkdir()
+    df = order.sort_records(synth.records(spark, 20).drop("row_id"), "id")
+    assert df.count() == 20 and list((tmp_path / "ordlog").iterdir())
+    workspace.drop_staged(spark)
+    assert not list((tmp_path / "ordlog").iterdir()) and (tmp_path / "other").exists()
+
+
 class _Cluster:
     """A session of which only the settings are asked."""
 

@@ -5,34 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_GROUPS = 4096
-_HALF = 32
+QUARTERS = ("hash_0", "hash_1", "hash_2", "hash_3")
+QUARTER_BITS = 16
 
 
-def fingerprint(df: DataFrame, *columns: str | Column) -> DataFrame:
-    """Row count and hash sums: equal for equal multisets of rows, in any order.
+def fingerprint_sums(line_hash: Column) -> list[Column]:
+    """Aggregates that make a fingerprint: the row count and the sums of the hashes' quarters.
 
-    Sums are first kept for small groups of hashes, where a bigint is wide enough, so the
-    per-row work is plain integer addition; wide decimals only meet the few group sums.
+    Equal for equal multisets of rows, in any order. A quarter is 16 bits, so a bigint holds
+    the sum over 10^14 rows.
     """
-    h = F.xxhash64(*(columns or df.columns))
-    low = h.bitwiseAND(F.lit((1 << _HALF) - 1))
-    return (
-        df.select(F.shiftrightunsigned(h, _HALF).alias("hi"), low.alias("lo"))
-        .groupBy(F.pmod("lo", F.lit(_GROUPS)).alias("g"))
-        .agg(F.count("*").alias("rows"), F.sum("hi").alias("hi"), F.sum("lo").alias("lo"))
-        .agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.col("hi").cast("decimal(38,0)")), F.lit(0)).alias("hash_high"),
-            F.coalesce(F.sum(F.col("lo").cast("decimal(38,0)")), F.lit(0)).alias("hash_low"),
-        )
-    )
+    quarters = [
+        F.shiftrightunsigned(line_hash, QUARTER_BITS * i).bitwiseAND(F.lit((1 << QUARTER_BITS) - 1))
+        for i in range(len(QUARTERS))
+    ]
+    sums = [F.coalesce(F.sum(q), F.lit(0)).alias(name) for q, name in zip(quarters, QUARTERS)]
+    return [F.count(line_hash).alias("rows"), *sums]
+
+
+def fingerprint(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """One row: the fingerprint of a table."""
+    hashed = df.select(F.xxhash64(*(columns or df.columns)).alias("hash"))
+    return hashed.agg(*fingerprint_sums(F.col("hash")))
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: both counts, and whether the fingerprints agree."""
     prints = [
-        fingerprint(df).select(F.lit(side).alias("side"), F.struct("rows", "hash_high", "hash_low").alias("of"))
+        fingerprint(df).select(F.lit(side).alias("side"), F.struct("rows", *QUARTERS).alias("of"))
         for side, df in enumerate((left, right))
     ]
     both = prints[0].unionByName(prints[1])

@@ -22,16 +22,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordlog.operators.compare import QUARTER_BITS, QUARTERS
 from ordlog.schema import REPORTED_VIOLATIONS
 
 BY = ("topic", "partition")
 WIDTH = 100_000
 REPORT = ["rows", "violations", "gapless"]
-HASHES = ["hash_high", "hash_low"]
 
 
 def _shrink(by: list[str], report: int) -> Callable[[Iterator], Iterator]:
     """Batch of (by, offset, key, hash) -> its runs. Needs nothing but Arrow on the workers."""
+    quarters, bits = QUARTERS, QUARTER_BITS
 
     def cut(batch, pc, np):
         offset = np.asarray(batch.column("offset"))
@@ -81,9 +82,10 @@ def _shrink(by: list[str], report: int) -> Callable[[Iterator], Iterator]:
                 "last": key.take(pa.array(ends)),
                 "begin": offset[starts],
                 "end": offset[ends],
-                "hash_high": np.add.reduceat((hashes >> np.uint64(32)).astype(np.int64), starts),
-                "hash_low": np.add.reduceat((hashes & np.uint64(0xFFFFFFFF)).astype(np.int64), starts),
             }
+            for i, name in enumerate(quarters):
+                quarter = hashes >> np.uint64(bits * i) & np.uint64((1 << bits) - 1)
+                columns[name] = np.add.reduceat(quarter.astype(np.int64), starts)
             if report:
                 at = np.flatnonzero(down)
                 run = np.searchsorted(starts, at, side="right") - 1
@@ -112,7 +114,7 @@ def _runs(
     for name in ("rows", "violations", "repeats"):
         schema = schema.add(name, T.LongType())
     schema = schema.add("first", key_type).add("last", key_type)
-    for name in ("begin", "end", "hash_high", "hash_low"):
+    for name in ("begin", "end", *QUARTERS):
         schema = schema.add(name, T.LongType())
     if report:
         pair = T.StructType().add("offset", T.LongType()).add("before", key_type).add("key", key_type)
@@ -151,8 +153,8 @@ def order_report(
     ``chain`` names the column of ``by`` along which one log goes on: its partitions, say,
     if they follow one another. The report is then on the whole, with their number.
 
-    ``line`` is an expression whose hashes are summed in the same scan (``hash_high``,
-    ``hash_low``), for comparing the log's rows as a multiset with another table's.
+    ``line`` is an expression whose fingerprint is taken in the same scan, for comparing the
+    log's rows as a multiset with another table's.
     """
     by = list(by)
     level = _runs(log, key, by, line)
@@ -169,8 +171,7 @@ def order_report(
                 F.max_by("last", "begin").alias("last"),
                 F.min("begin").alias("begin"),
                 F.max("end").alias("end"),
-                F.sum(F.col("hash_high").cast("decimal(38,0)")).alias("hash_high"),
-                F.sum(F.col("hash_low").cast("decimal(38,0)")).alias("hash_low"),
+                *[F.sum(q).alias(q) for q in QUARTERS],
             )
             .drop("piece")
         )
@@ -190,12 +191,11 @@ def order_report(
                 F.sum("rows").alias("rows"),
                 (F.sum("violations") + F.count_if(seam)).alias("violations"),
                 F.bool_and("gapless").alias("gapless"),
-                F.sum("hash_high").alias("hash_high"),
-                F.sum("hash_low").alias("hash_low"),
+                *[F.sum(q).alias(q) for q in QUARTERS],
             )
         )
         by = [*rest, f"{chain}s"]
-    return level.select(*by, *REPORT, *(HASHES if line is not None else []))
+    return level.select(*by, *REPORT, *(QUARTERS if line is not None else []))
 
 
 def first_violations(

@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ordlog import workspace
@@ -70,24 +70,23 @@ def verify_topic(topic: DataFrame, key: str, width: int = order_check.WIDTH) ->
 
 
 def verify_topics(
-    topics: dict[str, DataFrame], expected: DataFrame | None = None, width: int = order_check.WIDTH
+    topics: dict[str, DataFrame], expected: dict[str, int] | None = None, width: int = order_check.WIDTH
 ) -> DataFrame:
     """One verdict for each ordered topic, given by its key, over its whole length.
 
-    PASS needs rows, no inversion, gapless offsets and, given ``expected`` (the records
-    that went in), the same multiset of rows. Each log is read once for order, count and
-    fingerprint together.
+    PASS needs rows, no inversion, gapless offsets and, given ``expected`` (the fingerprint
+    of the lines that went in), the same multiset of rows. Each log is read once for order,
+    count and fingerprint together.
     """
     report = reduce(DataFrame.unionByName, [verify_topic(t, k, width) for k, t in topics.items()])
     good = (F.col("rows") > 0) & (F.col("violations") == 0) & F.col("gapless")
+    kept = ["topic", "partitions", *order_check.REPORT]
     if expected is not None:
-        wanted = compare.fingerprint(codec.to_lines(expected), "value").first()
-        same = [F.col(c) == F.lit(wanted[c]) for c in ("rows", *order_check.HASHES)]
-        report = report.withColumn("same_rows", same[0] & same[1] & same[2])
+        same = [F.col(c) == expected[c] for c in ("rows", *compare.QUARTERS)]
+        report = report.withColumn("same_rows", reduce(Column.__and__, same))
         good = good & F.col("same_rows")
-    verdict = F.when(good, F.lit("PASS")).otherwise(F.lit("FAIL"))
-    kept = ["topic", "partitions", *order_check.REPORT]
-    return report.select(*kept, *(["same_rows"] if expected is not None else []), verdict.alias("verdict"))
+        kept.append("same_rows")
+    return report.select(*kept, F.when(good, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("verdict"))
 
 
 def run(
@@ -104,8 +103,8 @@ def run(
 
     The logs are kept below ``root`` unless others are given. What is consumed is parsed
     into a typed table at ``<root>/consumed`` once; the three sorts read that. The same pass
-    sketches how many values each key has, which decides how it is sorted. Lines that do
-    not parse are kept in ``<root>/quarantine``. ``strict`` raises when a stage lost or
+    takes the fingerprint the topics must have and sketches how many values each key has,
+    which decides how it is sorted. Lines that do not parse are kept in ``<root>/quarantine``. ``strict`` raises when a stage lost or
     gained rows.
     """
     root = root or workspace.fresh(spark, "run")
@@ -119,27 +118,28 @@ def run(
     bad = F.col("reason").isNotNull()
     parsed = codec.parse_all(logs.consume(SOURCE_TOPIC)).observe(
         read,
-        F.count("*").alias("rows"),
-        F.count_if(bad).alias("malformed"),
+        F.count("*").alias("consumed"),
+        *compare.fingerprint_sums(F.when(~bad, F.xxhash64(codec.serialize()))),
         *[F.approx_count_distinct(k).alias(k) for k in KEYS],
     )
     # a parsed line can be had back from its fields
     kept = parsed.withColumn("value", F.when(bad, F.col("value")))
     consumed = segments.stage(kept, f"{root}/consumed")
     valid = consumed.filter(F.col("reason").isNull()).select(*FIELDS)
-    malformed = read.get["malformed"]
+    seen = read.get
+    malformed = seen["consumed"] - seen["rows"]
     if malformed:
         rejected = consumed.filter(F.col("reason").isNotNull()).select("value", "reason")
         rejected.write.mode("overwrite").parquet(f"{root}/quarantine")
 
-    few_values = tuple(k for k in KEYS if read.get[k] < LOW_CARDINALITY)
-    rows = read.get["rows"] - malformed
-    topics = sort_topics(valid, logs, few_values=few_values, shards=segments.shards_for(spark, rows))
-    stages = {"generated": made.get["rows"], SOURCE_TOPIC: sent, "consumed": read.get["rows"]}
-    wanted = dict.fromkeys(stages, stages["generated"]) | dict.fromkeys(topics, rows)
+    few_values = tuple(k for k in KEYS if seen[k] < LOW_CARDINALITY)
+    shards = segments.shards_for(spark, seen["rows"])
+    topics = sort_topics(valid, logs, few_values=few_values, shards=shards)
+    stages = {"generated": made.get["rows"], SOURCE_TOPIC: sent, "consumed": seen["consumed"]}
+    wanted = dict.fromkeys(stages, stages["generated"]) | dict.fromkeys(topics, seen["rows"])
     return Run(
         root=root,
         summary=reconcile.reconcile(spark, stages | topics, wanted, strict),
-        report=verify_topics({k: logs.read(k) for k in KEYS}, expected=valid),
+        report=verify_topics({k: logs.read(k) for k in KEYS}, expected=seen),
         malformed=malformed,
     )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ordlog import workspace
 from ordlog.functions import codec
-from ordlog.operators import order
+from ordlog.operators import compare, order
 from ordlog.plans import catalog, end_to_end, oracle
 from ordlog.schema import KEYS
 from ordlog.sources import kafka, log, synth
@@ -58,7 +58,11 @@ def test_verdicts_fail_when_they_should(spark, root):
     records = synth.records(spark, 500).drop("row_id")
     end_to_end.sort_topics(records, FileLogs(spark, root))
     topic = log.read_topic(spark, root, "id")
-    verdict = lambda t, e=None: end_to_end.verify_topics({"id": t}, e).collect()
+
+    def verdict(topic, expected=None):
+        wanted = compare.fingerprint(codec.to_lines(expected), "value").first().asDict() if expected is not None else None
+        return end_to_end.verify_topics({"id": topic}, wanted).collect()
+
     assert verdict(topic, records)[0].verdict == "PASS"
     swapped = topic.withColumn("offset", F.when(F.col("offset") == 9, 10).when(F.col("offset") == 10, 9).otherwise(F.col("offset")))
     assert verdict(swapped)[0].verdict == "FAIL"

@@ -98,6 +98,10 @@ def quarantine(lines: DataFrame, value: str = "value") -> DataFrame:
     return parse_all(lines, value).filter(F.col("id").isNull()).select(*lines.columns, "reason")
 
 
+def quarantine_counts(lines: DataFrame, value: str = "value") -> DataFrame:
+    return quarantine(lines, value).groupBy("reason").agg(F.count("*").alias("rows"))
+
+
 def to_lines(records: DataFrame) -> DataFrame:
     return records.select(serialize().alias("value"))
 

@@ -11,7 +11,7 @@ from ordlog import workspace
 from ordlog.functions import codec, rules
 from ordlog.operators import compare, order, order_check, probe, segments
 from ordlog.plans import end_to_end
-from ordlog.schema import KEYS, PREVIEW_ROWS, SOURCE_TOPIC
+from ordlog.schema import CHECKED_ROWS, KEYS, PREVIEW_ROWS, SOURCE_TOPIC
 from ordlog.sources import lines, log, synth, tables
 from ordlog.sources.logs import FileLogs
 from ordlog.streaming import consume
@@ -72,6 +72,11 @@ def quarantine_lines(spark: SparkSession, folder: str) -> DataFrame:
     return codec.quarantine(tables.lines(spark, folder))
 
 
+@query
+def quarantine_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return codec.quarantine_counts(tables.lines(spark, folder))
+
+
 @query
 def normalize_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Blanks off, empty lines out, then parsed: the padded lines become valid."""
@@ -233,6 +238,14 @@ def preview_topics(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [log.read_head(spark, root, k, PREVIEW_ROWS) for k in KEYS])
 
 
+@query
+def head_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """The records of the first 1,000 rows of an ordered topic."""
+    root = workspace.fresh(spark, "topics")
+    log.publish_sorted(tables.order_records(spark, folder), root, "name", "name")
+    return codec.parse(log.read_head(spark, root, "name", CHECKED_ROWS), keep=("offset",))
+
+
 @query
 def topic_counts(spark: SparkSession, folder: str) -> DataFrame:
     root = _sorted_topics(spark, folder, source=True)

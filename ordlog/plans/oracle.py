@@ -190,6 +190,12 @@ SQL = {
                when length(value) - length(replace(value, ',', '')) < 3 then 'too_few_fields'
                else 'bad_id' end as reason
         from parsed where id is null""",
+    "quarantine_counts": f"""with {_LINES}, {_parsed('lines')}, bad as (
+        select case when value = '' then 'empty'
+               when length(value) - length(replace(value, ',', '')) < 3 then 'too_few_fields'
+               else 'bad_id' end as reason
+        from parsed where id is null)
+        select reason, count(*) as "rows" from bad group by reason""",
     "normalize_lines": f"with {_LINES}, {_TRIMMED}, {_parsed('trimmed')} "
     "select id, name, address, continent from parsed where id is not null",
     "project_fields": rf"""with {_LINES}
@@ -235,6 +241,7 @@ SQL = {
                0::bigint as violations, true as gapless""",
     "ordered_topics": f"with {_RECORDS} {_topics()}",
     "preview_topics": f"""with {_RECORDS} select * from ({_topics()}) where "offset" < 5""",
+    "head_sample": f"""with {_ORDERS_REC} select * from ({_sorted('orders_rec', 'name')}) where "offset" < 1000""",
     "topic_counts": f"""with {_RECORDS}
         select topic, count(*) as "rows", count(*) as recorded
         from records, (values ('source'), ('id'), ('name'), ('continent')) t(topic) group by topic""",

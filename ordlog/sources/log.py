@@ -90,15 +90,20 @@ def recorded(table: DataFrame) -> list[int]:
 
 def create_log(spark: SparkSession, root: str, topic: str, partitions: int = 1) -> None:
     """Make the topic, empty, with this many partitions; an older one goes."""
-    empty = spark.createDataFrame([], STORED)
-    empty.write.mode("overwrite").partitionBy("run").parquet(data_path(root, topic))
     begin = spark.range(0, partitions, 1, 1).select(
         F.col("id").cast("int").alias("partition"),
         F.lit(_BEFORE).cast("bigint").alias("shard"),
         *[F.lit(0).cast("bigint").alias(c) for c in ("rows", "first", "start")],
         F.lit(_BEFORE).alias("run"),
     )
-    begin.write.mode("overwrite").partitionBy("run").parquet(_segments_path(root, topic))
+    _replace(spark.createDataFrame([], STORED), data_path(root, topic))
+    _replace(begin, _segments_path(root, topic))
+
+
+def _replace(rows: DataFrame, path: str) -> None:
+    """All runs go, also in a session that by default replaces only the folders it writes to."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("run").parquet(path)
 
 
 def _append(rows: DataFrame, root: str, topic: str, parts_of_tasks: bool = False) -> int:

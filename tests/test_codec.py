@@ -47,14 +47,25 @@ MALFORMED = [
 ]
 
 
-def test_valid_lines_parse(line_df):
+@pytest.fixture(params=["true", "false"], ids=["ansi", "lenient"])
+def ansi(request, spark):
+    """The strictness of the session must not matter."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_valid_lines_parse(ansi, line_df):
     rows = codec.parse(line_df([v for v, _ in VALID]), keep=("value",)).collect()
     assert {r.value: tuple(r[f] for f in FIELDS) for r in rows} == dict(VALID)
 
 
-def test_malformed_lines_are_kept_with_reason(line_df):
+def test_malformed_lines_are_kept_with_reason(ansi, line_df):
     every = line_df([v for v, _ in VALID] + [v for v, _ in MALFORMED])
     assert {(r.value, r.reason) for r in codec.quarantine(every).collect()} == set(MALFORMED)
+    counts = {r.reason: r["rows"] for r in codec.quarantine_counts(every).collect()}
+    assert counts == {"empty": 2, "too_few_fields": 4, "bad_id": 12}
     assert codec.parse(every).count() == len(VALID)
     assert codec.parse_all(every).count() == len(VALID) + len(MALFORMED)
 

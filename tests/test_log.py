@@ -31,7 +31,9 @@ def test_rows_are_spread_evenly_with_gapless_offsets(spark, root, partitions):
     assert max(r["rows"] for r in report) - min(r["rows"] for r in report) <= 4
 
 
-def test_append_goes_on_and_overwrite_starts_anew(spark, root, line_df):
+@pytest.mark.parametrize("replacing", ["static", "dynamic"])
+def test_append_goes_on_and_overwrite_starts_anew(spark, root, line_df, replacing):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", replacing)
     log.publish(line_df(["a", "b", "c"]).coalesce(1), root, "t", 2)
     log.publish(line_df(["d", "e"]).coalesce(1), root, "t", mode="append")
     rows = {(r.partition, r.offset, r.value) for r in log.read_log(spark, root, "t").collect()}
@@ -39,6 +41,8 @@ def test_append_goes_on_and_overwrite_starts_anew(spark, root, line_df):
     assert log.stored_end_offsets(spark, root, "t").first()["rows"] == 5
     log.publish(line_df(["z"]), root, "t", 1)
     assert [(r.partition, r.offset, r.value) for r in log.read_log(spark, root, "t").collect()] == [(0, 0, "z")]
+    assert [r.value for r in spark.read.parquet(log.data_path(root, "t")).collect()] == ["z"]
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
 def test_heads_of_topics(spark, root):
@@ -77,6 +81,12 @@ def test_a_publish_without_segments_is_not_read(spark, root, line_df):
     assert _values(log.read_log(spark, root, "t")) == ["a", "b"]
 
 
+def test_partitions_stay_even_over_many_small_tasks(spark, root):
+    log.publish(spark.range(0, 60, 1, 60).selectExpr("cast(id as string) value"), root, "t", 3)
+    sizes = [r["count"] for r in log.read_log(spark, root, "t").groupBy("partition").count().collect()]
+    assert sizes == [20, 20, 20]
+
+
 def test_empty_topics(spark, root, line_df):
     log.create_log(spark, root, "t", 3)
     assert log.read_log(spark, root, "t").count() == 0 and log.consume(spark, root, "t").count() == 0

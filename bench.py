@@ -90,6 +90,7 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
+        .config(map=workspace.SHORT_KEYS)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -23,7 +23,7 @@ def main() -> None:
     args.add_argument("--ordered-partitions", type=int, default=32, help="of each ordered Kafka topic")
     given = args.parse_args()
 
-    spark = SparkSession.builder.appName("ordlog").getOrCreate()
+    spark = SparkSession.builder.appName("ordlog").config(map=workspace.SHORT_KEYS).getOrCreate()
     root = given.root or workspace.fresh(spark, "run")
     logs = KafkaLogs(spark, given.bootstrap, given.ordered_partitions) if given.bootstrap else None
     done = end_to_end.run(

@@ -36,13 +36,13 @@ def sort_topics(
     keys: tuple[str, ...] = KEYS,
     few_values: tuple[str, ...] = (),
     shards: int | None = None,
-    at_once: int = 2,
+    at_once: int = 3,
 ) -> dict[str, int]:
     """Publish one ordered topic for each key; returns the rows of each.
 
     Keys in ``few_values`` go first and by buckets, which takes no shuffle, the others by
-    range. The sorts are independent jobs: with two under way, one fills the cores that the
-    last tasks of the other leave idle. Each range sort in progress holds a copy of the data
+    range. The sorts are independent jobs: with several under way, one fills the cores that the
+    last tasks of another leave idle. Each range sort in progress holds a copy of the data
     as shuffle files, so ``at_once`` is also a matter of disk.
     """
     lightest_first = sorted(keys, key=lambda k: k not in few_values)

@@ -16,6 +16,11 @@ from pyspark.sql import SparkSession
 
 _local_dirs: list[str] = []
 
+# Arrow batches are bounded by their row count alone. With a byte limit Spark measures the
+# batch after every row, which costs several times the order check itself. A session whose
+# sort keys are long texts should keep the byte limit.
+SHORT_KEYS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(2**31 - 1)}
+
 
 def _local_dir() -> str:
     if not _local_dirs:

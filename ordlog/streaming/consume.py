@@ -51,6 +51,17 @@ def drain(stream: DataFrame, table: str, checkpoint: str, timeout: float = DRAIN
     return query
 
 
+def batch_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """One row for each batch and source of a query: rows read, and from where to where."""
+    rows = [
+        (p.batchId, source.description, source.startOffset, source.endOffset, source.numInputRows)
+        for p in query.recentProgress
+        for source in p.sources
+    ]
+    schema = "batch bigint, source string, start_offset string, end_offset string, rows bigint"
+    return spark.createDataFrame(rows, schema)
+
+
 def consume_new(
     spark: SparkSession,
     root: str,

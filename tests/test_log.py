@@ -159,6 +159,15 @@ def test_stream_resumes_where_it_stopped(spark, root, line_df):
     assert consume.consume_new(spark, root, "t", "another") == 4
 
 
+def test_batches_of_a_stream(spark, root, tmp_path, line_df):
+    log.publish(line_df(["a", "b", "c", "d"]).repartition(2), root, "t", 1)
+    stream = consume.stream_log(spark, root, "t", max_files_per_trigger=1)
+    query = consume.drain(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    batches = consume.batch_report(spark, query).orderBy("batch").collect()
+    assert sum(r["rows"] for r in batches) == 4 and [r.batch for r in batches] == [0, 1]
+    assert batches[1].start_offset == batches[0].end_offset
+
+
 def test_stream_that_does_not_end_in_time_is_an_error(spark, root, tmp_path, line_df):
     log.publish(line_df(["a"]), root, "t", 1)
     with pytest.raises(consume.NotDrained):

@@ -7,9 +7,9 @@ for each segment, holds where each begins. Then
     offset = segment start + pos - segment's first pos
 
 and no step moves the data through one task. The segment table grows with the number of
-tasks, not of rows. It is written as a table of its own, so Spark knows its real size and
-broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``; beyond that it joins by
-shuffling on the segment.
+tasks, not of rows. It is written as a table of its own, so its real size is known: it is
+broadcast below ``spark.sql.autoBroadcastJoinThreshold``, or when it is known to have no
+more than ``BROADCAST_SEGMENTS`` rows; beyond that Spark joins by shuffling on the segment.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from ordlog import workspace
 _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number here
 TASK = "_task"
 ROWS_PER_SHARD = 4_000_000
+BROADCAST_SEGMENTS = 2_000_000  # some 100 MB in memory
 
 
 def task_position() -> Column:
@@ -80,11 +81,16 @@ def starts(data: DataFrame, group: list[str]) -> DataFrame:
 
 
 def place(
-    data: DataFrame, table: DataFrame, group: list[str], missing_groups: bool = False
+    data: DataFrame,
+    table: DataFrame,
+    group: list[str],
+    missing_groups: bool = False,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Give numbered data its ``offset`` from the segment table.
 
-    ``missing_groups``: NULL is a group too, at the price of a costlier comparison."""
+    ``missing_groups``: NULL is a group too, at the price of a costlier comparison.
+    ``known_rows``: the size of the segment table, where the caller has counted it."""
     start = table.select(
         *[F.col(g).alias(f"_{g}") for g in group],
         F.col("shard").alias("_shard"),
@@ -94,8 +100,9 @@ def place(
     for g in group:
         pair = F.col(g), F.col(f"_{g}")
         mine = mine & (pair[0].eqNullSafe(pair[1]) if missing_groups else pair[0] == pair[1])
-    placed = data.join(start, mine).withColumn("offset", F.col("_shift") + F.col("pos"))
-    return placed.drop(*start.columns, "shard", "pos")
+    small = known_rows is not None and known_rows <= BROADCAST_SEGMENTS
+    placed = data.join(F.broadcast(start) if small else start, mine)
+    return placed.withColumn("offset", F.col("_shift") + F.col("pos")).drop(*start.columns, "shard", "pos")
 
 
 def place_head(

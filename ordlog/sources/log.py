@@ -15,6 +15,7 @@ a Kafka topic through ``ordlog.sources.kafka``.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,7 +66,9 @@ def _segments_path(root: str, topic: str) -> str:
     return f"{root}/segments/topic={_checked(topic)}"
 
 
-def segment_table(spark: SparkSession, root: str, topic: str, runs: list[int] | None = None) -> DataFrame:
+def segment_table(
+    spark: SparkSession, root: str, topic: str, runs: Iterable[int] | None = None
+) -> DataFrame:
     """The topic's segments, of all runs recorded by now or of the given ones.
 
     Given runs are read by their own folders: Spark takes two scans of one folder for the
@@ -78,14 +81,15 @@ def segment_table(spark: SparkSession, root: str, topic: str, runs: list[int] |
     return reader.parquet(*[f"{path}/run={r}" for r in (_BEFORE, *runs)])
 
 
-def recorded_runs(spark: SparkSession, root: str, topic: str) -> list[int]:
-    """The publishes recorded at this moment: what a bounded read covers."""
+def recorded_runs(spark: SparkSession, root: str, topic: str) -> dict[int, int]:
+    """The publishes recorded at this moment, which is what a bounded read covers, and the
+    number of segments of each."""
     return recorded(segment_table(spark, root, topic))
 
 
-def recorded(table: DataFrame) -> list[int]:
-    found = table.filter(F.col("run") != _BEFORE).select("run").distinct()
-    return sorted(r.run for r in found.collect())  # one for each publish
+def recorded(table: DataFrame) -> dict[int, int]:
+    counts = table.filter(F.col("run") != _BEFORE).groupBy("run").agg(F.count("*").alias("n"))
+    return {r.run: r.n for r in sorted(counts.collect())}  # one for each publish
 
 
 def create_log(spark: SparkSession, root: str, topic: str, partitions: int = 1) -> None:
@@ -118,7 +122,7 @@ def _append(rows: DataFrame, root: str, topic: str, parts_of_tasks: bool = False
 
     first = F.min("pos") if parts_of_tasks else F.lit(0).cast("bigint")
     counts = (
-        _read_run(spark, root, topic, [run])
+        _read_runs(spark, root, topic, [run])
         .groupBy("partition", "shard")
         .agg(F.count("*").alias("rows"), first.alias("first"))
     )
@@ -210,7 +214,7 @@ def publish_buckets(
     return _append(_ordered_rows(grouped, shard), root, topic, parts_of_tasks=True)
 
 
-def _read_run(spark: SparkSession, root: str, topic: str, runs: list[int]) -> DataFrame:
+def _read_runs(spark: SparkSession, root: str, topic: str, runs: Iterable[int]) -> DataFrame:
     if not runs:
         return spark.createDataFrame([], STORED)
     path = data_path(root, topic)
@@ -220,15 +224,21 @@ def _read_run(spark: SparkSession, root: str, topic: str, runs: list[int]) -> Da
 def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
     """Every row of the topic from the beginning to its present end, with offsets."""
     runs = recorded_runs(spark, root, topic)
-    stored, table = _read_run(spark, root, topic, runs), segment_table(spark, root, topic, runs)
-    return as_log(segments.place(stored, table, ["run", "partition"]), topic)
+    return place_rows(_read_runs(spark, root, topic, runs), root, topic, runs)
+
+
+def place_rows(stored: DataFrame, root: str, topic: str, runs: dict[int, int]) -> DataFrame:
+    """Stored rows of these runs as rows of the log."""
+    table = segment_table(stored.sparkSession, root, topic, runs)
+    size = sum(runs.values())
+    return as_log(segments.place(stored, table, ["run", "partition"], known_rows=size), topic)
 
 
 def read_head(spark: SparkSession, root: str, topic: str, n: int) -> DataFrame:
     """The first n rows of each partition; later runs and segments are not read."""
     table = segment_table(spark, root, topic, recorded_runs(spark, root, topic))
     runs = recorded(table.filter(F.col("start") < n))
-    near = segments.place_head(_read_run(spark, root, topic, runs), table, ["run", "partition"], n)
+    near = segments.place_head(_read_runs(spark, root, topic, runs), table, ["run", "partition"], n)
     return as_log(near, topic)
 
 
@@ -242,7 +252,7 @@ def read_log(spark: SparkSession, root: str, *topics: str) -> DataFrame:
 
 def consume(spark: SparkSession, root: str, topic: str) -> DataFrame:
     """The non-empty values from the beginning to the present end, in no order."""
-    stored = _read_run(spark, root, topic, recorded_runs(spark, root, topic))
+    stored = _read_runs(spark, root, topic, recorded_runs(spark, root, topic))
     return drop_empty(stored.select("value"))
 
 

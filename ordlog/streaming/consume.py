@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ordlog.functions.codec import drop_empty
-from ordlog.operators import segments
-from ordlog.sources.log import STORED, as_log, data_path, recorded_runs, segment_table
+from ordlog.sources.log import STORED, data_path, place_rows, recorded_runs
 
 DRAIN_SECONDS = 3600
 STREAM_COLUMNS = ("run", "partition", "shard", "pos", "key", "value")
@@ -84,5 +83,4 @@ def consume_new(
 def consumed(spark: SparkSession, root: str, topic: str, group: str) -> DataFrame:
     """What the group has read so far, as rows of the log."""
     stored = spark.read.schema(STORED).parquet(_group_path(root, topic, group, "rows"))
-    table = segment_table(spark, root, topic, recorded_runs(spark, root, topic))
-    return as_log(segments.place(stored, table, ["run", "partition"]), topic)
+    return place_rows(stored, root, topic, recorded_runs(spark, root, topic))

@@ -49,9 +49,19 @@ def test_a_sort_is_one_range_shuffle(spark):
     assert exchanges(segments.number(segments.range_sorted(records, ["name"]))) == ["rangepartitioning"]
 
 
-def test_offsets_come_by_broadcast_of_the_segments(spark, topic):
-    read = log.read_topic(spark, topic, "source")
-    assert "BroadcastHashJoin" in plan(read) and exchanges(read) == []
+@pytest.mark.parametrize("limit, join", [(2_000_000, "BroadcastHashJoin"), (11, "SortMergeJoin")])
+def test_segments_are_broadcast_up_to_a_size(spark, topic, monkeypatch, limit, join):
+    """The topic has twelve segments: four tasks, three partitions."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(segments, "BROADCAST_SEGMENTS", limit)
+    try:
+        read = log.read_topic(spark, topic, "source")
+        assert join in plan(read)
+        report = order_check.order_report(read, F.col("offset")).collect()
+        assert len(report) == 3 and all(r.gapless for r in report) and sum(r["rows"] for r in report) == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_the_log_is_compared_where_it_lies(spark, topic):

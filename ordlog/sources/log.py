@@ -15,10 +15,11 @@ a Kafka topic through ``ordlog.sources.kafka``.
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +38,7 @@ STORED = T.StructType(
         T.StructField("pos", T.LongType()),
         T.StructField("key", T.StringType()),
         T.StructField("value", T.StringType()),
-        T.StructField("run", T.IntegerType()),
+        T.StructField("run", T.LongType()),
     ]
 )
 SEGMENTS = T.StructType(
@@ -47,7 +48,7 @@ SEGMENTS = T.StructType(
         T.StructField("rows", T.LongType()),
         T.StructField("first", T.LongType()),
         T.StructField("start", T.LongType()),
-        T.StructField("run", T.IntegerType()),
+        T.StructField("run", T.LongType()),
     ]
 )
 
@@ -98,7 +99,7 @@ def create_log(spark: SparkSession, root: str, topic: str, partitions: int = 1)
         F.col("id").cast("int").alias("partition"),
         F.lit(_BEFORE).cast("bigint").alias("shard"),
         *[F.lit(0).cast("bigint").alias(c) for c in ("rows", "first", "start")],
-        F.lit(_BEFORE).alias("run"),
+        F.lit(_BEFORE).cast("bigint").alias("run"),
     )
     _replace(spark.createDataFrame([], STORED), data_path(root, topic))
     _replace(begin, _segments_path(root, topic))
@@ -110,14 +111,17 @@ def _replace(rows: DataFrame, path: str) -> None:
     writer.partitionBy("run").parquet(path)
 
 
-def _append(rows: DataFrame, root: str, topic: str, parts_of_tasks: bool = False) -> int:
-    """Write a run of numbered rows, then record its segments; returns its rows.
+def _append(
+    rows: DataFrame, root: str, topic: str, runs: dict[int, int], parts_of_tasks: bool = False
+) -> int:
+    """Write numbered rows as a run after the given ones, then record its segments; returns
+    its rows.
 
+    A run is named by the time, so that one that died is never taken for one that came after.
     ``parts_of_tasks``: segments are stretches of their task's rows, not all of them.
     """
     spark = rows.sparkSession
-    runs = recorded_runs(spark, root, topic)
-    run = max(runs, default=_BEFORE) + 1
+    run = max(time.time_ns() // 1_000_000, max(runs, default=_BEFORE) + 1)
     rows.write.mode("overwrite").parquet(f"{data_path(root, topic)}/run={run}")
 
     first = F.min("pos") if parts_of_tasks else F.lit(0).cast("bigint")
@@ -135,8 +139,18 @@ def _append(rows: DataFrame, root: str, topic: str, parts_of_tasks: bool = False
     )
     table = segments.running_starts(counts.unionByName(before), ["partition"])
     table = table.filter(F.col("shard") != _BEFORE).select("partition", "shard", "rows", "first", "start")
-    table.coalesce(1).write.mode("overwrite").parquet(f"{_segments_path(root, topic)}/run={run}")
-    return segment_table(spark, root, topic, [run]).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    written = Observation("written")
+    counted = table.coalesce(1).observe(written, F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+    counted.write.mode("overwrite").parquet(f"{_segments_path(root, topic)}/run={run}")
+    return written.get["rows"]
+
+
+def _ready(spark: SparkSession, root: str, topic: str, mode: str, partitions: int = 1) -> dict[int, int]:
+    """The runs a publish comes after: those recorded, or none in a topic made anew."""
+    if mode == "append":
+        return recorded_runs(spark, root, topic)
+    create_log(spark, root, topic, partitions)
+    return {}
 
 
 def _task() -> Column:
@@ -152,9 +166,8 @@ def publish(
     ones, and numbers them. With mode ``append`` the topic and its partitions must exist.
     """
     spark = lines.sparkSession
-    if mode == "overwrite":
-        create_log(spark, root, topic, partitions)
-    else:
+    runs = _ready(spark, root, topic, mode, partitions)
+    if mode == "append":
         partitions = segment_table(spark, root, topic, []).count()
     key = F.col("key") if "key" in lines.columns else F.lit(None).cast("string")
     nth = F.col("_nth")
@@ -168,7 +181,7 @@ def publish(
         "key",
         "value",
     )
-    return _append(rows, root, topic)
+    return _append(rows, root, topic, runs)
 
 
 def _ordered_rows(ordered: DataFrame, shard: Column) -> DataFrame:
@@ -190,9 +203,9 @@ def publish_sorted(
     not the tasks, are in one sequence.
     """
     key_column(key)
-    if mode == "overwrite":
-        create_log(records.sparkSession, root, topic)
-    return _append(_ordered_rows(segments.range_sorted(records, [key], shards=shards), _task()), root, topic)
+    runs = _ready(records.sparkSession, root, topic, mode)
+    ordered = segments.range_sorted(records, [key], shards=shards)
+    return _append(_ordered_rows(ordered, _task()), root, topic, runs)
 
 
 def publish_buckets(
@@ -207,11 +220,10 @@ def publish_buckets(
     rank = bucket_rank(records, key)
     if rank is None:
         return publish_sorted(records, root, topic, key, mode, shards)
-    if mode == "overwrite":
-        create_log(records.sparkSession, root, topic)
+    runs = _ready(records.sparkSession, root, topic, mode)
     grouped = records.withColumn("_bucket", rank).sortWithinPartitions("_bucket")
     shard = F.shiftleft("_bucket", 32) + _task()
-    return _append(_ordered_rows(grouped, shard), root, topic, parts_of_tasks=True)
+    return _append(_ordered_rows(grouped, shard), root, topic, runs, parts_of_tasks=True)
 
 
 def _read_runs(spark: SparkSession, root: str, topic: str, runs: Iterable[int]) -> DataFrame:

@@ -81,6 +81,9 @@ def consume_new(
 
 
 def consumed(spark: SparkSession, root: str, topic: str, group: str) -> DataFrame:
-    """What the group has read so far, as rows of the log."""
+    """What the group has read so far, as rows of the log.
+
+    Rows of a publish that died before it was recorded have no place in the log and are left
+    out, though the stream may have seen them."""
     stored = spark.read.schema(STORED).parquet(_group_path(root, topic, group, "rows"))
     return place_rows(stored, root, topic, recorded_runs(spark, root, topic))

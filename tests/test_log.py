@@ -70,17 +70,31 @@ def test_a_read_ends_where_the_log_ended_when_it_was_asked_for(spark, root, line
     assert _values(values) == ["a"]
 
 
+def _torn_publish(spark, root, value):
+    """What a job leaves that died before recording its segments."""
+    rows = spark.read.parquet(log.data_path(root, "t")).limit(1).withColumn("value", F.lit(value)).drop("run")
+    rows.write.parquet(f"{log.data_path(root, 't')}/run=17")
+
+
 def test_a_publish_without_segments_is_not_read(spark, root, line_df):
-    """What a job leaves that died before recording its segments stays unseen and is replaced."""
     log.publish(line_df(["a"]), root, "t", 1)
-    torn = spark.read.parquet(f"{log.data_path(root, 't')}/run=0").withColumn("value", F.lit("torn"))
-    torn.write.parquet(f"{log.data_path(root, 't')}/run=1")
+    _torn_publish(spark, root, "torn")
     assert _values(log.consume(spark, root, "t")) == ["a"]
     assert _values(log.read_log(spark, root, "t")) == ["a"]
     log.publish(line_df(["b"]), root, "t", mode="append")
     assert _values(log.read_log(spark, root, "t")) == ["a", "b"]
 
 
+def test_a_publish_without_segments_has_no_part_in_what_a_stream_consumed(spark, root, line_df):
+    log.publish(line_df(["a"]), root, "t", 1)
+    _torn_publish(spark, root, "torn")
+    assert consume.consume_new(spark, root, "t", "g") == 2
+    log.publish(line_df(["b"]), root, "t", mode="append")
+    assert consume.consume_new(spark, root, "t", "g") == 1
+    got = sorted((r.offset, r.value) for r in consume.consumed(spark, root, "t", "g").collect())
+    assert got == [(0, "a"), (1, "b")]
+
+
 def test_partitions_stay_even_over_many_small_tasks(spark, root):
     log.publish(spark.range(0, 60, 1, 60).selectExpr("cast(id as string) value"), root, "t", 3)
     sizes = [r["count"] for r in log.read_log(spark, root, "t").groupBy("partition").count().collect()]

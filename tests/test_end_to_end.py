@@ -30,6 +30,18 @@ def test_same_seed_same_logs(spark, tmp_path):
     assert rows[0] == rows[1]
 
 
+def test_same_logs_for_any_number_of_shuffle_partitions(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = []
+    for n in ("1", "3", "8"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        done = end_to_end.run(spark, count=400, root=str(tmp_path / n))
+        rows = log.read_log(spark, done.root, "id", "name").collect()
+        seen.append((sorted(map(tuple, rows), key=str), sorted(map(tuple, done.report.collect()))))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1] == seen[2]
+
+
 def test_a_second_run_replaces_the_first(spark, root):
     end_to_end.run(spark, count=50, root=root)
     end_to_end.run(spark, count=20, root=root)

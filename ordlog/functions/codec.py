@@ -25,13 +25,14 @@ def _up_to_comma(text: Column, n: int) -> Column:
 
 
 def fields(value: Column) -> list[Column]:
-    """The four texts of a line. They cut bytes, which a split by pattern would decode first."""
+    """The four texts of a line, cut by bytes: nothing is decoded, and bytes that are no
+    valid text come through as they are."""
     front = _up_to_comma(value, 3)
     return [
         _up_to_comma(value, 1),
         _up_to_comma(_up_to_comma(value, 2), -1),
         _up_to_comma(front, -1),
-        F.substr(value, F.length(front) + 2),
+        F.substr(value.cast("binary"), F.octet_length(front) + 2).cast("string"),
     ]
 
 

@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordlog import workspace
 from ordlog.operators.compare import QUARTER_BITS, QUARTERS
+from ordlog.operators.segments import stage
 from ordlog.schema import REPORTED_VIOLATIONS
 
 BY = ("topic", "partition")
@@ -208,9 +210,10 @@ def first_violations(
     """The first n rows of each partition whose key is smaller than the one before, numbered.
 
     A run reports its first n; what lies between runs is added, and the first n of all stay.
+    The runs, a small part of the log, are written down first, so that the log is read once.
     """
     by = list(by)
-    level = _runs(log, key, by, report=n)
+    level = stage(_runs(log, key, by, report=n), workspace.fresh(log.sparkSession, "runs"))
     inside = level.select(*by, F.inline("found"))
     found = [inside]
     for group, piece_width in _levels(by, width):

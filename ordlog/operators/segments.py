@@ -120,7 +120,7 @@ def place_head(
 
 
 def stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write numbered data once and read it back; the plan behind it does not run again."""
+    """Write a table once and read it back; the plan behind it does not run again."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -41,9 +41,9 @@ def sort_topics(
     """Publish one ordered topic for each key; returns the rows of each.
 
     Keys in ``few_values`` go first and by buckets, which takes no shuffle, the others by
-    range. The sorts are independent jobs: with several under way, one fills the cores that the
-    last tasks of another leave idle. Each range sort in progress holds a copy of the data
-    as shuffle files, so ``at_once`` is also a matter of disk.
+    range. The sorts are independent jobs: with several under way, one fills the cores that
+    the last tasks of another leave idle. Each range sort in progress holds a copy of the
+    data as shuffle files, so ``at_once`` is also a matter of disk.
     """
     lightest_first = sorted(keys, key=lambda k: k not in few_values)
     with ThreadPoolExecutor(at_once) as pool:
@@ -104,8 +104,8 @@ def run(
     The logs are kept below ``root`` unless others are given. What is consumed is parsed
     into a typed table at ``<root>/consumed`` once; the three sorts read that. The same pass
     takes the fingerprint the topics must have and sketches how many values each key has,
-    which decides how it is sorted. Lines that do not parse are kept in ``<root>/quarantine``. ``strict`` raises when a stage lost or
-    gained rows.
+    which decides how it is sorted. Lines that do not parse are kept in
+    ``<root>/quarantine``. ``strict`` raises when a stage lost or gained rows.
     """
     root = root or workspace.fresh(spark, "run")
     logs = logs or FileLogs(spark, root)

@@ -132,6 +132,13 @@ def test_keys(record_df):
         codec.key_column("address")
 
 
+def test_bytes_that_are_no_text_come_through(spark):
+    lines = spark.sql("select cast(X'312C612C62E92C63E9' as string) value")
+    row = codec.parse(lines).select(F.hex("name"), F.hex("address"), F.hex("continent")).first()
+    assert tuple(row) == ("61", "62E9", "63E9")
+    assert codec.to_lines(codec.parse(lines)).select(F.hex("value")).first()[0] == "312C612C62E92C63E9"
+
+
 def test_positional_fields_and_lenient_numbers(line_df):
     lines = line_df(["12,b,c,d,e", "x", "3.5kg,b", "-2e1,b,c,", "", " +7 ,b,c,d"])
     got = {r.value: (r.number, r.second, r.fourth) for r in codec.positional(lines).collect()}

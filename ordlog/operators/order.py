@@ -73,6 +73,7 @@ def bucketed(df: DataFrame, key: str, max_buckets: int = LOW_CARDINALITY) -> Dat
     ``bucket_first``, ``bucket_last`` and ``offset``. With ``max_buckets`` keys or more the
     table is range-sorted instead, and the same columns come from that.
     """
+    segments.refuse(df, "bucket", "bucket_first", "bucket_last", "offset", "shard", "pos")
     rank = bucket_rank(df, key, max_buckets)
     if rank is None:
         return _range_bucketed(df, key)

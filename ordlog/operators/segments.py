@@ -33,6 +33,13 @@ def task_position() -> Column:
     return F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
 
 
+def refuse(df: DataFrame, *reserved: str) -> None:
+    """Columns that are about to be added must not be there yet."""
+    taken = sorted({c.lower() for c in df.columns} & set(reserved))
+    if taken:
+        raise ValueError(f"the table already has {', '.join(taken)}; rename before ordering it")
+
+
 def number(df: DataFrame) -> DataFrame:
     return df.select("*", F.spark_partition_id().alias("shard"), task_position().alias("pos"))
 
@@ -166,6 +173,7 @@ def write_positioned(
     spread over them. The sorted table is written once to the shared work folder: range
     bounds come from a sample, so the sort must not be evaluated twice.
     """
+    refuse(df, "offset", "shard", "pos", TASK)
     group = list(within or [])
     path = workspace.fresh(df.sparkSession, "sorted")
     data = stage(number(range_sorted(df, [*group, *order], ties, shards)), f"{path}/data")

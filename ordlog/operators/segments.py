@@ -25,6 +25,7 @@ from ordlog import workspace
 _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number here
 TASK = "_task"
 ROWS_PER_SHARD = 4_000_000
+TIE_CHARS = 64
 BROADCAST_SEGMENTS = 2_000_000  # some 100 MB in memory
 
 
@@ -59,16 +60,32 @@ def range_sorted(
     ``ties`` (by default every column) make the order total. The last range column is the
     number of the task the row came from: it spreads even a huge group of identical rows
     over shards, and being a property of the input split it is the same when a lost task
-    runs again.
+    runs again. Range bounds are sampled to the driver, so ties enter them by their first
+    ``TIE_CHARS`` characters; rows that are alike that far may come in either order.
     """
-    sortable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     # a named key is already ordered; an expression's own columns still break its ties
     named = [c for c in order if isinstance(c, str)]
-    rest = [c for c in (sortable if ties is None else ties) if c not in named]
-    keys = [F.col(c) if isinstance(c, str) else c for c in [*order, *rest]]
+    rest = [c for c in (df.columns if ties is None else ties) if c not in named]
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    bounded = [b for c in rest if (b := _bounded(df, c)) is not None]
+    full = [F.col(c) for c in rest if _sortable(df, c)]
     tagged = df.withColumn(TASK, F.spark_partition_id())
     size = [shards] if shards else []
-    return tagged.repartitionByRange(*size, *keys, F.col(TASK)).drop(TASK).sortWithinPartitions(*keys)
+    ranged = tagged.repartitionByRange(*size, *keys, *bounded, F.col(TASK)).drop(TASK)
+    return ranged.sortWithinPartitions(*keys, *full)
+
+
+def _sortable(df: DataFrame, column: str) -> bool:
+    return not isinstance(df.schema[column].dataType, (T.MapType, T.VariantType))
+
+
+def _bounded(df: DataFrame, column: str) -> Column | None:
+    """The column as far as its size is bounded; None if it has no such part."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        return F.left(column, F.lit(TIE_CHARS))
+    nested = (T.BinaryType, T.ArrayType, T.StructType, T.MapType, T.VariantType)
+    return None if isinstance(kind, nested) else F.col(column)
 
 
 def running_starts(counts: DataFrame, group: list[str]) -> DataFrame:

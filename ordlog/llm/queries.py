@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordlog.llm import decontamination, licenses
+from ordlog.llm import decontamination, licenses, mixing
 from ordlog.llm.shared import table
 
 QUERIES = {}
@@ -16,6 +16,53 @@ def query(run):
     return run
 
 
+@query
+def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.report(table(spark, folder, "documents"))
+
+
+SQL["op3_source_mix"] = r"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents
+), placed as (
+  select *, md5('mix-1:' || coalesce(cast(doc_id as varchar), '') || ':' || size) as place from sized
+), sums as (
+  select source, cast(sum(size) as bigint) as source_size,
+    row_number() over (order by source nulls last) - 1 as sid
+  from sized group by source
+), sources as (
+  select *, cast([3, 1, 2][sid % 3 + 1] as bigint) as weight from sums
+), dried as (
+  select *, cast(sum(source_size) over () as bigint) as total,
+    coalesce(sum(source_size) over by_need, 0) as dry_words,
+    sum(weight) over () - coalesce(sum(weight) over by_need, 0) as weights
+  from sources
+  window by_need as (order by source_size / weight, sid rows between unbounded preceding and 1 preceding)
+), level as (
+  select cast(3 * total - 4 * dry_words as bigint) as share, cast(weights as bigint) as weights, total
+  from dried where 4 * source_size * weights > weight * (3 * total - 4 * dry_words)
+  order by source_size / weight, sid limit 1
+), aimed as (
+  select sid, source, weight, source_size, total,
+    least(cast(weight * share as double) / cast(2 * weights as double), cast(2 * source_size as double)) as target
+  from sources, level
+), ended as (
+  select doc_id, size, place, sid, weight, source_size, target, total,
+    sum(size) over (partition by sid order by place rows unbounded preceding) as done
+  from placed join aimed on placed.source is not distinct from aimed.source
+), copies as (
+  select *, cast(done + source_size * pass as double) / weight as finish
+  from ended, (values (0), (1)) as passes(pass)
+), taken as (
+  select *, 2 * sum(size) over (order by finish, sid, pass, place rows unbounded preceding) <= 3 * total as fits
+  from copies
+)
+select doc_id, any_value(size) as size, any_value(source_size) as source_size, any_value(target) as target,
+  cast(sum(case when fits then size else 0 end) as bigint) as taken
+from taken group by doc_id
+"""
+
+
 @query
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.report(table(spark, folder, "documents"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordlog.llm import decontamination, licenses, mixing
+from ordlog.llm import decontamination, licenses, mixing, token_files
 from ordlog.llm.shared import table
 
 QUERIES = {}
@@ -71,3 +72,10 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    # of this vocabulary: lower case, white space dropped
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.report(table(spark, folder, "documents"), tokenizer, spaced=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordlog.llm import decontamination, licenses, mixing, token_files
+from ordlog.llm import decontamination, licenses, mixing, ngram_join, token_files
 from ordlog.llm.shared import table
 
 QUERIES = {}
@@ -79,3 +79,8 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     # of this vocabulary: lower case, white space dropped
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return token_files.report(table(spark, folder, "documents"), tokenizer, spaced=True)
+
+
+@query
+def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.report(table(spark, folder, "documents"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ordlog.llm import decontamination, licenses, mixing, ngram_join, token_files
+from ordlog.llm import decontamination, inner_products, licenses, mixing, ngram_join, token_files
 from ordlog.llm.shared import table
 
 QUERIES = {}
@@ -81,6 +82,25 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.report(table(spark, folder, "documents"), tokenizer, spaced=True)
 
 
+@query
+def op8_inner_products(spark: SparkSession, folder: str) -> DataFrame:
+    return inner_products.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+SQL["op8_inner_products"] = """
+with vectors as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+  from vectors q join vectors c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
+)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+  vec_id, score
+from scored qualify rank <= 20
+"""
+
+
 @query
 def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.report(table(spark, folder, "documents"))

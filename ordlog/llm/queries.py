@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordlog.llm import decontamination, inner_products, licenses, mixing, ngram_join, token_files
+from ordlog.llm import (
+    decontamination,
+    inner_products,
+    language,
+    licenses,
+    mixing,
+    ngram_join,
+    token_files,
+    toxicity,
+)
 from ordlog.llm.shared import table
 
 QUERIES = {}
@@ -18,6 +27,11 @@ def query(run):
     return run
 
 
+@query
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.report(table(spark, folder, "documents"))
+
+
 @query
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.report(table(spark, folder, "documents"))
@@ -65,6 +79,11 @@ from taken group by doc_id
 """
 
 
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.report(table(spark, folder, "documents"))

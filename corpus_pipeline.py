@@ -1,18 +1,51 @@
-"""A corpus made ready for training, stage by stage."""
+"""A corpus made ready for training: each stage works on all that the one before it kept."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordlog.llm import decontamination
+from ordlog.llm import decontamination, language, mixing, ngram_join, token_files
 from ordlog.llm.shared import stage, table
 
+# a text of one word is recognised with about this score or more
+MIN_LANGUAGE_SCORE = 0.3
+
+
+def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents without letters or like no learned language go."""
+    return language.recognised(docs, min_score=MIN_LANGUAGE_SCORE)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Of each group of near duplicates the document of the smallest id stays."""
+    return ngram_join.deduplicated(docs)
+
 
 def clear_of_benchmarks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Passages of test items are cut out; documents that mostly are one go."""
     return decontamination.decontaminate(docs, table(spark, folder, "benchmark"))
 
 
-STAGES = [("decontamination", clear_of_benchmarks)]
+def mixed_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents are left out or repeated so that sources meet their target weights."""
+    return mixing.mixed(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The files' documents: doc_id, start, n_tokens and ids_crc32."""
+    return token_files.report(docs, public_tokenizers.path("word_bpe_49k.json"), spaced=True)
+
+
+STAGES = [
+    ("language", known_language),
+    ("near_duplicates", one_of_each),
+    ("decontamination", clear_of_benchmarks),
+    ("mixing", mixed_sources),
+    ("token_files", token_ids),
+]
+
+# regression on kernels and a trained tokenizer are beyond SQL: tested against brute force
 ORACLE_SQL = None
 
 

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordlog import workspace
 from ordlog.llm import (
     decontamination,
     inner_products,
@@ -13,6 +14,8 @@ from ordlog.llm import (
     licenses,
     mixing,
     ngram_join,
+    quality,
+    token_counts,
     token_files,
     toxicity,
 )
@@ -27,6 +30,12 @@ def query(run):
     return run
 
 
+@query
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    # documents have no URL: their source is the host, the language the path below it
+    return quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.report(table(spark, folder, "documents"))
@@ -123,3 +132,27 @@ from scored qualify rank <= 20
 @query
 def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.report(table(spark, folder, "documents"))
+
+
+@query
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.maintained(table(spark, folder, "documents"), workspace.fresh(spark, "rollup"))
+
+
+SQL["op10_token_counts"] = r"""
+with counted as (
+  select source, lang,
+    text is null or row_number() over (partition by text order by doc_id) = 1 as kept,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as spaced,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as letters
+  from documents
+), versions as (
+  select source, lang, 'words-2' as tokenizer, letters as tokens from counted where kept
+  union all
+  select source, lang, 'words-1',
+    len(list_filter(spaced, lambda w: regexp_matches(w, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]')))
+  from counted where kept
+)
+select source, lang, tokenizer, count(*) as docs, cast(sum(tokens) as bigint) as tokens
+from versions group by source, lang, tokenizer
+"""

@@ -77,7 +77,7 @@ def steps(spark: SparkSession, rows: int) -> dict[str, float]:
     took["consume"] = timed(lambda: segments.stage(parsed, staged))
     records = spark.read.schema(parsed.schema).parquet(staged)
     took["sort_and_publish"] = timed(
-        lambda: end_to_end.sort_topics(records, FileLogs(spark, root), few_values=("continent",))
+        lambda: end_to_end.sort_topics(records, FileLogs(spark, root))
     )
     topics = {k: log.read_topic(spark, root, k) for k in KEYS}
     took["verify"] = timed(lambda: end_to_end.verify_topics(topics).collect())

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ordlog import workspace
 from ordlog.functions.codec import key_column
 from ordlog.operators import segments
-from ordlog.schema import CHECKED_ROWS, LOW_CARDINALITY
+
+CHECKED_ROWS = 1000
 
 
 def sort_records(records: DataFrame, key: str, shards: int | None = None) -> DataFrame:
@@ -44,39 +45,62 @@ def first_rows(df: DataFrame, *order: str | Column, n: int = CHECKED_ROWS) -> Da
 def sorted_head(
     df: DataFrame, *order: str | Column, n: int = CHECKED_ROWS, ties: list[str] | None = None
 ) -> DataFrame:
-    """The first n rows with their places, read off the front of the sorted table."""
-    return segments.write_positioned(df, list(order), ties).head(n)
+    """The first n rows with their places. Each task keeps n rows; only these are sorted
+    together and numbered, so n is what one task can hold."""
+    segments.refuse(df, "offset")
+    keys = segments.total_order(df, list(order), ties)
+    place = F.row_number().over(Window.orderBy(*keys)) - 1
+    return df.orderBy(*keys).limit(n).withColumn("offset", place.cast("bigint"))
 
 
 def bucket_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("rows"))
 
 
-def bucket_rank(df: DataFrame, key: str, max_buckets: int = LOW_CARDINALITY) -> Column | None:
-    """Each row's place among the key's values; None if there are ``max_buckets`` or more."""
-    counts = bucket_counts(df, key).orderBy(F.col(key).asc_nulls_first()).limit(max_buckets)
-    keys = [r[0] for r in counts.collect()]  # at most max_buckets rows
-    if len(keys) >= max_buckets:
-        return None
-    rank = F.lit(None).cast("bigint")
-    for i, k in enumerate(keys):
-        rank = F.when(F.col(key).eqNullSafe(F.lit(k)), F.lit(i).cast("bigint")).otherwise(rank)
+class TooManyBuckets(ValueError):
+    """The key has more values than the caller said."""
+
+
+def bucket_rank(df: DataFrame, key: str, max_buckets: int) -> Column:
+    """Each row's place among the key's values, of which there are ``max_buckets`` at most.
+
+    A value that was not among them when they were counted fails the job."""
+    counts = bucket_counts(df, key).orderBy(F.col(key).asc_nulls_first()).limit(max_buckets + 1)
+    keys = [r[0] for r in counts.collect()]  # at most one more than max_buckets
+    if len(keys) > max_buckets:
+        raise TooManyBuckets(f"{key} has more than {max_buckets} values; sort by it instead")
+    unknown = F.raise_error(F.concat(F.lit(f"a value of {key} that was not counted: "), F.col(key).cast("string")))
+    known = [(k, i) for i, k in enumerate(keys) if k is not None]
+    places = F.create_map(*[F.lit(x) for pair in known for x in pair]) if known else F.lit(None).cast("map<string,int>")
+    place = F.try_element_at(places, F.col(key).cast(df.schema[key].dataType if known else "string"))
+    rank = F.when(F.col(key).isNull(), 0).otherwise(F.coalesce(place, unknown.cast("int"))).cast("bigint")
     return rank
 
 
-def bucketed(df: DataFrame, key: str, max_buckets: int = LOW_CARDINALITY) -> DataFrame:
-    """Order by a key with few values, without a shuffle.
+def bucketed(df: DataFrame, key: str, shards: int | None = None) -> DataFrame:
+    """Order by a key and give each row its bucket: ``bucket`` (the key's rank),
+    ``bucket_first``, ``bucket_last`` and ``offset``. All columns break ties, so the order is
+    the same for any key, split and number of shards."""
+    segments.refuse(df, "bucket", "bucket_first", "bucket_last", "offset", "shard", "pos")
+    ordered = segments.positioned(df, [key], shards=shards)
+    edges = ordered.groupBy(key).agg(
+        F.min("offset").alias("bucket_first"), F.max("offset").alias("bucket_last")
+    )
+    ranked = segments.positioned(edges, [key]).withColumnRenamed("offset", "bucket")
+    ranked = ranked.withColumnRenamed(key, "_key")
+    return ordered.join(ranked, F.col(key).eqNullSafe(F.col("_key"))).select(
+        *df.columns, "bucket", "bucket_first", "bucket_last", "offset"
+    )
+
+
+def grouped_buckets(df: DataFrame, key: str, max_buckets: int) -> DataFrame:
+    """The buckets of a key with few values strung together in key order, without a shuffle.
 
-    Each task groups its own rows by bucket and writes them to that bucket's folder; the
-    segment table then strings the buckets together in key order. Rows of one bucket keep
-    no particular order, as their key is the same. Adds ``bucket`` (the key's rank),
-    ``bucket_first``, ``bucket_last`` and ``offset``. With ``max_buckets`` keys or more the
-    table is range-sorted instead, and the same columns come from that.
-    """
+    The same columns as ``bucketed``, but rows of one bucket are in no particular order:
+    each task groups its own rows and writes them to that bucket's folder. Raises
+    ``TooManyBuckets`` if the key has more than ``max_buckets`` values."""
     segments.refuse(df, "bucket", "bucket_first", "bucket_last", "offset", "shard", "pos")
     rank = bucket_rank(df, key, max_buckets)
-    if rank is None:
-        return _range_bucketed(df, key)
     path = workspace.fresh(df.sparkSession, "buckets")
     grouped = segments.number(df.withColumn("bucket", rank).sortWithinPartitions("bucket"))
     data = segments.stage(grouped, f"{path}/data", partition_by=["bucket"])
@@ -98,15 +122,3 @@ def bucketed(df: DataFrame, key: str, max_buckets: int = LOW_CARDINALITY) -> Dat
         (F.col("bucket_first") + F.col("_rows") - 1).alias("bucket_last"),
         (F.col("bucket_first") + F.col("offset")).alias("offset"),
     )
-
-
-def _range_bucketed(df: DataFrame, key: str) -> DataFrame:
-    ordered = segments.positioned(df, [key])
-    edges = ordered.groupBy(key).agg(
-        F.min("offset").alias("bucket_first"), F.max("offset").alias("bucket_last")
-    )
-    ranked = segments.positioned(edges, [key]).withColumnRenamed("offset", "bucket")
-    ranked = ranked.withColumnRenamed(key, "_key")
-    return ordered.join(ranked, F.col(key).eqNullSafe(F.col("_key"))).select(
-        *df.columns, "bucket", "bucket_first", "bucket_last", "offset"
-    )

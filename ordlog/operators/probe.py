@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordlog.operators.segments import Positioned
-from ordlog.schema import LOW_CARDINALITY, PROBE_ROWS
 
 LOW, HIGH = "LOW", "HIGH"
+LOW_CARDINALITY = 10  # values from which on a key counts as HIGH
 
 
 def _verdicts(counts: DataFrame, keys: list[str], threshold: int) -> DataFrame:
@@ -21,10 +20,16 @@ def _verdicts(counts: DataFrame, keys: list[str], threshold: int) -> DataFrame:
 
 
 def cardinality_probe(
-    table: Positioned, keys: list[str], n: int = PROBE_ROWS, threshold: int = LOW_CARDINALITY
+    df: DataFrame,
+    keys: list[str],
+    n: int | None = None,
+    order: list[str | Column] | None = None,
+    threshold: int = LOW_CARDINALITY,
 ) -> DataFrame:
-    """Exact distinct keys among the first n rows of a sorted table."""
-    counted = table.head(n).agg(
+    """Exact distinct keys of the table, or of its first n rows in ``order``; no sort but
+    the one that finds these."""
+    rows = df if n is None else df.orderBy(*(order or keys)).limit(n)
+    counted = rows.agg(
         F.count("*").alias("sampled"), *[F.count_distinct(F.col(k)).alias(f"_{k}") for k in keys]
     )
     return _verdicts(counted, keys, threshold)

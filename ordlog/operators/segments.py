@@ -24,8 +24,8 @@ from ordlog import workspace
 
 _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number here
 TASK = "_task"
-ROWS_PER_SHARD = 4_000_000
-TIE_CHARS = 64
+SHARD_BYTES = 256 << 20  # of the files that a sort reads
+_UNKNOWN_SIZE = 1 << 60  # Spark says more than this where it knows nothing
 BROADCAST_SEGMENTS = 2_000_000  # some 100 MB in memory
 
 
@@ -45,10 +45,17 @@ def number(df: DataFrame) -> DataFrame:
     return df.select("*", F.spark_partition_id().alias("shard"), task_position().alias("pos"))
 
 
-def shards_for(spark: SparkSession, rows: int) -> int | None:
-    """How many shards a sort of this many rows needs, or None where the session's own
+def scan_bytes(df: DataFrame) -> int:
+    """Bytes of what the table's plan reads, as far as Spark knows it; runs nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < _UNKNOWN_SIZE)
+
+
+def shards_for(spark: SparkSession, size: int) -> int | None:
+    """How many shards a sort of this many bytes needs, or None where the session's own
     number of shuffle partitions is enough and adaptive execution may lower it."""
-    wanted = -(-rows // ROWS_PER_SHARD)
+    wanted = -(-size // SHARD_BYTES)
     return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
@@ -57,35 +64,44 @@ def range_sorted(
 ) -> DataFrame:
     """Sort the whole table: task i holds rows that come before those of task i+1.
 
-    ``ties`` (by default every column) make the order total. The last range column is the
-    number of the task the row came from: it spreads even a huge group of identical rows
-    over shards, and being a property of the input split it is the same when a lost task
-    runs again. Range bounds are sampled to the driver, so ties enter them by their first
-    ``TIE_CHARS`` characters; rows that are alike that far may come in either order.
+    ``ties`` (by default every column) make the order total, for any number of shards: they
+    are part of the range bounds as a whole. The last range column is the number of the task
+    the row came from: it spreads even a huge group of identical rows over shards, and being
+    a property of the input split it is the same when a lost task runs again. Spark samples
+    its bounds (``spark.sql.execution.rangeExchange.sampleSizePerPartition`` rows a shard)
+    on the driver; where ties are long texts, name a narrow unique one or lower that number.
     """
-    # a named key is already ordered; an expression's own columns still break its ties
-    named = [c for c in order if isinstance(c, str)]
-    rest = [c for c in (df.columns if ties is None else ties) if c not in named]
-    keys = [F.col(c) if isinstance(c, str) else c for c in order]
-    bounded = [b for c in rest if (b := _bounded(df, c)) is not None]
-    full = [F.col(c) for c in rest if _sortable(df, c)]
+    keys = total_order(df, order, ties)
+    shards = shards or shards_for(df.sparkSession, scan_bytes(df))
     tagged = df.withColumn(TASK, F.spark_partition_id())
     size = [shards] if shards else []
-    ranged = tagged.repartitionByRange(*size, *keys, *bounded, F.col(TASK)).drop(TASK)
-    return ranged.sortWithinPartitions(*keys, *full)
+    ranged = tagged.repartitionByRange(*size, *keys, F.col(TASK)).drop(TASK)
+    return ranged.sortWithinPartitions(*keys)
 
 
-def _sortable(df: DataFrame, column: str) -> bool:
-    return not isinstance(df.schema[column].dataType, (T.MapType, T.VariantType))
+def total_order(df: DataFrame, order: list, ties: list[str] | None = None) -> list[Column]:
+    """The order's columns and after them what breaks its ties, by default every column."""
+    # a named key is already ordered; an expression's own columns still break its ties
+    named = [c for c in order if isinstance(c, str)]
+    rest = [c for c in (df.columns if ties is None else ties) if c not in named]
+    return [F.col(c) if isinstance(c, str) else c for c in order] + [_comparable(df, c) for c in rest]
 
 
-def _bounded(df: DataFrame, column: str) -> Column | None:
-    """The column as far as its size is bounded; None if it has no such part."""
+def _comparable(df: DataFrame, column: str) -> Column:
+    """The column, or of what has no order of its own something that has."""
     kind = df.schema[column].dataType
-    if isinstance(kind, T.StringType):
-        return F.left(column, F.lit(TIE_CHARS))
-    nested = (T.BinaryType, T.ArrayType, T.StructType, T.MapType, T.VariantType)
-    return None if isinstance(kind, nested) else F.col(column)
+    if isinstance(kind, T.MapType):
+        entries = F.map_entries(column)
+        return F.sort_array(entries) if not _unordered(kind.valueType) else F.to_json(column)
+    return F.to_json(F.struct(F.col(column))) if _unordered(kind) else F.col(column)
+
+
+def _unordered(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_unordered(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _unordered(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
 
 
 def running_starts(counts: DataFrame, group: list[str]) -> DataFrame:

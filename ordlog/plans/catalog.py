@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ordlog import workspace
 from ordlog.functions import codec, rules
-from ordlog.operators import compare, order, order_check, probe, segments
+from ordlog.operators import compare, order, order_check, probe
 from ordlog.plans import end_to_end
-from ordlog.schema import CHECKED_ROWS, KEYS, PREVIEW_ROWS, SOURCE_TOPIC
+from ordlog.schema import KEYS, PREVIEW_ROWS, SOURCE_TOPIC
 from ordlog.sources import lines, log, synth, tables
 from ordlog.sources.logs import FileLogs
 from ordlog.streaming import consume
@@ -136,6 +136,13 @@ def sort_lineitem_shipdate(spark: SparkSession, folder: str) -> DataFrame:
     return order.sort_by(items, "l_shipdate")
 
 
+@query
+def sort_documents_by_lang(spark: SparkSession, folder: str) -> DataFrame:
+    """Few keys, whole texts as ties: texts that begin alike are still in order."""
+    documents = tables.table(spark, folder, "documents").select("lang", "text", "doc_id")
+    return order.sort_by(documents, "lang", ties=["text", "doc_id"]).drop("text")
+
+
 @query
 def bucket_counts(spark: SparkSession, folder: str) -> DataFrame:
     return order.bucket_counts(tables.table(spark, folder, "orders"), "o_orderpriority")
@@ -143,10 +150,17 @@ def bucket_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def bucket_ordered(spark: SparkSession, folder: str) -> DataFrame:
-    """Each row with its bucket's place; a row's own place in its bucket is free."""
-    placed = order.bucketed(tables.order_records(spark, folder), "continent")
-    inside = F.col("offset").between(F.col("bucket_first"), F.col("bucket_last"))
-    return placed.withColumn("inside", inside).drop("offset")
+    """Each row with its own place and that of its bucket."""
+    return order.bucketed(tables.order_records(spark, folder), "continent")
+
+
+@query
+def bucket_grouped(spark: SparkSession, folder: str) -> DataFrame:
+    """Buckets without a shuffle: a row's own place in its bucket is free, each is taken once."""
+    placed = order.grouped_buckets(tables.order_records(spark, folder), "continent", max_buckets=5)
+    places = F.count_distinct("offset").alias("places")
+    ends = [F.min("offset").alias("first_place"), F.max("offset").alias("last_place"), F.count("*").alias("rows")]
+    return placed.groupBy("continent", "bucket", "bucket_first", "bucket_last").agg(places, *ends)
 
 
 @query
@@ -180,8 +194,14 @@ def first_in_order(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def cardinality_probe(spark: SparkSession, folder: str) -> DataFrame:
-    ordered = segments.write_positioned(tables.order_records(spark, folder), ["id"])
-    return probe.cardinality_probe(ordered, list(KEYS))
+    return probe.cardinality_probe(tables.order_records(spark, folder), list(KEYS))
+
+
+@query
+def cardinality_of_head(spark: SparkSession, folder: str) -> DataFrame:
+    """The same of the first 1,000 orders by id only, as a caller may ask."""
+    records = tables.order_records(spark, folder)
+    return probe.cardinality_probe(records, list(KEYS), n=1000, order=["id"])
 
 
 @query
@@ -243,7 +263,7 @@ def head_sample(spark: SparkSession, folder: str) -> DataFrame:
     """The records of the first 1,000 rows of an ordered topic."""
     root = workspace.fresh(spark, "topics")
     log.publish_sorted(tables.order_records(spark, folder), root, "name", "name")
-    return codec.parse(log.read_head(spark, root, "name", CHECKED_ROWS), keep=("offset",))
+    return codec.parse(log.read_head(spark, root, "name", order.CHECKED_ROWS), keep=("offset",))
 
 
 @query
@@ -254,6 +274,12 @@ def topic_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.join(stored.withColumnRenamed("rows", "recorded"), "topic")
 
 
+@query
+def recorded_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each topic by the segment tables alone."""
+    return log.stored_end_offsets(spark, _sorted_topics(spark, folder, source=True), SOURCE_TOPIC, *KEYS)
+
+
 @query
 def log_end_offsets(spark: SparkSession, folder: str) -> DataFrame:
     return log.end_offsets(tables.event_log(spark, folder))
@@ -280,6 +306,15 @@ def order_check_sorted(spark: SparkSession, folder: str) -> DataFrame:
     return end_to_end.verify_topics({k: log.read_topic(spark, root, k) for k in KEYS})
 
 
+@query
+def order_check_damaged(spark: SparkSession, folder: str) -> DataFrame:
+    """Topics that are not what they say: read as another key's, and with rows missing."""
+    root = _sorted_topics(spark, folder)
+    wrong = {key: log.read_topic(spark, root, other) for key, other in (("id", "name"), ("continent", "id"))}
+    holes = log.read_topic(spark, root, "name").filter("offset % 10 <> 3")
+    return end_to_end.verify_topics(wrong | {"name": holes})
+
+
 @query
 def order_check_unsorted(spark: SparkSession, folder: str) -> DataFrame:
     return order_check.order_report(tables.event_log(spark, folder), "amount")
@@ -363,6 +398,14 @@ def run_summary(spark: SparkSession, folder: str) -> DataFrame:
     return end_to_end.run(spark, tables.records(spark, folder)).summary
 
 
+@query
+def run_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """What the job sets aside: records whose id is missing."""
+    broken = F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id"))
+    done = end_to_end.run(spark, tables.records(spark, folder).withColumn("id", broken))
+    return spark.read.parquet(f"{done.root}/quarantine")
+
+
 @query
 def run_report(spark: SparkSession, folder: str) -> DataFrame:
     """The whole job on one generated record for each order."""

@@ -5,7 +5,7 @@ publish the lines -> consume them once -> parse once -> sort three ways -> check
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ordlog import workspace
 from ordlog.functions import codec
 from ordlog.operators import compare, order_check, reconcile, segments
-from ordlog.schema import FIELDS, KEYS, LOW_CARDINALITY, SOURCE_PARTITIONS, SOURCE_TOPIC
+from ordlog.schema import FIELDS, KEYS, SOURCE_PARTITIONS, SOURCE_TOPIC
 from ordlog.sources import synth
 from ordlog.sources.logs import FileLogs, Logs
 
@@ -31,25 +31,13 @@ class Run:
 
 
 def sort_topics(
-    records: DataFrame,
-    logs: Logs,
-    keys: tuple[str, ...] = KEYS,
-    few_values: tuple[str, ...] = (),
-    shards: int | None = None,
-    at_once: int = 3,
+    records: DataFrame, logs: Logs, keys: tuple[str, ...] = KEYS, shards: int | None = None
 ) -> dict[str, int]:
-    """Publish one ordered topic for each key; returns the rows of each.
+    """Publish one ordered topic for each key, one after the other; returns the rows of each.
 
-    Keys in ``few_values`` go first and by buckets, which takes no shuffle, the others by
-    range. The sorts are independent jobs: with several under way, one fills the cores that
-    the last tasks of another leave idle. Each range sort in progress holds a copy of the
-    data as shuffle files, so ``at_once`` is also a matter of disk.
-    """
-    lightest_first = sorted(keys, key=lambda k: k not in few_values)
-    with ThreadPoolExecutor(at_once) as pool:
-        sent = pool.map(lambda k: logs.publish_ordered(records, k, k in few_values, shards), lightest_first)
-        rows = dict(zip(lightest_first, sent))
-    return {k: rows[k] for k in keys}
+    Every key is sorted in the same way, so its topic does not depend on how many values
+    it has. A range sort holds a copy of the data as shuffle files while it runs."""
+    return {k: logs.publish_ordered(records, k, shards) for k in keys}
 
 
 def verify_topic(topic: DataFrame, key: str, width: int = order_check.WIDTH) -> DataFrame:
@@ -102,10 +90,10 @@ def run(
     """The whole job on the given records, or on ``count`` generated ones.
 
     The logs are kept below ``root`` unless others are given. What is consumed is parsed
-    into a typed table at ``<root>/consumed`` once; the three sorts read that. The same pass
-    takes the fingerprint the topics must have and sketches how many values each key has,
-    which decides how it is sorted. Lines that do not parse are kept in
-    ``<root>/quarantine``. ``strict`` raises when a stage lost or gained rows.
+    into a typed table once, in a folder of this run below ``root``; the three sorts read
+    that, and it goes when they are done. The same pass takes the fingerprint the topics
+    must have. Lines that do not parse are kept in ``<root>/quarantine``, which each run
+    writes anew, empty if all parse. ``strict`` raises when a stage lost or gained rows.
     """
     root = root or workspace.fresh(spark, "run")
     logs = logs or FileLogs(spark, root)
@@ -120,21 +108,18 @@ def run(
         read,
         F.count("*").alias("consumed"),
         *compare.fingerprint_sums(F.when(~bad, F.xxhash64(codec.serialize()))),
-        *[F.approx_count_distinct(k).alias(k) for k in KEYS],
     )
     # a parsed line can be had back from its fields
     kept = parsed.withColumn("value", F.when(bad, F.col("value")))
-    consumed = segments.stage(kept, f"{root}/consumed")
+    path = f"{root}/consumed-{uuid.uuid4().hex}"
+    consumed = segments.stage(kept, path)
     valid = consumed.filter(F.col("reason").isNull()).select(*FIELDS)
     seen = read.get
     malformed = seen["consumed"] - seen["rows"]
-    if malformed:
-        rejected = consumed.filter(F.col("reason").isNotNull()).select("value", "reason")
-        rejected.write.mode("overwrite").parquet(f"{root}/quarantine")
-
-    few_values = tuple(k for k in KEYS if seen[k] < LOW_CARDINALITY)
-    shards = segments.shards_for(spark, seen["rows"])
-    topics = sort_topics(valid, logs, few_values=few_values, shards=shards)
+    rejected = consumed.filter(F.col("reason").isNotNull()).select("value", "reason")
+    rejected.write.mode("overwrite").parquet(f"{root}/quarantine")
+    topics = sort_topics(valid, logs)
+    workspace.drop(spark, path)
     stages = {"generated": made.get["rows"], SOURCE_TOPIC: sent, "consumed": seen["consumed"]}
     wanted = dict.fromkeys(stages, stages["generated"]) | dict.fromkeys(topics, seen["rows"])
     return Run(

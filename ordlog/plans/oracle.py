@@ -6,19 +6,19 @@ from ordlog.schema import ADDRESS_CHARS, CONTINENTS, LETTERS
 from ordlog.sources import synth
 
 _RECORDS = f"""records as (
-  select cast(c_custkey % 2147483647 as int) id, c_name as name,
+  select try_cast(c_custkey as int) id, c_name as name,
          concat(c_nationkey, ' ', c_mktsegment) address, r_name continent
   from customer join nation on c_nationkey = n_nationkey
                 join region on n_regionkey = r_regionkey)"""
 
 _SUPPLIERS = """suppliers as (
-  select cast(s_suppkey % 2147483647 as int) id, s_name as name,
+  select try_cast(s_suppkey as int) id, s_name as name,
          concat(s_nationkey, ' ', n_name) address, r_name continent
   from supplier join nation on s_nationkey = n_nationkey
                 join region on n_regionkey = r_regionkey)"""
 
 _ORDERS_REC = """orders_rec as (
-  select cast(o_orderkey % 2147483647 as int) id, concat('Order#', o_custkey) as name,
+  select try_cast(o_orderkey as int) id, concat('Order#', o_custkey) as name,
          concat(o_orderstatus, ' ', o_orderpriority) address, r_name continent
   from orders join customer on o_custkey = c_custkey
               join nation on c_nationkey = n_nationkey
@@ -145,7 +145,8 @@ def _topics(source: str = "records") -> str:
     )
 
 
-_BUCKETS = """select o.*, b.bucket, b.bucket_first, b.bucket_last, true as inside
+_BUCKETS = """select o.*, b.bucket, b.bucket_first, b.bucket_last,
+    row_number() over (order by continent, id, name, address) - 1 as "offset"
   from orders_rec o join (
     select continent as k, row_number() over (order by continent) - 1 bucket,
            cast(sum(n) over (order by continent) - n as bigint) bucket_first,
@@ -228,9 +229,34 @@ SQL = {
     "head_sorted": f"""with {_ORDERS_REC} select * from ({_sorted('orders_rec', 'name')}) where "offset" < 1000""",
     "first_in_order": f"""with {_ORDERS_REC}
         select id, name, address, continent from ({_sorted('orders_rec', 'name')}) where "offset" < 1000""",
-    "cardinality_probe": f"""with {_ORDERS_REC}, head as (
-        select * from ({_sorted('orders_rec', 'id')}) where "offset" < 500000) """
+    "cardinality_probe": f"with {_ORDERS_REC} " + _probe(("id", "name", "continent"), "orders_rec"),
+    "cardinality_of_head": f"""with {_ORDERS_REC}, head as (
+        select * from ({_sorted('orders_rec', 'id')}) where "offset" < 1000) """
     + _probe(("id", "name", "continent"), "head"),
+    "sort_documents_by_lang": """select row_number() over (order by lang nulls first, text nulls first, doc_id) - 1 as "offset",
+               lang, doc_id from documents""",
+    "bucket_grouped": f"""with {_ORDERS_REC}, placed as ({_BUCKETS})
+        select continent, bucket, bucket_first, bucket_last, count(distinct "offset") as places,
+               min("offset") as first_place, max("offset") as last_place, count(*) as "rows"
+        from placed group by all""",
+    "recorded_counts": f"""with {_RECORDS}
+        select topic, cast(count(*) as bigint) as "rows"
+        from records, (values ('source'), ('id'), ('name'), ('continent')) t(topic) group by topic""",
+    "order_check_damaged": f"""with {_RECORDS}, by_name as ({_sorted('records', 'name')}),
+        by_id as ({_sorted('records', 'id')}),
+        wrong as (
+          select 'id' as topic, lag(id) over (order by "offset") > id as bad from by_name
+          union all
+          select 'continent', lag(continent) over (order by "offset") > continent from by_id
+          union all
+          select 'name', false from by_name where "offset" % 10 <> 3)
+        select topic, 1::bigint as partitions, count(*) as "rows",
+               count(*) filter (bad) as violations, topic <> 'name' or count(*) < 4 as gapless,
+               case when count(*) filter (bad) > 0 or topic = 'name' and count(*) > 3 then 'FAIL' else 'PASS' end as verdict
+        from wrong group by topic""",
+    "run_quarantine": f"""with {_RECORDS}
+        select concat(',', name, ',', address, ',', continent) as value, 'bad_id' as reason
+        from records where id % 7 = 0""",
     "cardinality_approx": "select key, sampled, verdict from ("
     + _probe(("l_returnflag", "l_linenumber", "l_suppkey", "l_orderkey"), "lineitem")
     + ")",

@@ -33,9 +33,6 @@ ADDRESS_CHARS = LETTERS + "0123456789 "
 ID_LIMIT = 2147483647
 NAME_LENGTH = (10, 15)
 ADDRESS_LENGTH = (15, 20)
-LOW_CARDINALITY = 10
-PROBE_ROWS = 500_000
-CHECKED_ROWS = 1000
 PREVIEW_ROWS = 5
 REPORTED_VIOLATIONS = 3
 SOURCE_TOPIC = "source"

@@ -1,7 +1,7 @@
 """The same logs on Kafka, where Spark's connector is on the class path.
 
 Batch and streaming reads, unordered and ordered writes. Options pass through with their
-``kafka.`` prefix; the ones below are defaults a caller may override.
+``kafka.`` prefix, for readers and for producers.
 """
 
 from __future__ import annotations
@@ -14,17 +14,8 @@ from ordlog.operators import segments
 
 FORMAT = "kafka"
 
-# Producer settings of the workload this engine serves.
-PRODUCER = {
-    "kafka.compression.type": "lz4",
-    "kafka.linger.ms": "100",
-    "kafka.batch.size": "262144",
-    "kafka.buffer.memory": "67108864",
-    "kafka.request.timeout.ms": "60000",
-    "kafka.delivery.timeout.ms": "120000",
-}
 # A retry must not reorder what is already in order.
-ORDERED_PRODUCER = PRODUCER | {"kafka.acks": "all", "kafka.enable.idempotence": "true"}
+IN_ORDER = {"kafka.acks": "all", "kafka.enable.idempotence": "true"}
 
 
 def read_options(bootstrap: str, *topics: str, **extra: str) -> dict[str, str]:
@@ -36,8 +27,7 @@ def read_options(bootstrap: str, *topics: str, **extra: str) -> dict[str, str]:
 
 
 def write_options(bootstrap: str, topic: str, ordered: bool = False, **extra: str) -> dict[str, str]:
-    producer = ORDERED_PRODUCER if ordered else PRODUCER
-    return {"kafka.bootstrap.servers": bootstrap, "topic": topic} | producer | extra
+    return {"kafka.bootstrap.servers": bootstrap, "topic": topic} | (IN_ORDER if ordered else {}) | extra
 
 
 def as_log(rows: DataFrame) -> DataFrame:

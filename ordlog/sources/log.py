@@ -7,9 +7,12 @@ Layout below a root folder::
 
 A partition is a column, not a folder: writing folders would cost each task a sort, and
 readers take a topic whole. Every publish is a run. Its rows are numbered by the tasks that
-write them and become visible when its segments are recorded, so a publish that dies
-half-way is never read. One publisher at a time writes to a topic. The same rows come from
-a Kafka topic through ``ordlog.sources.kafka``.
+write them and become visible when its segments are recorded, one file in one commit, so a
+publish that dies half-way is never read. The segments also say with which run the topic
+begins: a publish that replaces a topic names itself, so until its commit the old rows are
+read and from then on the new ones. Only then do the old runs go. A topic may therefore be
+published to itself. One publisher at a time writes to a topic. The same rows come from a
+Kafka topic through ``ordlog.sources.kafka``.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from ordlog.operators.order import bucket_rank
 from ordlog.schema import LOG, SOURCE_PARTITIONS
 
 _LEGAL_TOPIC = re.compile(r"[a-zA-Z0-9._-]{1,249}")
-_BEFORE = -1  # segment of a partition that holds what was there before
+_BEFORE = -1  # shard of the empty segment that each run has of each partition, at its end so far
 
 STORED = T.StructType(
     [
@@ -48,6 +51,7 @@ SEGMENTS = T.StructType(
         T.StructField("rows", T.LongType()),
         T.StructField("first", T.LongType()),
         T.StructField("start", T.LongType()),
+        T.StructField("since", T.LongType()),
         T.StructField("run", T.LongType()),
     ]
 )
@@ -70,87 +74,111 @@ def _segments_path(root: str, topic: str) -> str:
 def segment_table(
     spark: SparkSession, root: str, topic: str, runs: Iterable[int] | None = None
 ) -> DataFrame:
-    """The topic's segments, of all runs recorded by now or of the given ones.
+    """The topic's segments, of all runs that count by now or of the given ones.
 
     Given runs are read by their own folders: Spark takes two scans of one folder for the
     same table, though files were added between them.
     """
     path = _segments_path(root, topic)
+    runs = recorded_runs(spark, root, topic) if runs is None else runs
+    paths = [f"{path}/run={r}" for r in runs]
     reader = spark.read.schema(SEGMENTS).option("basePath", path)
-    if runs is None:
-        return reader.parquet(path)
-    return reader.parquet(*[f"{path}/run={r}" for r in (_BEFORE, *runs)])
+    return reader.parquet(*paths) if paths else spark.createDataFrame([], SEGMENTS)
 
 
 def recorded_runs(spark: SparkSession, root: str, topic: str) -> dict[int, int]:
-    """The publishes recorded at this moment, which is what a bounded read covers, and the
+    """The publishes that count at this moment, which is what a bounded read covers, and the
     number of segments of each."""
-    return recorded(segment_table(spark, root, topic))
+    return recorded(spark.read.schema(SEGMENTS).parquet(_segments_path(root, topic)))
 
 
 def recorded(table: DataFrame) -> dict[int, int]:
-    counts = table.filter(F.col("run") != _BEFORE).groupBy("run").agg(F.count("*").alias("n"))
-    return {r.run: r.n for r in sorted(counts.collect())}  # one for each publish
+    segments_ = F.count_if(F.col("shard") != _BEFORE)
+    rows = table.groupBy("run").agg(segments_.alias("n"), F.max("since").alias("since")).collect()
+    begin = max(rows, key=lambda r: r.run).since if rows else 0  # one row for each publish
+    return {r.run: r.n for r in sorted(rows) if r.run >= begin}
 
 
 def create_log(spark: SparkSession, root: str, topic: str, partitions: int = 1) -> None:
     """Make the topic, empty, with this many partitions; an older one goes."""
-    begin = spark.range(0, partitions, 1, 1).select(
-        F.col("id").cast("int").alias("partition"),
-        F.lit(_BEFORE).cast("bigint").alias("shard"),
-        *[F.lit(0).cast("bigint").alias(c) for c in ("rows", "first", "start")],
-        F.lit(_BEFORE).cast("bigint").alias("run"),
-    )
-    _replace(spark.createDataFrame([], STORED), data_path(root, topic))
-    _replace(begin, _segments_path(root, topic))
+    _commit(spark.createDataFrame([], STORED).drop("run"), root, topic, partitions)
+
 
+def _known_runs(spark: SparkSession, root: str, topic: str) -> list[int]:
+    """Every run that left a folder, recorded or not."""
+    out = []
+    for path in (data_path(root, topic), _segments_path(root, topic)):
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in files.listStatus(at)] if files.exists(at) else []
+        out += [int(n.removeprefix("run=")) for n in names if n.startswith("run=")]
+    return out
 
-def _replace(rows: DataFrame, path: str) -> None:
-    """All runs go, also in a session that by default replaces only the folders it writes to."""
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy("run").parquet(path)
 
+def _drop_runs(spark: SparkSession, root: str, topic: str, runs: Iterable[int]) -> None:
+    for path in (_segments_path(root, topic), data_path(root, topic)):
+        for run in runs:
+            at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run={run}")
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
-def _append(
-    rows: DataFrame, root: str, topic: str, runs: dict[int, int], parts_of_tasks: bool = False
+
+def _commit(
+    rows: DataFrame, root: str, topic: str, partitions: int | None = None, parts_of_tasks: bool = False
 ) -> int:
-    """Write numbered rows as a run after the given ones, then record its segments; returns
-    its rows.
+    """Write numbered rows as a run, then record its segments; returns its rows.
 
-    A run is named by the time, so that one that died is never taken for one that came after.
-    ``parts_of_tasks``: segments are stretches of their task's rows, not all of them.
+    With ``partitions`` the run replaces the topic, which then has so many; without it comes
+    after the runs there are. A run is named by the time, so that one that died is never
+    taken for one that came after. ``parts_of_tasks``: segments are stretches of their
+    task's rows, not all of them.
     """
     spark = rows.sparkSession
-    run = max(time.time_ns() // 1_000_000, max(runs, default=_BEFORE) + 1)
+    known = _known_runs(spark, root, topic)
+    run = max(time.time_ns() // 1_000_000, max(known, default=_BEFORE) + 1)
+    if partitions is None:
+        table = segment_table(spark, root, topic)
+        # what the partitions held so far, and with which run they begin
+        before = table.groupBy("partition").agg(
+            F.max(F.col("start") + F.col("rows")).alias("rows"), F.max("since").alias("since")
+        )
+    else:
+        before = spark.range(0, partitions, 1, 1).select(
+            F.col("id").cast("int").alias("partition"),
+            F.lit(0).cast("bigint").alias("rows"),
+            F.lit(run).cast("bigint").alias("since"),
+        )
     rows.write.mode("overwrite").parquet(f"{data_path(root, topic)}/run={run}")
 
     first = F.min("pos") if parts_of_tasks else F.lit(0).cast("bigint")
     counts = (
         _read_runs(spark, root, topic, [run])
         .groupBy("partition", "shard")
-        .agg(F.count("*").alias("rows"), first.alias("first"))
+        .agg(F.count("*").alias("rows"), first.alias("first"), F.lit(None).cast("bigint").alias("since"))
+    )
+    begin = before.select(
+        "partition", F.lit(_BEFORE).cast("bigint").alias("shard"), "rows", F.lit(0).alias("first"), "since"
     )
-    # what the partition held so far, as the segment ahead of the new ones
-    before = (
-        segment_table(spark, root, topic, runs)
-        .groupBy("partition")
-        .agg(F.max(F.col("start") + F.col("rows")).alias("rows"))
-        .select("partition", F.lit(_BEFORE).cast("bigint").alias("shard"), "rows", F.lit(0).alias("first"))
+    table = segments.running_starts(counts.unionByName(begin), ["partition"])
+    ahead = F.col("shard") == _BEFORE
+    table = table.select(
+        "partition",
+        "shard",
+        F.when(ahead, 0).otherwise(F.col("rows")).cast("bigint").alias("rows"),
+        "first",
+        F.when(ahead, F.col("rows")).otherwise(F.col("start")).alias("start"),
+        "since",
     )
-    table = segments.running_starts(counts.unionByName(before), ["partition"])
-    table = table.filter(F.col("shard") != _BEFORE).select("partition", "shard", "rows", "first", "start")
     written = Observation("written")
     counted = table.coalesce(1).observe(written, F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
     counted.write.mode("overwrite").parquet(f"{_segments_path(root, topic)}/run={run}")
+    if partitions is not None:
+        _drop_runs(spark, root, topic, set(known))
     return written.get["rows"]
 
 
-def _ready(spark: SparkSession, root: str, topic: str, mode: str, partitions: int = 1) -> dict[int, int]:
-    """The runs a publish comes after: those recorded, or none in a topic made anew."""
-    if mode == "append":
-        return recorded_runs(spark, root, topic)
-    create_log(spark, root, topic, partitions)
-    return {}
+def _width(mode: str, partitions: int) -> int | None:
+    """Partitions of a topic that is made anew, None for one that goes on."""
+    return None if mode == "append" else partitions
 
 
 def _task() -> Column:
@@ -166,9 +194,9 @@ def publish(
     ones, and numbers them. With mode ``append`` the topic and its partitions must exist.
     """
     spark = lines.sparkSession
-    runs = _ready(spark, root, topic, mode, partitions)
+    new = _width(mode, partitions)
     if mode == "append":
-        partitions = segment_table(spark, root, topic, []).count()
+        partitions = segment_table(spark, root, topic).select("partition").distinct().count()
     key = F.col("key") if "key" in lines.columns else F.lit(None).cast("string")
     nth = F.col("_nth")
     numbered = normalize_lines(lines.select(key.alias("key"), "value")).select(
@@ -181,7 +209,7 @@ def publish(
         "key",
         "value",
     )
-    return _append(rows, root, topic, runs)
+    return _commit(rows, root, topic, new)
 
 
 def _ordered_rows(ordered: DataFrame, shard: Column) -> DataFrame:
@@ -203,27 +231,24 @@ def publish_sorted(
     not the tasks, are in one sequence.
     """
     key_column(key)
-    runs = _ready(records.sparkSession, root, topic, mode)
     ordered = segments.range_sorted(records, [key], shards=shards)
-    return _append(_ordered_rows(ordered, _task()), root, topic, runs)
+    return _commit(_ordered_rows(ordered, _task()), root, topic, _width(mode, 1))
 
 
 def publish_buckets(
-    records: DataFrame, root: str, topic: str, key: str, mode: str = "overwrite", shards: int | None = None
+    records: DataFrame, root: str, topic: str, key: str, max_buckets: int, mode: str = "overwrite"
 ) -> int:
-    """``publish_sorted`` for a key with few values, without its shuffle.
+    """A one-partition topic that runs through the key's values in order, without a shuffle.
 
     Tasks group their rows by bucket. A segment is one bucket of one task, and segments
-    are numbered bucket first, so the log runs through the buckets in key order. Rows of
-    one bucket are in no particular order. A key with too many values is range-sorted.
+    are numbered bucket first. Rows of one bucket are in no particular order, which is why
+    ``publish_sorted`` is the rule. A key of more than ``max_buckets`` values is an error.
     """
-    rank = bucket_rank(records, key)
-    if rank is None:
-        return publish_sorted(records, root, topic, key, mode, shards)
-    runs = _ready(records.sparkSession, root, topic, mode)
+    key_column(key)
+    rank = bucket_rank(records, key, max_buckets)
     grouped = records.withColumn("_bucket", rank).sortWithinPartitions("_bucket")
     shard = F.shiftleft("_bucket", 32) + _task()
-    return _append(_ordered_rows(grouped, shard), root, topic, runs, parts_of_tasks=True)
+    return _commit(_ordered_rows(grouped, shard), root, topic, _width(mode, 1), parts_of_tasks=True)
 
 
 def _read_runs(spark: SparkSession, root: str, topic: str, runs: Iterable[int]) -> DataFrame:
@@ -248,8 +273,8 @@ def place_rows(stored: DataFrame, root: str, topic: str, runs: dict[int, int]) -
 
 def read_head(spark: SparkSession, root: str, topic: str, n: int) -> DataFrame:
     """The first n rows of each partition; later runs and segments are not read."""
-    table = segment_table(spark, root, topic, recorded_runs(spark, root, topic))
-    runs = recorded(table.filter(F.col("start") < n))
+    table = segment_table(spark, root, topic)
+    runs = sorted(r.run for r in table.filter(F.col("start") < n).select("run").distinct().collect())
     near = segments.place_head(_read_runs(spark, root, topic, runs), table, ["run", "partition"], n)
     return as_log(near, topic)
 

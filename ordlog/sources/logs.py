@@ -16,7 +16,7 @@ class Logs(Protocol):
     def consume(self, topic: str) -> DataFrame:
         """The non-empty values of a topic, from its beginning to its present end."""
 
-    def publish_ordered(self, records: DataFrame, key: str, few_values: bool, shards: int | None) -> int:
+    def publish_ordered(self, records: DataFrame, key: str, shards: int | None) -> int:
         """Write the records, ordered by ``key``, to the topic of that name; returns the rows sent."""
 
     def read(self, topic: str) -> DataFrame:
@@ -35,9 +35,8 @@ class FileLogs:
     def consume(self, topic: str) -> DataFrame:
         return log.consume(self.spark, self.root, topic)
 
-    def publish_ordered(self, records: DataFrame, key: str, few_values: bool, shards: int | None) -> int:
-        by = log.publish_buckets if few_values else log.publish_sorted
-        return by(records, self.root, key, key, shards=shards)
+    def publish_ordered(self, records: DataFrame, key: str, shards: int | None) -> int:
+        return log.publish_sorted(records, self.root, key, key, shards=shards)
 
     def read(self, topic: str) -> DataFrame:
         return log.read_topic(self.spark, self.root, topic)
@@ -47,20 +46,24 @@ class KafkaLogs:
     """Topics of a broker. They must exist and be empty; making them is the broker's matter.
 
     An ordered topic needs ``ordered_partitions`` partitions, each of which one task fills.
+    A shard is a partition there, so another number of shards is an error.
     """
 
     def __init__(self, spark: SparkSession, bootstrap: str, ordered_partitions: int, **options: str):
         self.spark, self.bootstrap = spark, bootstrap
         self.ordered_partitions, self.options = ordered_partitions, options
 
-    def publish(self, lines: DataFrame, topic: str, partitions: int) -> int:
+    def publish(self, lines: DataFrame, topic: str, partitions: int | None = None) -> int:
+        # how many there are is the topic's matter; the broker's own partitioner deals rows out
         return kafka.publish(lines, self.bootstrap, topic, **self.options)
 
     def consume(self, topic: str) -> DataFrame:
         return kafka.consume(self.spark, self.bootstrap, topic, **self.options)
 
-    def publish_ordered(self, records: DataFrame, key: str, few_values: bool, shards: int | None) -> int:
+    def publish_ordered(self, records: DataFrame, key: str, shards: int | None = None) -> int:
         partitions = self.ordered_partitions
+        if shards not in (None, partitions):
+            raise ValueError(f"an ordered topic has {partitions} partitions, not {shards} shards")
         return kafka.publish_sorted(records, self.bootstrap, key, key, partitions, **self.options)
 
     def read(self, topic: str) -> DataFrame:

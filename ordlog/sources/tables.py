@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ordlog.functions import codec
 from ordlog.operators import segments
-from ordlog.schema import ID_LIMIT
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,8 +16,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _int_id(column: str) -> Column:
-    """Keys that outgrow an int32 wrap around instead of failing."""
-    return F.pmod(F.col(column), F.lit(ID_LIMIT)).cast("int").alias("id")
+    """The key as an id; null where it outgrows an int32. Lines of such records have no id
+    and go to quarantine, where they are counted; no two records come to share an id."""
+    return F.col(column).try_cast("int").alias("id")
 
 
 def _located(spark: SparkSession, folder: str, who: str, nation_key: str) -> DataFrame:

@@ -7,13 +7,16 @@ finds when it starts, and stops. Rows reach the table exactly once.
 
 from __future__ import annotations
 
+import threading
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ordlog.functions.codec import drop_empty
+from ordlog.sources import kafka
 from ordlog.sources.log import STORED, data_path, place_rows, recorded_runs
 
-DRAIN_SECONDS = 3600
 STREAM_COLUMNS = ("run", "partition", "shard", "pos", "key", "value")
 
 
@@ -35,30 +38,69 @@ def _group_path(root: str, topic: str, group: str, part: str) -> str:
     return f"{root}/groups/{group}/{topic}/{part}"
 
 
-def drain(stream: DataFrame, table: str, checkpoint: str, timeout: float = DRAIN_SECONDS) -> StreamingQuery:
-    """Read the stream to its present end into a Parquet table; works on any source."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", table)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise NotDrained(f"the stream was not drained in {timeout} s")
-    return query
-
-
-def batch_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row for each batch and source of a query: rows read, and from where to where."""
-    rows = [
-        (p.batchId, source.description, source.startOffset, source.endOffset, source.numInputRows)
-        for p in query.recentProgress
-        for source in p.sources
-    ]
+class Progress(StreamingQueryListener):
+    """Keeps what Spark reports of each batch of one query; Spark itself keeps the last ones."""
+
+    def __init__(self, name: str):
+        self.name = name
+        self.batches: list[tuple] = []
+        self.ended = threading.Event()
+        self._run = None
+
+    def onQueryStarted(self, event):  # noqa: N802
+        if event.name == self.name:
+            self._run = event.runId
+
+    def onQueryProgress(self, event):  # noqa: N802
+        p = event.progress
+        if p.runId == self._run:
+            self.batches += [
+                (p.batchId, s.description, s.startOffset, s.endOffset, s.numInputRows) for s in p.sources
+            ]
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        if event.runId == self._run:
+            self.ended.set()
+
+
+def drain(stream: DataFrame, table: str, checkpoint: str, timeout: float | None = None) -> Progress:
+    """Read the stream to its present end into a Parquet table; works on any source.
+
+    Without ``timeout`` it takes as long as it takes."""
+    spark = stream.sparkSession
+    progress = Progress(f"drain-{uuid.uuid4().hex}")
+    spark.streams.addListener(progress)
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", table)
+            .option("checkpointLocation", checkpoint)
+            .queryName(progress.name)
+            .trigger(availableNow=True)
+            .start()
+        )
+        if timeout is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout):
+            query.stop()
+            raise NotDrained(f"the stream was not drained in {timeout} s")
+        progress.ended.wait(60)  # its reports come on a thread of their own
+    finally:
+        spark.streams.removeListener(progress)
+    return progress
+
+
+def batch_report(spark: SparkSession, progress: Progress) -> DataFrame:
+    """One row for each batch and source: rows read, and from where to where."""
     schema = "batch bigint, source string, start_offset string, end_offset string, rows bigint"
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(progress.batches, schema)
+
+
+def _held(spark: SparkSession, table: str) -> int:
+    """Rows of a group's table, from the files' footers."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(table)
+    exists = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    return spark.read.schema(STORED).parquet(table).count() if exists else 0
 
 
 def consume_new(
@@ -66,18 +108,26 @@ def consume_new(
     root: str,
     topic: str,
     group: str,
-    timeout: float = DRAIN_SECONDS,
+    timeout: float | None = None,
     max_files_per_trigger: int | None = None,
 ) -> int:
-    """Bring the group's table up to the end of the topic; returns the rows read this time."""
+    """Bring the group's table up to the end of the topic; returns the rows this added to it,
+    counted in the table."""
+    table = _group_path(root, topic, group, "rows")
+    before = _held(spark, table)
     stream = drop_empty(stream_log(spark, root, topic, max_files_per_trigger))
-    query = drain(
-        stream,
-        _group_path(root, topic, group, "rows"),
-        _group_path(root, topic, group, "checkpoint"),
-        timeout,
-    )
-    return sum(p.numInputRows for p in query.recentProgress)
+    drain(stream, table, _group_path(root, topic, group, "checkpoint"), timeout)
+    return _held(spark, table) - before
+
+
+def drain_kafka(
+    spark: SparkSession, bootstrap: str, topic: str, table: str, checkpoint: str, timeout: float | None = None, **options: str
+) -> int:
+    """Bring a table up to the end of a Kafka topic; the group's place is its checkpoint."""
+    before = _held(spark, table)
+    stream = drop_empty(kafka.stream_log(spark, bootstrap, topic, **options))
+    drain(stream, table, checkpoint, timeout)
+    return _held(spark, table) - before
 
 
 def consumed(spark: SparkSession, root: str, topic: str, group: str) -> DataFrame:

@@ -30,8 +30,14 @@ def _local_dir() -> str:
     return _local_dirs[0]
 
 
+def _checkpoint_dir(spark: SparkSession) -> str | None:
+    """The folder given to the context itself, which makes one of its own below it."""
+    given = spark.sparkContext.getCheckpointDir()
+    return given.rpartition("/")[0] if given else None
+
+
 def base(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _checkpoint_dir(spark)
     if shared:
         return shared.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
@@ -49,10 +55,14 @@ def fresh(spark: SparkSession, label: str) -> str:
     return f"{folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application has staged; tables read from it are no longer valid.
 
     Never called by the library: only the caller knows when the last result is taken.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop(spark, folder(spark))

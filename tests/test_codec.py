@@ -9,11 +9,11 @@ from ordlog.schema import CONTINENTS, FIELDS
 INT_MAX, INT_MIN = 2**31 - 1, -(2**31)
 
 VALID = [
-    ("21,axxxxxxxxx,12 abc dfsf LdUE,Asia", (21, "axxxxxxxxx", "12 abc dfsf LdUE", "Asia")),
-    ("2147483646,testname1234,5 abc def ghijk,Europe", (2147483646, "testname1234", "5 abc def ghijk", "Europe")),
-    ("0,abcdefghij,1 abcdefghijklmn,Africa", (0, "abcdefghij", "1 abcdefghijklmn", "Africa")),
-    ("42,nameabcdefg,9 addr space test,North America", (42, "nameabcdefg", "9 addr space test", "North America")),
-    *[(f"1,abcdefghij,1 abcdefghijklmn,{c}", (1, "abcdefghij", "1 abcdefghijklmn", c)) for c in CONTINENTS],
+    ("8,opal,3 Mill Row,Asia", (8, "opal", "3 Mill Row", "Asia")),
+    ("-90,K,Quay 4 West,Europe", (-90, "K", "Quay 4 West", "Europe")),
+    ("65536,Tourmaline,77,nowhere", (65536, "Tourmaline", "77", "nowhere")),
+    ("3000,two words,no number,South America", (3000, "two words", "no number", "South America")),
+    *[(f"{i},jet,9 Pier,{c}", (i, "jet", "9 Pier", c)) for i, c in enumerate(CONTINENTS)],
     ("1,,,", (1, "", "", "")),
     ("1,a,b,c,d", (1, "a", "b", "c,d")),
     ("1,a,b,c,d,,", (1, "a", "b", "c,d,,")),
@@ -28,22 +28,22 @@ VALID = [
 MALFORMED = [
     (None, "empty"),
     ("", "empty"),
-    ("no commas here", "too_few_fields"),
-    ("1,name,address", "too_few_fields"),
+    ("one field", "too_few_fields"),
+    ("6,six,sixth", "too_few_fields"),
     (",,", "too_few_fields"),
     ("__END__", "too_few_fields"),
-    ("abc,name,address,Asia", "bad_id"),
-    (",name,address,Asia", "bad_id"),
-    ("+,name,address,Asia", "bad_id"),
-    (" 5,name,address,Asia", "bad_id"),
-    ("5 ,name,address,Asia", "bad_id"),
-    ("5\n,name,address,Asia", "bad_id"),
-    ("1.5,name,address,Asia", "bad_id"),
-    ("1e3,name,address,Asia", "bad_id"),
-    ("2147483648,name,address,Asia", "bad_id"),
-    ("-2147483649,name,address,Asia", "bad_id"),
-    ("99999999999999999999,name,address,Asia", "bad_id"),
-    ("0x10,name,address,Asia", "bad_id"),
+    ("six,jet,9 Pier,Europe", "bad_id"),
+    (",jet,9 Pier,Europe", "bad_id"),
+    ("+,jet,9 Pier,Europe", "bad_id"),
+    (" 5,jet,9 Pier,Europe", "bad_id"),
+    ("5 ,jet,9 Pier,Europe", "bad_id"),
+    ("5\n,jet,9 Pier,Europe", "bad_id"),
+    ("1.5,jet,9 Pier,Europe", "bad_id"),
+    ("1e3,jet,9 Pier,Europe", "bad_id"),
+    ("2147483648,jet,9 Pier,Europe", "bad_id"),
+    ("-2147483649,jet,9 Pier,Europe", "bad_id"),
+    ("99999999999999999999,jet,9 Pier,Europe", "bad_id"),
+    ("0x10,jet,9 Pier,Europe", "bad_id"),
 ]
 
 
@@ -73,11 +73,11 @@ def test_malformed_lines_are_kept_with_reason(ansi, line_df):
 @pytest.mark.parametrize(
     "line",
     [
-        "99,testnamexyz,7 hello world abcd,South America",
-        "0,abcdefghij,1 abcdefghijklmn,Africa",
-        "2147483646,nameabcdefg,9 addr space test,Europe",
-        "1,,,",
-        "1,a,b,c,d",
+        "12,opal,3 Mill Row,Europe",
+        "-1,K,Quay 4 West,Asia",
+        "2147483647,jet,9 Pier,nowhere",
+        "6,,,",
+        "6,x,,y,z",
     ],
 )
 def test_canonical_lines_round_trip(line_df, line):

@@ -1,3 +1,4 @@
+import os
 import re
 
 import pytest
@@ -84,10 +85,13 @@ def test_verdicts_fail_when_they_should(spark, root):
     assert verdict(late)[0].violations == 1
 
 
-def test_source_is_read_once_for_all_sorts(spark, root, record_df):
+def test_what_a_run_stages_goes_and_quarantine_is_its_own(spark, root, record_df):
+    bad = record_df([(None, "bad", "a", "x")]).union(synth.records(spark, 50).drop("row_id"))
+    end_to_end.run(spark, bad, root=root)
+    assert spark.read.parquet(f"{root}/quarantine").count() == 1
     end_to_end.run(spark, count=100, root=root)
-    staged = spark.read.parquet(f"{root}/consumed")
-    assert staged.filter("value is not null").count() == 0 and staged.count() == 100
+    assert spark.read.parquet(f"{root}/quarantine").count() == 0
+    assert not [p for p in os.listdir(root) if p.startswith("consumed")]
 
 
 def test_every_query_has_its_sql():
@@ -114,15 +118,16 @@ def test_staged_tables_can_be_dropped(spark, monkeypatch, tmp_path):
 class _Cluster:
     """A session of which only the settings are asked."""
 
-    def __init__(self, master, shared):
+    def __init__(self, master, shared, given=None):
         self.conf = {"spark.checkpoint.dir": shared}
-        self.sparkContext = type("C", (), {"master": master, "applicationId": "app"})
+        self.sparkContext = type("C", (), {"master": master, "applicationId": "app", "getCheckpointDir": staticmethod(lambda: given)})
 
 
 def test_no_local_folder_on_a_cluster():
     assert workspace.base(_Cluster("yarn", "hdfs://x/shared/")) == "hdfs://x/shared"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         workspace.base(_Cluster("yarn", None))
+    assert workspace.base(_Cluster("yarn", None, "hdfs://x/set/0f3a")) == "hdfs://x/set"
     assert workspace.base(_Cluster("local[2]", None))
 
 

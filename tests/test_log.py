@@ -13,6 +13,10 @@ def _values(df):
     return sorted(r.value for r in df.collect())
 
 
+def by_buckets(records, root, topic, key):
+    return log.publish_buckets(records, root, topic, key, max_buckets=3000)
+
+
 def test_publish_and_consume(spark, root, line_df):
     sent = ["b", " a\t", "", "__END__", "  ", "x,y", "b"]
     assert log.publish(line_df(sent).repartition(3), root, "source", 3) == 7
@@ -53,7 +57,7 @@ def test_heads_of_topics(spark, root):
     assert head == [(p, o) for p in range(3) for o in range(40)]
     whole = {(r.partition, r.offset, r.value) for r in log.read_log(spark, root, "t").collect()}
     assert {(r.partition, r.offset, r.value) for r in log.read_head(spark, root, "t", 40).collect()} <= whole
-    for publish in (log.publish_sorted, log.publish_buckets):
+    for publish in (log.publish_sorted, by_buckets):
         publish(synth.records(spark, 300, tasks=3), root, "continent", "continent")
         head = log.read_head(spark, root, "continent", 5).collect()
         assert sorted(r.offset for r in head) == list(range(5))
@@ -116,7 +120,7 @@ def test_illegal_topic_names(spark, root, topic):
         log.create_log(spark, root, topic)
 
 
-@pytest.mark.parametrize("publish", [log.publish_sorted, log.publish_buckets])
+@pytest.mark.parametrize("publish", [log.publish_sorted, by_buckets])
 @pytest.mark.parametrize("key", ["continent", "id"])
 def test_ordered_topics(spark, root, publish, key):
     records = synth.records(spark, 3000, tasks=6)
@@ -131,8 +135,8 @@ def test_ordered_topics(spark, root, publish, key):
 
 
 def test_bucket_topic_has_each_bucket_in_many_segments(spark, root):
-    log.publish_buckets(synth.records(spark, 600, tasks=5), root, "continent", "continent")
-    table = log.segment_table(spark, root, "continent").filter("run >= 0")
+    by_buckets(synth.records(spark, 600, tasks=5), root, "continent", "continent")
+    table = log.segment_table(spark, root, "continent").filter("shard >= 0")
     assert table.count() == 5 * len(CONTINENTS)
 
 
@@ -161,7 +165,7 @@ def test_line_files(spark, tmp_path, line_df):
 
 def test_stream_resumes_where_it_stopped(spark, root, line_df):
     log.publish(line_df(["a", "", "b"]).repartition(2), root, "t", 2)
-    assert consume.consume_new(spark, root, "t", "g") == 3
+    assert consume.consume_new(spark, root, "t", "g") == 2
     assert _values(consume.consumed(spark, root, "t", "g")) == ["a", "b"]
     log.publish(line_df(["c"]), root, "t", mode="append")
     assert consume.consume_new(spark, root, "t", "g", max_files_per_trigger=1) == 1
@@ -170,18 +174,60 @@ def test_stream_resumes_where_it_stopped(spark, root, line_df):
     assert _values(got) == ["a", "b", "c"]
     stored = log.read_log(spark, root, "t").filter("value <> ''")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, stored.collect()), key=str)
-    assert consume.consume_new(spark, root, "t", "another") == 4
+    assert consume.consume_new(spark, root, "t", "another") == 3
 
 
 def test_batches_of_a_stream(spark, root, tmp_path, line_df):
     log.publish(line_df(["a", "b", "c", "d"]).repartition(2), root, "t", 1)
     stream = consume.stream_log(spark, root, "t", max_files_per_trigger=1)
-    query = consume.drain(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
-    batches = consume.batch_report(spark, query).orderBy("batch").collect()
+    progress = consume.drain(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    batches = consume.batch_report(spark, progress).orderBy("batch").collect()
     assert sum(r["rows"] for r in batches) == 4 and [r.batch for r in batches] == [0, 1]
     assert batches[1].start_offset == batches[0].end_offset
 
 
+def test_counts_do_not_depend_on_how_many_batches_spark_remembers(spark, root, tmp_path):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        log.publish(spark.range(0, 900, 1, 9).selectExpr("cast(id as string) value"), root, "t", 1)
+        assert consume.consume_new(spark, root, "t", "g", max_files_per_trigger=1) == 900
+        stream = consume.stream_log(spark, root, "t", max_files_per_trigger=1)
+        progress = consume.drain(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+        batches = consume.batch_report(spark, progress).collect()
+        assert len(batches) == 9 and sum(r["rows"] for r in batches) == 900
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_a_publish_that_fails_leaves_the_topic_as_it_was(spark, root, line_df):
+    log.publish(line_df(["a", "b"]), root, "t", 2)
+    broken = line_df(["x"]).select(F.raise_error(F.lit("lost")).cast("string").alias("value"))
+    with pytest.raises(Exception, match="lost"):
+        log.publish(broken, root, "t", 1)
+    assert _values(log.consume(spark, root, "t")) == ["a", "b"]
+    log.publish(line_df(["c"]), root, "t", mode="append")
+    assert _values(log.read_log(spark, root, "t")) == ["a", "b", "c"]
+    log.publish(line_df(["d"]), root, "t", 1)
+    assert _values(log.consume(spark, root, "t")) == ["d"]
+
+
+def test_a_topic_can_be_published_to_itself(spark, root):
+    log.publish(spark.range(0, 2000, 1, 4).selectExpr("cast(id as string) value"), root, "t", 3)
+    assert log.publish(log.consume(spark, root, "t"), root, "t", 2) == 2000
+    out = log.read_log(spark, root, "t")
+    assert out.select("value").distinct().count() == 2000 and out.select("partition").distinct().count() == 2
+    assert len(log.recorded_runs(spark, root, "t")) == 1
+
+
+def test_old_runs_that_could_not_be_deleted_do_not_count(spark, root, line_df, monkeypatch):
+    log.publish(line_df(["a", "b"]), root, "t", 2)
+    monkeypatch.setattr(log, "_drop_runs", lambda *_: None)
+    log.publish(line_df(["c"]), root, "t", 1)
+    log.publish(line_df(["d"]), root, "t", mode="append")
+    assert [(r.offset, r.value) for r in log.read_log(spark, root, "t").orderBy("offset").collect()] == [(0, "c"), (1, "d")]
+    assert log.stored_end_offsets(spark, root, "t").first()["rows"] == 2
+
+
 def test_stream_that_does_not_end_in_time_is_an_error(spark, root, tmp_path, line_df):
     log.publish(line_df(["a"]), root, "t", 1)
     with pytest.raises(consume.NotDrained):
@@ -193,9 +239,10 @@ def test_kafka_options():
     read = kafka.read_options("h:1", "a", "b", maxOffsetsPerTrigger="5")
     assert read["subscribe"] == "a,b" and read["startingOffsets"] == "earliest" and read["maxOffsetsPerTrigger"] == "5"
     plain, ordered = kafka.write_options("h:1", "t"), kafka.write_options("h:1", "t", ordered=True)
-    assert plain["kafka.compression.type"] == "lz4" and "kafka.enable.idempotence" not in plain
+    assert plain == {"kafka.bootstrap.servers": "h:1", "topic": "t"}
     assert ordered["kafka.acks"] == "all" and ordered["topic"] == "t"
-    assert kafka.write_options("h:1", "t", **{"kafka.linger.ms": "5"})["kafka.linger.ms"] == "5"
+    own = kafka.write_options("h:1", "t", ordered=True, **{"kafka.linger.ms": "5", "kafka.acks": "1"})
+    assert own["kafka.linger.ms"] == "5" and own["kafka.acks"] == "1"
 
 
 def test_kafka_rows_of_an_ordered_topic(spark):

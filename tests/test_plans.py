@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ordlog.functions import codec, rules
 from ordlog.operators import compare, order, order_check, probe, segments
+from ordlog.schema import CONTINENTS
 from ordlog.sources import log, synth, tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -82,6 +83,13 @@ def test_fingerprints_and_sketches_shuffle_one_row_a_task(spark, topic):
     assert exchanges(probe.cardinality_approx(values, ["value"])) == ["SinglePartition"]
 
 
+def test_heads_and_probes_do_not_sort_the_table(spark):
+    records = synth.records(spark, 100).drop("row_id")
+    head = order.sorted_head(records, "name", n=5)
+    assert "TakeOrderedAndProject" in plan(head) and "rangepartitioning" not in plan(head)
+    assert "rangepartitioning" not in plan(probe.cardinality_probe(records, ["id", "name"]))
+
+
 def test_first_rows_are_kept_by_each_task(spark):
     first = order.first_rows(synth.records(spark, 100), "name", n=5)
     assert "TakeOrderedAndProject" in plan(first) and exchanges(first) == []
@@ -92,12 +100,18 @@ def test_scans_read_the_columns_they_need(spark):
     assert "ReadSchema: struct<o_orderpriority:string>" in plan(counts)
 
 
-@pytest.mark.parametrize("publish", [log.publish_sorted, log.publish_buckets])
+@pytest.mark.parametrize(
+    "publish",
+    [
+        lambda *a: log.publish_sorted(*a, shards=16),
+        lambda *a: log.publish_buckets(*a, max_buckets=len(CONTINENTS)),
+    ],
+)
 def test_a_hot_key_is_spread_over_segments(spark, tmp_path, publish):
     """Half of the rows share one continent, a third are one and the same row."""
     some = synth.records(spark, 6000, tasks=8).drop("row_id")
     hot = spark.range(0, 6000, 1, 8).selectExpr("7 id", "'same' name", "'row' address", "'Asia' continent")
     data = some.union(some).union(hot)
-    assert publish(data, str(tmp_path), "continent", "continent", shards=16) == 18_000
-    sizes = [r["rows"] for r in log.segment_table(spark, str(tmp_path), "continent").filter("run >= 0").collect()]
+    assert publish(data, str(tmp_path), "continent", "continent") == 18_000
+    sizes = [r["rows"] for r in log.segment_table(spark, str(tmp_path), "continent").filter("shard >= 0").collect()]
     assert len(sizes) >= 16 and max(sizes) < 4 * 18_000 / 16

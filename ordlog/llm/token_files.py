@@ -27,6 +27,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -44,63 +45,106 @@ MAGIC = b"RVB1"
 BLOCK_IDS = 1 << 20
 FILE_IDS = 1 << 26
 END_ID = 1
-REMEMBERED = 600_000  # pieces of text whose ids a worker keeps, some 200 bytes each
-_CLOSING = b".,;:!?"
+REMEMBERED = 4_000_000  # pieces of text whose ids a worker keeps, some 40 bytes each
+CHUNK = 1 << 23  # bytes of texts encoded at once
+# what can follow a word and is a piece of its own; an apostrophe may belong to the word
+_CLOSING = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-class _Pieces(dict):
-    """Ids of pieces that the tokenizer treats apart from what stands around them."""
+class _Pieces:
+    """Ids of pieces of text that the tokenizer treats apart from what stands around them.
 
-    def __init__(self, path: str, kind: np.dtype):
-        from tokenizers import Tokenizer
+    Pieces are known by two 64-bit hashes, without regard to the case of A-Z. Their ids lie
+    one behind the other in one array, so the ids of many pieces are one gather."""
+
+    def __init__(self, path: str, kind: str):
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are text
-        self.kind = kind
-
-    def _encoded(self, piece: bytes) -> bytes:
-        ids = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
-        return np.array(ids, self.kind).tobytes()
-
-    def __missing__(self, piece: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self[piece] = self._encoded(piece)
+        self.to_model = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.kind = np.dtype(kind)
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes = np.empty(0, np.uint64)
+        self.second = np.empty(0, np.uint64)
+        self.start = np.empty(0, np.int64)
+        self.size = np.empty(0, np.int64)
+        self.ids = np.empty(0, self.kind)
+        self.stems: dict[bytes, list[int]] = {}
+
+    def whole(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+
+    def _stem(self, stem: bytes) -> list[int]:
+        """Ids of a run of letters. Plain ones reach the model's merges directly."""
+        ids = self.stems.get(stem)
+        if ids is None:
+            if stem.isascii():
+                ids = [t.id for t in self.tokenizer.model.tokenize(stem.decode())]
+            else:
+                value = stem.decode()
+                lower = value.lower()
+                if max(value) < "\u0250" and lower.isalpha() and is_normalized("NFC", value):
+                    ids = [t.id for t in self.tokenizer.model.tokenize(self.to_model(lower)[0][0])]
+                else:
+                    ids = self.whole(stem)
+            self.stems[stem] = ids
         return ids
 
-
-class _Stems(_Pieces):
-    """Words of letters only. Those of a-z reach the model as they are."""
-
-    def _encoded(self, piece: bytes) -> bytes:
-        if piece.isascii():
-            ids = [t.id for t in self.tokenizer.model.tokenize(piece.decode())]
-            return np.array(ids, self.kind).tobytes()
-        return super()._encoded(piece)
-
-
-class _Spaced(_Pieces):
-    """What stands between white space: mostly a word, perhaps with a sign at its end."""
-
-    def __init__(self, path: str, kind: np.dtype):
-        super().__init__(path, kind)
-        self.stems = _Stems(path, kind)
-
-    def _encoded(self, piece: bytes) -> bytes:
+    def piece(self, piece: bytes) -> list[int]:
+        """Ids of what stands between white space: mostly a word, perhaps with a sign."""
         stem = piece.rstrip(_CLOSING)
-        if stem.isalpha():
-            stem_ids = self.stems[stem.lower()]
-        elif stem and stem.decode().isalpha():
-            stem_ids = self.stems[stem]
-        else:
-            return super()._encoded(piece)
-        return stem_ids if len(stem) == len(piece) else stem_ids + self[piece[len(stem) :]]
-
-
-@lru_cache(maxsize=4)
-def _pieces(path: str, kind: str) -> _Spaced:
-    return _Spaced(path, np.dtype(kind))
+        if not stem.isalpha() and not (stem and stem.decode().isalpha()):
+            return self.whole(piece)
+        ids = self._stem(stem)
+        if len(stem) == len(piece):
+            return ids
+        signs = piece[len(stem) :]
+        if signs not in self.stems:
+            self.stems[signs] = self.whole(signs)
+        return ids + self.stems[signs]
+
+    def encode(self, w: words.Words) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words of some texts, and how many each word has."""
+        if len(self.hashes) >= REMEMBERED:
+            self.clear()
+        distinct, first, which = np.unique(w.hashes, return_index=True, return_inverse=True)
+        order = np.argsort(first)
+        second = np.empty(len(distinct), np.uint64)
+        second[order] = w.second(first[order])
+        at = np.searchsorted(self.hashes, distinct)
+        held = np.minimum(at, max(0, len(self.hashes) - 1))
+        known = np.zeros(len(distinct), bool)
+        if len(self.hashes):
+            known = (self.hashes[held] == distinct) & (self.second[held] == second)
+        new = np.flatnonzero(~known)
+        found = [self.piece(w.text(i)) for i in first[new].tolist()]
+        sizes = np.array([len(f) for f in found], np.int64)
+        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        flat = np.fromiter((i for f in found for i in f), self.kind, int(sizes.sum()))
+        self.ids = np.concatenate([self.ids, flat])
+        start, size = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
+        start[known], size[known] = self.start[held[known]], self.size[held[known]]
+        start[new], size[new] = starts, sizes
+        # a second piece of the same first hash is not kept, and encoded each time
+        fresh = new[self.hashes[held[new]] != distinct[new]] if len(self.hashes) else new
+        place = at[fresh]
+        self.hashes = np.insert(self.hashes, place, distinct[fresh])
+        self.second = np.insert(self.second, place, second[fresh])
+        self.start = np.insert(self.start, place, start[fresh])
+        self.size = np.insert(self.size, place, size[fresh])
+        if len(self.stems) > REMEMBERED // 8:
+            self.stems = {}
+        start, size = start[which], size[which]
+        shift = np.repeat(start - (np.cumsum(size) - size), size)
+        return self.ids[shift + np.arange(len(shift))], size
+
+
+@lru_cache(maxsize=2)
+def _pieces(path: str, kind: str) -> _Pieces:
+    return _Pieces(path, kind)
 
 
 def _id_kind(path: str, end_id: int) -> str:
@@ -118,21 +162,22 @@ def _tokenise(doc_id: str, text: str, path: str, kind: str, spaced: bool, end_id
         width = np.dtype(kind).itemsize
         for batch in batches:
             data, at = words.buffer(batch.column(text))
-            for i, j in words.chunks(at):
-                sizes, packed = [], []
-                for row in range(i, j):
-                    raw = data[at[row] : at[row + 1]].tobytes()
-                    if spaced:
-                        ids = b"".join(map(pieces.__getitem__, raw.split())) + end
-                    else:
-                        ids = pieces._encoded(raw) + end
-                    sizes.append(len(ids) // width)
-                    packed.append(press(ids))
+            for i, j in words.chunks(at, CHUNK):
+                first = at[i : j + 1] - at[i]
+                raw = data[at[i] : at[j]]
+                if spaced:
+                    w = words.split(raw, first, words.SPACED)
+                    ids, size = pieces.encode(w)
+                    stop = np.concatenate([[0], np.cumsum(size)])[w.at]
+                    rows = [ids[a:b].tobytes() for a, b in zip(stop[:-1].tolist(), stop[1:].tolist())]
+                else:
+                    texts = [raw[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+                    rows = [np.array(pieces.whole(t), kind).tobytes() for t in texts]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "id": batch.column(doc_id).slice(i, j - i).cast(pa.int64()),
-                        "n": pa.array(sizes, pa.int64()),
-                        "ids": pa.array(packed, pa.binary()),
+                        "n": pa.array([len(r) // width + 1 for r in rows], pa.int64()),
+                        "ids": pa.array([press(r + end) for r in rows], pa.binary()),
                     }
                 )
 
@@ -270,7 +315,7 @@ def _write(folder: str, kind: str, table):
     return run
 
 
-def _read(folder: str, table):
+def _read(folder: str, table, shaped):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
@@ -284,14 +329,14 @@ def _read(folder: str, table):
                         null = np.frombuffer(file.read(n_docs), np.uint8).astype(bool)
                         sizes = np.frombuffer(file.read(8 * n_docs), "<i8")
                         control, data = file.read(-(-n_ids // 4)), file.read(n_data)
-                        tokens = table.value[decode(control, data, n_ids)].astype("<i4")
+                        tokens = table.value[decode(control, data, n_ids)]
                         end = np.cumsum(sizes)
-                        at = np.concatenate([[0], end]).astype(np.int32)
+                        at = np.concatenate([[0], end])
                         yield pa.RecordBatch.from_pydict(
                             {
                                 "id": pa.array(ids, pa.int64(), mask=null),
                                 "start": pa.array(start + end - sizes, pa.int64()),
-                                "ids": pa.ListArray.from_arrays(pa.array(at), pa.array(tokens, pa.int32())),
+                                **shaped(tokens, at),
                             }
                         )
                         start += n_ids
@@ -319,28 +364,27 @@ def write(staged: DataFrame, kind: str, folder: str) -> tuple[DataFrame, np.ndar
     return stage(manifest, "token-files"), table
 
 
-def read(spark: SparkSession, manifest: DataFrame, folder: str, table: np.ndarray) -> DataFrame:
-    """The documents of the files: id, start (ids of all documents before it), ids."""
+def _lists(tokens: np.ndarray, at: np.ndarray) -> dict:
+    return {"ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(tokens.astype("<i4"), pa.int32()))}
+
+
+def _digests(tokens: np.ndarray, at: np.ndarray) -> dict:
+    raw, at = tokens.astype("<u4").tobytes(), at.tolist()
+    crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(at, at[1:])]
+    return {"n_tokens": pa.array(np.diff(at), pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}
+
+
+_LISTS = _lists, "id bigint, start bigint, ids array<int>"
+_DIGESTS = _digests, "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+
+
+def read(spark: SparkSession, manifest: DataFrame, folder: str, table: np.ndarray, shape=_LISTS) -> DataFrame:
+    """The documents of the files: id, start (ids of all documents before it), and ids or
+    what else ``shape`` makes of them."""
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     files = manifest.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
     spread = files.select("path", "start").repartition(max(1, manifest.count()))
-    return spread.mapInArrow(_read(folder, spark.sparkContext.broadcast(table)), "id bigint, start bigint, ids array<int>")
-
-
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column("ids")
-        at = ids.offsets.to_numpy()
-        raw = ids.values.to_numpy(zero_copy_only=False).astype("<u4")
-        crc = [zlib.crc32(raw[a:b].tobytes()) for a, b in zip(at, at[1:])]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "id": batch.column("id"),
-                "start": batch.column("start"),
-                "n_tokens": pa.array(np.diff(at), pa.int64()),
-                "ids_crc32": pa.array(crc, pa.int64()),
-            }
-        )
+    return spread.mapInArrow(_read(folder, spark.sparkContext.broadcast(table), shape[0]), shape[1])
 
 
 def report(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", **options) -> DataFrame:
@@ -349,6 +393,4 @@ def report(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", **options
     folder = workspace.fresh(spark, "rvb")
     staged, kind = tokens(docs, tokenizer, doc_id=doc_id, **options)
     manifest, table = write(staged, kind, folder)
-    back = read(spark, manifest, folder, table)
-    out = back.mapInArrow(_digest, "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
-    return out.withColumnRenamed("id", doc_id)
+    return read(spark, manifest, folder, table, _DIGESTS).withColumnRenamed("id", doc_id)

@@ -18,12 +18,11 @@ PIECE = 1 << 20  # bytes hashed at once
 CHUNK = 1 << 21  # bytes of texts taken at once
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # of two polynomials, odd
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-# each byte's term of the polynomial
-_TERM = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)[_LOWER]
+# each byte's term of the polynomials
+_TERMS = [np.random.default_rng(20 + i).integers(1, 1 << 63, 256, dtype=np.uint64)[_LOWER] for i in (0, 1)]
 
 
 def _table(is_word) -> np.ndarray:
@@ -42,12 +41,13 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_POWERS = {True: _powers(_BASE, PIECE), False: _powers(_BASE_INVERSE, PIECE)}
+_INVERSES = tuple(pow(b, -1, 1 << 64) for b in _BASES)
+_KNOWN = {b: _powers(b, PIECE) for b in _BASES + _INVERSES}
 
 
-def _power(n: int, forward: bool) -> np.ndarray:
-    known = _POWERS[forward]
-    return known[:n] if n <= len(known) else _powers(_BASE if forward else _BASE_INVERSE, n)
+def _power(n: int, base: int) -> np.ndarray:
+    known = _KNOWN[base]
+    return known[:n] if n <= len(known) else _powers(base, n)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -72,6 +72,10 @@ class Words:
     def text(self, i: int) -> bytes:
         return self.data[self.begin[i] : self.end[i]].tobytes().lower()
 
+    def second(self, some: np.ndarray) -> np.ndarray:
+        """Hashes by another polynomial of the words with these numbers, in rising order."""
+        return _hash(self.data, self.begin[some], self.end[some], 1)
+
     def rows(self) -> np.ndarray:
         """The row of each word."""
         return np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
@@ -111,7 +115,7 @@ def split(data: np.ndarray, at: np.ndarray, kind: np.ndarray) -> Words:
     return Words(data, _hash(data, begin, end), begin, end, np.searchsorted(begin, at))
 
 
-def _hash(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+def _hash(data: np.ndarray, begin: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
     out = np.empty(len(begin), np.uint64)
     first = 0
     while first < len(begin):
@@ -119,9 +123,9 @@ def _hash(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         last = max(first + 1, int(np.searchsorted(end, base + PIECE, "right")))
         n = int(end[last - 1] - base)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_TERM[data[base : base + n]] * _power(n, True), out=sums[1:])
+        np.cumsum(_TERMS[which][data[base : base + n]] * _power(n, _BASES[which]), out=sums[1:])
         a, b = begin[first:last] - base, end[first:last] - base
-        out[first:last] = (sums[b] - sums[a]) * _power(n, False)[a] + (b - a).astype(np.uint64)
+        out[first:last] = (sums[b] - sums[a]) * _power(n, _INVERSES[which])[a] + (b - a).astype(np.uint64)
         first = last
     return mixed(out)
 
@@ -138,7 +142,7 @@ def hash_word(word: str) -> int:
     return int(_hash(raw, np.array([0]), np.array([len(raw)]))[0])
 
 
-_PLACE = mixed(np.arange(1, 65, dtype=np.uint64) * _U(_BASE)) | _U(1)
+_PLACE = mixed(np.arange(1, 65, dtype=np.uint64) * _U(_BASES[0])) | _U(1)
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:

@@ -1,0 +1,177 @@
+"""Language, toxicity and quality: held-out accuracy, bounds and odd rows."""
+
+import random
+
+import numpy as np
+import pytest
+
+from ordlog.llm import language, quality, toxicity
+from tests.llm.conftest import small
+
+
+@pytest.fixture(scope="module")
+def larger(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+
+
+# --- language --------------------------------------------------------------------------
+
+
+def test_languages_of_documents_held_out(larger):
+    lang = {r.doc_id: r.lang for r in larger.collect()}
+    got = language.report(larger).collect()
+    held = [r for r in got if r.held_out]
+    assert len(got) == len(lang) and 0.2 < len(held) / len(got) < 0.5
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.98
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_what_is_held_out_does_not_enter(larger):
+    from pyspark.sql import functions as F
+
+    first = {r.doc_id: (r.lang_pred, r.score) for r in language.report(larger).collect()}
+    odd = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    changed = larger.withColumn("lang", F.when(odd, F.lit("xx")).otherwise(F.col("lang")))
+    changed = changed.withColumn("source", F.lit("same"))
+    assert first == {r.doc_id: (r.lang_pred, r.score) for r in language.report(changed).collect()}
+
+
+def test_kernel_is_what_it_says():
+    grams = language.Grams("abc")
+    texts = ["abcab", "Abc!", "zzz a", "b"]
+    sets = []
+    for t in texts:
+        s = ["abc".index(c) + 2 if c in "abc" else int(c.isalpha()) for c in t.lower()]
+        sets.append({tuple(s[i : i + n]) for n in (1, 2, 3) for i in range(len(s) - n + 1)})
+    found = [set(grams.distinct(grams.symbols(t)).tolist()) for t in texts]
+    assert [len(f) for f in found] == [len(s) for s in sets]
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            assert len(found[i] & found[j]) == len(sets[i] & sets[j])
+
+
+def test_texts_without_letters(nasty, none):
+    got = {(r.doc_id, r.lang_pred) for r in language.report(nasty.withColumnRenamed("n_chars", "found")).collect()}
+    assert {(2, "und"), (3, "und"), (4, "und"), (None, "und")} <= got
+    assert (7, "und") in got and all(p in ("und", "en", "de", "la", "fr") for _, p in got)
+    assert language.report(none).count() == 0
+    nothing = language.report(nasty.withColumn("lang", nasty.lang.substr(9, 1)).filter("lang is null")).collect()
+    assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
+
+
+def test_rejects_go_and_the_columns_stay(nasty, real):
+    kept = language.recognised(real, min_score=0.3)
+    assert kept.columns == real.columns and kept.count() >= real.count() - 2
+    assert language.recognised(nasty).filter("text is null or trim(text) = ''").count() == 0
+
+
+# --- toxicity --------------------------------------------------------------------------
+
+
+def test_toxicity_of_documents_held_out(larger, labels):
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    got = toxicity.report(larger, labels).collect()
+    assert len(got) == larger.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+    held = [(r.score, toxic[r.doc_id]) for r in got if r.held_out and r.doc_id in toxic]
+    bad, good = [s for s, t in held if t], [s for s, t in held if not t]
+    assert np.mean([b > g for b in bad for g in good]) > 0.75  # some 300 documents to learn from
+
+
+def test_pairs_are_learned_that_no_sum_of_weights_can_tell():
+    rng = random.Random(1)
+    docs, label = [], []
+    for _ in range(1500):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        terms = [x for x, there in ((11, a), (22, b)) if there] + rng.sample(range(100, 130), 5)
+        docs.append(np.array(sorted(terms)))
+        label.append(float(a and b))
+    before = toxicity.EPOCHS, toxicity.LEAST_STRENGTH
+    toxicity.EPOCHS, toxicity.LEAST_STRENGTH = 60, 0.0
+    try:
+        model = toxicity.fit(docs, np.array(label), np.ones(len(docs)))
+    finally:
+        toxicity.EPOCHS, toxicity.LEAST_STRENGTH = before
+    one = lambda *t: toxicity.sigmoid(model.raw(1, np.zeros(len(t), int), np.array(t, int)))[0]
+    assert one(11, 22) > 0.9 and max(one(11), one(22), one()) < 0.35
+    pair = model.factor[model.place[11]] @ model.factor[model.place[22]]
+    assert pair > 0.2
+
+
+def test_score_is_the_sum_over_pairs():
+    rng = np.random.default_rng(2)
+    place = np.full(1 << toxicity.BITS, -1, np.int32)
+    place[[5, 6, 7]] = [0, 1, 2]
+    model = toxicity.Model(place, 0.3, rng.normal(size=3), rng.normal(size=(3, 4)))
+    got = model.raw(2, np.array([0, 0, 0, 1, 1]), np.array([5, 6, 7, 6, 9]))
+    v = model.factor
+    want = 0.3 + model.weight.sum() + v[0] @ v[1] + v[0] @ v[2] + v[1] @ v[2]
+    assert got == pytest.approx([want, 0.3 + model.weight[1]])
+
+
+def test_toxicity_of_odd_rows(spark, nasty, none):
+    schema = "doc_id bigint, quality int, toxic int"
+    some = spark.createDataFrame([(i, 1, i % 2) for i in range(9)] + [(1, 0, None), (None, 1, 1), (3, 0, 1), (3, 0, 0)], schema)
+    for table in (some, some.limit(0), some.filter("toxic = 1")):
+        got = toxicity.report(nasty.withColumnRenamed("n_chars", "toxicity"), table).collect()
+        assert len(got) == nasty.count() and all(0 <= r.score <= 1 for r in got)
+    assert {r.score for r in toxicity.report(nasty, some.limit(0)).collect()} == {0.0}
+    assert toxicity.report(none, some).count() == 0
+
+
+# --- quality ---------------------------------------------------------------------------
+
+
+def test_quality_tells_good_from_bad(larger, labels):
+    good = {r.doc_id: r.quality for r in labels.collect()}
+    got = quality.assess(larger, labels).collect()
+    assert len(got) == larger.count()
+    known = [(r.score, good[r.doc_id]) for r in got if r.doc_id in good]
+    assert np.mean([s >= 0.5 for s, g in known if g]) > 0.95 and np.mean([s < 0.5 for s, g in known if not g]) > 0.9
+
+
+def test_posteriors_shrink_small_sites_towards_what_is_around_them(spark):
+    rows = [("a", "x", 0.9)] * 400 + [("a", "y", 0.1)] + [("b", "x", 0.2)] * 300 + [("b", "z", 0.3)] * 5 + [("c", "x", 1.0)]
+    rows += [("a", "x", 0.8)] * 100 + [(None, None, 0.5)]
+    scored = spark.createDataFrame(rows, "host string, path string, evidence double")
+    (hosts, paths), mean = quality.posteriors(scored, ["host", "path"])
+    host = {r.host: r.posterior for r in hosts.collect()}
+    path = {(r.host, r.path): r.posterior for r in paths.collect()}
+    assert mean == pytest.approx(np.mean([e for _, _, e in rows]))
+    assert abs(host["a"] - 0.88) < 0.05 and abs(host["b"] - 0.2) < 0.05  # many documents: their own mean
+    assert mean < host["c"] < 1.0  # one document: between it and all
+    assert 0.1 < path["a", "y"] < host["a"]
+    assert (None, None) in path
+
+
+def test_posteriors_by_the_formula(spark):
+    rng = np.random.default_rng(4)
+    rows = [(f"h{i % 7}", f"p{i % 3}", float(rng.beta(2, 1 + i % 7))) for i in range(500)]
+    (hosts, _), mean = quality.posteriors(spark.createDataFrame(rows, "host string, path string, evidence double"), ["host", "path"])
+    e = {h: np.array([x for g, _, x in rows if g == h]) for h in {r[0] for r in rows}}
+    n = sum(len(v) for v in e.values())
+    within = sum(((v - v.mean()) ** 2).sum() for v in e.values()) / (n - len(e))
+    between = sum(len(v) * (v.mean() - mean) ** 2 for v in e.values()) - len(e) * within
+    strength = within / (between / (n - sum(len(v) ** 2 for v in e.values()) / n))
+    for r in hosts.collect():
+        v = e[r.host]
+        assert r.posterior == pytest.approx((strength * mean + v.sum()) / (strength + len(v)))
+
+
+def test_quality_of_odd_rows(spark, nasty, none, labels):
+    clash = nasty.withColumnRenamed("n_chars", "evidence").withColumn("keep", nasty.text)
+    got = quality.assess(clash, labels).collect()
+    assert len(got) == nasty.count() and all(0 <= r.score <= 1 for r in got)
+    assert {r.evidence for r in quality.assess(nasty, labels.limit(0)).collect()} == {0.5}
+    assert quality.assess(none, labels).count() == 0
+
+
+def test_sites_of_pages(spark):
+    pages = spark.read.parquet(small("pages"))
+    host, path = quality.url_levels()
+    rows = pages.select(host.alias("host"), path.alias("path")).collect()
+    assert all(r.host and r.path is not None for r in rows) and len({r.host for r in rows}) > 3

@@ -86,8 +86,9 @@ def run(
     logs: Logs | None = None,
     partitions: int = SOURCE_PARTITIONS,
     strict: bool = True,
+    lines: DataFrame | None = None,
 ) -> Run:
-    """The whole job on the given records, or on ``count`` generated ones.
+    """The whole job on the given records or lines, or on ``count`` generated records.
 
     The logs are kept below ``root`` unless others are given. What is consumed is parsed
     into a typed table once, in a folder of this run below ``root``; the three sorts read
@@ -98,9 +99,9 @@ def run(
     root = root or workspace.fresh(spark, "run")
     logs = logs or FileLogs(spark, root)
     made = Observation("made")
-    source = synth.records(spark, count, seed) if records is None else records
-    lines = codec.to_lines(source).observe(made, F.count("*").alias("rows"))
-    sent = logs.publish(lines, SOURCE_TOPIC, partitions)
+    if lines is None:
+        lines = codec.to_lines(synth.records(spark, count, seed) if records is None else records)
+    sent = logs.publish(lines.observe(made, F.count("*").alias("rows")), SOURCE_TOPIC, partitions)
 
     read = Observation("read")
     bad = F.col("reason").isNotNull()

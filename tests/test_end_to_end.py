@@ -170,3 +170,41 @@ def test_partitions_of_a_topic_must_follow_one_another(spark):
     good = topic.filter("not (partition = 1 and offset = 0)")
     report = end_to_end.verify_topics({"id": good}).first()
     assert (report.partitions, report["rows"], report.violations, report.verdict) == (2, 3, 0, "PASS")
+
+
+def test_a_file_of_lines_is_sorted_and_checked_from_the_shell(spark, root, tmp_path, capsys):
+    from ordlog.__main__ import main
+
+    (tmp_path / "in.txt").write_text("7,b,x,Asia\nbad\n-2,c,y,Europe\n7,a,z,Asia\n")
+    main(["--lines", str(tmp_path / "in.txt"), "--root", root])
+    shown = capsys.readouterr().out
+    assert shown.count("PASS") == 3 and "FAIL" not in shown
+    assert [r.value for r in log.read_topic(spark, root, "id").orderBy("offset").collect()] == [
+        "-2,c,y,Europe",
+        "7,a,z,Asia",
+        "7,b,x,Asia",
+    ]
+    assert spark.read.parquet(f"{root}/quarantine").first().value == "bad"
+    main(["--verify", "--root", root])
+    assert capsys.readouterr().out.count("PASS") == 3
+    log.publish(log.read_topic(spark, root, "id").orderBy(F.desc("offset")).coalesce(1), root, "id", 1)
+    main(["--verify", "--root", root])
+    assert "FAIL" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["--verify"])
+
+
+def test_keys_that_outgrow_an_id_are_set_aside(spark, tmp_path):
+    from ordlog.sources import tables
+
+    folder = "/root/testdata/sf0.001"
+    big = spark.read.parquet(f"{folder}/supplier.parquet").withColumn("s_suppkey", F.col("s_suppkey") + 2**31 - 5)
+    big.write.parquet(str(tmp_path / "supplier.parquet"))
+    for t in ("nation", "region"):
+        spark.read.parquet(f"{folder}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    records = tables.supplier_records(spark, str(tmp_path))
+    fit = big.filter(f"s_suppkey < {2**31}").count()
+    assert 0 < fit < records.count() == big.count()
+    done = end_to_end.run(spark, records, root=str(tmp_path / "root"))
+    assert done.malformed == big.count() - fit
+    assert {r["rows"] for r in done.summary.filter("step > 2").collect()} == {fit}

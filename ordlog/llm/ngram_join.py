@@ -16,9 +16,9 @@ that can be reached over links. Copies are one node of the graph, so they are ne
    shingle of a class then shows nothing, the prefix is extended until its shingles, less
    one for each class of frequent ones, are more than the ones a partner may lack. Linked
    documents share a signature. Documents of lengths that fit use the same classes.
-5. Documents of a signature become candidates: all pairs of up to FEW, of more only those
+5. Documents of a signature become candidates: all pairs of up to ``few``, of more only those
    next to each other by size and by name. Candidates are verified on their whole sets.
-6. What is left: signatures of more than FEW documents that lie in several components so
+6. What is left: signatures of more than ``few`` documents that lie in several components so
    far. Their documents are compared block by block (no pair within a component, none of
    sizes that can't link), by a product of 0/1 matrices. This settles every candidate pair.
 
@@ -36,11 +36,13 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordlog.llm import words
 from ordlog.llm.components import components
@@ -49,17 +51,27 @@ from ordlog.llm.shared import BROADCAST_ROWS, stage
 SHINGLE = 5
 NEED, OF = 75, 100  # share of the union that must be common
 SPARE = 10  # percent of a set by which the first filter's prefixes are longer than need be
-BUCKET = 1 << 21  # shingles of a bucket
 CHUNK = 1 << 20  # shingles a task gathers before it deals them
-HOT_SHARE = 128  # a shingle in more than one of so many documents is hot
-HOT_LEAST = 32
-FREQUENT = 16  # sets that hold a frequent shingle
-FEW = 16  # documents of a signature that are paired with each other
-SALT_ROWS = 4096  # documents of a signature that meet in one place
-COMPARED = 128  # documents of a block
+ROWS = 1 << 17  # rows a task hands on at once
 STEP = np.log(OF / NEED)
 
 
+@dataclass(frozen=True)
+class Limits:
+    """What decides on the way taken, never on the result."""
+
+    bucket: int = 1 << 21  # shingles of a bucket
+    hot_share: int = 128  # a shingle in more than one of so many documents is hot
+    hot_least: int = 32
+    frequent: int = 16  # sets that hold a frequent shingle
+    few: int = 16  # documents of a signature that are paired with each other
+    salt_rows: int = 4096  # documents of a signature that meet in one place
+    compared: int = 128  # documents of a block
+
+
+DEFAULT = Limits()
+
+
 def _common(n):
     """Shingles that a set of n must share with any partner."""
     return -(-n * NEED // OF)
@@ -93,23 +105,27 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hot(share: int):
     """Shingles that many of the task's documents have, with their number."""
-    sums: Counter = Counter()
-    docs = 0
-    for batch in batches:
-        for _, sets in _sets(batch, "text"):
-            docs += len(sets)
-            every = np.concatenate([*sets, np.empty(0, np.uint64)])
-            every.sort()
-            at = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.empty(0, np.int64)
-            count = np.diff(np.r_[at, len(every)])
-            many = count >= max(3, len(sets) // HOT_SHARE)
-            sums.update(dict(zip(every[at[many]].view(np.int64).tolist(), count[many].tolist())))
-    kept = {t: c for t, c in sums.items() if c * HOT_SHARE >= docs}
-    yield pa.RecordBatch.from_pydict(
-        {"token": pa.array(list(kept), pa.int64()), "docs": pa.array(list(kept.values()), pa.int64())}
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: Counter = Counter()
+        docs = 0
+        for batch in batches:
+            for _, sets in _sets(batch, "text"):
+                docs += len(sets)
+                every = np.concatenate([*sets, np.empty(0, np.uint64)])
+                every.sort()
+                at = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.empty(0, np.int64)
+                count = np.diff(np.r_[at, len(every)])
+                many = count >= max(3, len(sets) // share)
+                sums.update(dict(zip(every[at[many]].view(np.int64).tolist(), count[many].tolist())))
+        kept = {t: c for t, c in sums.items() if c * share >= docs}
+        yield pa.RecordBatch.from_pydict(
+            {"token": pa.array(list(kept), pa.int64()), "docs": pa.array(list(kept.values()), pa.int64())}
+        )
+
+    return run
 
 
 def _member(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -339,11 +355,13 @@ def _classes(scheme: int) -> int:
     return 0 if n < 12 else max(1, round(n * (1 - NEED / OF) / 6))
 
 
-def _signatures(n: int, token: np.ndarray, held: np.ndarray, scheme: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _signatures(
+    n: int, token: np.ndarray, held: np.ndarray, scheme: int, often: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Hashes of the prefix' signatures, and about how many documents have them."""
     lacking = n - _common(n) - (n - len(token))  # of these shingles, what a partner may lack
     classes = _classes(scheme)
-    frequent = (held >= FREQUENT) if classes else np.zeros(len(token), bool)
+    frequent = (held >= often) if classes else np.zeros(len(token), bool)
     rare = int(np.argmax(frequent)) if frequent.any() else len(token)
     if rare > lacking:
         yield words.mixed(token[: lacking + 1]), held[: lacking + 1]
@@ -369,29 +387,46 @@ def _signatures(n: int, token: np.ndarray, held: np.ndarray, scheme: int) -> Ite
             yield words.mixed(words.mixed(low) + high + np.uint64(scheme)), np.minimum(h[a], h[b])
 
 
-def _prefix_index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for cls, n, tokens, held in zip(*(batch.column(c) for c in ("cls", "n", "tokens", "held"))):
-            cls, n = cls.as_py(), n.as_py()
-            token, held = np.frombuffer(tokens.as_buffer(), "<u8"), np.frombuffer(held.as_buffer(), "<i4")
-            found: dict[int, int] = {}
-            for scheme in _schemes(n):
-                for names, many in _signatures(n, token, held, scheme):
-                    found.update(zip(names.view(np.int64).tolist(), many.tolist()))
-            out += [(name, cls % max(1, -(-many // SALT_ROWS)), many > SALT_ROWS, cls, n) for name, many in found.items()]
-        columns = list(zip(*out)) if out else [()] * 5
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["sig", "salt", "split", "cls", "n"]
-        )
+def _prefix_index(limits: Limits):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, counts, owners, rows = [], [], [], 0
+
+        def shown() -> pa.RecordBatch:
+            name, many = np.concatenate(names), np.concatenate(counts).astype(np.int64)
+            cls = np.repeat([o for o, _, _ in owners], [k for _, _, k in owners]).astype(np.int64)
+            n = np.repeat([m for _, m, _ in owners], [k for _, _, k in owners]).astype(np.int64)
+            salts = np.maximum(1, -(-many // limits.salt_rows))
+            columns = [name.view(np.int64), cls % salts, salts > 1, cls, n]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["sig", "salt", "split", "cls", "n"])
+
+        for batch in batches:
+            for cls, n, tokens, held in zip(*(batch.column(c) for c in ("cls", "n", "tokens", "held"))):
+                n = n.as_py()
+                token, held = np.frombuffer(tokens.as_buffer(), "<u8"), np.frombuffer(held.as_buffer(), "<i4")
+                found = [x for k in _schemes(n) for x in _signatures(n, token, held, k, limits.frequent)]
+                name, first = np.unique(np.concatenate([x for x, _ in found]), return_index=True)
+                names.append(name)
+                counts.append(np.concatenate([x for _, x in found])[first])
+                owners.append((cls.as_py(), n, len(name)))
+                rows += len(name)
+                if rows >= ROWS:
+                    yield shown()
+                    names, counts, owners, rows = [], [], [], 0
+        if rows:
+            yield shown()
+
+    return run
 
 
 # --- 5: candidates ---------------------------------------------------------------------
 
 
-def _pairs(table: pa.Table) -> pa.Table:
+def _pairs(few: int):
     """Candidates (kind 0) and members of signatures that not all are paired of (kind 1)."""
+    return lambda table: _paired(table, few)
+
+
+def _paired(table: pa.Table, few: int) -> pa.Table:
     sig, salt, cls, n = (table.column(c).to_numpy() for c in ("sig", "salt", "cls", "n"))
     split = table.column("split").to_numpy(zero_copy_only=False)
     order = np.lexsort((cls, n, salt, sig))
@@ -400,13 +435,13 @@ def _pairs(table: pa.Table) -> pa.Table:
     size = np.diff(bounds)
     left, right, kept = [], [], []
     # pairs at each distance within a group, all groups of a size that allows it at once
-    for gap in range(1, FEW):
-        small = np.flatnonzero((size > gap) & (size <= FEW))
+    for gap in range(1, few):
+        small = np.flatnonzero((size > gap) & (size <= few))
         if len(small):
             a = np.concatenate([np.arange(bounds[g], bounds[g + 1] - gap) for g in small.tolist()])
             left.append(a)
             right.append(a + gap)
-    large = np.flatnonzero((size > FEW) | split[bounds[:-1]]) if len(size) else []
+    large = np.flatnonzero((size > few) | split[bounds[:-1]]) if len(size) else []
     for g in large:
         here = np.arange(bounds[g], bounds[g + 1])
         by_name = here[np.argsort(cls[here])]
@@ -467,7 +502,7 @@ def _compare(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(cls[left[a]], pa.int64()), "b": pa.array(cls[right[b]], pa.int64())})
 
 
-def _rest(members: DataFrame, labels: DataFrame, kept: DataFrame) -> DataFrame | None:
+def _rest(members: DataFrame, labels: DataFrame, kept: DataFrame, compared: int) -> DataFrame | None:
     """Links between components among the documents of large signatures."""
     of = labels.select(F.col("node").alias("_node"), "label")
     known = members.join(of, F.col("cls") == F.col("_node"), "left")
@@ -488,7 +523,7 @@ def _rest(members: DataFrame, labels: DataFrame, kept: DataFrame) -> DataFrame |
     place = Window.partitionBy("family", "strip", "share").orderBy("label", "n", "cls")
     share = F.pmod(F.xxhash64("label"), F.lit(64))
     placed = docs.withColumn("strip", strip).withColumn("share", share)
-    placed = placed.withColumn("block", F.floor((F.row_number().over(place) - 1) / COMPARED))
+    placed = placed.withColumn("block", F.floor((F.row_number().over(place) - 1) / compared))
     placed = stage(placed.withColumn("block", F.concat_ws(".", "strip", "share", "block")), "placed")
     blocks = placed.groupBy("family", "block").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("label").alias("low"), F.max("label").alias("high")
@@ -521,7 +556,9 @@ def _few(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def linked_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+def linked_classes(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limits: Limits = DEFAULT
+) -> tuple[DataFrame, DataFrame]:
     """Digests of the rows (id, n, d1, d2), and of linked classes (d1, d2) the component."""
     spark = docs.sparkSession
     read = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
@@ -529,13 +566,13 @@ def linked_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     classes = stage(rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes")
     sizes = classes.agg(F.count("*").alias("sets"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
 
-    found = read.select("text").mapInArrow(_hot, "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
-    floor = max(HOT_LEAST, rows.count() // HOT_SHARE)
+    found = read.select("text").mapInArrow(_hot(limits.hot_share), "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
+    floor = max(limits.hot_least, rows.count() // limits.hot_share)
     hot = sorted((r.token % (1 << 64), r.docs) for r in found.filter(F.col("docs") >= floor).collect())
     hot = np.array([t for t, _ in hot], np.uint64), np.array([min(d, 2**31 - 1) for _, d in hot], np.int64)
     shared = spark.sparkContext.broadcast(hot)
 
-    buckets = _partitions(spark, sizes.tokens * (OF - NEED + SPARE) // 100, BUCKET)
+    buckets = _partitions(spark, sizes.tokens * (OF - NEED + SPARE) // 100, limits.bucket)
     dealt = read.select("text").mapInArrow(_prefixes(buckets, shared), PACKED)
     counts = dealt.groupBy("part").applyInArrow(_shared_counts, "d1 bigint, shared bigint")
     counts = counts.groupBy("d1").agg(F.sum("shared").alias("shared"))
@@ -551,17 +588,17 @@ def linked_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         sets = stage(sets.dropDuplicates(["cls"]), "sets")
 
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    parts = _partitions(spark, total, BUCKET)
+    parts = _partitions(spark, total, limits.bucket)
     by_token = sets.mapInArrow(_deal(parts, shared), PACKED).groupBy("part").applyInArrow(_shared(parts), PACKED)
     by_owner = by_token.unionAll(sets.mapInArrow(_hot_of(parts, shared), PACKED)).groupBy("part")
     ordered = by_owner.applyInArrow(_ordered, "cls bigint, m bigint, tokens binary, held binary")
     kept = ordered.join(_few(some.select("cls", "n"), n_some), "cls").filter(F.col("m") * OF >= F.col("n") * NEED)
     kept = stage(kept.select("cls", "n", "tokens", "held"), "kept")
 
-    index = stage(kept.mapInArrow(_prefix_index, "sig bigint, salt bigint, split boolean, cls bigint, n bigint"), "index")
+    index = stage(kept.mapInArrow(_prefix_index(limits), "sig bigint, salt bigint, split boolean, cls bigint, n bigint"), "index")
     places = _partitions(spark, index.count(), 1 << 19)
     part = F.pmod(F.xxhash64("sig", "salt"), F.lit(places)).alias("part")
-    found = index.select("*", part).groupBy("part").applyInArrow(_pairs, "kind int, a bigint, b bigint")
+    found = index.select("*", part).groupBy("part").applyInArrow(_pairs(limits.few), "kind int, a bigint, b bigint")
     found = stage(found, "candidates")
     pairs = found.filter("kind = 0").select("a", "b").distinct()
     mine = kept.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
@@ -570,7 +607,7 @@ def linked_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     labels = components(links)
     members = found.filter("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("cls")).distinct()
-    more = _rest(members, labels, kept)
+    more = _rest(members, labels, kept, limits.compared)
     if more is not None:
         labels = components(stage(links.unionAll(more), "links"))
     named = some.join(labels, F.col("cls") == F.col("node"))
@@ -578,16 +615,24 @@ def linked_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return rows, stage(named.join(least, "label").select("d1", "d2", "component"), "linked")
 
 
-def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """For each document: doc_id, n_shingles, component_id."""
-    rows, linked = linked_classes(docs, doc_id, text)
+def _components(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """For every class of rows with words (_d1, _d2) its component's smallest id."""
     classes = rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"))
     # of copies without links the class is their own smallest id
-    of = classes.join(linked, ["d1", "d2"], "left").select(
+    return classes.join(linked, ["d1", "d2"], "left").select(
         F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), F.coalesce("component", "rep").alias("component")
     )
+
+
+def _classified(rows: DataFrame, of: DataFrame) -> DataFrame:
     mine = (F.col("n") > 0) & (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2"))
-    joined = rows.join(of, mine, "left")
+    return rows.join(of, mine, "left")
+
+
+def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limits: Limits = DEFAULT) -> DataFrame:
+    """For each document: doc_id, n_shingles, component_id."""
+    rows, linked = linked_classes(docs, doc_id, text, limits)
+    joined = _classified(rows, _components(rows, linked))
     return joined.select(
         F.col("id").alias(doc_id),
         F.col("n").alias("n_shingles"),
@@ -595,13 +640,42 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     )
 
 
+def _named(text: str):
+    """Whole rows with the digest of their set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s for _, part in _sets(batch, text) for s in part]
+            pairs = [_digest(s) for s in sets]
+            new = [[len(s) for s in sets], [a for a, _ in pairs], [b for _, b in pairs]]
+            columns = [*batch.columns, *[pa.array(c, pa.int64()) for c in new]]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_n", "_a", "_b"])
+
+    return run
+
+
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each class, that of the smallest id; documents without words stay.
 
-    Of rows that repeat an id one stays; rows with a null id stay, as their class has
-    another id or none."""
-    found = report(docs, doc_id, text)
-    keep = found.filter(F.col("component_id") == F.col(doc_id)).select(F.col(doc_id).alias("_kept")).distinct()
+    Rows that repeat an id and a text are one document; different texts under one id are
+    two. A row with a null id goes if its class has a document with an id; of classes that
+    have none, one row of each set of shingles stays."""
+    rows, linked = linked_classes(docs, doc_id, text)
+    of = _components(rows, linked)
+    found = _classified(rows, of).select("id", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("c"))
+    keep = stage(found.filter("id = c").groupBy(F.col("id").alias("_kept")).agg(F.count("*").alias("_rows")), "keep")
     n = keep.count()
-    once = docs.filter(F.col(doc_id).isNotNull()).join(_few(keep, n), F.col(doc_id) == F.col("_kept"), "left_semi")
-    return once
+    out = docs.join(_few(keep.select("_kept"), n), F.col(doc_id) == F.col("_kept"), "left_semi")
+    again = keep.filter("_rows > 1").select("_kept")
+    if again.limit(1).count():
+        repeats = F.col(doc_id) == F.col("_kept")
+        once = out.join(again, repeats, "left_semi").withColumn("_same", F.xxhash64(text)).dropDuplicates([doc_id, "_same"])
+        out = out.join(again, repeats, "left_anti").unionByName(once.drop("_same"))
+    if rows.filter("id is null").limit(1).count():
+        schema = T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in ("_n", "_a", "_b")]])
+        unnamed = docs.filter(F.col(doc_id).isNull()).mapInArrow(_named(text), schema)
+        mine = (F.col("_n") > 0) & (F.col("_a") == F.col("_d1")) & (F.col("_b") == F.col("_d2"))
+        alone = unnamed.join(of, mine, "left").filter("component is null")
+        one = alone.filter("_n > 0").dropDuplicates(["_a", "_b"]).unionByName(alone.filter("_n = 0"))
+        out = out.unionByName(one.select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return out

@@ -230,9 +230,10 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     _, mix = plan(docs, **options)
     mix = mix.select(F.col("source").alias("_mix_source"), *[f"last_{p}" for p in range(PASSES)])
     doc_id, source, text = (options.get(k, k) for k in ("doc_id", "source", "text"))
-    size = size_of(text)
-    rows = docs.join(_small(mix, mix.count()), F.col(source).eqNullSafe(F.col("_mix_source")))
-    times = F.when(size > 0, _times(_place(F.col(doc_id), size))).otherwise(0)
+    # taken from an array, the size is counted once for each row, not wherever it is used
+    sized = docs.withColumn("_mix_size", F.explode(F.array(size_of(text))))
+    rows = sized.join(_small(mix, mix.count()), F.col(source).eqNullSafe(F.col("_mix_source")))
+    times = F.when(F.col("_mix_size") > 0, _times(_place(F.col(doc_id), F.col("_mix_size")))).otherwise(0)
     repeated = rows.withColumn("_times", times).filter("_times > 0")
     copies = repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     return copies.select(*[F.col(f"`{c}`") for c in docs.columns])

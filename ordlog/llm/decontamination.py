@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordlog.llm import words
+from ordlog.llm.shared import small_batches, tidy
 
 WINDOW = 10
 BLOCK_WORDS = 500_000  # some 200 MB of automaton in Python
@@ -216,7 +217,19 @@ def _find(automaton: Automaton, texts: pa.Array) -> tuple[list[int], list, list]
     return counts, hits, items
 
 
-def _scan(text: str, model, first: bool):
+def _found(counts: list, hits: list, items: list) -> pa.StructArray:
+    columns = [
+        pa.array(counts, pa.int64()),
+        pa.array(hits, pa.list_(pa.list_(pa.int64()))),
+        pa.array(items, pa.list_(pa.string())),
+    ]
+    return pa.StructArray.from_arrays(columns, names=FOUND.fieldNames())
+
+
+def _scan(text: str, model, first: bool, max_coverage: float | None):
+    """Add what one block finds. Given ``max_coverage`` this is the last block: texts are cut,
+    rows that are covered further go, and so does the column of finds."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = model.value
         for batch in batches:
@@ -227,17 +240,25 @@ def _scan(text: str, model, first: bool):
                 hits = [_merged([*map(tuple, a), *map(tuple, b)]) for a, b in zip(old_hits, hits)]
                 items = [sorted({*a, *b}) for a, b in zip(old_items, items)]
                 batch = batch.drop_columns(["found"])
-            found = pa.StructArray.from_arrays(
-                [
-                    pa.array(counts, pa.int64()),
-                    pa.array(hits, pa.list_(pa.list_(pa.int64()))),
-                    pa.array(items, pa.list_(pa.string())),
-                ],
-                names=["n_words", "hits", "items"],
-            )
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "found"])
+            if max_coverage is None:
+                found = _found(counts, hits, items)
+                yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "found"])
+            else:
+                yield _cut(batch, text, counts, hits, max_coverage)
+
+    return tidy(run)
 
-    return run
+
+def _cut(batch: pa.RecordBatch, text: str, counts: list, hits: list, max_coverage: float) -> pa.RecordBatch:
+    """Texts without their hits, and without the rows that are mostly hit."""
+    hit = [sum(b - a for a, b in spans) for spans in hits]
+    if any(hit):
+        at = batch.schema.get_field_index(text)
+        new = [_without(v.as_py(), spans) if spans else v.as_py() for v, spans in zip(batch.column(text), hits)]
+        columns = list(batch.columns)
+        columns[at] = pa.array(new, batch.schema.field(at).type)
+        batch = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+    return batch.filter(pa.array([h <= max_coverage * n for h, n in zip(hit, counts)], pa.bool_()))
 
 
 def _blocks(items: DataFrame, item_id: str, text: str, block_words: int):
@@ -270,17 +291,22 @@ def find(
     """``docs`` with a struct ``found``: n_words, hits (merged [first, end) in words), items.
 
     A column ``found`` that is already there is replaced."""
+    return _scanned(docs.drop("found"), items, None, text, item_id, item_text, window, block_words)
+
+
+def _scanned(docs, items, max_coverage, text, item_id, item_text, window, block_words) -> DataFrame:
     spark = docs.sparkSession
-    out = docs.drop("found")
-    schema = T.StructType([*out.schema.fields, T.StructField("found", FOUND)])
-    blocks = []
-    for block in _blocks(items, item_id, item_text, block_words):
+    small_batches(spark)
+    blocks = _blocks(items, item_id, item_text, block_words)
+    block = next(blocks, [])  # without items the words are counted all the same
+    out, first = docs, True
+    while block is not None:
+        following = next(blocks, None)
         model = spark.sparkContext.broadcast(Automaton(block, window))
-        out = out.mapInArrow(_scan(text, model, first=not blocks), schema)
-        blocks.append(model)
-    if not blocks:  # nothing to look for: the words are counted all the same
-        model = spark.sparkContext.broadcast(Automaton([], window))
-        out = out.mapInArrow(_scan(text, model, first=True), schema)
+        last = following is None and max_coverage is not None
+        schema = docs.schema if last else T.StructType([*docs.schema.fields, T.StructField("found", FOUND)])
+        out = out.mapInArrow(_scan(text, model, first, max_coverage if last else None), schema)
+        block, first = following, False
     return out
 
 
@@ -290,24 +316,6 @@ def covered(found: str = "found") -> Column:
     return F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, b: a + b)
 
 
-def _cut(text: str, found: str):
-    """Texts without their hits."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hits = batch.column(found).field("hits").to_pylist()
-            new = batch.column(text).to_pylist()
-            for row, spans in enumerate(hits):
-                if spans:
-                    new[row] = _without(new[row], spans)
-            at = batch.schema.get_field_index(text)
-            columns = list(batch.columns)
-            columns[at] = pa.array(new, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-    return run
-
-
 def _without(value: str, spans: list[list[int]]) -> str:
     raw = value.encode()
     data = np.frombuffer(raw, np.uint8)
@@ -325,14 +333,17 @@ def decontaminate(
     items: DataFrame,
     *,
     text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    block_words: int = BLOCK_WORDS,
     max_coverage: float = 0.5,
-    **options,
 ) -> DataFrame:
     """Cut the hits out of the texts; a document of which more than ``max_coverage`` is
     hit goes as a whole. The columns are those of ``docs``, clean documents stay as is."""
-    found = find(docs, items, text=text, **options)
-    kept = found.filter(covered() <= F.lit(max_coverage) * F.col("found.n_words"))
-    return kept.mapInArrow(_cut(text, "found"), kept.schema).drop("found")
+    held = docs.withColumnRenamed("found", "_held_found")  # a name in the way of several blocks
+    out = _scanned(held, items, max_coverage, text, item_id, item_text, window, block_words)
+    return out.withColumnRenamed("_held_found", "found")
 
 
 def report(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:

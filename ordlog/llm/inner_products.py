@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordlog.llm.shared import stage
+from ordlog.llm.shared import stage, tidy
 
 SCALE = 64
 K = 20
@@ -68,7 +68,7 @@ def _scaled(vector: str, scale: int):
             columns = [pa.array(c, k) for c, k in zip((ids, length, packed), kind)]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "square", "x"])
 
-    return run
+    return tidy(run)
 
 
 def _matrix(column: pa.Array, d: int) -> np.ndarray:
@@ -88,7 +88,7 @@ def _gram(d: int):
                 total += x.T @ x
         yield pa.RecordBatch.from_pydict({"cell": np.arange(d * d), "value": total.ravel()})
 
-    return run
+    return tidy(run)
 
 
 def axes(scaled: DataFrame, d: int) -> np.ndarray:
@@ -186,7 +186,7 @@ def _search(shared, k: int):
             }
         )
 
-    return run
+    return tidy(run)
 
 
 def _arrays(rows: list, d: int) -> tuple[np.ndarray, np.ndarray]:

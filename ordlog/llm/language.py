@@ -34,6 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordlog.llm.shared import small_batches, tidy
+
 PER_LANGUAGE = 600
 LANDMARKS = 32  # of each language
 LONGEST = 20_000
@@ -172,7 +174,7 @@ def _score(text: str, shared):
             found = pa.StructArray.from_arrays([pa.array(names), pa.array(scores)], names=["lang", "score"])
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "found"])
 
-    return run
+    return tidy(run)
 
 
 def learned_from(doc_id: str) -> Column:
@@ -197,6 +199,7 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
 
 def identify(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFrame:
     """``docs`` with a struct ``found``: lang and score. A column ``found`` is replaced."""
+    small_batches(docs.sparkSession)
     out = docs.drop("found")
     found = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
     schema = T.StructType([*out.schema.fields, T.StructField("found", found)])

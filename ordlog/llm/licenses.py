@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordlog.llm import words
+from ordlog.llm.shared import small_batches, tidy
 
 THRESHOLD = 0.92  # notices that differ in one telling word must not match each other
 MAX_WORDS = 1_000_000  # of all templates
@@ -180,7 +181,7 @@ def _count(text: str, shared):
             {"word": pa.array(list(sums), pa.string()), "n": pa.array(list(sums.values()), pa.int64())}
         )
 
-    return run
+    return tidy(run)
 
 
 def _places(model: Templates, w: words.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -245,7 +246,7 @@ def _join(text: str, shared):
             )
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "found"])
 
-    return run
+    return tidy(run)
 
 
 def _matches(model: Templates, w: words.Words, first_byte: np.ndarray) -> Iterator[tuple[int, int, float]]:
@@ -278,6 +279,7 @@ def find(
     labels of matched templates and the highest containment of a matched template (0 if
     there is none). A column ``found`` that is already there is replaced."""
     spark = docs.sparkSession
+    small_batches(spark)
     model = _prepared(
         TEMPLATES if templates is None else templates, PHRASES if phrases is None else phrases, threshold
     )

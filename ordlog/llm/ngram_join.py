@@ -46,13 +46,14 @@ from pyspark.sql import types as T
 
 from ordlog.llm import words
 from ordlog.llm.components import components
-from ordlog.llm.shared import BROADCAST_ROWS, stage
+from ordlog.llm.shared import BROADCAST_ROWS, small_batches, stage, tidy
 
 SHINGLE = 5
 NEED, OF = 75, 100  # share of the union that must be common
 SPARE = 10  # percent of a set by which the first filter's prefixes are longer than need be
 CHUNK = 1 << 20  # shingles a task gathers before it deals them
 ROWS = 1 << 17  # rows a task hands on at once
+HOT_CLASSES = 1000  # a class with more than one of so many rows is large; no more are
 STEP = np.log(OF / NEED)
 
 
@@ -125,7 +126,7 @@ def _hot(share: int):
             {"token": pa.array(list(kept), pa.int64()), "docs": pa.array(list(kept.values()), pa.int64())}
         )
 
-    return run
+    return tidy(run)
 
 
 def _member(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -229,7 +230,7 @@ def _prefixes(buckets: int, hot):
         if tokens:
             yield from deal()
 
-    return run
+    return tidy(run)
 
 
 def _shared_counts(table: pa.Table) -> pa.Table:
@@ -283,7 +284,7 @@ def _deal(buckets: int, hot):
                 part = (token[sent] % np.uint64(buckets)).astype(np.int64)
                 yield from _packed(part, owner[sent], token[sent], np.zeros(len(part), np.int64))
 
-    return run
+    return tidy(run)
 
 
 def _hot_of(parts: int, hot):
@@ -300,7 +301,7 @@ def _hot_of(parts: int, hot):
             if len(token):
                 yield from _packed(owner % parts, owner, token, docs[np.searchsorted(table, token)])
 
-    return run
+    return tidy(run)
 
 
 def _shared(parts: int):
@@ -415,7 +416,7 @@ def _prefix_index(limits: Limits):
         if rows:
             yield shown()
 
-    return run
+    return tidy(run)
 
 
 # --- 5: candidates ---------------------------------------------------------------------
@@ -561,8 +562,9 @@ def linked_classes(
 ) -> tuple[DataFrame, DataFrame]:
     """Digests of the rows (id, n, d1, d2), and of linked classes (d1, d2) the component."""
     spark = docs.sparkSession
+    small_batches(spark)
     read = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    rows = stage(read.mapInArrow(_digests, "id bigint, n bigint, d1 bigint, d2 bigint"), "digests")
+    rows = stage(read.mapInArrow(tidy(_digests), "id bigint, n bigint, d1 bigint, d2 bigint"), "digests")
     classes = stage(rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes")
     sizes = classes.agg(F.count("*").alias("sets"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
 
@@ -582,7 +584,7 @@ def linked_classes(
 
     ids = _few(some.select(F.col("rep").alias("_rep")).distinct(), n_some)
     again = read.join(ids, F.col("id").eqNullSafe(F.col("_rep")), "left_semi").select("text")
-    sets = again.mapInArrow(_whole_sets, "d1 bigint, d2 bigint, tokens binary")
+    sets = again.mapInArrow(tidy(_whole_sets), "d1 bigint, d2 bigint, tokens binary")
     sets = stage(sets.join(_few(some, n_some), ["d1", "d2"]).select("cls", "n", "tokens"), "sets")
     if sets.count() > n_some:  # rows that share their id with another row
         sets = stage(sets.dropDuplicates(["cls"]), "sets")
@@ -603,7 +605,7 @@ def linked_classes(
     pairs = found.filter("kind = 0").select("a", "b").distinct()
     mine = kept.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     theirs = kept.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    links = stage(pairs.join(theirs, "b").join(mine, "a").mapInArrow(_verify, "a bigint, b bigint"), "links")
+    links = stage(pairs.join(theirs, "b").join(mine, "a").mapInArrow(tidy(_verify), "a bigint, b bigint"), "links")
 
     labels = components(links)
     members = found.filter("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("cls")).distinct()
@@ -616,17 +618,25 @@ def linked_classes(
 
 
 def _components(rows: DataFrame, linked: DataFrame) -> DataFrame:
-    """For every class of rows with words (_d1, _d2) its component's smallest id."""
-    classes = rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"))
+    """For every class of rows with words (_d1, _d2) its component's smallest id, and
+    whether the class is large: of its rows, one in HOT_CLASSES is."""
+    classes = rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.count("*").alias("docs"))
     # of copies without links the class is their own smallest id
-    return classes.join(linked, ["d1", "d2"], "left").select(
-        F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), F.coalesce("component", "rep").alias("component")
+    joined = classes.join(linked, ["d1", "d2"], "left").select(
+        F.col("d1").alias("_d1"),
+        F.col("d2").alias("_d2"),
+        F.coalesce("component", "rep").alias("component"),
+        (F.col("docs") * HOT_CLASSES > rows.count()).alias("large"),
     )
+    return stage(joined, "classes")
 
 
 def _classified(rows: DataFrame, of: DataFrame) -> DataFrame:
+    """Rows with their class; those of large classes, of which there are few, don't move."""
     mine = (F.col("n") > 0) & (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2"))
-    return rows.join(of, mine, "left")
+    large = F.broadcast(of.filter("large"))
+    rest = rows.join(large, mine, "left_anti").join(of.filter("not large"), mine, "left")
+    return rest.unionByName(rows.join(large, mine))
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limits: Limits = DEFAULT) -> DataFrame:
@@ -651,7 +661,7 @@ def _named(text: str):
             columns = [*batch.columns, *[pa.array(c, pa.int64()) for c in new]]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_n", "_a", "_b"])
 
-    return run
+    return tidy(run)
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordlog.llm import words
-from ordlog.llm.shared import BROADCAST_ROWS, stage
+from ordlog.llm.shared import BROADCAST_ROWS, small_batches, stage, tidy
 
 PER_CLASS = 3000
 STEPS = 60
@@ -151,7 +151,7 @@ def _evidence(shared, columns: int):
             kept = batch.columns[:columns]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(p)], names=[*batch.schema.names[:columns], "evidence"])
 
-    return run
+    return tidy(run)
 
 
 def _strength(sites: DataFrame, above: Column) -> float:
@@ -213,6 +213,7 @@ def assess(
 
     ``levels`` are the columns that make a site, host first; the last level is the path."""
     spark = docs.sparkSession
+    small_batches(spark)
     model = spark.sparkContext.broadcast(train(docs, labels, doc_id=doc_id, text=text))
     names = [f"site_{i}" for i in range(len(levels))]
     sites = [(F.col(c) if isinstance(c, str) else c).cast("string").alias(n) for c, n in zip(levels, names)]

@@ -24,6 +24,10 @@ from ordlog.llm.shared import table
 QUERIES = {}
 SQL = {}
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+_ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 
 def query(run):
     QUERIES[run.__name__] = run
@@ -98,11 +102,69 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.report(table(spark, folder, "documents"))
 
 
+def _values(rows: list[tuple[str, str]]) -> str:
+    return ", ".join("('" + "', '".join(x.replace("'", "''") for x in row) + "')" for row in rows)
+
+
+SQL["op5_license_scan"] = f"""
+with docs as (select doc_id, coalesce(text, '') as text, {_ALNUM} as ws from documents),
+phrases as (
+  select string_split(text, ' ') as p, label from (values {_values([*licenses.PHRASES.items()])}) v(text, label)
+), places as (
+  select doc_id, i - 1 as place, label from docs, phrases, unnest(range(1, len(ws) - len(p) + 2)) u(i)
+  where ws[i] = p[1] and list_slice(ws, i, i + len(p) - 1) = p
+), base as (
+  select doc_id, count(*) as n_base, min(place) as first_word, max(place) as last_word, list(distinct label) as labels
+  from places group by doc_id
+), templates as (
+  select row_number() over () as t, label, list_distinct({_ALNUM}) as need
+  from (values {_values(licenses.TEMPLATES)}) v(label, text)
+), blocks as (
+  select doc_id, list_distinct({_ALNUM}) as have
+  from (select doc_id, unnest(string_split(text, chr(10))) as text from docs)
+), matched as (
+  select doc_id, list(distinct label) as labels, max(share) as share from (
+    select doc_id, label, len(list_intersect(have, need)) / len(need) as share, len(list_intersect(have, need)) as n, need
+    from blocks, templates)
+  where n >= greatest(1, ceil({licenses.THRESHOLD} * len(need) - 1e-9)) group by doc_id
+)
+select doc_id, len(ws) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+  coalesce(array_to_string(list_sort(base.labels), ','), '') as base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(matched.labels, [])))), ',') as labels,
+  case when n_base > 0 then 1.0 else coalesce(share, 0.0) end::double as score
+from docs left join base using (doc_id) left join matched using (doc_id)
+"""
+
+
 @query
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+SQL["op6_decontamination"] = f"""
+with items as (select cast(item_id as varchar) as item, {_ALNUM} as ws from benchmark),
+windows as (
+  select item, 10 as n, array_to_string(list_slice(ws, i, i + 9), ' ') as w
+  from items, unnest(range(1, len(ws) - 8)) u(i) where len(ws) >= 10
+  union
+  select item, len(ws), array_to_string(ws, ' ') from items where len(ws) between 1 and 9
+), docs as (select doc_id, {_ALNUM} as ws from documents),
+runs as (
+  select doc_id, i, n, array_to_string(list_slice(ws, i, i + n - 1), ' ') as w
+  from docs, (select distinct n from windows) sizes, unnest(range(1, len(ws) - n + 2)) u(i)
+), hits as (select doc_id, i, n, item from runs join windows using (n, w)),
+words as (
+  select doc_id, count(distinct place) as n_hit from hits, unnest(range(i, i + n)) u(place) group by doc_id
+), found as (
+  select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as names
+  from hits group by doc_id
+)
+select doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join words using (doc_id) left join found using (doc_id)
+"""
+
+
 @query
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     # of this vocabulary: lower case, white space dropped
@@ -134,6 +196,31 @@ def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.report(table(spark, folder, "documents"))
 
 
+SQL["op9_ngram_join"] = f"""
+with recursive docs as (select doc_id, {_SPACED} as ws from documents),
+shingles as (
+  select distinct doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') as s
+  from docs, unnest(range(1, len(ws) - 3)) u(i) where len(ws) >= 5
+  union all
+  select doc_id, array_to_string(ws, ' ') from docs where len(ws) between 1 and 4
+), sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select x.doc_id as a, y.doc_id as b, count(*) as n
+  from shingles x join shingles y on x.s = y.s and x.doc_id < y.doc_id group by all
+), pairs as (
+  select a, b from common join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+  where 100 * common.n >= 75 * (p.n + q.n - common.n)
+), links as (select a, b from pairs union all select b, a from pairs),
+reached as (
+  select doc_id, doc_id as other from docs
+  union
+  select reached.doc_id, links.b from reached join links on links.a = reached.other
+)
+select doc_id, coalesce(n, 0) as n_shingles, min(other) as component_id
+from reached left join sizes using (doc_id) group by all
+"""
+
+
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.maintained(table(spark, folder, "documents"), workspace.fresh(spark, "rollup"))

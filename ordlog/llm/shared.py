@@ -1,10 +1,11 @@
-"""What several operators need: staging, packed arrays, counts."""
+"""What several operators need: tables, staging, and workers that stay small."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,11 @@ from ordlog import workspace
 BROADCAST_ROWS = 200_000  # rows of a few numbers each; beyond it Spark joins by shuffling
 
 
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_DEFAULT_BATCH = "67108864b"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -24,17 +30,26 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def lists(values: np.ndarray, at: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """An Arrow list array: row i has values at[i] to at[i + 1]."""
-    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, kind))
+def small_batches(spark: SparkSession) -> None:
+    """Texts reach Python in batches of BATCH_BYTES, unless the session has a limit of its own."""
+    if spark.conf.get(_BATCH) == _DEFAULT_BATCH:
+        spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
+
+
+def _trim() -> None:
+    """Hand freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def by_batch(work: Callable[[pa.RecordBatch], Iterator[dict]]) -> Callable:
-    """A mapInArrow function from one that turns a batch into some dicts of columns."""
+def tidy(run: Callable) -> Callable:
+    """A mapInArrow function after which its worker, which lives on, keeps no freed memory."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for columns in work(batch):
-                yield pa.RecordBatch.from_pydict(columns)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
 
-    return run
+    return tidied

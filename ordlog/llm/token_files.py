@@ -27,7 +27,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -39,18 +39,24 @@ from pyspark.sql import functions as F
 
 from ordlog import workspace
 from ordlog.llm import words
-from ordlog.llm.shared import stage
+from ordlog.llm.shared import small_batches, stage, tidy
 
 MAGIC = b"RVB1"
 BLOCK_IDS = 1 << 20
 FILE_IDS = 1 << 26
 END_ID = 1
-REMEMBERED = 4_000_000  # pieces of text whose ids a worker keeps, some 40 bytes each
-CHUNK = 1 << 23  # bytes of texts encoded at once
+REMEMBERED = 3_000_000  # pieces of text whose ids a worker keeps, some 30 bytes each
+STEMS = 50_000  # words whose ids wait for the same word with another sign behind it
+CHUNK = 1 << 22  # bytes of texts encoded at once
 # what can follow a word and is a piece of its own; an apostrophe may belong to the word
 _CLOSING = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+def _letters(stem: str) -> bool:
+    """Nothing but letters, also once it is composed and in lower case."""
+    return stem.isalpha() and normalize("NFC", stem).lower().isalpha()
+
+
 class _Pieces:
     """Ids of pieces of text that the tokenizer treats apart from what stands around them.
 
@@ -69,8 +75,8 @@ class _Pieces:
     def clear(self) -> None:
         self.hashes = np.empty(0, np.uint64)
         self.second = np.empty(0, np.uint64)
-        self.start = np.empty(0, np.int64)
-        self.size = np.empty(0, np.int64)
+        self.start = np.empty(0, np.uint32)
+        self.size = np.empty(0, np.uint32)
         self.ids = np.empty(0, self.kind)
         self.stems: dict[bytes, list[int]] = {}
 
@@ -86,7 +92,7 @@ class _Pieces:
             else:
                 value = stem.decode()
                 lower = value.lower()
-                if max(value) < "\u0250" and lower.isalpha() and is_normalized("NFC", value):
+                if max(value) < "\u0250" and is_normalized("NFC", value):
                     ids = [t.id for t in self.tokenizer.model.tokenize(self.to_model(lower)[0][0])]
                 else:
                     ids = self.whole(stem)
@@ -94,9 +100,10 @@ class _Pieces:
         return ids
 
     def piece(self, piece: bytes) -> list[int]:
-        """Ids of what stands between white space: mostly a word, perhaps with a sign."""
+        """Ids of what stands between white space, in lower case as far as A-Z go: mostly a
+        word, perhaps with a sign."""
         stem = piece.rstrip(_CLOSING)
-        if not stem.isalpha() and not (stem and stem.decode().isalpha()):
+        if not stem.isalpha() and not (stem and _letters(stem.decode())):
             return self.whole(piece)
         ids = self._stem(stem)
         if len(stem) == len(piece):
@@ -135,7 +142,7 @@ class _Pieces:
         self.second = np.insert(self.second, place, second[fresh])
         self.start = np.insert(self.start, place, start[fresh])
         self.size = np.insert(self.size, place, size[fresh])
-        if len(self.stems) > REMEMBERED // 8:
+        if len(self.stems) > STEMS:
             self.stems = {}
         start, size = start[which], size[which]
         shift = np.repeat(start - (np.cumsum(size) - size), size)
@@ -181,7 +188,7 @@ def _tokenise(doc_id: str, text: str, path: str, kind: str, spaced: bool, end_id
                     }
                 )
 
-    return run
+    return tidy(run)
 
 
 def tokens(
@@ -198,6 +205,7 @@ def tokens(
     ``spaced``: the tokenizer drops white space, no token spans it, and lower-cased runs
     of letters are one piece before its merges. Then each piece between white space is
     encoded once for a worker, not once for each place where it stands."""
+    small_batches(docs.sparkSession)
     kind = _id_kind(tokenizer, end_id)
     run = _tokenise(doc_id, text, tokenizer, kind, spaced, end_id)
     ids = docs.select(doc_id, text).mapInArrow(run, "id bigint, n bigint, ids binary")
@@ -219,7 +227,7 @@ def _count(kind: str):
         seen = np.flatnonzero(sums)
         yield pa.RecordBatch.from_pydict({"id": pa.array(seen, pa.int64()), "n": pa.array(sums[seen], pa.int64())})
 
-    return run
+    return tidy(run)
 
 
 def ranks(staged: DataFrame, kind: str) -> np.ndarray:
@@ -312,7 +320,7 @@ def _write(folder: str, kind: str, table):
                 }
             )
 
-    return run
+    return tidy(run)
 
 
 def _read(folder: str, table, shaped):
@@ -341,7 +349,7 @@ def _read(folder: str, table, shaped):
                         )
                         start += n_ids
 
-    return run
+    return tidy(run)
 
 
 def write(staged: DataFrame, kind: str, folder: str) -> tuple[DataFrame, np.ndarray]:

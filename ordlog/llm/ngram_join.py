@@ -53,6 +53,7 @@ NEED, OF = 75, 100  # share of the union that must be common
 SPARE = 10  # percent of a set by which the first filter's prefixes are longer than need be
 CHUNK = 1 << 20  # shingles a task gathers before it deals them
 ROWS = 1 << 17  # rows a task hands on at once
+BROADCAST_IDS = 2_000_000  # numbers of 8 bytes, some 50 MB as a hash table
 HOT_CLASSES = 1000  # a class with more than one of so many rows is large; no more are
 STEP = np.log(OF / NEED)
 
@@ -522,8 +523,12 @@ def _rest(members: DataFrame, labels: DataFrame, kept: DataFrame, compared: int)
     # a family is cut by size into strips first, its documents are never in one place
     strip = F.floor(F.log("n") / F.lit(float(STEP)) + F.lit(1e-9)).cast("int")
     place = Window.partitionBy("family", "strip", "share").orderBy("label", "n", "cls")
-    share = F.pmod(F.xxhash64("label"), F.lit(64))
-    placed = docs.withColumn("strip", strip).withColumn("share", share)
+    # the documents of a large component are dealt over as many shares as fill a block each
+    sizes = docs.groupBy(F.col("label").alias("_label")).agg(F.count("*").alias("_docs"))
+    sized = docs.join(sizes, F.col("label") == F.col("_label")).drop("_label")
+    parts = F.greatest(F.ceil(F.col("_docs") / compared), F.lit(1))
+    share = F.concat_ws("-", F.pmod(F.xxhash64("label"), F.lit(64)), F.pmod(F.xxhash64("cls"), parts))
+    placed = sized.withColumn("strip", strip).withColumn("share", share).drop("_docs")
     placed = placed.withColumn("block", F.floor((F.row_number().over(place) - 1) / compared))
     placed = stage(placed.withColumn("block", F.concat_ws(".", "strip", "share", "block")), "placed")
     blocks = placed.groupBy("family", "block").agg(
@@ -582,7 +587,8 @@ def linked_classes(
     some = stage(some.select("d1", "d2", "rep", "n", F.monotonically_increasing_id().alias("cls")), "survivors")
     n_some = some.count()
 
-    ids = _few(some.select(F.col("rep").alias("_rep")).distinct(), n_some)
+    ids = some.select(F.col("rep").alias("_rep")).distinct()
+    ids = F.broadcast(ids) if n_some <= BROADCAST_IDS else ids
     again = read.join(ids, F.col("id").eqNullSafe(F.col("_rep")), "left_semi").select("text")
     sets = again.mapInArrow(tidy(_whole_sets), "d1 bigint, d2 bigint, tokens binary")
     sets = stage(sets.join(_few(some, n_some), ["d1", "d2"]).select("cls", "n", "tokens"), "sets")
@@ -672,11 +678,14 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     have none, one row of each set of shingles stays."""
     rows, linked = linked_classes(docs, doc_id, text)
     of = _components(rows, linked)
-    found = _classified(rows, of).select("id", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("c"))
-    keep = stage(found.filter("id = c").groupBy(F.col("id").alias("_kept")).agg(F.count("*").alias("_rows")), "keep")
-    n = keep.count()
-    out = docs.join(_few(keep.select("_kept"), n), F.col(doc_id) == F.col("_kept"), "left_semi")
-    again = keep.filter("_rows > 1").select("_kept")
+    own = F.when(F.col("n") > 0, F.col("component") == F.col("id")).otherwise(True)
+    found = _classified(rows, of).filter("id is not null").groupBy(F.col("id").alias("_kept"))
+    # ids of which no text stays; far fewer than those that stay
+    found = stage(found.agg(F.max(own).alias("_own"), F.count("*").alias("_rows")), "kept-ids")
+    gone = found.filter("not _own").select("_kept")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    out = docs.filter(F.col(doc_id).isNotNull()).join(gone, F.col(doc_id) == F.col("_kept"), "left_anti")
+    again = found.filter("_own and _rows > 1").select("_kept")
     if again.limit(1).count():
         repeats = F.col(doc_id) == F.col("_kept")
         once = out.join(again, repeats, "left_semi").withColumn("_same", F.xxhash64(text)).dropDuplicates([doc_id, "_same"])

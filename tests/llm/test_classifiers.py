@@ -104,6 +104,28 @@ def test_pairs_are_learned_that_no_sum_of_weights_can_tell():
     assert pair > 0.2
 
 
+def test_a_pair_of_words_that_are_as_common_in_clean_texts_is_learned():
+    insult, group, other, rng = 11, 22, 33, np.random.default_rng(3)
+    chance = 1 / np.arange(1, 3001)
+    words = lambda: {*(1000 + rng.choice(3000, 60, p=chance / chance.sum())).tolist()}
+    docs, label = [], []
+    for k in range(6000):
+        for extra, toxic in (({insult, group} if k < 230 else {other}, 1), ([{insult}, {group}, set()][min(2, k // 230)], 0)):
+            docs.append(np.array(sorted(words() | extra)))
+            label.append(float(toxic))
+    for word in (insult, group):
+        assert len({sum(word in d for d, t in zip(docs, label) if t == toxic) for toxic in (0, 1)}) == 1
+    model = toxicity.fit(docs, np.array(label), np.ones(len(docs)))
+
+    def share(extra):
+        texts = [np.array(sorted(words() | extra)) for _ in range(100)]
+        row = np.repeat(np.arange(100), [len(t) for t in texts])
+        return np.mean(toxicity.sigmoid(model.raw(100, row, np.concatenate(texts))) >= 0.5)
+
+    assert share({insult, group}) > 0.9 and share({other}) > 0.9
+    assert max(share({insult}), share({group}), share(set())) < 0.05
+
+
 def test_score_is_the_sum_over_pairs():
     rng = np.random.default_rng(2)
     place = np.full(1 << toxicity.BITS, -1, np.int32)

@@ -10,7 +10,8 @@ more than one block's automaton of bounded size: a larger benchmark is scanned f
 several passes, each adding to what the passes before it found.
 
 Nulls and empty texts have no words, so nothing is found in them; items without words are
-passed over. Rows are treated one by one: ties, repeated rows and repeated ids don't meet.
+passed over. Items with a null id count like others and their hits are cut, but they have no
+name: the items of a document leave them out. Rows are treated one by one: ties, repeated rows and repeated ids don't meet.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ FOUND = T.StructType(
 class Automaton:
     """Suffix automaton of several sequences of word ids."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
         self.window = window
         vocabulary = sorted({w for _, ws in items for w in ws})
         self.words = vocabulary
@@ -54,7 +55,7 @@ class Automaton:
             last = 0
             for symbol in sequence:
                 last = self._extend(last, symbol)
-                self.ends.setdefault(last, set()).add(name)
+                self.ends.setdefault(last, set()).update(_named(name))
         self._index(sequences)
         self._arrays(vocabulary, sequences)
 
@@ -104,7 +105,7 @@ class Automaton:
             if self.length[p] >= n:
                 self.of_window.setdefault(p, set()).update(names)
         # the states above a window's state hold the same window in other contexts
-        self.short: dict[int, list[tuple[int, str]]] = {}
+        self.short: dict[int, list[tuple[int, str | None]]] = {}
         for name, sequence in sequences:
             if len(sequence) < n:
                 state = 0
@@ -174,7 +175,7 @@ class Automaton:
             while p > 0:
                 for size, name in self.short.get(p, ()):
                     if size <= reach:
-                        yield i + 1 - size, i + 1, [name]
+                        yield i + 1 - size, i + 1, _named(name)
                 below = self.length[self.link[p]]
                 if below < n <= reach:
                     yield i + 1 - n, i + 1, sorted(self.of_window.get(p, ()))
@@ -183,6 +184,10 @@ class Automaton:
                 p, reach = self.link[p], below
 
 
+def _named(name: str | None) -> list[str]:
+    return [] if name is None else [name]
+
+
 def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
     out: list[list[int]] = []
     for a, b in sorted(spans):
@@ -267,7 +272,7 @@ def _blocks(items: DataFrame, item_id: str, text: str, block_words: int):
     rows = items.select(F.col(item_id).cast("string"), F.col(text))
     for name, value in rows.toLocalIterator():
         found = next(words.split_texts(pa.array([value], pa.string()), words.ALNUM), None)
-        if found is None or name is None or not len(found[2].hashes):
+        if found is None or not len(found[2].hashes):
             continue
         block.append((name, [found[2].text(i) for i in range(len(found[2].hashes))]))
         size += len(block[-1][1])

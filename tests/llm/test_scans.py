@@ -90,6 +90,40 @@ def test_nasty_rows_and_names_in_the_way(spark, nasty, none):
     assert decontamination.report(nasty, items.limit(0)).filter("n_hit > 0").count() == 0
 
 
+@pytest.mark.parametrize("block_words", [1, 1000])
+def test_items_with_a_null_id_are_hit_and_cut_but_not_named(spark, docs, block_words):
+    long = "one two three four five six"
+    items = spark.createDataFrame([(None, long), (None, "x y"), ("7", "p q r"), (None, "p q r")], "item_id string, text string")
+    texts = [f"a {long} b", "a b x y c", "p q r s t u v", "a b c", "one two three"]
+    got = sorted(map(tuple, decontamination.report(docs(texts), items, window=4, block_words=block_words).collect()))
+    sha = lambda names: hashlib.sha256(names.encode()).hexdigest()
+    assert got == [
+        (0, 8, 6, 0, sha(""), True),
+        (1, 5, 2, 0, sha(""), True),
+        (2, 7, 3, 1, sha("7"), True),
+        (3, 3, 0, 0, sha(""), False),
+        (4, 3, 0, 0, sha(""), False),
+    ]
+    cut = decontamination.decontaminate(docs(texts), items, window=4, block_words=block_words, max_coverage=0.9)
+    assert {r.doc_id: r.text for r in cut.collect()} == {0: "a  b", 1: "a b  c", 2: " s t u v", 3: "a b c", 4: texts[4]}
+
+
+def test_null_ids_agree_with_the_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from ordlog.llm import queries
+
+    # every third item has no id; the hits are those of all
+    items = spark.read.parquet(small("benchmark")).selectExpr("if(item_id % 3 = 0, null, item_id) as item_id", "text")
+    items.write.parquet(str(tmp_path / "benchmark"))
+    items, texts = spark.read.parquet(str(tmp_path / "benchmark")), spark.read.parquet(small("documents"))
+    connection = duckdb.connect()
+    connection.execute(f"create view documents as select * from '{small('documents')}'")
+    connection.execute(f"create view benchmark as select * from '{tmp_path}/benchmark/*.parquet'")
+    want = connection.execute(queries.SQL["op6_decontamination"]).fetchall()
+    assert sorted(map(tuple, decontamination.report(texts, items).collect()), key=repr) == sorted(want, key=repr)
+    assert any(r[5] and not r[3] for r in want)
+
+
 def test_cutting(spark, docs):
     items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id int, text string")
     texts = [

@@ -34,7 +34,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The files' documents: doc_id, start, n_tokens and ids_crc32."""
-    return token_files.report(docs, public_tokenizers.path("word_bpe_49k.json"), spaced=True)
+    return token_files.report(docs, public_tokenizers.path("word_bpe_49k.json"), spaced=True, special=True)
 
 
 STAGES = [

@@ -169,7 +169,7 @@ from docs left join words using (doc_id) left join found using (doc_id)
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     # of this vocabulary: lower case, white space dropped
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return token_files.report(table(spark, folder, "documents"), tokenizer, spaced=True)
+    return token_files.report(table(spark, folder, "documents"), tokenizer, spaced=True, special=True)
 
 
 @query

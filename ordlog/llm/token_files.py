@@ -17,6 +17,9 @@ writes one file under a name of its own attempt. Which files count is written do
 Spark's own commit, so the files of lost or repeated attempts are never read. Only the
 table of ranks, of the vocabulary's size, and one row for each file pass the driver.
 
+The name of an added token in a text, such as <|endoftext|>, is either text like any other
+or, with ``special``, that token's one id, as the tokenizer has it by default.
+
 Null and empty texts have no ids but the end id. Null document ids come first. Rows with
 the same id follow each other in an order that is not fixed; every row is written.
 """
@@ -61,13 +64,19 @@ class _Pieces:
     """Ids of pieces of text that the tokenizer treats apart from what stands around them.
 
     Pieces are known by two 64-bit hashes, without regard to the case of A-Z. Their ids lie
-    one behind the other in one array, so the ids of many pieces are one gather."""
+    one behind the other in one array, so the ids of many pieces are one gather.
+
+    ``special``: added tokens named in a text are tokens. Their names are matched before a
+    text is lower-cased, so pieces that hold one are encoded apart, as they are written."""
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, special: bool = False):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are text
+        self.tokenizer.encode_special_tokens = True  # their names in a piece are text
+        self.as_is = Tokenizer.from_file(path) if special else self.tokenizer
+        added = self.tokenizer.get_added_tokens_decoder().values() if special else ()
+        self.names = [t.content.encode() for t in added if t.content]
         self.to_model = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.kind = np.dtype(kind)
         self.clear()
@@ -83,6 +92,39 @@ class _Pieces:
     def whole(self, text: bytes) -> list[int]:
         return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
 
+    def written(self, text: bytes) -> list[int]:
+        """Ids of a text as it is written, with the added tokens that it names."""
+        return self.as_is.encode(text.decode(), add_special_tokens=False).ids
+
+    def _naming(self, w: words.Words) -> list[int]:
+        """The words that hold the name of an added token, in rising order."""
+        found: set[int] = set()
+        raw = w.data.tobytes() if self.names else b""
+        for name in self.names:
+            at = raw.find(name)
+            while at >= 0:
+                i = int(np.searchsorted(w.begin, at, "right")) - 1
+                if i >= 0 and at + len(name) <= w.end[i]:  # not across rows
+                    found.add(i)
+                at = raw.find(name, at + 1)
+        return sorted(found)
+
+    def encode_named(self, w: words.Words) -> tuple[np.ndarray, np.ndarray]:
+        """``encode``, and added tokens where the words name them."""
+        ids, size = self.encode(w)
+        naming = self._naming(w)
+        if not naming:
+            return ids, size
+        stop, held, parts, last = np.cumsum(size), {}, [], 0
+        for i in naming:
+            piece = w.data[w.begin[i] : w.end[i]].tobytes()
+            if piece not in held:
+                held[piece] = np.array(self.written(piece), self.kind)
+            parts += [ids[last : stop[i] - size[i]], held[piece]]
+            last = stop[i]
+        size[naming] = [len(x) for x in parts[1::2]]
+        return np.concatenate([*parts, ids[last:]]), size
+
     def _stem(self, stem: bytes) -> list[int]:
         """Ids of a run of letters. Plain ones reach the model's merges directly."""
         ids = self.stems.get(stem)
@@ -150,8 +192,8 @@ class _Pieces:
 
 
 @lru_cache(maxsize=2)
-def _pieces(path: str, kind: str) -> _Pieces:
-    return _Pieces(path, kind)
+def _pieces(path: str, kind: str, special: bool = False) -> _Pieces:
+    return _Pieces(path, kind, special)
 
 
 def _id_kind(path: str, end_id: int) -> str:
@@ -161,9 +203,9 @@ def _id_kind(path: str, end_id: int) -> str:
     return "<u2" if largest < 1 << 16 else "<u4"
 
 
-def _tokenise(doc_id: str, text: str, path: str, kind: str, spaced: bool, end_id: int):
+def _tokenise(doc_id: str, text: str, path: str, kind: str, spaced: bool, end_id: int, special: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(path, kind)
+        pieces = _pieces(path, kind, special)
         end = np.array([end_id], kind).tobytes()
         press = zstandard.ZstdCompressor(level=3).compress
         width = np.dtype(kind).itemsize
@@ -174,12 +216,12 @@ def _tokenise(doc_id: str, text: str, path: str, kind: str, spaced: bool, end_id
                 raw = data[at[i] : at[j]]
                 if spaced:
                     w = words.split(raw, first, words.SPACED)
-                    ids, size = pieces.encode(w)
+                    ids, size = pieces.encode_named(w)
                     stop = np.concatenate([[0], np.cumsum(size)])[w.at]
                     rows = [ids[a:b].tobytes() for a, b in zip(stop[:-1].tolist(), stop[1:].tolist())]
                 else:
                     texts = [raw[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
-                    rows = [np.array(pieces.whole(t), kind).tobytes() for t in texts]
+                    rows = [np.array(pieces.written(t), kind).tobytes() for t in texts]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "id": batch.column(doc_id).slice(i, j - i).cast(pa.int64()),
@@ -199,15 +241,18 @@ def tokens(
     text: str = "text",
     spaced: bool = False,
     end_id: int = END_ID,
+    special: bool = False,
 ) -> tuple[DataFrame, str]:
     """Staged ids of each document, zstd-packed, and their numpy type.
 
     ``spaced``: the tokenizer drops white space, no token spans it, and lower-cased runs
     of letters are one piece before its merges. Then each piece between white space is
-    encoded once for a worker, not once for each place where it stands."""
+    encoded once for a worker, not once for each place where it stands.
+
+    ``special``: the name of an added token in a text is that token, not text."""
     small_batches(docs.sparkSession)
     kind = _id_kind(tokenizer, end_id)
-    run = _tokenise(doc_id, text, tokenizer, kind, spaced, end_id)
+    run = _tokenise(doc_id, text, tokenizer, kind, spaced, end_id, special)
     ids = docs.select(doc_id, text).mapInArrow(run, "id bigint, n bigint, ids binary")
     path = workspace.fresh(docs.sparkSession, "token-ids")
     ids.write.option("compression", "none").parquet(path)  # they are packed already

@@ -72,6 +72,34 @@ def test_pieces_are_encoded_as_whole_texts_are(docs, tokenizer):
         assert got == want(rows, tokenizer)
 
 
+NAMED = [
+    "hello <|endoftext|> world",
+    "A<|endoftext|>B it'<|startoftext|>S Ünï<|startoftext|><|endoftext|>. <|ENDOFTEXT|> <|endoftext |>",
+    "ends in <|endof",
+    "text|> begins so <|endoftext|>",
+    "<|endoftext|>",
+    "x<|endoftext|>\u3000Y \t<|endoftext|>\n",
+]
+
+
+def test_names_of_added_tokens_are_tokens_as_by_default(spark, docs, tmp_path):
+    from tokenizers import Tokenizer
+
+    default = Tokenizer.from_file(WORD_BPE)
+    assert 49407 in default.encode(NAMED[0], add_special_tokens=False).ids
+    table = docs(TRICKY + NAMED + [None]).coalesce(1)
+    wanted = want([(r.doc_id, r.text) for r in table.collect()], default)
+    for spaced in (True, False):
+        got = token_files.report(table, WORD_BPE, spaced=spaced, special=True).collect()
+        assert sorted(map(tuple, got)) == wanted
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    import corpus_pipeline
+    from ordlog.llm import queries
+
+    assert sorted(map(tuple, queries.op7_token_files(spark, str(tmp_path)).collect())) == wanted
+    assert sorted(map(tuple, corpus_pipeline.token_ids(spark, table, str(tmp_path)).collect())) == wanted
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.sampled_from("aB'é.,!s \t1_ßİé "), max_size=20))
 def test_pieces_of_any_text(text):

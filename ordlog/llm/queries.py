@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 from ordlog import workspace
 from ordlog.llm import (
     decontamination,
+    fill_in_middle,
     inner_products,
     language,
     licenses,
     mixing,
     ngram_join,
+    packing,
     quality,
     token_counts,
     token_files,
     toxicity,
+    vector_codes,
 )
 from ordlog.llm.shared import table
 
@@ -243,3 +246,91 @@ with counted as (
 select source, lang, tokenizer, count(*) as docs, cast(sum(tokens) as bigint) as tokens
 from versions group by source, lang, tokenizer
 """
+
+
+@query
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.report(table(spark, folder, "documents"), tokenizer, spaced=True, special=True)
+
+
+@query
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.report(table(spark, folder, "embeddings"))
+
+
+def _rounds(n: int) -> str:
+    """Assignments and averages one after the other, as tables assigned_0, book_1, ..."""
+    steps = []
+    for r in range(n + 1):
+        steps.append(f"""
+assigned_{r} as materialized (
+  select vec_id, label, parts.p, parts.x, cast(min((list_dot_product(parts.x, parts.x)
+    - 2 * list_dot_product(parts.x, book_{r}.x) + list_dot_product(book_{r}.x, book_{r}.x)) * 16 + e) as bigint) as found
+  from parts join book_{r} on parts.p = book_{r}.p group by all
+)""")
+        if r < n:
+            steps.append(f"""
+moved_{r} as (
+  select p, e, list(v order by place) as x from (
+    select p, e, place, floor(sum(v) / count(*)) as v
+    from (select p, found % 16 as e, generate_subscripts(x, 1) as place, unnest(x) as v from assigned_{r}) group by all
+  ) group by all
+), book_{r + 1} as materialized (
+  select * from moved_{r} union all select p, e, x from book_{r} anti join moved_{r} using (p, e)
+)""")
+    return ",".join(steps)
+
+
+SQL["op12_vector_codes"] = f"""
+with vectors as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(4096 * cast(x as double))) as v,
+    row_number() over (order by vec_id) - 1 as nth
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as materialized (
+  select vec_id, label, nth, p, v[p * len(v) // 8 + 1 : (p + 1) * len(v) // 8] as x from vectors, range(8) parts(p)
+), book_0 as materialized (select p, nth as e, x from parts where nth < 16),{_rounds(6)},
+coded as (
+  select vec_id, label, string_agg(printf('%02x', found % 16), '' order by p) as code,
+    cast(sum(found // 16) as bigint) as error
+  from assigned_6 group by all
+), entries as (
+  select sha256(string_agg(array_to_string(list_transform(x, lambda v: cast(v as bigint)), ','), ',' order by p, e))
+    as codebooks_sha256
+  from book_6
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from coded, entries
+"""
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_in_middle.report(table(spark, folder, "documents"))
+
+
+SQL["op13_fill_in_middle"] = """
+with units as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+    sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h
+  from documents
+), drawn as (
+  select *, len(u) as n, list_transform(range(4), lambda k: cast('0x' || h[8 * k + 1 : 8 * k + 8] as bigint)) as d
+  from units
+), placed as (
+  select *, least(d[1] % (n + 1), d[2] % (n + 1)) as a, greatest(d[1] % (n + 1), d[2] % (n + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or d[3] % 100 >= 90
+      then 'plain' when d[4] % 100 < 20 then 'spm' else 'psm' end as form
+  from drawn
+), pieces as (
+  select *, array_to_string(u[1:a], '') as pre, array_to_string(u[a + 1 : b], '') as mid, array_to_string(u[b + 1 :], '') as suf
+  from placed
+)
+select doc_id, n, form, case when form <> 'plain' then length(pre) end as prefix_chars,
+  case when form <> 'plain' then length(mid) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+    else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+  sha256(text) as restored_sha256
+from pieces
+"""

@@ -233,6 +233,13 @@ def _tokenise(doc_id: str, text: str, path: str, kind: str, spaced: bool, end_id
     return tidy(run)
 
 
+def encoder(path: str, doc_id: str, text: str, *, spaced: bool, end_id: int, special: bool):
+    """A mapInArrow function from these two columns to id, n and zstd-packed ids of each
+    document, and the ids' numpy type; options as for ``tokens``."""
+    kind = _id_kind(path, end_id)
+    return _tokenise(doc_id, text, path, kind, spaced, end_id, special), kind
+
+
 def tokens(
     docs: DataFrame,
     tokenizer: str,
@@ -251,8 +258,7 @@ def tokens(
 
     ``special``: the name of an added token in a text is that token, not text."""
     small_batches(docs.sparkSession)
-    kind = _id_kind(tokenizer, end_id)
-    run = _tokenise(doc_id, text, tokenizer, kind, spaced, end_id, special)
+    run, kind = encoder(tokenizer, doc_id, text, spaced=spaced, end_id=end_id, special=special)
     ids = docs.select(doc_id, text).mapInArrow(run, "id bigint, n bigint, ids binary")
     path = workspace.fresh(docs.sparkSession, "token-ids")
     ids.write.option("compression", "none").parquet(path)  # they are packed already

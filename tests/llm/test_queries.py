@@ -44,6 +44,6 @@ def test_one_row_for_each_document(spark, name):
 
 
 def test_there_is_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(contract.queries())
     assert set(queries.SQL) <= set(contract.oracle_sql())

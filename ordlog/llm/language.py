@@ -2,8 +2,7 @@
 
 The kernel of two texts is the number of n-grams of 1 to 3 characters (a blended spectrum)
 that both have, whether once or often, over the geometric mean of the numbers each has.
-Characters are lower-cased; those of the alphabet seen in training are told apart, other
-letters are one symbol and all else is one blank.
+Characters are lower-cased; every letter is told apart, all else is one blank.
 
 Some training texts of each language are landmarks (Nystroem): a text becomes its kernels
 with the landmarks, times the inverse root of the landmarks' own kernel matrix. On these
@@ -11,14 +10,23 @@ features one ridge regression for each language separates it from all others. Te
 scored a batch at a time: a 0/1 matrix of n-grams times the landmarks' n-grams, divided by
 the norms, times the weights.
 
-Training takes at most about ``PER_LANGUAGE`` documents of a language, drawn by a hash of
-their id, none longer than ``LONGEST`` bytes; they and the model pass the driver. All else
-runs where the rows are.
+The regressions say which language is the most likely one, not whether it is one of them:
+of L languages the best always has 1/L or more. Whether a text is like anything learned is
+seen from its n-grams: the share of them that any landmark has. It must be nearer to the share
+of the training texts (landmarks judged by the other landmarks) than to that of the same
+texts with their characters in random order, less what chance does to a short text.
+
+Training takes about ``PER_LANGUAGE`` documents of a language, and ``TRAINED`` of all
+languages, drawn by a hash of their id; of a document longer than ``PASSAGE`` characters a
+passage of that length at a place drawn by the hash. They and the model pass the driver. All
+else runs where the rows are and reads whole texts.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is everything if there
 is nothing to learn from. Documents with a null id are not learned from and not held out.
 Ties between languages go to the first by name. Very long texts are scored whole, one at a
-time. Rows are treated one by one, so repeated rows and ids don't meet.
+time. Rows are treated one by one, so repeated rows and ids don't meet; an empty table gives
+an empty one. Other columns stay as they are, whatever their names: what is found goes by a
+name that no column has, unless the caller names it.
 """
 
 from __future__ import annotations
@@ -34,112 +42,126 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordlog.llm.shared import small_batches, tidy
+from ordlog.llm.shared import BROADCAST_ROWS, free_name, small_batches, tidy
 
 PER_LANGUAGE = 600
+TRAINED = 20_000
+PASSAGE = 5_000
 LANDMARKS = 32  # of each language
-LONGEST = 20_000
-ALPHABET = 120
+ALL_LANDMARKS = 1024
 RIDGE = 1e-3
 BATCH = 128
+PIECE = 1 << 20  # characters looked at once
+LEAST = 0.01  # so many of the training texts may have a lower share of known n-grams
+SLACK = 2  # standard deviations
 UNKNOWN = "und"
 
+_BITS = 21  # of a code point
+_BLANK, _FIRST = 1, 2
+
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
-def _code_points(text: str) -> np.ndarray:
-    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-
-
-class Grams:
-    """Distinct n-grams of texts over an alphabet: 0 a blank, 1 another letter."""
-
-    def __init__(self, alphabet: str):
-        self.alphabet = alphabet
-        self.size = size = len(alphabet) + 2
-        self.total = size + size**2 + size**3
+def symbols(text: str) -> np.ndarray:
+    """A number for each character: its own for a letter, one for all else."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.where(_letters()[points], points + np.uint32(_FIRST), np.uint32(_BLANK)).astype(np.int64)
 
-    def __getstate__(self):
-        return self.alphabet
 
-    def __setstate__(self, alphabet):
-        self.__init__(alphabet)
+def _distinct(s: np.ndarray) -> np.ndarray:
+    two = s[:-1] << _BITS | s[1:]
+    return np.unique(np.concatenate([s, two, two[:-1] << _BITS | s[2:]]))
 
-    def symbols(self, text: str) -> np.ndarray:
-        if not hasattr(self, "symbol"):
-            self.symbol = _letters().astype(np.int32)
-            for i, c in enumerate(self.alphabet):
-                self.symbol[ord(c)] = i + 2
-            self.seen = np.zeros(self.total, np.int32)
-        return self.symbol[_code_points(text)]
 
-    def distinct(self, symbol: np.ndarray) -> np.ndarray:
-        a, n = symbol, self.size
-        two = a[:-1] * n + a[1:]
-        every = np.concatenate([a, two + n, two[:-1] * n + a[2:] + (n + n * n)])
-        number = np.arange(len(every), dtype=np.int32)
-        self.seen[every] = number  # the last place of each stays
-        return every[self.seen[every] == number]
+def grams(text: str) -> np.ndarray:
+    """The distinct n-grams of a text, sorted; none if it has no letter."""
+    pieces = [symbols(text[a : a + PIECE + 2]) for a in range(0, len(text), PIECE)]
+    if not any((s != _BLANK).any() for s in pieces):
+        return np.empty(0, np.int64)
+    found = [_distinct(s) for s in pieces]
+    return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
 
 
 @dataclass
 class Model:
-    grams: Grams
     languages: list[str]
-    column: np.ndarray  # of each n-gram of the landmarks, -1 for others
-    landmarks: np.ndarray  # n-grams x landmarks, 0/1
+    kinds: np.ndarray  # the landmarks' n-grams, sorted
+    landmarks: np.ndarray  # n-grams x landmarks, a bit each
     norms: np.ndarray
     weights: np.ndarray  # landmarks and a constant x languages
-
-    def present(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """0/1 matrix of the landmarks' n-grams in some texts, and the texts' norms."""
-        out = np.zeros((len(rows), len(self.landmarks)), np.float32)
-        for i, grams in enumerate(rows):
-            at = self.column[grams]
-            out[i, at[at >= 0]] = 1
-        return out, np.sqrt([max(1, len(g)) for g in rows])
-
-    def kernel(self, rows: list[np.ndarray]) -> np.ndarray:
-        present, norms = self.present(rows)
-        return (present @ self.landmarks) / (norms[:, None] * self.norms)
-
-    def decide(self, rows: list[np.ndarray]) -> np.ndarray:
-        kernel = self.kernel(rows)
-        return kernel @ self.weights[:-1] + self.weights[-1]
+    least: float = 0.0  # share of a long text's n-grams that landmarks have at least
+
+    def places(self, row: np.ndarray) -> np.ndarray:
+        """Where those of a text's n-grams stand that a landmark has."""
+        at = np.minimum(np.searchsorted(self.kinds, row), len(self.kinds) - 1)
+        return at[self.kinds[at] == row]
+
+    def kernel(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Kernels of some texts with the landmarks, and the shares that landmarks have."""
+        at = [self.places(r) for r in rows]
+        columns, which = np.unique(np.concatenate(at), return_inverse=True)
+        sizes = np.array([len(a) for a in at])
+        present = np.zeros((len(rows), len(columns)), np.float32)
+        present[np.repeat(np.arange(len(rows)), sizes), which] = 1
+        theirs = np.unpackbits(self.landmarks[columns], axis=1, count=len(self.norms)).astype(np.float32)
+        n = np.maximum(1, [len(r) for r in rows])
+        return (present @ theirs) / (np.sqrt(n)[:, None] * self.norms), sizes / n
+
+    def familiar(self, share: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Texts of n n-grams with this share of known ones that are like what was learned: a
+        character is in three of them, so a third of n are draws of their own."""
+        return share >= self.least - SLACK * np.sqrt(self.least * (1 - self.least) * 3 / n)
+
+    def decide(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        kernel, share = self.kernel(rows)
+        return kernel @ self.weights[:-1] + self.weights[-1], share
+
+
+def _judge(model: Model, texts: list[str], chosen: list[int], rows: list[np.ndarray]) -> float:
+    """The share of known n-grams that parts texts like the training texts from others."""
+    held = np.unpackbits(model.landmarks, axis=1, count=len(chosen)).sum(axis=1)
+    marks, draw = set(chosen), np.random.default_rng(0)
+    like, unlike = [], []
+    for i, text in enumerate(texts):
+        at = model.places(rows[i])
+        # a landmark's own n-grams count if another one has them too
+        like.append(((held[at] > 1).sum() if i in marks else len(at)) / len(rows[i]))
+        mixed = _distinct(draw.permutation(symbols(text)))
+        unlike.append(len(model.places(mixed)) / len(mixed))
+    low = float(np.quantile(like, LEAST))
+    return min(low, (low + float(np.median(unlike))) / 2)
 
 
 def fit(texts: list[str], languages: list[str]) -> Model | None:
     """A model from whole texts and their languages, in the order given."""
-    pairs = [(t, c) for t, c in zip(texts, languages) if any(ch.isalpha() for ch in t)]
+    pairs = [(t, c, g) for t, c in zip(texts, languages) if len(g := grams(t))]
     if not pairs:
         return None
-    texts, languages = [t for t, _ in pairs], [c for _, c in pairs]
+    texts, languages, rows = (list(x) for x in zip(*pairs))
     names = sorted(set(languages))
+    each = max(1, min(LANDMARKS, ALL_LANDMARKS // len(names)))
     chosen: list[int] = []
     taken: Counter = Counter()
     for i, language in enumerate(languages):
-        if taken[language] < LANDMARKS:
+        if taken[language] < each:
             taken[language] += 1
             chosen.append(i)
-    letters = Counter(c for i in chosen for c in texts[i].lower() if c.isalpha())
-    alphabet = sorted(letters, key=lambda c: (-letters[c], c))[:ALPHABET]
-    grams = Grams("".join(sorted(alphabet)))
-    rows = [grams.distinct(grams.symbols(t)) for t in texts]
     kinds = np.unique(np.concatenate([rows[i] for i in chosen]))
-    column = np.full(grams.total, -1, np.int32)
-    column[kinds] = np.arange(len(kinds))
-    model = Model(grams, names, column, np.zeros((len(kinds), len(chosen)), np.float32), np.ones(len(chosen)), np.zeros(0))
-    present, model.norms = model.present([rows[i] for i in chosen])
-    model.landmarks = np.ascontiguousarray(present.T)
-
-    own = model.kernel([rows[i] for i in chosen]).astype(np.float64)
+    marks = np.zeros((len(kinds), -(-len(chosen) // 8)), np.uint8)
+    for k, i in enumerate(chosen):
+        marks[np.searchsorted(kinds, rows[i]), k // 8] |= 128 >> k % 8
+    norms = np.sqrt([len(rows[i]) for i in chosen])
+    model = Model(names, kinds, marks, norms, np.zeros(0))
+    model.least = _judge(model, texts, chosen, rows)
+
+    own = model.kernel([rows[i] for i in chosen])[0].astype(np.float64)
     value, vector = np.linalg.eigh((own + own.T) / 2)
     keep = value > 1e-8 * value[-1]
     root = vector[:, keep] / np.sqrt(value[keep])
-    features = np.concatenate([model.kernel(rows[a : a + BATCH]) for a in range(0, len(rows), BATCH)]) @ root
+    features = np.concatenate([model.kernel(rows[a : a + BATCH])[0] for a in range(0, len(rows), BATCH)]) @ root
     target = np.where(np.array(languages)[:, None] == np.array(names), 1.0, -1.0)
     # each language counts alike, however many documents it has
     share = Counter(languages)
@@ -151,28 +173,30 @@ def fit(texts: list[str], languages: list[str]) -> Model | None:
     return model
 
 
-def _score(text: str, shared):
+def _score(text: str, shared, found: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             names = [UNKNOWN] * batch.num_rows
-            scores = np.zeros(batch.num_rows)
+            scores, known = np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
             values = batch.column(text)
             for a in range(0, batch.num_rows if model else 0, BATCH):
                 at, rows = [], []
-                for i, value in enumerate(values.slice(a, BATCH).to_pylist(), a):
-                    symbol = model.grams.symbols(value) if value else None
-                    if symbol is not None and symbol.any():
+                for i, value in enumerate(values.slice(a, BATCH), a):
+                    row = grams(value.as_py() or "")
+                    if len(row):
                         at.append(i)
-                        rows.append(model.grams.distinct(symbol))
+                        rows.append(row)
                 if rows:
-                    decision = model.decide(rows)
+                    decision, share = model.decide(rows)
                     best = decision.argmax(axis=1)
                     scores[at] = np.clip((decision[np.arange(len(at)), best] + 1) / 2, 0, 1)
+                    known[at] = model.familiar(share, np.array([len(r) for r in rows]))
                     for i, b in zip(at, best.tolist()):
                         names[i] = model.languages[b]
-            found = pa.StructArray.from_arrays([pa.array(names), pa.array(scores)], names=["lang", "score"])
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "found"])
+            columns = [pa.array(names, pa.string()), pa.array(scores), pa.array(known)]
+            struct = pa.StructArray.from_arrays(columns, names=["lang", "score", "familiar"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, found])
 
     return tidy(run)
 
@@ -184,39 +208,50 @@ def learned_from(doc_id: str) -> Column:
 def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", eligible: Column | None = None) -> Model | None:
     """Fit on documents drawn from the ``eligible`` ones (by default those that ids pick)."""
     rows = docs.filter((learned_from(doc_id) if eligible is None else eligible) & F.col(lang).isNotNull())
-    rows = rows.filter(F.octet_length(text) <= LONGEST)
-    counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang)).count().collect()}
+    rows = rows.select(
+        F.xxhash64(doc_id).alias("hash"), F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")
+    ).filter("text is not null")
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    size = counts.agg(F.count("*")).first()[0]
+    each = min(PER_LANGUAGE, -(-TRAINED // max(1, size)))
+    chance = counts.select(F.col("lang").alias("of"), (F.lit(float(each)) / F.col("n")).alias("chance"))
+    chance = F.broadcast(chance) if size <= BROADCAST_ROWS else chance
     # a language's documents are drawn with the same chance, by a hash of the id
-    draw = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chance = F.lit(0.0)
-    for language, n in counts.items():
-        chance = F.when(F.col(lang) == language, PER_LANGUAGE / n).otherwise(chance)
-    drawn = rows.filter(draw < chance).select(F.col(text), F.col(lang), F.xxhash64(doc_id), F.col(doc_id)).collect()
+    draw = F.pmod("hash", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    begin = F.pmod(F.shiftright("hash", 30), F.greatest(F.char_length("text") - PASSAGE + 1, F.lit(1))) + 1
+    passage = F.substring("text", begin.cast("int"), F.lit(PASSAGE))
+    drawn = rows.join(chance, F.col("lang") == F.col("of")).filter(draw < F.col("chance"))
+    drawn = drawn.select(passage.alias("text"), "lang", "hash", "id").collect()
     drawn.sort(key=lambda r: (r[2], r[3], r[0]))
     unique = {r[0]: r[1] for r in reversed(drawn)}
     return fit(list(unique), list(unique.values()))
 
 
-def identify(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFrame:
-    """``docs`` with a struct ``found``: lang and score. A column ``found`` is replaced."""
+def identify(docs: DataFrame, model: Model | None, *, text: str = "text", found: str = "found") -> DataFrame:
+    """``docs`` with a struct of lang, score and familiar, named ``found``; a column of that
+    name is replaced."""
     small_batches(docs.sparkSession)
-    out = docs.drop("found")
-    found = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
-    schema = T.StructType([*out.schema.fields, T.StructField("found", found)])
-    return out.mapInArrow(_score(text, docs.sparkSession.sparkContext.broadcast(model)), schema)
+    out = docs.drop(found)
+    kind = T.StructType().add("lang", T.StringType()).add("score", T.DoubleType()).add("familiar", T.BooleanType())
+    schema = T.StructType([*out.schema.fields, T.StructField(found, kind)])
+    return out.mapInArrow(_score(text, docs.sparkSession.sparkContext.broadcast(model), found), schema)
 
 
 def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """For each document: doc_id, held_out, lang_pred and score (0 to 1)."""
     model = train(docs, doc_id=doc_id, text=text, lang=lang)
-    found = identify(docs.select(doc_id, text), model, text=text)
+    name = free_name(docs, "found")
+    found = identify(docs.select(doc_id, text), model, text=text, found=name)
     held_out = F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
-    return found.select(doc_id, held_out.alias("held_out"), F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+    lang_pred, score = F.col(name)["lang"].alias("lang_pred"), F.col(name)["score"].alias("score")
+    return found.select(doc_id, held_out.alias("held_out"), lang_pred, score)
 
 
-def recognised(docs: DataFrame, *, min_score: float = 0.5, **columns) -> DataFrame:
-    """The documents whose language is recognised with at least ``min_score``."""
+def recognised(docs: DataFrame, *, min_score: float = 0.0, **columns) -> DataFrame:
+    """The documents that are like what was learned of some language, and whose language is
+    recognised with at least ``min_score``. All columns stay as they are."""
     model = train(docs, **columns)
-    text = columns.get("text", "text")
-    found = identify(docs, model, text=text)
-    return found.filter((F.col("found.lang") != UNKNOWN) & (F.col("found.score") >= min_score)).drop("found")
+    name = free_name(docs, "found")
+    found = identify(docs, model, text=columns.get("text", "text"), found=name)
+    good = F.col(name)["familiar"] & (F.col(name)["score"] >= min_score)
+    return found.filter(good).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -30,6 +30,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one made from it that no column of the table has in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def small_batches(spark: SparkSession) -> None:
     """Texts reach Python in batches of BATCH_BYTES, unless the session has a limit of its own."""
     if spark.conf.get(_BATCH) == _DEFAULT_BATCH:

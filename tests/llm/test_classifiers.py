@@ -42,17 +42,28 @@ def test_what_is_held_out_does_not_enter(larger):
 
 
 def test_kernel_is_what_it_says():
-    grams = language.Grams("abc")
-    texts = ["abcab", "Abc!", "zzz a", "b"]
+    texts = ["abcab", "Abc!", "zzz a", "b", "\u4e00\u4e01 \u4e00", "x" * 9, "é \U0001f642 É"]
     sets = []
     for t in texts:
-        s = ["abc".index(c) + 2 if c in "abc" else int(c.isalpha()) for c in t.lower()]
+        s = [c if c.isalpha() else " " for c in t.lower()]
         sets.append({tuple(s[i : i + n]) for n in (1, 2, 3) for i in range(len(s) - n + 1)})
-    found = [set(grams.distinct(grams.symbols(t)).tolist()) for t in texts]
+    found = [set(language.grams(t).tolist()) for t in texts]
     assert [len(f) for f in found] == [len(s) for s in sets]
     for i in range(len(texts)):
         for j in range(len(texts)):
             assert len(found[i] & found[j]) == len(sets[i] & sets[j])
+    model = language.fit(texts, list("abababa"))
+    kernel, share = model.kernel([language.grams(t) for t in texts])
+    for i, x in enumerate(sets):
+        assert kernel[i] == pytest.approx([len(x & y) / np.sqrt(len(x) * len(y)) for y in sets])
+    assert share == pytest.approx(np.ones(len(texts)))
+
+
+def test_long_texts_are_read_piece_by_piece(monkeypatch):
+    text = "Der schnelle Fuchs, the lazy dog 東京 " * 40
+    whole = language.grams(text)
+    monkeypatch.setattr(language, "PIECE", 7)
+    assert language.grams(text).tolist() == whole.tolist()
 
 
 def test_texts_without_letters(nasty, none):
@@ -64,8 +75,47 @@ def test_texts_without_letters(nasty, none):
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
 
 
+RUSSIAN = "Съешь же ещё этих мягких французских булок, да выпей чаю. Широкая электрификация южных губерний"
+JAPANESE = "いろはにほへと ちりぬるを わかよたれそ つねならむ うゐのおくやま けふこえて あさきゆめみし"
+JUNK = "xkcd qwrt zzpf bnmk lkjh gfds wrtp mnbv cxzq plkj hgfd tzrw qpwl vbnm kkjj ssdd ffgg hhjj zxcv"
+
+
+def test_what_was_never_learned_goes(spark, larger):
+    strange = [(-1, RUSSIAN), (-2, JAPANESE), (-3, JUNK), (-4, RUSSIAN[:12]), (-5, RUSSIAN * 200), (-6, "123 ..."), (-7, None)]
+    words = {r.lang: " ".join(r.text.split()[3:7]) for r in larger.filter("lang is not null").collect() if len(r.text.split()) > 20}
+    short = [(-100 - k, t) for k, t in enumerate(sorted(words.values()))]
+    rows = spark.createDataFrame([(i, t, None, "s", 0) for i, t in strange + short], larger.schema)
+    kept = {r.doc_id for r in language.recognised(larger.unionByName(rows)).collect()}
+    assert not kept & {i for i, _ in strange}
+    assert kept >= {i for i, _ in short} | {r.doc_id for r in larger.collect()}
+
+
+def test_languages_of_large_scripts_are_told_apart(spark):
+    rng = np.random.default_rng(5)
+    text = lambda first: "".join(chr(first + c) for c in rng.integers(0, 900, 400))
+    rows = [(i, text(0x4E00 if i % 2 else 0x5600), "ab"[i % 2], "s", 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = language.report(docs).collect()
+    assert all(r.lang_pred == "ab"[r.doc_id % 2] for r in got)
+
+
+def test_a_language_of_long_documents_only_is_learned(spark):
+    rows = [(i, f"der schnelle braune fuchs {i} " * 3000 if i % 2 else f"quick brown foxes jump {i} " * 5, "x" if i % 2 else "y") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = language.report(docs).collect()
+    assert all(r.lang_pred == ("x" if r.doc_id % 2 else "y") for r in got)
+
+
+def test_more_languages_than_are_broadcast_and_fewer_texts_of_each(spark, larger, monkeypatch):
+    monkeypatch.setattr(language, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(language, "TRAINED", 80)
+    lang = {r.doc_id: r.lang for r in larger.collect()}
+    got = language.report(larger).collect()
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in got if r.held_out]) > 0.95
+
+
 def test_rejects_go_and_the_columns_stay(nasty, real):
-    kept = language.recognised(real, min_score=0.3)
+    kept = language.recognised(real)
     assert kept.columns == real.columns and kept.count() >= real.count() - 2
     assert language.recognised(nasty).filter("text is null or trim(text) = ''").count() == 0
 

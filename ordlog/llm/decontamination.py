@@ -5,13 +5,19 @@ ASCII). The automaton holds every run of words of every item. A document's words
 streamed through it; after each word it knows the longest run that ends there and stands
 in some item. A run of ``window`` words, or a whole item of fewer, is a hit.
 
-Items are taken ``block_words`` words at a time, so neither the driver nor a task holds
-more than one block's automaton of bounded size: a larger benchmark is scanned for in
-several passes, each adding to what the passes before it found.
+Items are taken ``block_words`` words at a time, and an item is never split, so neither the
+driver nor a task holds more than one block's automaton: a larger benchmark is scanned for in
+several passes, one after the other. Each adds to what the passes before it found and is
+written down before the next one begins; its automaton is let go then, and so is what the
+pass before it wrote.
 
 Nulls and empty texts have no words, so nothing is found in them; items without words are
-passed over. Items with a null id count like others and their hits are cut, but they have no
-name: the items of a document leave them out. Rows are treated one by one: ties, repeated rows and repeated ids don't meet.
+passed over, and without items nothing is found. Items with a null id count like others and
+their hits are cut, but they have no name: the items of a document leave them out. Very long
+texts are streamed a piece of some megabytes, or one text, at a time. Rows are treated one by
+one: ties, repeated rows and repeated ids don't meet; an empty table gives an empty one. Other
+columns stay as they are, whatever their names: what is found goes by a name that no column
+has, unless the caller names it.
 """
 
 from __future__ import annotations
@@ -24,8 +30,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordlog import workspace
 from ordlog.llm import words
-from ordlog.llm.shared import small_batches, tidy
+from ordlog.llm.shared import free_name, tidy
 
 WINDOW = 10
 BLOCK_WORDS = 500_000  # some 200 MB of automaton in Python
@@ -231,7 +238,7 @@ def _found(counts: list, hits: list, items: list) -> pa.StructArray:
     return pa.StructArray.from_arrays(columns, names=FOUND.fieldNames())
 
 
-def _scan(text: str, model, first: bool, max_coverage: float | None):
+def _scan(text: str, model, first: bool, max_coverage: float | None, name: str):
     """Add what one block finds. Given ``max_coverage`` this is the last block: texts are cut,
     rows that are covered further go, and so does the column of finds."""
 
@@ -240,14 +247,14 @@ def _scan(text: str, model, first: bool, max_coverage: float | None):
         for batch in batches:
             counts, hits, items = _find(automaton, batch.column(text))
             if not first:
-                before = batch.column("found")
+                before = batch.column(name)
                 old_hits, old_items = before.field("hits").to_pylist(), before.field("items").to_pylist()
                 hits = [_merged([*map(tuple, a), *map(tuple, b)]) for a, b in zip(old_hits, hits)]
                 items = [sorted({*a, *b}) for a, b in zip(old_items, items)]
-                batch = batch.drop_columns(["found"])
+                batch = batch.drop_columns([name])
             if max_coverage is None:
                 found = _found(counts, hits, items)
-                yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "found"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, name])
             else:
                 yield _cut(batch, text, counts, hits, max_coverage)
 
@@ -292,27 +299,33 @@ def find(
     item_text: str = "text",
     window: int = WINDOW,
     block_words: int = BLOCK_WORDS,
+    found: str = "found",
 ) -> DataFrame:
     """``docs`` with a struct ``found``: n_words, hits (merged [first, end) in words), items.
 
-    A column ``found`` that is already there is replaced."""
-    return _scanned(docs.drop("found"), items, None, text, item_id, item_text, window, block_words)
+    A column of that name that is already there is replaced."""
+    return _scanned(docs.drop(found), items, None, text, item_id, item_text, window, block_words, found)
 
 
-def _scanned(docs, items, max_coverage, text, item_id, item_text, window, block_words) -> DataFrame:
+def _scanned(docs, items, max_coverage, text, item_id, item_text, window, block_words, name) -> DataFrame:
     spark = docs.sparkSession
-    small_batches(spark)
     blocks = _blocks(items, item_id, item_text, block_words)
     block = next(blocks, [])  # without items the words are counted all the same
-    out, first = docs, True
-    while block is not None:
+    out, before = docs, None
+    while True:
         following = next(blocks, None)
         model = spark.sparkContext.broadcast(Automaton(block, window))
         last = following is None and max_coverage is not None
-        schema = docs.schema if last else T.StructType([*docs.schema.fields, T.StructField("found", FOUND)])
-        out = out.mapInArrow(_scan(text, model, first, max_coverage if last else None), schema)
-        block, first = following, False
-    return out
+        schema = docs.schema if last else T.StructType([*docs.schema.fields, T.StructField(name, FOUND)])
+        out = out.mapInArrow(_scan(text, model, before is None, max_coverage if last else None, name), schema)
+        if following is None:
+            return out
+        path = workspace.fresh(spark, "scanned")
+        out.write.parquet(path)
+        model.destroy()
+        if before:
+            workspace.drop(spark, before)
+        out, before, block = spark.read.schema(schema).parquet(path), path, following
 
 
 def covered(found: str = "found") -> Column:
@@ -346,16 +359,17 @@ def decontaminate(
 ) -> DataFrame:
     """Cut the hits out of the texts; a document of which more than ``max_coverage`` is
     hit goes as a whole. The columns are those of ``docs``, clean documents stay as is."""
-    held = docs.withColumnRenamed("found", "_held_found")  # a name in the way of several blocks
-    out = _scanned(held, items, max_coverage, text, item_id, item_text, window, block_words)
-    return out.withColumnRenamed("_held_found", "found")
+    name = free_name(docs, "found")
+    return _scanned(docs, items, max_coverage, text, item_id, item_text, window, block_words, name)
 
 
 def report(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """For each document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    found = find(docs.select(doc_id, options.get("text", "text")), items, **options)
+    text = options.pop("text", "text")
+    named = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    found = find(named, items, **options)
     return found.select(
-        doc_id,
+        F.col("id").alias(doc_id),
         F.col("found.n_words").alias("n_words"),
         covered().alias("n_hit"),
         F.size("found.items").cast("bigint").alias("n_items"),

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordlog.llm import words
-from ordlog.llm.shared import small_batches, tidy
+from ordlog.llm.shared import tidy
 
 SEED = "1:"
 PLAIN_FROM = 90  # of 100 draws, those from here on stay plain
@@ -191,7 +191,6 @@ def _transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def transformed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every document with its units counted, its form, and its output: doc_id, n, form,
     prefix_chars, middle_chars (null if plain), output."""
-    small_batches(docs.sparkSession)
     key = F.sha2(F.concat(F.lit(SEED), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 256)
     draws = [F.conv(F.substring(key, 8 * k + 1, 8), 16, 10).cast("bigint").alias(f"h{k + 1}") for k in range(4)]
     drawn = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), *draws)

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordlog.llm.shared import BROADCAST_ROWS, free_name, small_batches, tidy
+from ordlog.llm.shared import BROADCAST_ROWS, free_name, tidy
 
 PER_LANGUAGE = 600
 TRAINED = 20_000
@@ -230,7 +230,6 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
 def identify(docs: DataFrame, model: Model | None, *, text: str = "text", found: str = "found") -> DataFrame:
     """``docs`` with a struct of lang, score and familiar, named ``found``; a column of that
     name is replaced."""
-    small_batches(docs.sparkSession)
     out = docs.drop(found)
     kind = T.StructType().add("lang", T.StringType()).add("score", T.DoubleType()).add("familiar", T.BooleanType())
     schema = T.StructType([*out.schema.fields, T.StructField(found, kind)])

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordlog.llm import words
-from ordlog.llm.shared import small_batches, tidy
+from ordlog.llm.shared import tidy
 
 THRESHOLD = 0.92  # notices that differ in one telling word must not match each other
 MAX_WORDS = 1_000_000  # of all templates
@@ -279,7 +279,6 @@ def find(
     labels of matched templates and the highest containment of a matched template (0 if
     there is none). A column ``found`` that is already there is replaced."""
     spark = docs.sparkSession
-    small_batches(spark)
     model = _prepared(
         TEMPLATES if templates is None else templates, PHRASES if phrases is None else phrases, threshold
     )

@@ -14,11 +14,17 @@ in the same way: by shards, then by blocks of one shard, then by rows of one blo
 
 Whether a copy is taken depends on its place in its source's queue alone, so the result of
 the sort comes down to one place for each source and pass: the last one taken. Documents
-find their fate by comparing with it. Rows alike in id, size and source share their place
-and so their fate.
+find their fate by comparing with it.
+
+A place is a hash of id and size. Rows alike in id, size and source (null ids are alike) are
+numbered, and each further one gets a place of its own, so however many there are, the mix
+may take some and leave others. They are numbered where they lie, by tasks, and only they are
+written down for it.
 
 Null texts and texts of white space have size 0 and are taken 0 times; a null source is a
-source of its own; null ids are alike. An empty table gives an empty mix.
+source of its own. Very long texts are counted where they lie. Ties in finish time go by
+source, pass and place. Other columns stay as they are, whatever their names. An empty table
+gives an empty mix.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordlog import workspace
 from ordlog.llm.shared import BROADCAST_ROWS, stage
 from ordlog.operators import segments
 
@@ -51,6 +58,11 @@ def _place(doc_id: Column, size: Column) -> Column:
     return F.md5(name.cast("binary"))
 
 
+def _further(place: Column, nth: Column) -> Column:
+    """The place of the n-th of rows alike, from 0."""
+    return F.when(nth == 0, place).otherwise(F.md5(F.concat_ws(":", place, nth.cast("string")).cast("binary")))
+
+
 def _weight(rank: Column, weights: tuple[int, ...]) -> Column:
     return F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int"))
 
@@ -108,19 +120,42 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+_ALIKE = ["source", "place", "size"]
+
+
+def _numbered(rows: DataFrame, alike: DataFrame, n_alike: int) -> DataFrame:
+    """Rows of source, place and size with their own place among rows alike.
+
+    ``alike``: the few (or many) that several rows have. Their rows are numbered by the tasks
+    that write them, within each group, so a group of any size is in no one task."""
+    if not n_alike:
+        return rows
+    of = alike.select(*[F.col(c).alias(f"_{c}") for c in _ALIKE])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _ALIKE]
+    some = rows.join(_small(of, n_alike), same, "left_semi")
+    path = workspace.fresh(rows.sparkSession, "mix-alike")
+    data = segments.stage(segments.number(some.sortWithinPartitions(*_ALIKE)), f"{path}/data")
+    table = segments.stage_table(segments.starts(data, _ALIKE), f"{path}/segments")
+    placed = segments.place(data, table, _ALIKE, missing_groups=True)
+    placed = placed.withColumn("place", _further(F.col("place"), F.col("offset"))).drop("offset")
+    return rows.join(_small(of, n_alike), same, "left_anti").unionByName(placed.select(*rows.columns))
+
+
 def _queue(sized: DataFrame, sources: DataFrame, n_sources: int) -> DataFrame:
     """Every document of at least a word, PASSES times, with its finish time."""
     of = sources.select("sid", F.col("source").alias("_source"), "weight", "docs", "source_size")
-    # rows alike in source, id and size are one item: none of them waits for another
-    items = sized.filter("size > 0").groupBy("source", "place", "size").agg(F.count("*").alias("rows"))
-    queued = items.join(_small(of, n_sources), F.col("source").eqNullSafe(F.col("_source")))
+    # rows alike in source, id and size travel as one, and then stand in the queue each
+    items = sized.filter("size > 0").groupBy(*_ALIKE).agg(F.count("*").alias("rows"))
+    nth = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1))
+    each = items.withColumn("nth", nth).withColumn("place", _further(F.col("place"), F.col("nth")))
+    queued = each.join(_small(of, n_sources), F.col("source").eqNullSafe(F.col("_source")))
     share = F.conv(F.substring("place", 1, 8), 16, 10).cast("bigint") / F.lit(2.0**32)
     sliced = queued.select(
         "sid",
         "weight",
         "source_size",
         "place",
-        (F.col("size") * F.col("rows")).alias("words"),
+        F.col("size").alias("words"),
         F.floor(share * F.ceil(F.sqrt("docs"))).alias("slice"),
     )
     before = Window.partitionBy("sid").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -178,6 +213,13 @@ def _sized(docs: DataFrame, doc_id: str, source: str, text: str) -> DataFrame:
     return rows.withColumn("place", _place(F.col("id"), F.col("size")))
 
 
+def _alike(sized: DataFrame) -> tuple[DataFrame, int]:
+    """What several rows have in common, and how many such groups there are."""
+    found = sized.filter("size > 0").groupBy(*_ALIKE).agg(F.count("*").alias("rows")).filter("rows > 1")
+    found = stage(found.select(*_ALIKE), "mix-groups")
+    return found, found.count()
+
+
 def plan(
     docs: DataFrame,
     *,
@@ -215,7 +257,8 @@ def report(docs: DataFrame, **options) -> DataFrame:
     """For each document: doc_id, size, source_size, target and the words taken of it."""
     sized, mix = plan(docs, **options)
     mix = mix.withColumnRenamed("source", "_source")
-    rows = sized.join(_small(mix, mix.count()), F.col("source").eqNullSafe(F.col("_source")))
+    own = _numbered(sized, *_alike(sized))
+    rows = own.join(_small(mix, mix.count()), F.col("source").eqNullSafe(F.col("_source")))
     return rows.select(
         F.col("id").alias(options.get("doc_id", "doc_id")),
         "size",
@@ -227,13 +270,16 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken (0 to PASSES)."""
-    _, mix = plan(docs, **options)
-    mix = mix.select(F.col("source").alias("_mix_source"), *[f"last_{p}" for p in range(PASSES)])
+    sized, mix = plan(docs, **options)
+    mix = mix.select(F.col("source").alias("_source"), *[f"last_{p}" for p in range(PASSES)])
     doc_id, source, text = (options.get(k, k) for k in ("doc_id", "source", "text"))
-    # taken from an array, the size is counted once for each row, not wherever it is used
-    sized = docs.withColumn("_mix_size", F.explode(F.array(size_of(text))))
-    rows = sized.join(_small(mix, mix.count()), F.col(source).eqNullSafe(F.col("_mix_source")))
-    times = F.when(F.col("_mix_size") > 0, _times(_place(F.col(doc_id), F.col("_mix_size")))).otherwise(0)
-    repeated = rows.withColumn("_times", times).filter("_times > 0")
-    copies = repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # a row travels as one struct, so no name of its columns is in the way; taken from an
+    # array, the size is counted once for each row, not wherever it is used
+    held = docs.select(
+        F.struct("*").alias("row"), F.col(source).alias("source"), F.col(doc_id).alias("id"), F.explode(F.array(size_of(text))).alias("size")
+    )
+    placed = held.select("row", "source", "size", _place(F.col("id"), F.col("size")).alias("place")).filter("size > 0")
+    own = _numbered(placed, *_alike(sized))
+    rows = own.join(_small(mix, mix.count()), F.col("source").eqNullSafe(F.col("_source")))
+    repeated = rows.select("row", _times(F.col("place")).alias("times")).filter("times > 0")
+    return repeated.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

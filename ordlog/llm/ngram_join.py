@@ -27,8 +27,10 @@ stand in a hundredth of all documents or more are found beforehand, task by task
 known to be shared without being sent, so no bucket gets a hot one's documents.
 
 Nulls and texts without words have no shingles, are alone in their class and link with
-nothing. Of rows with a null id the class id is that of the smallest id linked with them,
-null if there is none. Repeated ids are separate rows. An empty table gives no rows.
+nothing. Very long texts give their whole set, in one task. Copies are ties: one class,
+named by its smallest id. Of rows with a null id the class id is that of the smallest id
+linked with them, null if there is none. Repeated ids are separate rows. Only id and text
+are read, so other columns are not in the way. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,7 +48,7 @@ from pyspark.sql import types as T
 
 from ordlog.llm import words
 from ordlog.llm.components import components
-from ordlog.llm.shared import BROADCAST_ROWS, small_batches, stage, tidy
+from ordlog.llm.shared import BROADCAST_ROWS, stage, tidy
 
 SHINGLE = 5
 NEED, OF = 75, 100  # share of the union that must be common
@@ -567,7 +569,6 @@ def linked_classes(
 ) -> tuple[DataFrame, DataFrame]:
     """Digests of the rows (id, n, d1, d2), and of linked classes (d1, d2) the component."""
     spark = docs.sparkSession
-    small_batches(spark)
     read = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     rows = stage(read.mapInArrow(tidy(_digests), "id bigint, n bigint, d1 bigint, d2 bigint"), "digests")
     classes = stage(rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes")
@@ -656,18 +657,14 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limits:
     )
 
 
-def _named(text: str):
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole rows with the digest of their set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [s for _, part in _sets(batch, text) for s in part]
-            pairs = [_digest(s) for s in sets]
-            new = [[len(s) for s in sets], [a for a, _ in pairs], [b for _, b in pairs]]
-            columns = [*batch.columns, *[pa.array(c, pa.int64()) for c in new]]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_n", "_a", "_b"])
-
-    return tidy(run)
+    for batch in batches:
+        sets = [s for _, part in _sets(batch, "text") for s in part]
+        pairs = [_digest(s) for s in sets]
+        new = [[len(s) for s in sets], [a for a, _ in pairs], [b for _, b in pairs]]
+        columns = [batch.column("row"), *[pa.array(c, pa.int64()) for c in new]]
+        yield pa.RecordBatch.from_arrays(columns, names=["row", "n", "d1", "d2"])
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -675,7 +672,8 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     Rows that repeat an id and a text are one document; different texts under one id are
     two. A row with a null id goes if its class has a document with an id; of classes that
-    have none, one row of each set of shingles stays."""
+    have none, one row of each set of shingles stays. All columns stay as they are: a row
+    travels as one struct, so no name is in the way."""
     rows, linked = linked_classes(docs, doc_id, text)
     of = _components(rows, linked)
     own = F.when(F.col("n") > 0, F.col("component") == F.col("id")).otherwise(True)
@@ -684,17 +682,19 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     found = stage(found.agg(F.max(own).alias("_own"), F.count("*").alias("_rows")), "kept-ids")
     gone = found.filter("not _own").select("_kept")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    out = docs.filter(F.col(doc_id).isNotNull()).join(gone, F.col(doc_id) == F.col("_kept"), "left_anti")
+    held = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    same = F.col("id") == F.col("_kept")
+    out = held.filter("id is not null").join(gone, same, "left_anti")
     again = found.filter("_own and _rows > 1").select("_kept")
     if again.limit(1).count():
-        repeats = F.col(doc_id) == F.col("_kept")
-        once = out.join(again, repeats, "left_semi").withColumn("_same", F.xxhash64(text)).dropDuplicates([doc_id, "_same"])
-        out = out.join(again, repeats, "left_anti").unionByName(once.drop("_same"))
+        once = out.join(again, same, "left_semi").withColumn("same", F.xxhash64("text")).dropDuplicates(["id", "same"])
+        out = out.join(again, same, "left_anti").unionByName(once.drop("same"))
+    out = out.select("row")
     if rows.filter("id is null").limit(1).count():
-        schema = T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in ("_n", "_a", "_b")]])
-        unnamed = docs.filter(F.col(doc_id).isNull()).mapInArrow(_named(text), schema)
-        mine = (F.col("_n") > 0) & (F.col("_a") == F.col("_d1")) & (F.col("_b") == F.col("_d2"))
-        alone = unnamed.join(of, mine, "left").filter("component is null")
-        one = alone.filter("_n > 0").dropDuplicates(["_a", "_b"]).unionByName(alone.filter("_n = 0"))
-        out = out.unionByName(one.select(*[F.col(f"`{c}`") for c in docs.columns]))
-    return out
+        unnamed = held.filter("id is null").select("row", "text")
+        schema = T.StructType([unnamed.schema["row"], *[T.StructField(c, T.LongType()) for c in ("n", "d1", "d2")]])
+        mine = (F.col("n") > 0) & (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2"))
+        alone = unnamed.mapInArrow(tidy(_named), schema).join(of, mine, "left").filter("component is null")
+        one = alone.filter("n > 0").dropDuplicates(["d1", "d2"]).unionByName(alone.filter("n = 0"))
+        out = out.unionByName(one.select("row"))
+    return out.select("row.*")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from ordlog.llm import (
     toxicity,
     vector_codes,
 )
-from ordlog.llm.shared import table
+from ordlog.llm.shared import small_batches, table
 
 QUERIES = {}
 SQL = {}
@@ -33,8 +35,13 @@ _ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
 def query(run):
-    QUERIES[run.__name__] = run
-    return run
+    @wraps(run)
+    def prepared(spark: SparkSession, folder: str) -> DataFrame:
+        small_batches(spark)
+        return run(spark, folder)
+
+    QUERIES[run.__name__] = prepared
+    return prepared
 
 
 @query
@@ -55,9 +62,15 @@ def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 SQL["op3_source_mix"] = r"""
 with sized as (
-  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents
+  select row_number() over () as row, doc_id, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size
+  from documents
+), named as (
+  select *, md5('mix-1:' || coalesce(cast(doc_id as varchar), '') || ':' || size) as name,
+    row_number() over (partition by source, doc_id, size) - 1 as nth
+  from sized
 ), placed as (
-  select *, md5('mix-1:' || coalesce(cast(doc_id as varchar), '') || ':' || size) as place from sized
+  select * exclude (name, nth), case when nth = 0 then name else md5(name || ':' || nth) end as place from named
 ), sums as (
   select source, cast(sum(size) as bigint) as source_size,
     row_number() over (order by source nulls last) - 1 as sid
@@ -79,7 +92,7 @@ with sized as (
     least(cast(weight * share as double) / cast(2 * weights as double), cast(2 * source_size as double)) as target
   from sources, level
 ), ended as (
-  select doc_id, size, place, sid, weight, source_size, target, total,
+  select row, doc_id, size, place, sid, weight, source_size, target, total,
     sum(size) over (partition by sid order by place rows unbounded preceding) as done
   from placed join aimed on placed.source is not distinct from aimed.source
 ), copies as (
@@ -91,7 +104,7 @@ with sized as (
 )
 select doc_id, any_value(size) as size, any_value(source_size) as source_size, any_value(target) as target,
   cast(sum(case when fits then size else 0 end) as bigint) as taken
-from taken group by doc_id
+from taken group by row, doc_id
 """
 
 

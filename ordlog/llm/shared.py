@@ -39,7 +39,10 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Texts reach Python in batches of BATCH_BYTES, unless the session has a limit of its own."""
+    """Texts reach Python in batches of BATCH_BYTES, unless the session has a limit of its own.
+
+    For the program that owns the session: Spark reads the setting when a plan runs, so no
+    operator could put it back, and none touches it."""
     if spark.conf.get(_BATCH) == _DEFAULT_BATCH:
         spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordlog.llm import words
-from ordlog.llm.shared import small_batches, tidy
+from ordlog.llm.shared import tidy
 
 BITS = 20
 FACTORS = 4
@@ -194,7 +194,6 @@ def _score(text: str, shared):
 
 def score(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFrame:
     """``docs`` with ``toxicity`` from 0 to 1; a column of that name is replaced."""
-    small_batches(docs.sparkSession)
     out = docs.drop("toxicity")
     schema = T.StructType([*out.schema.fields, T.StructField("toxicity", T.DoubleType())])
     return out.mapInArrow(_score(text, docs.sparkSession.sparkContext.broadcast(model)), schema)

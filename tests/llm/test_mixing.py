@@ -59,6 +59,51 @@ def test_the_mix_repeats_documents_as_reported(real):
     assert mixing.mixed(real).columns == real.columns
 
 
+def alike(spark):
+    """Null ids and repeated ones, of one size or text, in hot groups."""
+    rows = [(None, "a b c d", "en", "x", 0)] * 250 + [(7, f"w{i} b c d", "en", "y", 0) for i in range(300)]
+    rows += [(8, "e f", "en", "y", 0)] * 40 + [(i, "g " * (1 + i % 9), "en", "z", 0) for i in range(100, 300)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars int").repartition(5)
+
+
+def test_rows_alike_are_shared_out(spark):
+    docs = alike(spark)
+    source = {None: "x", 7: "y", 8: "y"}
+    got = mixing.report(docs).collect()
+    assert len(got) == docs.count()
+    taken = {}
+    for r in got:
+        taken[source.get(r.doc_id, "z")] = taken.get(source.get(r.doc_id, "z"), 0) + r.taken
+    for r in got:
+        assert abs(taken[source.get(r.doc_id, "z")] - r.target) <= 20
+    again = mixing.report(docs.repartition(2)).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, got), key=repr)
+    mixed = mixing.mixed(docs).groupBy("source").agg({"*": "count"}).collect()
+    words = {"x": 4, "y": None, "z": None}
+    assert {r.source for r in mixed} == set(words) and next(r[1] for r in mixed if r.source == "x") * 4 == taken["x"]
+
+
+def test_rows_alike_without_a_broadcast(spark, monkeypatch):
+    docs = alike(spark)
+    want = sorted(map(tuple, mixing.report(docs).collect()), key=repr)
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, mixing.report(docs).collect()), key=repr) == want
+
+
+def test_rows_alike_agree_with_the_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from ordlog.llm import queries
+
+    docs = alike(spark)
+    docs.write.parquet(f"{tmp_path}/documents")
+    connection = duckdb.connect()
+    connection.execute(f"create view documents as select * from '{tmp_path}/documents/*.parquet'")
+    want = connection.execute(queries.SQL["op3_source_mix"])
+    names = [d[0] for d in want.description]
+    got = mixing.report(docs).select(*names).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want.fetchall(), key=repr)
+
+
 def test_a_source_that_runs_dry_leaves_its_share_to_the_others(docs):
     small, large = ["a b"] * 2, ["c d e f"] * 40
     got = mixing.report(docs(small + large, source=["a"] * 2 + ["b"] * 40)).collect()

@@ -108,6 +108,18 @@ def test_items_with_a_null_id_are_hit_and_cut_but_not_named(spark, docs, block_w
     assert {r.doc_id: r.text for r in cut.collect()} == {0: "a  b", 1: "a b  c", 2: " s t u v", 3: "a b c", 4: texts[4]}
 
 
+def test_one_automaton_at_a_time(spark, docs):
+    """Each block is a pass of its own: no task runs the workers of two."""
+    items = spark.createDataFrame([(i, f"item {i} has some words of its own") for i in range(6)], "item_id int, text string")
+    texts = docs([f"x item {i} has some words of its own y" for i in range(5)] + ["", None, "clean"])
+    for run in (decontamination.find, decontamination.decontaminate):
+        plan = run(texts, items, block_words=8)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1
+    many = decontamination.report(texts, items, block_words=8).collect()
+    assert sorted(many) == sorted(decontamination.report(texts, items).collect())
+    assert sum(r.contaminated for r in many) == 5
+
+
 def test_null_ids_agree_with_the_sql(spark, tmp_path):
     duckdb = pytest.importorskip("duckdb")
     from ordlog.llm import queries

@@ -16,6 +16,9 @@ that can be reached over links. Copies are one node of the graph, so they are ne
    shingle of a class then shows nothing, the prefix is extended until its shingles, less
    one for each class of frequent ones, are more than the ones a partner may lack. Linked
    documents share a signature. Documents of lengths that fit use the same classes.
+   Of n shingles of which m stand elsewhere, a document shares m at most, and so links with
+   none of more than 7/3 m - n shingles. Documents that in this way could link with no other
+   of their signature are not looked at further.
 5. Documents of a signature become candidates: all pairs of up to ``few``, of more only those
    next to each other by size and by name. Candidates are verified on their whole sets.
 6. What is left: signatures of more than ``few`` documents that lie in several components so
@@ -56,6 +59,7 @@ SPARE = 10  # percent of a set by which the first filter's prefixes are longer t
 CHUNK = 1 << 20  # shingles a task gathers before it deals them
 ROWS = 1 << 17  # rows a task hands on at once
 BROADCAST_IDS = 2_000_000  # numbers of 8 bytes, some 50 MB as a hash table
+SHARE_BLOCKS = 64  # blocks that one task deals out
 HOT_CLASSES = 1000  # a class with more than one of so many rows is large; no more are
 STEP = np.log(OF / NEED)
 
@@ -81,6 +85,12 @@ def _common(n):
     return -(-n * NEED // OF)
 
 
+def _largest(n, m):
+    """The size of the largest set that one of n can link with, if m of its shingles stand in
+    other sets at all: it shares m of them at most."""
+    return (OF + NEED) * m // NEED - n
+
+
 # --- shingles of texts -----------------------------------------------------------------
 
 
@@ -391,17 +401,22 @@ def _signatures(
             yield words.mixed(words.mixed(low) + high + np.uint64(scheme)), np.minimum(h[a], h[b])
 
 
+INDEX = "sig bigint, salt bigint, split boolean, cls bigint, n bigint, most bigint"
+INDEX_COLUMNS = [c.split()[0] for c in INDEX.split(", ")]
+
+
 def _prefix_index(limits: Limits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, counts, owners, rows = [], [], [], 0
 
         def shown() -> pa.RecordBatch:
             name, many = np.concatenate(names), np.concatenate(counts).astype(np.int64)
-            cls = np.repeat([o for o, _, _ in owners], [k for _, _, k in owners]).astype(np.int64)
-            n = np.repeat([m for _, m, _ in owners], [k for _, _, k in owners]).astype(np.int64)
+            cls = np.repeat([o for o, *_ in owners], [k for *_, k in owners]).astype(np.int64)
+            n = np.repeat([size for _, size, _, _ in owners], [k for *_, k in owners]).astype(np.int64)
             salts = np.maximum(1, -(-many // limits.salt_rows))
-            columns = [name.view(np.int64), cls % salts, salts > 1, cls, n]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["sig", "salt", "split", "cls", "n"])
+            most = np.repeat([m for _, _, m, _ in owners], [k for *_, k in owners]).astype(np.int64)
+            columns = [name.view(np.int64), cls % salts, salts > 1, cls, n, most]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=INDEX_COLUMNS)
 
         for batch in batches:
             for cls, n, tokens, held in zip(*(batch.column(c) for c in ("cls", "n", "tokens", "held"))):
@@ -411,7 +426,7 @@ def _prefix_index(limits: Limits):
                 name, first = np.unique(np.concatenate([x for x, _ in found]), return_index=True)
                 names.append(name)
                 counts.append(np.concatenate([x for _, x in found])[first])
-                owners.append((cls.as_py(), n, len(name)))
+                owners.append((cls.as_py(), n, _largest(n, len(token)), len(name)))
                 rows += len(name)
                 if rows >= ROWS:
                     yield shown()
@@ -431,12 +446,18 @@ def _pairs(few: int):
 
 
 def _paired(table: pa.Table, few: int) -> pa.Table:
-    sig, salt, cls, n = (table.column(c).to_numpy() for c in ("sig", "salt", "cls", "n"))
-    split = table.column("split").to_numpy(zero_copy_only=False)
+    rows = [table.column(c).to_numpy(zero_copy_only=False) for c in INDEX_COLUMNS]
+    sig, salt, split, cls, n, most = rows
     order = np.lexsort((cls, n, salt, sig))
-    sig, salt, split, cls, n = sig[order], salt[order], split[order], cls[order], n[order]
-    bounds = np.flatnonzero(np.r_[True, (sig[1:] != sig[:-1]) | (salt[1:] != salt[:-1]), True])
-    size = np.diff(bounds)
+    while True:
+        sig, salt, split, cls, n, most = (c[order] for c in (sig, salt, split, cls, n, most))
+        bounds = np.flatnonzero(np.r_[True, (sig[1:] != sig[:-1]) | (salt[1:] != salt[:-1]), True]) if len(sig) else np.zeros(1, np.int64)
+        size = np.diff(bounds)
+        # a document that could link with none as large as its group's smallest one is out;
+        # of a group dealt over several places the smallest one isn't known here
+        order = np.flatnonzero((most >= np.repeat(n[bounds[:-1]], size)) | split)
+        if len(order) == len(sig):
+            break
     left, right, kept = [], [], []
     # pairs at each distance within a group, all groups of a size that allows it at once
     for gap in range(1, few):
@@ -455,7 +476,7 @@ def _paired(table: pa.Table, few: int) -> pa.Table:
         kept.append(here)
     a = np.concatenate([*left, np.empty(0, np.int64)]).astype(np.int64)
     b = np.concatenate([*right, np.empty(0, np.int64)]).astype(np.int64)
-    fits = np.minimum(n[a], n[b]) * OF >= np.maximum(n[a], n[b]) * NEED
+    fits = (n[a] <= most[b]) & (n[b] <= most[a])
     x, y = np.minimum(cls[a], cls[b])[fits], np.maximum(cls[a], cls[b])[fits]
     pairs = np.unique(np.stack([x, y]), axis=1) if len(x) else np.empty((2, 0), np.int64)
     at = np.concatenate([*kept, np.empty(0, np.int64)]).astype(np.int64)
@@ -509,10 +530,15 @@ def _compare(table: pa.Table) -> pa.Table:
 def _rest(members: DataFrame, labels: DataFrame, kept: DataFrame, compared: int) -> DataFrame | None:
     """Links between components among the documents of large signatures."""
     of = labels.select(F.col("node").alias("_node"), "label")
-    known = members.join(of, F.col("cls") == F.col("_node"), "left")
-    known = stage(known.select("sig", "cls", F.coalesce("label", "cls").alias("label")), "members")
-    mixed = known.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    open_ = stage(known.join(mixed.select("sig"), "sig", "left_semi"), "open")
+    sizes = kept.select("cls", "n", "most")
+    known = members.join(sizes, "cls").join(of, F.col("cls") == F.col("_node"), "left")
+    known = stage(known.select("sig", "cls", "n", "most", F.coalesce("label", "cls").alias("label")), "members")
+    mixed = known.groupBy("sig").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least")
+    )
+    # those that could link with the signature's smallest document at least
+    open_ = known.join(mixed.filter("low < high").select("sig", "least"), "sig").filter("most >= least")
+    open_ = stage(open_.select("sig", "cls", "label"), "open")
     if not open_.limit(1).count():
         return None
     # documents that share a large signature, over any number of steps, are a family;
@@ -520,25 +546,30 @@ def _rest(members: DataFrame, labels: DataFrame, kept: DataFrame, compared: int)
     graph = open_.select(F.col("cls").alias("a"), (-1 - F.abs(F.xxhash64("sig") / 2).cast("bigint")).alias("b"))
     families = components(graph).filter("node >= 0").select(F.col("node").alias("cls"), F.col("label").alias("family"))
     one = open_.groupBy("cls").agg(F.min("label").alias("label"))
-    docs = one.join(families, "cls").join(kept.select("cls", "n"), "cls")
+    docs = one.join(families, "cls").join(sizes, "cls")
     # blocks of one component where possible, so that most pairs of blocks need no look;
     # a family is cut by size into strips first, its documents are never in one place
     strip = F.floor(F.log("n") / F.lit(float(STEP)) + F.lit(1e-9)).cast("int")
     place = Window.partitionBy("family", "strip", "share").orderBy("label", "n", "cls")
-    # the documents of a large component are dealt over as many shares as fill a block each
-    sizes = docs.groupBy(F.col("label").alias("_label")).agg(F.count("*").alias("_docs"))
-    sized = docs.join(sizes, F.col("label") == F.col("_label")).drop("_label")
+    docs = docs.withColumn("strip", strip)
+    # the documents of a large component are dealt over as many shares as fill a block each,
+    # small components over as many as one task takes of a strip
+    of_label = docs.groupBy(F.col("label").alias("_label")).agg(F.count("*").alias("_docs"))
+    of_strip = docs.groupBy(F.col("family").alias("_family"), F.col("strip").alias("_strip")).agg(F.count("*").alias("_wide"))
+    sized = docs.join(of_label, F.col("label") == F.col("_label"))
+    sized = sized.join(of_strip, (F.col("family") == F.col("_family")) & (F.col("strip") == F.col("_strip")))
     parts = F.greatest(F.ceil(F.col("_docs") / compared), F.lit(1))
-    share = F.concat_ws("-", F.pmod(F.xxhash64("label"), F.lit(64)), F.pmod(F.xxhash64("cls"), parts))
-    placed = sized.withColumn("strip", strip).withColumn("share", share).drop("_docs")
+    shares = F.greatest(F.ceil(F.col("_wide") / (compared * SHARE_BLOCKS)), F.lit(1))
+    share = F.concat_ws("-", F.pmod(F.xxhash64("label"), shares), F.pmod(F.xxhash64("cls"), parts))
+    placed = sized.select(*docs.columns, share.alias("share"))
     placed = placed.withColumn("block", F.floor((F.row_number().over(place) - 1) / compared))
     placed = stage(placed.withColumn("block", F.concat_ws(".", "strip", "share", "block")), "placed")
     blocks = placed.groupBy("family", "block").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("label").alias("low"), F.max("label").alias("high")
+        F.min("n").alias("least"), F.max("most").alias("reach"), F.min("label").alias("low"), F.max("label").alias("high")
     )
     other = blocks.select(*[F.col(c).alias(f"_{c}") for c in blocks.columns])
     pure = (F.col("low") == F.col("high")) & (F.col("_low") == F.col("_high")) & (F.col("low") == F.col("_low"))
-    fits = (F.col("most") * OF >= F.col("_least") * NEED) & (F.col("_most") * OF >= F.col("least") * NEED)
+    fits = (F.col("reach") >= F.col("_least")) & (F.col("_reach") >= F.col("least"))
     met = blocks.join(other, (F.col("family") == F.col("_family")) & (F.col("block") <= F.col("_block")) & fits & ~pure)
     met = stage(met.select("family", "block", "_block"), "met")
     both = [
@@ -602,9 +633,10 @@ def linked_classes(
     by_owner = by_token.unionAll(sets.mapInArrow(_hot_of(parts, shared), PACKED)).groupBy("part")
     ordered = by_owner.applyInArrow(_ordered, "cls bigint, m bigint, tokens binary, held binary")
     kept = ordered.join(_few(some.select("cls", "n"), n_some), "cls").filter(F.col("m") * OF >= F.col("n") * NEED)
-    kept = stage(kept.select("cls", "n", "tokens", "held"), "kept")
+    most = F.expr(f"(m * {OF + NEED}) div {NEED} - n").alias("most")
+    kept = stage(kept.select("cls", "n", most, "tokens", "held"), "kept")
 
-    index = stage(kept.mapInArrow(_prefix_index(limits), "sig bigint, salt bigint, split boolean, cls bigint, n bigint"), "index")
+    index = stage(kept.mapInArrow(_prefix_index(limits), INDEX), "index")
     places = _partitions(spark, index.count(), 1 << 19)
     part = F.pmod(F.xxhash64("sig", "salt"), F.lit(places)).alias("part")
     found = index.select("*", part).groupBy("part").applyInArrow(_pairs(limits.few), "kind int, a bigint, b bigint")

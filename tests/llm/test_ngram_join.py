@@ -146,3 +146,41 @@ def test_components(spark):
         parent[y] = x
     assert got == {x: top(x) for x in {n for a, b in edges if a != b for n in (a, b)}}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def looked_at(monkeypatch):
+    """How many pairs of blocks the join compares."""
+    seen = []
+    real = ngram_join.stage
+
+    def counted(df, label):
+        out = real(df, label)
+        if label == "met":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stage", counted)
+    return seen
+
+
+def test_a_passage_that_many_share_costs_no_look_at_each_pair(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{passage} {' '.join(f'x{rng.randrange(10**9)}' for _ in range(13))}" for _ in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    seen = looked_at(monkeypatch)
+    got = ngram_join.report(docs).collect()
+    assert all(r.component_id == r.doc_id and r.n_shingles == 69 for r in got) and len(got) == 3000
+    assert sum(seen) == 0
+
+
+def test_few_documents_make_few_blocks(spark, monkeypatch):
+    """Five hundred documents of one passage that is just short of enough: a strip of few blocks."""
+    rng = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{passage} {' '.join(f'x{rng.randrange(10**9)}' for _ in range(4 + 6 * (i % 2)))}" for i in range(500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    seen = looked_at(monkeypatch)
+    got = ngram_join.report(docs)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(list(enumerate(texts)))
+    assert sum(seen) <= 20

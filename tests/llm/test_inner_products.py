@@ -10,18 +10,17 @@ SCHEMA = "vec_id bigint, embedding array<float>"
 
 def brute(rows, k, every, scale=64):
     good = [
-        (i, np.floor(scale * np.array(v, np.float64)))
+        (i, [inner_products.whole(float(x), scale) for x in v])
         for i, v in rows
         if v is not None and all(x is not None and np.isfinite(x) for x in v)
     ]
-    width = max([len(v) for _, v in good], default=0)
-    good = [(i, np.pad(v, (0, width - len(v)))) for i, v in good]
     out = []
     for q, v in good:
         if q is None or q % every:
             continue
-        scores = sorted(((-int(v @ c), i is None, i or 0) for i, c in good if i != q))[:k]
-        out += [(q, r + 1, None if null else i, -s) for r, (s, null, i) in enumerate(scores)]
+        scores = sorted(((-sum(a * b for a, b in zip(v, c)), i is None, i or 0) for i, c in good if i != q))[:k]
+        fits = [-(1 << 63) <= -s < 1 << 63 for s, _, _ in scores]
+        out += [(q, r + 1, None if null else i, -s if ok else None) for r, ((s, null, i), ok) in enumerate(zip(scores, fits))]
     return sorted(out, key=repr)
 
 
@@ -66,7 +65,43 @@ def test_repeated_ids(spark):
     assert [r[2] for r in got] == [3, 3, 3, 3] and sorted(r[3] for r in got) == [4096, 4096, 8192, 8192]
 
 
-def test_vectors_too_long_for_exact_products(spark):
-    df = spark.createDataFrame([(0, [3e18]), (1, [1.0])], SCHEMA)
-    with pytest.raises(Exception, match="too long"):
-        found(df, 5, 20)
+@pytest.mark.parametrize("block", [4, 4096])
+def test_components_of_any_size(spark, monkeypatch, block):
+    monkeypatch.setattr(inner_products, "QUERY_BLOCK", block)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=5).tolist()) for i in range(60)]
+    huge = [1e9, -1e9, 3e18, -3e18, 1e30, -1e200, 1.7e308, 2.0**53, 1e9, 3e18]
+    for i, x in enumerate(huge):
+        v = rng.normal(size=5).tolist()
+        v[i % 5] = x
+        rows.append((100 + 5 * i, v))
+    rows += [(200, [3e18] * 5), (201, [3e18] * 5), (202, [3e18, 3e18, 3e18, 3e18, 3e18 * (1 + 2.0**-52)]), (None, [1e9] * 5), (203, [-1e308] * 5), (210, [1e308] * 5)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    for k in (1, 7, 100):
+        assert found(df, k, 10) == brute(rows, k, 10)
+
+
+def test_large_vectors_only(spark):
+    df = spark.createDataFrame([(0, [3e18]), (1, [1e9]), (20, [1.0])], SCHEMA)
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    assert found(df, 5, 20) == brute(rows, 5, 20)
+    some = df.filter("vec_id < 20")
+    assert found(some, 5, 20) == brute(rows[:2], 5, 20)
+
+
+def test_most_large_candidates_are_ruled_out_without_integers(monkeypatch):
+    rng = np.random.default_rng(7)
+    packed = [(1e9 * rng.normal(size=8)).astype("<f8").tobytes() for _ in range(500)]
+    asked = [rng.integers(-60, 60, 8).astype("<f8").tobytes() for _ in range(10)]
+
+    class Shared:
+        value = list(range(10)), np.arange(10) + 1000, asked, [False] * 10, 8
+
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(500), pa.int64()), "x": packed, "large": [True] * 500})
+    done = []
+    real = inner_products._Exact.ints
+    monkeypatch.setattr(inner_products._Exact, "ints", lambda self, i: done.append(i) or real(self, i))
+    out = pa.Table.from_batches(list(inner_products._search_exactly(Shared, 5, 64)([batch])))
+    assert out.num_rows == 50 and len(done) < 10 * 7

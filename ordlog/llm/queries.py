@@ -239,26 +239,9 @@ from reached left join sizes using (doc_id) group by all
 
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts.maintained(table(spark, folder, "documents"), workspace.fresh(spark, "rollup"))
-
-
-SQL["op10_token_counts"] = r"""
-with counted as (
-  select source, lang,
-    text is null or row_number() over (partition by text order by doc_id) = 1 as kept,
-    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as spaced,
-    len(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as letters
-  from documents
-), versions as (
-  select source, lang, 'words-2' as tokenizer, letters as tokens from counted where kept
-  union all
-  select source, lang, 'words-1',
-    len(list_filter(spaced, lambda w: regexp_matches(w, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]')))
-  from counted where kept
-)
-select source, lang, tokenizer, count(*) as docs, cast(sum(tokens) as bigint) as tokens
-from versions group by source, lang, tokenizer
-"""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    docs = table(spark, folder, "documents")
+    return token_counts.maintained(docs, workspace.fresh(spark, "rollup"), tokenizer, "word_bpe_49k")
 
 
 @query

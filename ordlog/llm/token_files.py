@@ -125,6 +125,14 @@ class _Pieces:
         size[naming] = [len(x) for x in parts[1::2]]
         return np.concatenate([*parts, ids[last:]]), size
 
+    def sizes(self, w: words.Words) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, with names of added tokens taken for text, and for tokens."""
+        _, as_text = self.encode(w)
+        as_tokens = as_text.copy()
+        for i in self._naming(w):
+            as_tokens[i] = len(self.written(w.data[w.begin[i] : w.end[i]].tobytes()))
+        return as_text, as_tokens
+
     def _stem(self, stem: bytes) -> list[int]:
         """Ids of a run of letters. Plain ones reach the model's merges directly."""
         ids = self.stems.get(stem)
@@ -192,11 +200,11 @@ class _Pieces:
 
 
 @lru_cache(maxsize=2)
-def _pieces(path: str, kind: str, special: bool = False) -> _Pieces:
+def pieces_of(path: str, kind: str, special: bool = False) -> _Pieces:
     return _Pieces(path, kind, special)
 
 
-def _id_kind(path: str, end_id: int) -> str:
+def id_kind(path: str, end_id: int) -> str:
     from tokenizers import Tokenizer
 
     largest = max([end_id, *Tokenizer.from_file(path).get_vocab().values()])
@@ -205,7 +213,7 @@ def _id_kind(path: str, end_id: int) -> str:
 
 def _tokenise(doc_id: str, text: str, path: str, kind: str, spaced: bool, end_id: int, special: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(path, kind, special)
+        pieces = pieces_of(path, kind, special)
         end = np.array([end_id], kind).tobytes()
         press = zstandard.ZstdCompressor(level=3).compress
         width = np.dtype(kind).itemsize
@@ -236,7 +244,7 @@ def _tokenise(doc_id: str, text: str, path: str, kind: str, spaced: bool, end_id
 def encoder(path: str, doc_id: str, text: str, *, spaced: bool, end_id: int, special: bool):
     """A mapInArrow function from these two columns to id, n and zstd-packed ids of each
     document, and the ids' numpy type; options as for ``tokens``."""
-    kind = _id_kind(path, end_id)
+    kind = id_kind(path, end_id)
     return _tokenise(doc_id, text, path, kind, spaced, end_id, special), kind
 
 

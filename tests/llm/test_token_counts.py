@@ -1,5 +1,7 @@
 import re
+from collections import defaultdict
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,24 +65,94 @@ def test_compaction_changes_nothing(spark, rows, root):
     assert r.committed() == {"b0", "b1", "b2", "b3"}
 
 
-def test_words_of_each_kind(docs):
-    texts = ["a  b!c\t--\n$$ x1", "", None, "  ", "!! ?", "é_é 東 京's", "..."]
-    space, sign = r"[^\x20\x09-\x0D]+", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-    got = docs(texts).select(
-        "text",
-        token_counts.spaced_words("text").alias("a"),
-        token_counts.spoken_words("text").alias("b"),
-        token_counts.letter_words("text").alias("c"),
-    )
-    for r in got.collect():
-        words = re.findall(space, r.text or "")
-        want = len(words), sum(bool(re.search(sign, w)) for w in words), len(re.findall(sign, r.text or ""))
-        assert (r.a, r.b, r.c) == want, r.text
-
-
-def test_nasty_rows(spark, nasty, none, root):
-    clash = nasty.withColumnRenamed("n_chars", "tokens")
-    got = token_counts.maintained(clash, f"{root}/a").collect()
-    # one of each text stays, and all rows without a text
-    assert sum(r.docs for r in got if r.tokenizer == "words-2") == nasty.filter("text is null").count() + nasty.select("text").dropna().distinct().count()
-    assert token_counts.maintained(none, f"{root}/b").count() == 0
+def test_revisions_move_documents(spark, rows, root):
+    r = Rollup(spark, root)
+    r.commit("one", inserts(rows, F.col("n"), "t"))
+    moved = rows.filter("source = 'a'")
+    r.commit("two", revisions(moved, F.col("n"), F.col("m"), "t", new_source=F.lit("z"), new_lang=F.when(F.col("n") == 3, F.col("lang"))))
+    assert totals(r) == {("z", "en", "t"): (1, 4), ("z", None, "t"): (1, 5), (None, "de", "t"): (1, 7), ("b", None, "t"): (1, 0)}
+    r.commit("three", revisions(rows.filter("source = 'b'"), F.lit(None).cast("int"), F.col("m"), "t"))
+    assert totals(r)["b", None, "t"] == (1, 2)
+
+
+def test_a_batch_that_comes_while_others_are_compacted_counts_once(spark, rows, root, monkeypatch):
+    r = Rollup(spark, root)
+    r.commit("one", inserts(rows, F.col("n"), "t"))
+    other, real, done = Rollup(spark, root), r._listed, []
+
+    def listed():
+        names = real()
+        if not done:  # another writer commits after the first look at the folder
+            done.append(other.commit("two", inserts(rows, F.col("m"), "t")))
+        return names
+
+    monkeypatch.setattr(r, "_listed", listed)
+    r.compact()
+    assert done == [True]
+    want = {("a", "en", "t"): (4, 17), (None, "de", "t"): (2, 7), ("b", None, "t"): (2, 2)}
+    assert totals(r) == want
+    r.sweep()
+    assert totals(r) == want and r.committed() == {"one", "two"}
+    r.compact()
+    r.sweep()
+    assert totals(r) == want and r.committed() == {"one", "two"}
+
+
+# --- the counts of a corpus ------------------------------------------------------------
+
+VERSION = "word_bpe_49k"
+PATH = public_tokenizers.path(f"{VERSION}.json")
+
+
+def brute(rows):
+    """Totals by counting what is left of the corpus in the end."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(PATH)
+    last = lambda x: (x is None, x or "")
+    filed = []
+    for doc_id, text, lang, source in rows:
+        words = len(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text or ""))
+        filed.append((doc_id, text, "und" if words < 20 else lang, source, words))
+    filed.sort(key=lambda r: (r[0] is None, r[0] or 0, last(r[3]), last(r[2])))
+    seen, out = set(), defaultdict(lambda: [0, 0])
+    for _, text, lang, source, words in filed:
+        if text is not None and text in seen:
+            continue
+        seen.add(text)
+        tokens = len(tokenizer.encode(text or "", add_special_tokens=False).ids)
+        for name, n in ((VERSION, tokens), ("words", words)):
+            out[source, lang, name][0] += 1
+            out[source, lang, name][1] += n
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def maintained(df, root, **columns):
+    got = token_counts.maintained(df, root, PATH, VERSION, **columns).collect()
+    return {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens) for r in got}
+
+
+def test_real_documents(real, root):
+    assert maintained(real, root) == brute([(r.doc_id, r.text, r.lang, r.source) for r in real.collect()])
+
+
+def test_nasty_documents(spark, nasty, none, root):
+    tokens = ["a <|endoftext|> b " * 9, "<|startoftext|>", "x" * 500, "one two " * 40, "one two " * 40, "one two " * 40]
+    more = spark.createDataFrame([(None if i > 2 else i, t, "en", None if i == 4 else "q", 0) for i, t in enumerate(tokens)], nasty.schema)
+    every = nasty.unionByName(more)
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in every.collect()]
+    assert maintained(every, f"{root}/a") == brute(rows)
+    clash = every.selectExpr("text as words", "doc_id as same", "lang as source", "source as lang", "1 as id", "2 as docs")
+    assert maintained(clash, f"{root}/b", doc_id="same", text="words", source="lang", lang="source") == brute(rows)
+    assert maintained(none, f"{root}/c") == {}
+
+
+def test_the_query(spark):
+    from ordlog.llm import queries
+    from tests.llm.test_queries import FOLDER
+
+    got = queries.QUERIES["op10_token_counts"](spark, FOLDER)
+    assert got.columns == ["source", "lang", "tokenizer", "docs", "tokens"]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
+    want = brute([(r.doc_id, r.text, r.lang, r.source) for r in docs])
+    assert {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens) for r in got.collect()} == want

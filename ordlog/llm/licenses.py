@@ -1,10 +1,12 @@
 """License notices in documents: an exact set-similarity join of text blocks with templates.
 
-A block is a line. Blocks and templates become sets of words (A-Z lower-cased, runs of
-digits, letters and characters beyond ASCII). A block matches a template when it holds at
-least ``threshold`` of the template's words. All matches are found, by
+A paragraph is a run of lines that all have words; a block is a window of ``LINES``
+neighbouring lines of a paragraph, or all of a shorter one, so a notice is found however it
+is wrapped over so many lines. Blocks and templates become sets of words (A-Z lower-cased,
+runs of digits, letters and characters beyond ASCII). A block matches a template when it
+holds at least ``threshold`` of the template's words. All matches are found, by
 
-* one global order of words, rarest first, by the number of blocks of all documents that
+* one global order of words, rarest first, by the number of lines of all documents that
   hold them;
 * prefixes: of a template of n words that must share o, one of its n - o + 1 rarest words
   is also among the block's as many rarest ones, so only those are looked up;
@@ -17,8 +19,11 @@ they can't match, so a block's prefix is taken from its other words alone.
 Beside that, labels follow from fixed phrases whose words stand consecutively, on whatever
 lines. Templates are a bounded set: their words are broadcast, ``MAX_WORDS`` at most.
 
-Null and empty texts have no blocks, no phrases and an empty string of labels. Rows are
-treated one by one, so ties, repeated rows and repeated ids don't meet.
+Null and empty texts have no blocks, no phrases and an empty string of labels; without
+templates or phrases none are found. Very long texts are taken one at a time, whole. Rows
+are treated one by one, so ties, repeated rows and repeated ids don't meet; an empty table
+gives an empty one. Other columns stay as they are: what is found replaces a column of the
+name given for it, ``found``.
 """
 
 from __future__ import annotations
@@ -39,6 +44,7 @@ from ordlog.llm.shared import tidy
 
 THRESHOLD = 0.92  # notices that differ in one telling word must not match each other
 MAX_WORDS = 1_000_000  # of all templates
+LINES = 3  # over which a notice may be wrapped
 
 # Phrases and their labels.
 PHRASES = {
@@ -108,9 +114,9 @@ class Templates:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, self.order[at], -1)
 
-    def count(self, blocks_with: dict[bytes, int]) -> None:
+    def count(self, lines_with: dict[bytes, int]) -> None:
         """Fix the global order and index the templates' prefixes."""
-        by_rarity = sorted(range(len(self.words)), key=lambda i: (blocks_with.get(self.words[i], 0), self.words[i]))
+        by_rarity = sorted(range(len(self.words)), key=lambda i: (lines_with.get(self.words[i], 0), self.words[i]))
         self.rank = np.empty(len(self.words), np.int64)
         self.rank[by_rarity] = np.arange(len(self.words))
         place = {w: int(self.rank[i]) for i, w in enumerate(self.words)}
@@ -156,16 +162,45 @@ def _lines(w: words.Words, first_byte: np.ndarray) -> np.ndarray:
 
 
 def _tokens(model: Templates, w: words.Words, first_byte: np.ndarray):
-    """Distinct (line, template word) pairs, checked byte by byte."""
+    """Distinct (line, template word) pairs, and a word of each."""
     ids = model.lookup(w.hashes)
     at = np.flatnonzero(ids >= 0)
     line = _lines(w, first_byte)[at] if len(at) else at
-    pair, one = np.unique(line * max(1, len(model.words)) + ids[at], return_index=True)
-    return pair // max(1, len(model.words)), pair % max(1, len(model.words)), at[one]
+    return _distinct(model, line, ids[at], at)
+
+
+def _distinct(model: Templates, place: np.ndarray, token: np.ndarray, at: np.ndarray):
+    size = max(1, len(model.words))
+    pair, one = np.unique(place * size + token, return_index=True)
+    return pair // size, pair % size, at[one]
+
+
+def _blocks(model: Templates, w: words.Words, first_byte: np.ndarray):
+    """Distinct (block, template word) pairs, and a word of each; a block has the number of
+    its first line."""
+    ids = model.lookup(w.hashes)
+    at = np.flatnonzero(ids >= 0)
+    if not len(at):
+        return at, at, at
+    line = _lines(w, first_byte)
+    opens = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])  # first words of the lines that have words
+    number = line[opens]
+    row = np.searchsorted(w.at, opens, "right")
+    begins = np.r_[True, (number[1:] != number[:-1] + 1) | (row[1:] != row[:-1])]
+    nth = np.arange(len(number))
+    first = np.maximum.accumulate(np.where(begins, nth, 0))
+    ends = np.r_[begins[1:], True]
+    last = np.minimum.accumulate(np.where(ends, nth, len(nth))[::-1])[::-1]
+    mine = np.searchsorted(opens, at, "right") - 1
+    low = np.maximum(first[mine], mine - LINES + 1)
+    high = np.minimum(mine, np.maximum(first[mine], last[mine] - LINES + 1))
+    many = high - low + 1
+    block = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    return _distinct(model, block, np.repeat(ids[at], many), np.repeat(at, many))
 
 
 def _count(text: str, shared):
-    """How many blocks hold each template word, one row for each task and word."""
+    """How many lines hold each template word, one row for each task and word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, sums = shared.value, Counter()
@@ -251,11 +286,11 @@ def _join(text: str, shared):
 
 def _matches(model: Templates, w: words.Words, first_byte: np.ndarray) -> Iterator[tuple[int, int, float]]:
     """Row, template and containment of every matching block."""
-    line, token, at = _tokens(model, w, first_byte)
-    if not len(line):
+    block_of, token, at = _blocks(model, w, first_byte)
+    if not len(at):
         return
     rank = model.rank[token]
-    bounds = np.flatnonzero(np.r_[True, line[1:] != line[:-1], True])
+    bounds = np.flatnonzero(np.r_[True, block_of[1:] != block_of[:-1], True])
     # only a block with a word of some template's prefix can match, and not one that is too short
     hopeful = np.add.reduceat(model.starts[rank].astype(np.int64), bounds[:-1]) > 0
     hopeful &= np.diff(bounds) >= model.least
@@ -293,9 +328,10 @@ def find(
 def report(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """For each document: doc_id, n_words, n_base, first_word, last_word, base_labels,
     labels and score (1 if a phrase stands there, else the best containment)."""
-    f = find(docs.select(doc_id, options.get("text", "text")), **options)
+    named = docs.select(F.col(doc_id).alias("id"), F.col(options.pop("text", "text")).alias("text"))
+    f = find(named, **options)
     return f.select(
-        doc_id,
+        F.col("id").alias(doc_id),
         F.col("found.n_words").alias("n_words"),
         F.size("found.places").cast("bigint").alias("n_base"),
         F.array_min("found.places").alias("first_word"),

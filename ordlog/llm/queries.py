@@ -135,9 +135,16 @@ phrases as (
 ), templates as (
   select row_number() over () as t, label, list_distinct({_ALNUM}) as need
   from (values {_values(licenses.TEMPLATES)}) v(label, text)
+), lines as (
+  select doc_id, line, {_ALNUM} as ws
+  from (select doc_id, generate_subscripts(l, 1) as line, unnest(l) as text
+    from (select doc_id, string_split(text, chr(10)) as l from docs))
 ), blocks as (
-  select doc_id, list_distinct({_ALNUM}) as have
-  from (select doc_id, unnest(string_split(text, chr(10))) as text from docs)
+  select doc_id, list_distinct(list_concat(ws, list_concat(case when next <> [] then next else [] end,
+    case when next <> [] and third <> [] then third else [] end))) as have
+  from (select *, lead(ws, 1, []) over by_line as next, lead(ws, 2, []) over by_line as third from lines
+    window by_line as (partition by doc_id order by line))
+  where ws <> []
 ), matched as (
   select doc_id, list(distinct label) as labels, max(share) as share from (
     select doc_id, label, len(list_intersect(have, need)) / len(need) as share, len(list_intersect(have, need)) as n, need

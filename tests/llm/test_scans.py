@@ -161,8 +161,12 @@ def scan(text, templates, phrases, threshold):
         places += at
         base |= {label} if at else set()
     labels, best = set(), 0.0
-    for line in (text or "").split("\n"):
-        have = set(words_of(line))
+    lines = [set(words_of(line)) for line in (text or "").split("\n")]
+    for i, have in enumerate(lines):
+        for more in lines[i + 1 : i + 3]:
+            if not have or not more:
+                break
+            have = have | more
         for label, template in templates:
             need = set(words_of(template))
             if len(have & need) >= math.ceil(threshold * len(need) - 1e-9):
@@ -180,6 +184,31 @@ def scan(text, templates, phrases, threshold):
     )
 
 
+# Notices as their files wrap them.
+WRAPPED = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction""",
+    "bsd": """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:""",
+    "mpl-2": """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at http://mozilla.org/MPL/2.0/. */""",
+}
+
+
+@pytest.mark.parametrize("label", list(WRAPPED))
+@pytest.mark.parametrize("width", [None, 50, 120])
+def test_wrapped_notices(docs, label, width):
+    import textwrap
+
+    text = WRAPPED[label]
+    if width:
+        text = textwrap.fill(" ".join(text.split()), width)
+    texts = [text, f"some prose\nbefore it\n{text}\nand after it", text.replace("\n", "\r\n")]
+    assert [r.labels for r in licenses.report(docs(texts)).collect()] == [label] * 3
+
+
 @pytest.mark.parametrize("threshold", [0.5, 0.8, licenses.THRESHOLD])
 def test_licenses_of_real_and_made_up_documents(spark, real, docs, threshold):
     made = docs(
@@ -193,6 +222,10 @@ def test_licenses_of_real_and_made_up_documents(spark, real, docs, threshold):
             "Permission is hereby granted free of charge to any person obtaining a copy of this",
             "",
             None,
+            *WRAPPED.values(),
+            "released\nunder\n\nthe\nmit\nlicense",
+            "a\nreleased under\n--\nthe mit license",
+            "released under\nthe mit\nlicense\n\nLicensed under\nCC BY-NC 4.0",
         ]
     )
     for table in (real, made):

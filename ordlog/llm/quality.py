@@ -11,18 +11,21 @@ level: the posterior of a site is
 so a site of few documents stays near what is around it, the host near the global mean and
 the path near its host. The strengths are empirical Bayes estimates by moments: evidence's
 variance within sites of a level over the variance of their means around the level above.
-A document's score adds, in log odds, what its path's posterior says beyond the global mean
-to its own evidence.
+A document's score adds, in log odds, what its path says beyond the global mean to its own
+evidence. What the path says is the posterior of its other documents: the document's own
+evidence is taken out of the sums of every level, so it counts once.
 
 Sites' sums are partial aggregates; documents meet their site's row in a broadcast join of a
 counted number of sites, else in a join that Spark can split, so a site with a third of all
 documents does no harm. Training takes about ``PER_CLASS`` labelled documents of either
 label, drawn by a hash of their id; ten numbers of each pass the driver.
 
-Null and empty texts have the evidence of an empty text. A null host or path is a site of
-its own. With nothing to learn from all evidence is 0.5. If labels repeat an id it counts as
-good if one of them says so. Rows are scored one by one; repeated rows count as often in
-their site as they stand there. An empty table gives no rows.
+Null and empty texts have the evidence of an empty text, very long ones that of all of
+their words. A null host or path is a site of its own; the only document of a site has what
+is around it. With nothing to learn from all evidence is 0.5. If labels repeat an id it
+counts as good if one of them says so. Rows are scored one by one, equal ones alike;
+repeated rows count as often in their site as they stand there. Only the named columns are
+read, so others are not in the way. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -173,7 +176,8 @@ def _strength(sites: DataFrame, above: Column) -> float:
 
 
 def posteriors(scored: DataFrame, levels: list[str]) -> tuple[list[DataFrame], float]:
-    """For each level a row for each site, with its posterior; and the global mean."""
+    """For each level a row for each site, with its posterior, the sum and number of its
+    documents' evidence and what the level above counts for; and the global mean."""
     sums = [F.sum("evidence").alias("total"), F.sum(F.col("evidence") * F.col("evidence")).alias("squares"), F.count("*").alias("docs")]
     finest = stage(scored.groupBy(*levels).agg(*sums), "sites")
     whole = finest.agg(F.sum("total"), F.sum("docs")).first()
@@ -191,10 +195,26 @@ def posteriors(scored: DataFrame, levels: list[str]) -> tuple[list[DataFrame], f
         sites = stage(sites, "level")
         strength = _strength(sites, F.col("above"))
         posterior = (F.col("above") * strength + F.col("total")) / (F.col("docs") + strength)
-        out.append(sites.select(*keys, posterior.alias("posterior")))
+        out.append(sites.select(*keys, posterior.alias("posterior"), "total", "docs", F.lit(strength).alias("strength")))
     return out, mean
 
 
+def _all_levels(tables: list[DataFrame], names: list[str]) -> tuple[DataFrame, list[Column]]:
+    """A row for each site of the last level, with what all levels know of it, and the
+    condition on which a document meets it."""
+    out = None
+    for depth, level in enumerate(tables):
+        keys = names[: depth + 1]
+        known = [F.col(c).alias(f"_{c}_{depth}") for c in ("posterior", "total", "docs", "strength")]
+        level = level.select(*[F.col(k).alias(f"_{k}") for k in keys], *known)
+        if out is not None:
+            wider = out.select(*[F.col(f"_{k}").alias(f"__{k}") for k in keys[:-1]], *[c for c in out.columns if c[1:] not in names])
+            meet = [F.col(f"_{k}").eqNullSafe(F.col(f"__{k}")) for k in keys[:-1]]
+            level = level.join(wider, meet).drop(*[f"__{k}" for k in keys[:-1]])
+        out = level
+    return stage(out, "sites"), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in names]
+
+
 def _logit(p: Column) -> Column:
     held = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
     return F.log(held / (1 - held))
@@ -220,14 +240,14 @@ def assess(
     schema = ", ".join([f"id {read.schema['id'].dataType.simpleString()}", *[f"{n} string" for n in names], "evidence double"])
     scored = stage(read.mapInArrow(_evidence(model, 1 + len(names)), schema), "evidence")
     tables, mean = posteriors(scored, names)
-    out = scored
-    for depth, name in ((1, "host_posterior"), (len(names), "path_posterior")):
-        keys = names[:depth]
-        site = tables[depth - 1].select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("posterior").alias(name))
-        if site.count() <= BROADCAST_ROWS:
-            site = F.broadcast(site)
-        out = out.join(site, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).drop(*[f"_{k}" for k in keys])
-    odds = _logit(F.col("evidence")) + _logit(F.col("path_posterior")) - _logit(F.lit(float(mean)))
+    sites, same = _all_levels(tables, names)
+    out = scored.join(F.broadcast(sites) if sites.count() <= BROADCAST_ROWS else sites, same)
+    others = F.lit(float(mean))
+    for depth in range(len(names)):
+        total, docs_, strength = (F.col(f"_{c}_{depth}") for c in ("total", "docs", "strength"))
+        others = (others * strength + total - F.col("evidence")) / (strength + docs_ - 1)
+    out = out.withColumn("host_posterior", F.col("_posterior_0")).withColumn("path_posterior", F.col(f"_posterior_{len(names) - 1}"))
+    odds = _logit(F.col("evidence")) + _logit(others) - _logit(F.lit(float(mean)))
     out = out.withColumn("score", 1 / (1 + F.exp(-odds)))
     return out.select(
         F.col("id").alias(doc_id), "evidence", "host_posterior", "path_posterior", "score", (F.col("score") >= keep).alias("keep")

@@ -10,15 +10,16 @@ costs no more than its words.
 Training takes at most about ``PER_CLASS`` labelled documents of either label, drawn by a
 hash of their id, none of more than ``MOST_WORDS`` different words; both labels weigh alike.
 Their hashed words and the model pass the driver. Words of fewer than ``LEAST_DOCS`` of them
-count for nothing. All others have pair factors, also those that tell nothing by themselves:
-an insult can be two words of which each is as common in clean texts. A weight of its own has
-a word only if it is associated with the label by ``LEAST_STRENGTH`` at least and among the
-``KEPT`` words most associated with it. The factors of words without a weight are thinned out
-(L1, ``SPARSE``), or the noise of thousands of them would outweigh the pairs.
+count for nothing. All others have a weight and pair factors, also those that tell nothing by
+themselves: an insult can be two words of which each is as common in clean texts. Those of
+words that are associated with the label by less than ``LEAST_STRENGTH`` are thinned out (L1,
+``SPARSE``), or the noise of thousands of them would outweigh the pairs.
 
 Null and empty texts have the score of a text without words; with nothing to learn from
 every score is 0. Documents with a null id are neither learned from nor held out. If labels
-repeat an id, it is toxic if one of them says so. Very long texts are scored whole.
+repeat an id, it is toxic if one of them says so. Very long texts are scored whole. Texts of
+the same words tie, whatever else they hold; repeated rows are scored alike; an empty table
+gives an empty one. Other columns stay as they are; ``score`` replaces ``toxicity``.
 """
 
 from __future__ import annotations
@@ -41,12 +42,11 @@ PER_CLASS = 6000
 MOST_WORDS = 5000
 LEAST_DOCS = 4
 LEAST_STRENGTH = 10.0  # chi-squared, of one degree of freedom
-KEPT = 8192
 EPOCHS = 20
 BATCH = 256
 RATE = 0.3
 SHRINK = 1e-3  # L2, on pair factors and weights
-SPARSE = 6e-4  # L1, on pair factors of words without a weight
+SPARSE = 6e-4  # L1, on weights and pair factors of words of little association
 
 
 def _terms(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -87,7 +87,7 @@ def fit(docs: list[np.ndarray], label: np.ndarray, importance: np.ndarray) -> Mo
     importance = importance / importance.mean()
     row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     term = np.concatenate(docs).astype(np.int64)
-    place, linear = _screened(row, term, label, importance)
+    place, strong = _screened(row, term, label, importance)
     at = place[term]
     row, at = row[at >= 0], at[at >= 0]
     bounds = np.searchsorted(row, np.arange(len(docs) + 1))
@@ -112,39 +112,38 @@ def fit(docs: list[np.ndarray], label: np.ndarray, importance: np.ndarray) -> Mo
             past_0 += slope.sum() ** 2
             model.constant -= RATE * slope.sum() / np.sqrt(past_0)
             used, where = np.unique(k, return_inverse=True)
-            g = (np.bincount(where, slope[r], len(used)) + SHRINK / n * model.weight[used]) * linear[used]
+            g = np.bincount(where, slope[r], len(used)) + SHRINK / n * model.weight[used]
             past_w[used] += g * g
-            model.weight[used] -= RATE * g / np.sqrt(past_w[used])
+            step = RATE / np.sqrt(past_w[used])
+            model.weight[used] = _thinned(model.weight[used] - step * g, np.where(strong[used], 0, SPARSE * step))
             for f in range(FACTORS):
                 v = model.factor[k, f]
                 g = np.bincount(where, slope[r] * (sums[r, f] - v), len(used)) + SHRINK * model.factor[used, f]
                 past_v[used, f] += g * g
                 step = 0.25 * RATE / np.sqrt(past_v[used, f])
-                v = model.factor[used, f] - step * g
-                thinned = np.where(linear[used], 0, SPARSE * step)
-                model.factor[used, f] = np.sign(v) * np.maximum(np.abs(v) - thinned, 0)
+                model.factor[used, f] = _thinned(model.factor[used, f] - step * g, np.where(strong[used], 0, SPARSE * step))
     return model
 
 
+def _thinned(x: np.ndarray, by: np.ndarray) -> np.ndarray:
+    return np.sign(x) * np.maximum(np.abs(x) - by, 0)
+
+
 def _screened(row, term, label, importance) -> tuple[np.ndarray, np.ndarray]:
-    """The place of each word of enough documents, and which places have a weight of their
-    own: those of the strongest association. A word that tells nothing alone may in a pair."""
+    """The place of each word of enough documents, and which places are of words associated
+    with the label. A word that tells nothing alone may in a pair."""
     docs = np.bincount(term, minlength=1 << BITS)
     weight = np.bincount(term, importance[row], 1 << BITS)
     toxic = np.bincount(term, (importance * label)[row], 1 << BITS)
     rate = (importance * label).sum() / importance.sum()
     strength = (toxic - rate * weight) ** 2 / np.maximum(rate * weight, 1e-9)
-    strength[(docs < LEAST_DOCS) | (strength < LEAST_STRENGTH)] = -1
-    best = np.argsort(-strength, kind="stable")[:KEPT]
-    best = best[strength[best] >= 0]
     enough = np.flatnonzero(docs >= LEAST_DOCS)
     place = np.full(1 << BITS, -1, np.int32)
     place[enough] = np.arange(len(enough))
-    linear = np.zeros(max(1, len(enough)), bool)
-    linear[place[best]] = True
     if not len(enough):
         place[0] = 0
-    return place, linear
+        return place, np.zeros(1, bool)
+    return place, strength[enough] >= LEAST_STRENGTH
 
 
 def _drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,8 @@
 """Language, toxicity and quality: held-out accuracy, bounds and odd rows."""
 
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -120,6 +122,36 @@ def test_rejects_go_and_the_columns_stay(nasty, real):
     assert language.recognised(nasty).filter("text is null or trim(text) = ''").count() == 0
 
 
+def test_the_report_by_brute_force(real):
+    """Kernels by plain sets, texts one by one."""
+    model = language.train(real)
+    marks = np.unpackbits(model.landmarks, axis=1, count=len(model.norms)).astype(bool)
+    sets = [{int(g) for g in model.kinds[marks[:, j]]} for j in range(marks.shape[1])]
+
+    def codes(text):
+        s = [ord(c) + 2 if c.isalpha() else 1 for c in text.lower()]
+        code = lambda gram: sum(c << 21 * k for k, c in enumerate(reversed(gram)))
+        return {code(s[i : i + n]) for n in (1, 2, 3) for i in range(len(s) - n + 1)}
+
+    for r in language.report(real).collect():
+        text = next(d.text for d in real_rows(real) if d.doc_id == r.doc_id)
+        mine = codes(text)
+        kernel = [len(mine & s) / np.sqrt(len(mine) * len(s)) for s in sets]
+        decision = np.array(kernel) @ model.weights[:-1] + model.weights[-1]
+        assert r.score == pytest.approx(min(1, max(0, (decision.max() + 1) / 2)), abs=1e-4)
+        near = sorted(decision)[-2:]
+        assert near[1] - near[0] < 1e-4 or r.lang_pred == model.languages[int(decision.argmax())]
+
+
+_REAL = {}
+
+
+def real_rows(real):
+    if not _REAL:
+        _REAL["rows"] = real.collect()
+    return _REAL["rows"]
+
+
 # --- toxicity --------------------------------------------------------------------------
 
 
@@ -187,6 +219,24 @@ def test_score_is_the_sum_over_pairs():
     assert got == pytest.approx([want, 0.3 + model.weight[1]])
 
 
+def test_toxicity_by_brute_force(real, spark):
+    """Words by a regular expression, pairs one by one."""
+    from ordlog.llm import words
+
+    labels = spark.read.parquet(small("labels"))
+    model = toxicity.train(real, labels)
+    mask = (1 << toxicity.BITS) - 1
+    got = {r.doc_id: r for r in toxicity.report(real, labels).collect()}
+    assert len(got) == real.count()
+    for r in real.collect():
+        texts = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or ""))
+        at = sorted({int(model.place[words.hash_word(w) & mask]) for w in set(texts)} - {-1})
+        v = model.factor[at]
+        pairs = sum(float(v[i] @ v[j]) for i in range(len(at)) for j in range(i)) if len(at) < 60 else ((v.sum(axis=0) ** 2 - (v**2).sum(axis=0)) / 2).sum()
+        want = 1 / (1 + np.exp(-np.clip(model.constant + model.weight[at].sum() + pairs, -30, 30)))
+        assert got[r.doc_id].score == pytest.approx(want) and got[r.doc_id].predicted == (got[r.doc_id].score >= 0.5)
+
+
 def test_toxicity_of_odd_rows(spark, nasty, none):
     schema = "doc_id bigint, quality int, toxic int"
     some = spark.createDataFrame([(i, 1, i % 2) for i in range(9)] + [(1, 0, None), (None, 1, 1), (3, 0, 1), (3, 0, 0)], schema)
@@ -236,6 +286,88 @@ def test_posteriors_by_the_formula(spark):
         assert r.posterior == pytest.approx((strength * mean + v.sum()) / (strength + len(v)))
 
 
+def plain_features(text):
+    """The ten numbers of a text, by counting."""
+    raw = (text or "").encode()
+    found = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    lower = [w.lower() for w in found]
+    some, share = max(1, len(found)), lambda test: sum(map(test, raw)) / max(1, len(raw))
+    is_sign = lambda b: 33 <= b < 127 and not chr(b).isalnum() and chr(b) not in ".,;:'-"
+    return [
+        np.log1p(len(found)),
+        np.log1p(len(raw) / some),
+        len(set(lower)) / some,
+        max(Counter(lower).values(), default=0) / some,
+        sum(a == b for a, b in zip(lower, lower[1:])) / some,
+        share(lambda b: b >= 0x80 or chr(b).isalpha()),
+        share(lambda b: 65 <= b <= 90),
+        share(lambda b: 48 <= b <= 57),
+        share(is_sign),
+        np.log1p(len(raw) / (1 + raw.count(b"\n"))),
+    ]
+
+
+@pytest.mark.parametrize("table", ["real", "nasty"])
+def test_quality_by_brute_force(request, spark, table):
+    """Evidence, posteriors of sites and of all other documents of a site, by plain sums."""
+    docs, labels = request.getfixturevalue(table), spark.read.parquet(small("labels"))
+    model = quality.train(docs, labels)
+    rows = docs.collect()
+    e = [0.5] * len(rows)
+    if model is not None:
+        center, scale, beta = model
+        z = np.clip((np.array([plain_features(r.text) for r in rows]) - center) / scale, -5, 5)
+        e = (1 / (1 + np.exp(-np.clip(np.concatenate([np.ones((len(z), 1)), z, z * z], axis=1) @ beta, -12, 12)))).tolist()
+    mean = sum(e) / len(e)
+    of = [[(r.source,), (r.source, r.lang)] for r in rows]
+
+    def strength(depth, above):
+        """Within over between, by the moments."""
+        groups = {k: [x for x, o in zip(e, of) if o[depth] == k] for k in {o[depth] for o in of}}
+        n, m = len(e), len(groups)
+        if n <= m:
+            return groups, quality.MIXED_MOST
+        within = max(0.0, sum(sum(x * x for x in v) - len(v) * np.mean(v) ** 2 for v in groups.values())) / (n - m)
+        spread = n - sum(len(v) ** 2 for v in groups.values()) / n
+        between = (sum(len(v) * (np.mean(v) - above(k)) ** 2 for k, v in groups.items()) - m * within) / spread if spread > 0 else 0
+        return groups, quality.MIXED_MOST if between <= 0 else min(quality.MIXED_MOST, max(1e-3, within / between))
+
+    hosts, s0 = strength(0, lambda k: mean)
+    host = {k: (s0 * mean + sum(v)) / (s0 + len(v)) for k, v in hosts.items()}
+    paths, s1 = strength(1, lambda k: host[k[:1]])
+    path = {k: (s1 * host[k[:1]] + sum(v)) / (s1 + len(v)) for k, v in paths.items()}
+    logit = lambda p: np.log(p / (1 - p))
+    want = []
+    for r, x, (h, p) in zip(rows, e, of):
+        other = (s0 * mean + sum(hosts[h]) - x) / (s0 + len(hosts[h]) - 1)
+        other = (s1 * other + sum(paths[p]) - x) / (s1 + len(paths[p]) - 1)
+        score = 1 / (1 + np.exp(-(logit(x) + logit(other) - logit(mean))))
+        want.append((r.doc_id, x, host[h], path[p], score, score >= 0.5))
+    key = lambda r: (r[0] is None, r[0] or 0, round(r[1], 9), round(r[4], 9))
+    for g, w in zip(sorted(map(tuple, quality.assess(docs, labels).collect()), key=key), sorted(want, key=key)):
+        assert g[0] == w[0] and g[1:5] == pytest.approx(w[1:5], rel=1e-6, abs=1e-9) and (g[5] == w[5] or abs(w[4] - 0.5) < 1e-6)
+
+
+def test_the_site_decides_where_the_text_does_not(spark):
+    """The same middling text stays where its neighbours are good, and goes where they are bad."""
+    good = lambda i: f"a plain line of words number {i} that reads like prose and goes on for a while, quietly."
+    bad = lambda i: f"#{i} $$$ BUY BUY BUY !!! {i}{i} @@@ ### CLICK CLICK &&& 000 {i} %%%"
+    middling = "a plain line of words that reads like prose $$$ BUY BUY !!! 000 and goes on CLICK ###"
+    rows = [(i, good(i), "fine.example" if i % 2 else "foul.example", "en") for i in range(400) if i % 2 or i < 40]
+    rows += [(i, bad(i), "foul.example", "en") for i in range(1000, 1400)] + [(i, bad(i), "fine.example", "en") for i in range(1400, 1420)]
+    # of texts like it elsewhere, every other one is good
+    rows += [(2000 + i, middling + " and on" * (i % 2), f"h{i}.example", "en") for i in range(200)]
+    rows += [(5000, middling, "fine.example", "en"), (5001, middling, "foul.example", "en"), (5002, middling, "lone.example", "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    marks = [(r[0], int(r[0] < 1000 or r[0] >= 2000 and r[0] // 2 % 2 == 0)) for r in rows if r[0] < 5000]
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int")
+    got = {r.doc_id: r for r in quality.assess(docs, labels).collect()}
+    fine, foul, lone = got[5000], got[5001], got[5002]
+    assert fine.evidence == pytest.approx(foul.evidence) == pytest.approx(lone.evidence) and 0.02 < fine.evidence < 0.98
+    assert fine.keep and not foul.keep
+    assert foul.score < lone.score < fine.score
+
+
 def test_quality_of_odd_rows(spark, nasty, none, labels):
     clash = nasty.withColumnRenamed("n_chars", "evidence").withColumn("keep", nasty.text)
     got = quality.assess(clash, labels).collect()

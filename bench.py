@@ -70,7 +70,7 @@ def steps(spark: SparkSession, rows: int) -> dict[str, float]:
     root = workspace.fresh(spark, "bench")
     took = {}
     text = f"{root}/text"
-    took["generate"] = timed(lambda: codec.to_lines(synth.records(spark, rows)).write.text(text))
+    took["generate"] = timed(lambda: synth.write_lines(spark, rows, text))
     took["publish"] = timed(lambda: log.publish(spark.read.text(text), root, SOURCE_TOPIC))
     staged = f"{root}/consumed"
     parsed = codec.parse(log.consume(spark, root, SOURCE_TOPIC))

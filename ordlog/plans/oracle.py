@@ -60,36 +60,46 @@ _TRIMMED = r"""trimmed as (
 
 # --- generated records: the same arithmetic, spelled out ----------------------------
 
+_WHOLE = 1 << 64
 
-def _draw(k: int, seed: int) -> str:
-    low, high, shift = synth.draw_constants(k, seed)
-    x = f"((rid % {synth.PRIME}) * {low} + (rid // {synth.PRIME}) * {high} + {shift}) % {synth.PRIME}"
-    for bits, factor in synth.MIX:
-        x = f"(xor({x}, ({x}) >> {bits}) * {factor}) % {synth.PRIME}"
-    return x
 
+def _times(x: str, factor: int) -> str:
+    """A product modulo 2^64: the low half of x exactly, of the high half what is not lost."""
+    low, high = f"cast({x} & 4294967295 as hugeint)", f"cast({x} >> 32 as hugeint)"
+    return f"cast(({low} * {factor} + {high} * {factor % (1 << 32)} % 4294967296 * 4294967296) % {_WHOLE} as ubigint)"
 
-def _text(chars: str, first_draw: int, draws: int) -> str:
-    size = len(chars)
-    out = []
-    for d in range(first_draw, first_draw + draws):
-        for j in range(2):
-            pair = f"(d{d} // {size ** (2 * j)}) % {size**2}"
-            out += [f"substr('{chars}', 1 + ({pair}) // {size}, 1)", f"substr('{chars}', 1 + ({pair}) % {size}, 1)"]
-    return " || ".join(out)
+
+def _plus(x: str, more: str) -> str:
+    return f"cast((cast({x} as hugeint) + {more}) % {_WHOLE} as ubigint)"
+
+
+def _rounds(name: str, source: str) -> str:
+    """Tables that mix the column z of a source; the last has it as name."""
+    (s0, f0), (s1, f1) = synth.MIX
+    return f"""{name}_a as (select * replace ({_times(f"xor(z, z >> {s0})", f0)} as z) from {source}),
+    {name}_b as (select * replace ({_times(f"xor(z, z >> {s1})", f1)} as z) from {name}_a),
+    {name} as (select * replace (xor(z, z >> {synth.LAST_SHIFT}) as z) from {name}_b)"""
 
 
 def _synth(ids: str, seed: int = 42) -> str:
-    draws = ", ".join(f"{_draw(k, seed)} as d{k}" for k in range(synth.DRAW_SHAPE + 1))
-    shape = f"d{synth.DRAW_SHAPE}"
     names = ", ".join(f"'{c}'" for c in CONTINENTS)
-    return f"""synth as (
-  select rid as row_id, cast(d{synth.DRAW_ID} % 2147483647 as int) as id,
-         left({_text(LETTERS, 0, synth.DRAWS_NAME)}, 10 + {shape} % 6) as name,
-         ({shape} // 36 % 10) || ' ' ||
-           left({_text(ADDRESS_CHARS, synth.DRAWS_NAME, synth.DRAWS_ADDRESS)}, 13 + {shape} // 6 % 6) as address,
-         ([{names}])[1 + {shape} // 360 % 6] as continent
-  from (select rid, {draws} from ({ids})))"""
+    counter = _times("cast(rid as ubigint)", synth.GAMMA)
+    step = _times("cast(k + 1 as ubigint)", synth.GAMMA)
+    piece = lambda i: f"cast((w[{i // 4 + 1}] >> {i % 4 * 16}) & 65535 as bigint)"
+    choice = lambda i, n: f"({piece(i)} * {n} // 65536)"
+    text = lambda chars, first, n: " || ".join(f"substr('{chars}', 1 + {choice(first + i, len(chars))}, 1)" for i in range(n))
+    return f"""drawn as (select rid, {_plus(counter, str(synth.seed_word(seed)))} as z from ({ids})),
+    {_rounds("state", "drawn")},
+    stepped as (select rid, k, {_plus("z", step)} as z from state, range({synth.WORDS}) steps(k)),
+    {_rounds("word", "stepped")},
+    whole as (select rid, list(z order by k) as w from word group by rid),
+    synth as (
+  select rid as row_id,
+         cast((cast({piece(synth.ID)} + {piece(synth.ID + 1)} * 65536 as hugeint) * 2147483647) // 4294967296 as int) as id,
+         left({text(LETTERS, synth.NAME, 15)}, 10 + {choice(synth.NAME_SIZE, 6)}) as name,
+         {choice(synth.DIGIT, 10)} || ' ' || left({text(ADDRESS_CHARS, synth.ADDRESS, 18)}, 13 + {choice(synth.ADDRESS_SIZE, 6)}) as address,
+         ([{names}])[1 + {choice(synth.CONTINENT, 6)}] as continent
+  from whole)"""
 
 
 _SYNTH = _synth("select o_orderkey as rid from orders")

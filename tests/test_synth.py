@@ -40,6 +40,41 @@ def test_same_rows_for_any_partitioning(spark):
     assert sorted(one.collect()) == sorted(many.collect())
 
 
+@pytest.mark.parametrize("count", [0, 1, 7, synth.BLOCK, synth.BLOCK + 1, 3 * synth.BLOCK + 5])
+def test_written_lines_are_those_of_the_records(spark, tmp_path, count):
+    synth.write_lines(spark, count, f"{tmp_path}/lines", seed=3)
+    got = sorted(r.value for r in spark.read.text(f"{tmp_path}/lines").collect())
+    want = sorted(r.value for r in codec.to_lines(synth.records(spark, count, seed=3)).collect())
+    assert got == want and len(got) == count
+
+
+def test_ids_of_every_width_are_written_in_full():
+    import numpy as np
+
+    drawn = np.array([0, 7, 10, 99, 12345, 10**8, 999_999_999, 10**9, 2147483646], np.int32)
+    real = synth._drawn
+    try:
+        synth._drawn = lambda rows, seed: (drawn[: len(rows)], *real(rows, seed)[1:])
+        lines = synth._block(0, len(drawn), 42).decode().split("\n")
+    finally:
+        synth._drawn = real
+    assert [int(x.split(",")[0]) for x in lines] == drawn.tolist()
+    assert [x.split(",")[0] for x in lines] == [str(x) for x in drawn.tolist()]
+
+
+def test_draws_are_those_of_the_published_generator():
+    """The first numbers of SplitMix64 for the seed 1234567."""
+    import numpy as np
+
+    steps = (np.arange(1, 4, dtype=np.uint64) * np.uint64(synth.GAMMA) + np.uint64(1234567)).astype(np.uint64)
+    assert synth._mixed(steps).tolist() == [6457827717110365317, 3203168211198807973, 9817491932198370423]
+
+
+def test_rows_without_an_id_have_no_record(spark):
+    ids = spark.createDataFrame([(1,), (None,), (-5,), (2**62,)], "k long")
+    assert sorted(r.row_id for r in synth.records_for(ids, "k").collect()) == [-5, 1, 2**62]
+
+
 def test_seeds_differ_and_rows_differ(spark):
     a, b = synth.records(spark, 500, seed=1), synth.records(spark, 500, seed=2)
     assert not {r.name for r in a.collect()} & {r.name for r in b.collect()}

@@ -26,6 +26,7 @@ _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number he
 TASK = "_task"
 SHARD_BYTES = 256 << 20  # of the files that a sort reads
 _UNKNOWN_SIZE = 1 << 60  # Spark says more than this where it knows nothing
+HEAD_SHARDS = 1000  # that a scan is told to keep to
 BROADCAST_SEGMENTS = 2_000_000  # some 100 MB in memory
 
 
@@ -150,12 +151,12 @@ def place_head(
 ) -> DataFrame:
     """The first n rows of each group.
 
-    The segment table tells which shard is the last to reach below n, so the scan drops
-    later files by their statistics instead of reading the whole table.
+    The segment table tells which segments reach below n: rows of others are not joined, and
+    files whose statistics have none of their shards are not read.
     """
     reached = table.filter(F.col("start") < n)
-    last = reached.agg(F.max("shard")).first()[0]
-    near = data.filter(F.col("shard") <= (-1 if last is None else last))
+    shards = [r[0] for r in reached.select("shard").distinct().limit(HEAD_SHARDS + 1).collect()]
+    near = data.filter(F.col("shard").isin(shards)) if len(shards) <= HEAD_SHARDS else data
     return place(near, reached, group, missing_groups).filter(F.col("offset") < n)
 
 

@@ -33,11 +33,11 @@ class Run:
 def sort_topics(
     records: DataFrame, logs: Logs, keys: tuple[str, ...] = KEYS, shards: int | None = None
 ) -> dict[str, int]:
-    """Publish one ordered topic for each key, one after the other; returns the rows of each.
+    """Publish one ordered topic for each key; returns the rows of each.
 
     Every key is sorted in the same way, so its topic does not depend on how many values
-    it has. A range sort holds a copy of the data as shuffle files while it runs."""
-    return {k: logs.publish_ordered(records, k, shards) for k in keys}
+    it has. The sort holds a copy of the data for each key as shuffle files while it runs."""
+    return logs.publish_ordered(records, keys, shards)
 
 
 def verify_topic(topic: DataFrame, key: str, width: int = order_check.WIDTH) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,9 @@ class Logs(Protocol):
     def consume(self, topic: str) -> DataFrame:
         """The non-empty values of a topic, from its beginning to its present end."""
 
-    def publish_ordered(self, records: DataFrame, key: str, shards: int | None) -> int:
-        """Write the records, ordered by ``key``, to the topic of that name; returns the rows sent."""
+    def publish_ordered(self, records: DataFrame, keys: Sequence[str], shards: int | None) -> dict[str, int]:
+        """Write the records, ordered by each key, to the topic of that name; returns the rows
+        sent to each."""
 
     def read(self, topic: str) -> DataFrame:
         """The rows of a topic with partition and offset."""
@@ -35,8 +37,8 @@ class FileLogs:
     def consume(self, topic: str) -> DataFrame:
         return log.consume(self.spark, self.root, topic)
 
-    def publish_ordered(self, records: DataFrame, key: str, shards: int | None) -> int:
-        return log.publish_sorted(records, self.root, key, key, shards=shards)
+    def publish_ordered(self, records: DataFrame, keys: Sequence[str], shards: int | None) -> dict[str, int]:
+        return log.publish_orders(records, self.root, {k: k for k in keys}, shards)
 
     def read(self, topic: str) -> DataFrame:
         return log.read_topic(self.spark, self.root, topic)
@@ -60,11 +62,11 @@ class KafkaLogs:
     def consume(self, topic: str) -> DataFrame:
         return kafka.consume(self.spark, self.bootstrap, topic, **self.options)
 
-    def publish_ordered(self, records: DataFrame, key: str, shards: int | None = None) -> int:
+    def publish_ordered(self, records: DataFrame, keys: Sequence[str], shards: int | None = None) -> dict[str, int]:
         partitions = self.ordered_partitions
         if shards not in (None, partitions):
             raise ValueError(f"an ordered topic has {partitions} partitions, not {shards} shards")
-        return kafka.publish_sorted(records, self.bootstrap, key, key, partitions, **self.options)
+        return {k: kafka.publish_sorted(records, self.bootstrap, k, k, partitions, **self.options) for k in keys}
 
     def read(self, topic: str) -> DataFrame:
         return kafka.read_log(self.spark, self.bootstrap, topic, **self.options)

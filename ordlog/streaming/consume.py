@@ -15,7 +15,7 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ordlog.functions.codec import drop_empty
 from ordlog.sources import kafka
-from ordlog.sources.log import STORED, data_path, place_rows, recorded_runs
+from ordlog.sources.log import STORED, data_path, place_rows, state
 
 STREAM_COLUMNS = ("run", "partition", "shard", "pos", "key", "value")
 
@@ -136,4 +136,4 @@ def consumed(spark: SparkSession, root: str, topic: str, group: str) -> DataFram
     Rows of a publish that died before it was recorded have no place in the log and are left
     out, though the stream may have seen them."""
     stored = spark.read.schema(STORED).parquet(_group_path(root, topic, group, "rows"))
-    return place_rows(stored, root, topic, recorded_runs(spark, root, topic))
+    return place_rows(stored, root, topic, state(spark, root, topic))

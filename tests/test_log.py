@@ -134,6 +134,97 @@ def test_ordered_topics(spark, root, publish, key):
     assert sorted(r.value for r in out) == _values(codec.to_lines(records))
 
 
+def ordered_lines(spark, root, topic):
+    rows = sorted(log.read_topic(spark, root, topic).collect(), key=lambda r: r.offset)
+    assert [r.offset for r in rows] == list(range(len(rows)))
+    return [r.value for r in rows]
+
+
+ODD = [(None, "n", "a", "x"), (5, "", "", ""), (-7, "é", "z" * 300, "Asia"), (5, "", "", ""), (2147483647, "Zz", "b", "Africa")]
+
+
+@pytest.mark.parametrize("key", ["id", "name", "continent"])
+def test_appends_to_an_ordered_topic_come_to_their_places(spark, root, record_df, key):
+    parts = [synth.records(spark, n, seed=n, tasks=3).drop("row_id") for n in (900, 40, 300)]
+    parts[1] = parts[1].union(record_df(ODD))
+    assert log.publish_sorted(parts[0], root, "t", key, shards=6) == 900
+    assert log.publish_sorted(parts[1], root, "t", key, mode="append") == 45
+    assert log.publish_sorted(parts[2], root, "t", key, mode="append", shards=4) == 300
+    assert log.publish_sorted(parts[2].limit(0), root, "t", key, mode="append") == 0
+    every = parts[0].union(parts[1]).union(parts[2])
+    log.publish_sorted(every, root, "once", key, shards=3)
+    assert ordered_lines(spark, root, "t") == ordered_lines(spark, root, "once")
+    assert log.stored_end_offsets(spark, root, "t").first()["rows"] == 1245
+    head = sorted((r.offset, r.value) for r in log.read_head(spark, root, "t", 7).collect())
+    assert head == list(enumerate(ordered_lines(spark, root, "once")[:7]))
+
+
+def test_an_append_writes_only_the_segments_it_falls_into(spark, root, record_df):
+    log.publish_sorted(spark.range(0, 8000, 1, 4).selectExpr("cast(id * 10 as int) id", "'n' name", "'a' address", "'x' continent"), root, "t", "id", shards=8)
+    first = log.state(spark, root, "t")
+    assert log.publish_sorted(record_df([(12345, "new", "b", "y"), (12345, "more", "b", "y")]), root, "t", "id", mode="append") == 2
+    after = log.segment_table(spark, root, "t").filter("shard >= 0").collect()
+    old, new = [r for r in after if r.run == first.places[0][1]], [r for r in after if r.run != first.places[0][1]]
+    assert len(old) == 7 and sum(r["rows"] for r in new) < 1400
+    ids = [int(v.split(",")[0]) for v in ordered_lines(spark, root, "t")]
+    assert ids == sorted(ids) and len(ids) == 8002
+    # and again, at both ends and within what was written anew
+    log.publish_sorted(record_df([(-1, "a", "b", "c"), (12345, "new", "b", "y"), (10**6, "z", "b", "c")]), root, "t", "id", mode="append")
+    ids = [int(v.split(",")[0]) for v in ordered_lines(spark, root, "t")]
+    assert ids == sorted(ids) and len(ids) == 8005 and ids[0] == -1
+
+
+def test_what_can_not_be_appended_to(spark, root, line_df, record_df):
+    rows = record_df([(i, f"n{9 - i}", "a", "x") for i in range(9)])
+    log.publish(line_df(["a"]), root, "lines", 1)
+    with pytest.raises(ValueError, match="not an ordered topic"):
+        log.publish_sorted(rows, root, "lines", "id", mode="append")
+    log.publish_sorted(rows.repartition(3), root, "t", "id", shards=3)
+    with pytest.raises(ValueError, match="not in the order"):
+        log.publish_sorted(rows, root, "t", "name", mode="append")
+    with pytest.raises(ValueError, match="only be replaced"):
+        log.publish_buckets(rows, root, "t", "name", 20, mode="append")
+    log.create_log(spark, root, "empty")
+    assert log.publish_sorted(rows, root, "empty", "name", mode="append") == 9
+
+
+def test_orders_come_from_one_exchange_and_replace_each_other(spark, root, record_df):
+    records = synth.records(spark, 700, tasks=3).drop("row_id").union(record_df(ODD))
+    keys = {"by_id": "id", "by_name": "name", "continent": "continent"}
+    assert log.publish_orders(records, root, keys, shards=4) == dict.fromkeys(keys, 705)
+    for topic, key in keys.items():
+        log.publish_sorted(records, f"{root}/alone", topic, key)
+        assert ordered_lines(spark, root, topic) == ordered_lines(spark, f"{root}/alone", topic)
+    old = log.state(spark, root, "by_id").places
+    assert log.publish_orders(records.limit(3), root, {"by_id": "id"}) == {"by_id": 3}
+    assert len(ordered_lines(spark, root, "by_id")) == 3 and len(ordered_lines(spark, root, "by_name")) == 705
+    assert log.publish_orders(records.limit(0), root, {"by_name": "name", "continent": "continent"}) == {"by_name": 0, "continent": 0}
+    assert ordered_lines(spark, root, "by_name") == [] and old not in (log.state(spark, root, t).places for t in keys)
+    runs = spark.read.schema(log.ORDERED).parquet(f"{root}/ordered").select("run").distinct().count()
+    assert runs == 1  # what no topic reads any more is gone
+
+
+def test_the_plan_of_several_orders_has_one_shuffle_of_data(spark, root, monkeypatch):
+    plans = []
+    real = log.segments.range_sorted
+    monkeypatch.setattr(log.segments, "range_sorted", lambda *a, **k: plans.append(real(*a, **k)) or plans[-1])
+    log.publish_orders(synth.records(spark, 200), root, {k: k for k in ("id", "name", "continent")})
+    (one,) = plans
+    assert one._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_compaction_keeps_offsets(spark, root, line_df):
+    log.publish(line_df([f"a{i}" for i in range(20)]).repartition(3), root, "t", 3)
+    for k in range(3):
+        log.publish(line_df([f"b{k}{i}" for i in range(k)]), root, "t", mode="append")
+    before = sorted(map(tuple, log.read_topic(spark, root, "t").collect()), key=str)
+    log.compact(spark, root, "t")
+    assert sorted(map(tuple, log.read_topic(spark, root, "t").collect()), key=str) == before
+    assert len(log.recorded_runs(spark, root, "t")) == 1
+    log.publish(line_df(["c"]), root, "t", mode="append")
+    assert log.read_topic(spark, root, "t").count() == len(before) + 1
+
+
 def test_bucket_topic_has_each_bucket_in_many_segments(spark, root):
     by_buckets(synth.records(spark, 600, tasks=5), root, "continent", "continent")
     table = log.segment_table(spark, root, "continent").filter("shard >= 0")

@@ -74,7 +74,7 @@ class _Pieces:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a piece are text
-        self.as_is = Tokenizer.from_file(path) if special else self.tokenizer
+        self.special = special
         added = self.tokenizer.get_added_tokens_decoder().values() if special else ()
         self.names = [t.content.encode() for t in added if t.content]
         self.to_model = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -94,7 +94,11 @@ class _Pieces:
 
     def written(self, text: bytes) -> list[int]:
         """Ids of a text as it is written, with the added tokens that it names."""
-        return self.as_is.encode(text.decode(), add_special_tokens=False).ids
+        self.tokenizer.encode_special_tokens = not self.special
+        try:
+            return self.whole(text)
+        finally:
+            self.tokenizer.encode_special_tokens = True
 
     def _naming(self, w: words.Words) -> list[int]:
         """The words that hold the name of an added token, in rising order."""

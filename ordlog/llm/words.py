@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20  # bytes hashed at once
+PIECE = 1 << 16  # bytes hashed at once; a longer word by itself
 CHUNK = 1 << 21  # bytes of texts taken at once
 
 _U = np.uint64

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordlog import workspace
 from ordlog.functions.codec import key_column
-from ordlog.operators import segments
+from ordlog.operators import merge, segments
+from ordlog.operators.segments import Positioned
 
 CHECKED_ROWS = 1000
 
@@ -29,11 +32,23 @@ def sort_by(
     return segments.positioned(df, list(order), ties=ties, shards=shards)
 
 
-def merge_sorted(*tables: DataFrame, order: list[str | Column], shards: int | None = None) -> DataFrame:
-    """One ordered table from several; their own offsets, if any, are left behind."""
-    merged = tables[0].drop("offset")
-    for t in tables[1:]:
-        merged = merged.unionByName(t.drop("offset"))
+def sorted_table(df: DataFrame, *order: str | Column, ties: list[str] | None = None, shards: int | None = None) -> Positioned:
+    """A table sorted and written down, that can be read whole, from its head, or merged."""
+    return segments.write_positioned(df, list(order), ties, shards=shards)
+
+
+def merge_sorted(*tables: DataFrame | Positioned, order: list[str | Column], shards: int | None = None) -> DataFrame:
+    """One ordered table from several; their own offsets, if any, are left behind.
+
+    Tables that ``sorted_table`` has sorted by the same names keep their order: only rows of
+    shards that overlap with another table's are sorted again. Others are sorted whole."""
+    if all(isinstance(t, Positioned) for t in tables) and all(
+        t.keys == tables[0].keys and t.keys is not None and t.keys[: len(order)] == order and t.columns == tables[0].columns
+        for t in tables
+    ):
+        return merge.merge(list(tables), shards)
+    frames = [t.rows() if isinstance(t, Positioned) else t for t in tables]
+    merged = reduce(DataFrame.unionByName, [t.drop("offset") for t in frames])
     return segments.positioned(merged, order, shards=shards)
 
 

@@ -15,6 +15,7 @@ more than ``BROADCAST_SEGMENTS`` rows; beyond that Spark joins by shuffling on t
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,9 @@ _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number he
 TASK = "_task"
 SHARD_BYTES = 256 << 20  # of the files that a sort reads
 _UNKNOWN_SIZE = 1 << 60  # Spark says more than this where it knows nothing
+HEAD = 128  # characters of a text that the bounds of shards may have
+OFTEN_SHARE = 64
+OFTEN_BYTES = 16 << 20
 HEAD_SHARDS = 1000  # that a scan is told to keep to
 BROADCAST_SEGMENTS = 2_000_000  # some 100 MB in memory
 
@@ -65,21 +69,79 @@ def range_sorted(
 ) -> DataFrame:
     """Sort the whole table: task i holds rows that come before those of task i+1.
 
-    ``ties`` (by default every column) make the order total, for any number of shards: they
-    are part of the range bounds as a whole. The last range column is the number of the task
-    the row came from: it spreads even a huge group of identical rows over shards, and being
-    a property of the input split it is the same when a lost task runs again. Spark samples
-    its bounds (``spark.sql.execution.rangeExchange.sampleSizePerPartition`` rows a shard)
-    on the driver; where ties are long texts, name a narrow unique one or lower that number.
+    ``ties`` (by default every column) make the order total, for any number of shards. Spark
+    samples the bounds of the shards on the driver, so they are short: ``short_keys`` of the
+    order's columns, whole only inside a shard. The last range column is the number of the
+    task the row came from: it spreads even a huge group of identical rows over shards, and
+    being a property of the input split it is the same when a lost task runs again.
     """
     keys = total_order(df, order, ties)
     shards = shards or shards_for(df.sparkSession, scan_bytes(df))
     tagged = df.withColumn(TASK, F.spark_partition_id())
     size = [shards] if shards else []
-    ranged = tagged.repartitionByRange(*size, *keys, F.col(TASK)).drop(TASK)
+    ranged = tagged.repartitionByRange(*size, *short_keys(df, order, ties)).drop(TASK)
     return ranged.sortWithinPartitions(*keys)
 
 
+def short_keys(df: DataFrame, order: list, ties: list[str] | None = None) -> list[Column]:
+    """Columns that order rows as the whole order does, or leave them equal, of which none is
+    longer than a text's first ``HEAD`` characters. Expressions of the caller's stay whole.
+
+    Once a text has been cut, columns behind it say nothing of the order, and the rows are
+    equal, unless the text is one that very many rows have: such are found beforehand and
+    known as a whole (``often``), so that a large group of copies is parted by what follows."""
+    named = [c for c in order if isinstance(c, str)]
+    rest = [c for c in (df.columns if ties is None else ties) if c not in named]
+    texts = [c for c in [*named, *rest] if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
+    copies = often(df, texts)
+    out, whole = [], F.lit(True)
+    for c in [*order, *rest]:
+        if not isinstance(c, str):
+            out.append(c)
+        elif c not in texts:
+            out.append(F.when(whole, _comparable(df, c)))
+        else:
+            head, long = head_of(c)
+            place = long.cast("int")  # a whole text comes before those that go on
+            if copies[c]:
+                heads = sorted({v[:HEAD] for v in copies[c]})
+                above = [(F.col(c) >= F.lit(v)).cast("int") + (F.col(c) > F.lit(v)).cast("int") for v in copies[c]]
+                place = F.when(long & head.isin(heads), reduce(Column.__add__, above, F.lit(1))).otherwise(place)
+            out += [F.when(whole, head), F.when(whole, place)]
+            whole = whole & (~long | F.col(c).isin(copies[c]) if copies[c] else ~long)
+    return [*out, F.when(whole, F.col(TASK))]
+
+
+def head_of(c: str) -> tuple[Column, Column]:
+    """A text's beginning, and whether there is more of it."""
+    head = F.substring(c, 1, HEAD)
+    return head, F.coalesce(F.octet_length(F.col(c)) > F.octet_length(head), F.lit(False))
+
+
+def often(df: DataFrame, texts: list[str]) -> dict[str, list]:
+    """The long values of text columns that one of ``OFTEN_SHARE`` rows or more has, by
+    Spark's sketch of frequent items over hashes; of them those of up to ``OFTEN_BYTES``. The
+    rest is as good as rare: what is sorted does not depend on it, only how evenly."""
+    if not texts:
+        return {}
+    hashes = [F.when(head_of(c)[1], F.xxhash64(c)).alias(f"_{i}") for i, c in enumerate(texts)]
+    sketch = "approx_top_k({0}, {1}) as {0}"
+    seen = df.select(*hashes).selectExpr(
+        "count(*) as rows",
+        *[f"count(_{i}) as n{i}" for i in range(len(texts))],
+        *[sketch.format(f"_{i}", OFTEN_SHARE) for i in range(len(texts))],
+    ).first()
+    out: dict[str, list] = {}
+    for i, c in enumerate(texts):
+        found = [t for t in seen[f"_{i}"] or [] if t["item"] is not None and t["count"] * OFTEN_SHARE >= seen["rows"]]
+        out[c] = []
+        if found and seen[f"n{i}"]:
+            mine = df.filter(F.xxhash64(c).isin([t["item"] for t in found]) & (F.octet_length(c) <= OFTEN_BYTES // OFTEN_SHARE))
+            values = mine.groupBy(F.xxhash64(c)).agg(F.first(c)).collect()
+            out[c] = sorted(r[1] for r in values)
+    return out
+
+
 def total_order(df: DataFrame, order: list, ties: list[str] | None = None) -> list[Column]:
     """The order's columns and after them what breaks its ties, by default every column."""
     # a named key is already ordered; an expression's own columns still break its ties
@@ -170,18 +232,20 @@ def stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> Da
 
 
 def stage_table(table: DataFrame, path: str) -> DataFrame:
-    table.coalesce(1).write.mode("overwrite").parquet(path)
+    table.write.mode("overwrite").parquet(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
 @dataclass(frozen=True)
 class Positioned:
-    """A sorted table as it was written, with its segment table."""
+    """A sorted table as it was written, with its segment table. ``keys``: the columns it is
+    sorted by, ascending, the ties after the order's own; None if there are others."""
 
     data: DataFrame
     table: DataFrame
     group: list[str]
     columns: list[str]
+    keys: list[str] | None = None
 
     def _shaped(self, placed: DataFrame) -> DataFrame:
         return placed.select(*self.group, "offset", *[c for c in self.columns if c not in self.group])
@@ -212,7 +276,9 @@ def write_positioned(
     path = workspace.fresh(df.sparkSession, "sorted")
     data = stage(number(range_sorted(df, [*group, *order], ties, shards)), f"{path}/data")
     table = stage_table(starts(data, group), f"{path}/segments")
-    return Positioned(data, table, group, df.columns)
+    named = all(isinstance(c, str) for c in order)
+    keys = [*order, *[c for c in (df.columns if ties is None else ties) if c not in order]] if named else None
+    return Positioned(data, table, group, df.columns, keys)
 
 
 def positioned(

@@ -175,11 +175,20 @@ def bucket_order_check(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def merge_sorted(spark: SparkSession, folder: str) -> DataFrame:
-    customers = order.sort_records(tables.records(spark, folder), "name")
-    suppliers = order.sort_records(tables.supplier_records(spark, folder), "name")
+    """Two sorted tables; only shards that overlap with the other's are sorted again."""
+    customers = order.sorted_table(tables.records(spark, folder), "name")
+    suppliers = order.sorted_table(tables.supplier_records(spark, folder), "name")
     return order.merge_sorted(customers, suppliers, order=["name"])
 
 
+@query
+def merge_overlapping(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where most shards overlap: ids of both run from 1."""
+    customers = order.sorted_table(tables.records(spark, folder), "id")
+    suppliers = order.sorted_table(tables.supplier_records(spark, folder), "id")
+    return order.merge_sorted(customers, suppliers, order=["id"])
+
+
 @query
 def head_sorted(spark: SparkSession, folder: str) -> DataFrame:
     """The first 1,000 orders by name, with their places."""

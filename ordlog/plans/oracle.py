@@ -236,6 +236,8 @@ SQL = {
         from orders_rec""",
     "merge_sorted": f"""with {_RECORDS}, {_SUPPLIERS},
         merged as (select * from records union all select * from suppliers) {_sorted('merged', 'name')}""",
+    "merge_overlapping": f"""with {_RECORDS}, {_SUPPLIERS},
+        merged as (select * from records union all select * from suppliers) {_sorted('merged', 'id')}""",
     "head_sorted": f"""with {_ORDERS_REC} select * from ({_sorted('orders_rec', 'name')}) where "offset" < 1000""",
     "first_in_order": f"""with {_ORDERS_REC}
         select id, name, address, continent from ({_sorted('orders_rec', 'name')}) where "offset" < 1000""",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ordlog import workspace
 from ordlog.functions import codec, rules
-from ordlog.operators import compare, order, order_check, probe
+from ordlog.operators import compare, order, order_check, probe, segments
 from ordlog.plans import end_to_end
 from ordlog.schema import KEYS, PREVIEW_ROWS, SOURCE_TOPIC
 from ordlog.sources import lines, log, synth, tables
@@ -62,6 +62,36 @@ def text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return codec.parse(lines.read_lines(spark, path))
 
 
+def _line_file(spark: SparkSession, folder: str) -> str:
+    """A folder of text files with two lines for each order, in text order: its record, and
+    one of too few fields."""
+    orders = codec.to_lines(tables.order_records(spark, folder))
+    short = tables.table(spark, folder, "orders").selectExpr("concat(o_orderkey, ',', o_orderstatus) as value")
+    path = workspace.fresh(spark, "line-file")
+    lines.write_lines(segments.range_sorted(orders.unionByName(short), ["value"]), path)
+    return path
+
+
+@query
+def head_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 1,000 lines of the files that parse, with their numbers from the beginning."""
+    path = _line_file(spark, folder)
+    good = codec.has_fields(F.col("value")) & codec.strict_int(F.substring_index("value", ",", 1)).isNotNull()
+    first = lines.first_lines(spark, path, order.CHECKED_ROWS, good)
+    # numbers within a file become numbers in all of them
+    ahead = lines.file_sizes(spark, path).select(F.col("file").alias("_file"), "before")
+    return first.join(F.broadcast(ahead), F.col("file") == F.col("_file")).select((F.col("before") + F.col("line")).alias("number"), "value")
+
+
+@query
+def line_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line of the files with its number from the beginning of all."""
+    path = _line_file(spark, folder)
+    ahead = lines.file_sizes(spark, path).select(F.col("file").alias("_file"), "before")
+    every = lines.numbered_lines(spark, path).join(F.broadcast(ahead), F.col("file") == F.col("_file"))
+    return every.select((F.col("before") + F.col("line")).alias("number"), "value")
+
+
 @query
 def parse_lines(spark: SparkSession, folder: str) -> DataFrame:
     return codec.parse(tables.lines(spark, folder))
@@ -352,6 +382,15 @@ def multiset_diff(spark: SparkSession, folder: str) -> DataFrame:
     return compare.multiset_diff(orders, customers)
 
 
+@query
+def lost_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Which rows a damaged topic lacks, and which it has twice: by a sketch, no row shuffled."""
+    records = tables.records(spark, folder)
+    ordered = order.sort_records(records, "name")
+    damaged = ordered.filter("offset % 100 <> 3").unionByName(ordered.filter("offset % 250 = 0")).drop("offset")
+    return compare.lost_rows(records, damaged)
+
+
 @query
 def observed_domain(spark: SparkSession, folder: str) -> DataFrame:
     return compare.observed_domain(tables.records(spark, folder), "continent")
@@ -399,6 +438,18 @@ def stream_resume(spark: SparkSession, folder: str) -> DataFrame:
     return steps[0].unionByName(steps[1]).unionByName(steps[2])
 
 
+@query
+def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """What Spark's checkpoint says of two drains of a growing topic, and of a third that
+    found nothing new."""
+    root = workspace.fresh(spark, "topics")
+    for mode, source in (("overwrite", tables.order_records), ("append", tables.records), (None, None)):
+        if source:
+            log.publish(codec.to_lines(source(spark, folder)), root, SOURCE_TOPIC, mode=mode)
+        consume.consume_new(spark, root, SOURCE_TOPIC, "sorter")
+    return consume.group_progress(spark, root, SOURCE_TOPIC, "sorter")
+
+
 # --- the whole job -------------------------------------------------------------------
 
 

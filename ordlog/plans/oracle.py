@@ -34,6 +34,11 @@ _LINES = f"""{_RECORDS}, lines as (
   union all select concat(' ', n_nationkey, ',', n_name, ',a,b ') from nation
   union all select '' from region)"""
 
+_FILE = """numbered as (
+  select row_number() over (order by value) as number, value from (
+    select concat(id, ',', name, ',', address, ',', continent) as value from orders_rec
+    union all select concat(o_orderkey, ',', o_orderstatus) from orders))"""
+
 _LOG = """log as (
   select 'events' topic, cast(user_id % 3 as int) as "partition",
          row_number() over (partition by user_id % 3 order by event_id) - 1 as "offset",
@@ -272,6 +277,19 @@ SQL = {
     "cardinality_approx": "select key, sampled, verdict from ("
     + _probe(("l_returnflag", "l_linenumber", "l_suppkey", "l_orderkey"), "lineitem")
     + ")",
+    "head_lines": f"""with {_ORDERS_REC}, {_FILE}
+        select number, value from (
+          select *, row_number() over (order by number) as nth from numbered
+          where length(value) - length(replace(value, ',', '')) >= 3) where nth <= 1000""",
+    "line_numbers": f"with {_ORDERS_REC}, {_FILE} select number, value from numbered",
+    "lost_rows": f"""with {_RECORDS}, ordered as ({_sorted('records', 'name')}), changed as (
+          select *, 1 as more from ordered where "offset" % 100 = 3
+          union all select *, -1 from ordered where "offset" % 250 = 0)
+        select id, name, address, continent, cast(sum(more) as bigint) as surplus
+        from changed group by all having sum(more) <> 0""",
+    "stream_progress": f"""with {_RECORDS}, {_ORDERS_REC}
+        select cast(0 as bigint) as batch, cast(0 as bigint) as log_offset, true as committed, count(*) as "rows" from orders_rec
+        union all select 1, 1, true, count(*) from records""",
     "publish_consume": f"with {_LINES}, {_TRIMMED} {_KEPT}",
     "published_offsets": f"""with {_LINES}, {_ORDERS_REC}
         select 'source' as topic, 3::bigint as partitions,

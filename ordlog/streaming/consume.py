@@ -11,6 +11,7 @@ import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ordlog.functions.codec import drop_empty
@@ -90,6 +91,36 @@ def drain(stream: DataFrame, table: str, checkpoint: str, timeout: float | None
     return progress
 
 
+def checkpoint_batches(spark: SparkSession, checkpoint: str, files: str) -> DataFrame:
+    """What Spark's own checkpoint knows of a stream over Parquet files: for each batch the
+    end offset that was planned, whether the batch was committed, and the rows of the files
+    it read.
+
+    Read from the logs that Spark keeps: ``offsets`` is written before a batch, ``commits``
+    after it, and the source's own log names the files of each batch."""
+    name = F.regexp_extract("_metadata.file_path", r"/(\d+)$", 1).cast("bigint")
+    planned = spark.read.text(f"{checkpoint}/offsets").select(name.alias("batch"), "value")
+    planned = planned.filter(F.col("value").contains("logOffset")).select(
+        "batch", F.get_json_object("value", "$.logOffset").cast("bigint").alias("log_offset")
+    )
+    committed = spark.read.text(f"{checkpoint}/commits").select(name.alias("_batch")).distinct()
+    logged = spark.read.text(f"{checkpoint}/sources/0").select(
+        F.regexp_extract(F.get_json_object("value", "$.path"), r"[^/]+$", 0).alias("file"),
+        F.get_json_object("value", "$.batchId").cast("bigint").alias("of"),
+    )
+    # a compacted log repeats what the logs before it say
+    logged = logged.filter("of is not null").distinct()
+    rows = spark.read.schema(STORED).parquet(files).groupBy(F.col("_metadata.file_name").alias("_file")).agg(F.count("*").alias("n"))
+    read = logged.join(rows, F.col("file") == F.col("_file")).groupBy("of").agg(F.sum("n").alias("n"))
+    done = planned.join(committed, F.col("batch") == F.col("_batch"), "left").join(read, F.col("batch") == F.col("of"), "left")
+    return done.select("batch", "log_offset", F.col("_batch").isNotNull().alias("committed"), F.coalesce("n", F.lit(0)).alias("rows"))
+
+
+def group_progress(spark: SparkSession, root: str, topic: str, group: str) -> DataFrame:
+    """``checkpoint_batches`` of a group that consumes a topic."""
+    return checkpoint_batches(spark, _group_path(root, topic, group, "checkpoint"), data_path(root, topic))
+
+
 def batch_report(spark: SparkSession, progress: Progress) -> DataFrame:
     """One row for each batch and source: rows read, and from where to where."""
     schema = "batch bigint, source string, start_offset string, end_offset string, rows bigint"

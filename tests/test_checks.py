@@ -145,3 +145,39 @@ def test_reconcile(spark):
     assert [(r.stage, r["rows"], r.lost, r.matches_source) for r in out] == [("a", 3, 0, True), ("b", 2, 1, False)]
     with pytest.raises(reconcile.LostRows, match="b has 2 rows instead of 3"):
         reconcile.reconcile(spark, {"a": 3, "b": 2}, {"a": 3, "b": 3})
+
+
+# --- which rows differ ----------------------------------------------------------------
+
+
+def _diff(left, right, **options):
+    got = sorted(map(tuple, compare.lost_rows(left, right, **options).collect()), key=repr)
+    assert got == sorted(map(tuple, compare.multiset_diff(left, right).collect()), key=repr)
+    return got
+
+
+def test_differing_rows_are_named_without_shuffling_rows(spark):
+    left = spark.range(0, 5000, 1, 4).selectExpr("id % 1000 as a", "if(id % 7 = 0, null, cast(id as string)) as b", "if(id % 5 = 0, null, 'x') as c")
+    extra = spark.createDataFrame([(1, None, "x"), (1, "x", None), (1, "x", None), (None, None, None)], "a long, b string, c string")
+    assert _diff(left, left) == []
+    assert len(_diff(left, left.filter("a <> 17"))) == 5
+    assert sorted(r[3] for r in _diff(left.union(extra), left)) == [1, 1, 2]
+    assert sorted(r[3] for r in _diff(left.filter("a <> 3"), left.union(extra).select("a", "b", "c"))) == [-2] + [-1] * 7
+    assert _diff(left.limit(0), extra) and _diff(extra, left.limit(0)) and _diff(extra.limit(0), left.limit(0)) == []
+    plan = compare.difference_cells(left, extra)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_too_many_differences_take_the_exact_way(spark):
+    left = spark.range(0, 3000).selectExpr("id", "'r' as t")
+    cells = {r.cell: [r[n] for n in compare.SUMS] for r in compare.difference_cells(left, left.limit(0), bits=6).collect()}
+    assert compare.decode(cells, bits=6) is None
+    assert len(_diff(left, left.filter("id % 2 = 0"), bits=6)) == 1500
+    assert len(_diff(left, left.filter("id % 100 <> 0"), bits=6)) == 30
+
+
+def test_the_sketch_is_decoded_like_the_engine_made_it(spark):
+    rows = spark.range(500).selectExpr("id", "cast(id as string) t")
+    hashes = {r[0] % (1 << 64) for r in rows.select(compare._row_hash(rows.columns)).collect()}
+    cells = {r.cell: [r[n] for n in compare.SUMS] for r in compare.difference_cells(rows, rows.limit(0)).collect()}
+    assert compare.decode(cells) == dict.fromkeys(hashes, 1)

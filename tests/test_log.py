@@ -254,6 +254,45 @@ def test_line_files(spark, tmp_path, line_df):
     assert _values(lines.read_lines(spark, str(tmp_path / "ends.txt"))) == ["a", "b", "c", "d"]
 
 
+@pytest.mark.parametrize("split", ["64", "1000", "128m"])
+def test_lines_have_their_numbers_for_any_split(spark, tmp_path, line_df, split):
+    files = {"a.txt": [f"{i} {'x' * (i % 50)}" for i in range(300)], "b.txt": [], "c.txt": ["é" * 40, "", "last without end"], "d.txt": [f"d{i}" for i in range(90)]}
+    for name, some in files.items():
+        (tmp_path / name).write_text("\n".join(some) + ("" if name == "c.txt" or not some else "\n"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "8")
+    try:
+        got = sorted((r.file.rsplit("/", 1)[1], r.line, r.value) for r in lines.numbered_lines(spark, str(tmp_path)).collect())
+        assert got == [(f, i, v) for f, some in files.items() for i, v in enumerate(some, 1)]
+        every = [(f, i, v) for f, some in files.items() for i, v in enumerate(some, 1)]
+        for n, good, test in ((0, None, lambda v: True), (7, None, lambda v: True), (310, "value not like '%x%'", lambda v: "x" not in v), (999, "value like 'd%'", lambda v: v.startswith("d"))):
+            first = lines.first_lines(spark, str(tmp_path), n, F.expr(good) if good else None).collect()
+            assert [(r.file.rsplit("/", 1)[1], r.line, r.value) for r in first] == [x for x in every if test(x[2])][:n]
+        assert {(r.lines, r.before) for r in lines.file_sizes(spark, str(tmp_path)).collect()} == {(300, 0), (3, 300), (90, 303)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_batches_of_a_checkpoint(spark, root, line_df):
+    log.publish(spark.range(0, 90, 1, 9).selectExpr("cast(id as string) value"), root, "t", 1)
+    consume.consume_new(spark, root, "t", "g", max_files_per_trigger=2)
+    log.publish(line_df(["a", ""]).coalesce(1), root, "t", mode="append")
+    consume.consume_new(spark, root, "t", "g")
+    consume.consume_new(spark, root, "t", "g")
+    got = [tuple(r) for r in consume.group_progress(spark, root, "t", "g").orderBy("batch").collect()]
+    assert got == [(b, b, True, 20) for b in range(4)] + [(4, 4, True, 10), (5, 5, True, 2)]
+
+
+def test_many_batches_of_a_checkpoint(spark, root):
+    """Spark compacts the logs of its sources after ten batches."""
+    log.publish(spark.range(0, 24, 1, 12).selectExpr("cast(id as string) value"), root, "t", 1)
+    consume.consume_new(spark, root, "t", "g", max_files_per_trigger=1)
+    got = [tuple(r) for r in consume.group_progress(spark, root, "t", "g").orderBy("batch").collect()]
+    assert got == [(b, b, True, 2) for b in range(12)]
+
+
 def test_stream_resumes_where_it_stopped(spark, root, line_df):
     log.publish(line_df(["a", "", "b"]).repartition(2), root, "t", 2)
     assert consume.consume_new(spark, root, "t", "g") == 2

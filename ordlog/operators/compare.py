@@ -23,9 +23,14 @@ def fingerprint_sums(line_hash: Column) -> list[Column]:
     return [F.count(line_hash).alias("rows"), *sums]
 
 
+def row_hash(columns: list[str]) -> Column:
+    """A row's hash; it also tells where the row's nulls are, which xxhash64 passes over."""
+    return F.xxhash64(*[F.isnull(F.col(f"`{c}`")).cast("int") for c in columns], *[F.col(f"`{c}`") for c in columns])
+
+
 def fingerprint(df: DataFrame, *columns: str | Column) -> DataFrame:
     """One row: the fingerprint of a table."""
-    hashed = df.select(F.xxhash64(*(columns or df.columns)).alias("hash"))
+    hashed = df.select((F.xxhash64(*columns) if columns else row_hash(df.columns)).alias("hash"))
     return hashed.agg(*fingerprint_sums(F.col("hash")))
 
 
@@ -63,11 +68,6 @@ _CHECK = ((1 << 31) - 1, 1103515245, 362437)  # a prime, and multipliers below i
 SUMS = ("n", "q0", "q1", "q2", "q3", "check")
 
 
-def _row_hash(columns: list[str]) -> Column:
-    """Also tells apart where a row's nulls are."""
-    return F.xxhash64(*[F.isnull(F.col(f"`{c}`")).cast("int") for c in columns], *[F.col(f"`{c}`") for c in columns])
-
-
 def _check_of(h: int) -> int:
     prime, a, b = _CHECK
     return ((h & prime) * a + (h >> 33) * b) % prime & 0xFFFF
@@ -86,7 +86,7 @@ def difference_cells(left: DataFrame, right: DataFrame, bits: int = CELL_BITS) -
     prime, a, b = _CHECK
     sides = []
     for df, sign in ((left, 1), (right.select(*left.columns), -1)):
-        h = df.select(_row_hash(left.columns).alias("h"))
+        h = df.select(row_hash(left.columns).alias("h"))
         part = lambda i: F.shiftrightunsigned("h", 16 * i).bitwiseAND(F.lit(0xFFFF))
         check = (F.col("h").bitwiseAND(F.lit(prime)) * a + F.shiftrightunsigned("h", 33) * b) % prime
         values = [F.lit(1), *[part(i) for i in range(4)], check.bitwiseAND(F.lit(0xFFFF))]
@@ -139,7 +139,7 @@ def lost_rows(left: DataFrame, right: DataFrame, bits: int = CELL_BITS) -> DataF
     known = F.broadcast(spark.createDataFrame(signed, "_hash bigint, surplus bigint"))  # some thousand rows
     held = []
     for df, more in ((left, "surplus > 0"), (right.select(*columns), "surplus < 0")):
-        mine = df.withColumn("_row", _row_hash(columns)).join(known.filter(more), F.col("_row") == F.col("_hash"))
+        mine = df.withColumn("_row", row_hash(columns)).join(known.filter(more), F.col("_row") == F.col("_hash"))
         held.append(mine.select(*[F.col(f"`{c}`") for c in columns], "surplus"))
     return held[0].unionByName(held[1]).dropDuplicates()
 

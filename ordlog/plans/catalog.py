@@ -250,6 +250,15 @@ def cardinality_approx(spark: SparkSession, folder: str) -> DataFrame:
     return probe.cardinality_approx(tables.table(spark, folder, "lineitem"), keys).drop("distinct_keys")
 
 
+@query
+def topic_cardinality(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts on a topic after two publishes, by the sketches these left."""
+    root = workspace.fresh(spark, "topics")
+    log.publish(codec.to_lines(tables.order_records(spark, folder)), root, SOURCE_TOPIC, sketched=KEYS)
+    log.publish(tables.lines(spark, folder), root, SOURCE_TOPIC, mode="append", sketched=KEYS)
+    return log.cardinality(spark, root, SOURCE_TOPIC).drop("distinct_keys")
+
+
 # --- logs ----------------------------------------------------------------------------
 
 

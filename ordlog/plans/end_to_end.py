@@ -113,14 +113,16 @@ def run(
     # a parsed line can be had back from its fields
     kept = parsed.withColumn("value", F.when(bad, F.col("value")))
     path = f"{root}/consumed-{uuid.uuid4().hex}"
-    consumed = segments.stage(kept, path)
-    valid = consumed.filter(F.col("reason").isNull()).select(*FIELDS)
-    seen = read.get
-    malformed = seen["consumed"] - seen["rows"]
-    rejected = consumed.filter(F.col("reason").isNotNull()).select("value", "reason")
-    rejected.write.mode("overwrite").parquet(f"{root}/quarantine")
-    topics = sort_topics(valid, logs)
-    workspace.drop(spark, path)
+    try:
+        consumed = segments.stage(kept, path)
+        valid = consumed.filter(F.col("reason").isNull()).select(*FIELDS)
+        seen = read.get
+        malformed = seen["consumed"] - seen["rows"]
+        rejected = consumed.filter(F.col("reason").isNotNull()).select("value", "reason")
+        rejected.write.mode("overwrite").parquet(f"{root}/quarantine")
+        topics = sort_topics(valid, logs)
+    finally:
+        workspace.drop(spark, path)
     stages = {"generated": made.get["rows"], SOURCE_TOPIC: sent, "consumed": seen["consumed"]}
     wanted = dict.fromkeys(stages, stages["generated"]) | dict.fromkeys(topics, seen["rows"])
     return Run(

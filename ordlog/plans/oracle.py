@@ -277,6 +277,11 @@ SQL = {
     "cardinality_approx": "select key, sampled, verdict from ("
     + _probe(("l_returnflag", "l_linenumber", "l_suppkey", "l_orderkey"), "lineitem")
     + ")",
+    "topic_cardinality": f"""with {_LINES}, {_ORDERS_REC}, {_TRIMMED}, {_parsed('trimmed')}, every as (
+          select id, name, continent from orders_rec union all select id, name, continent from parsed where id is not null)
+        select k as key, n as sampled, case when d < 10 then 'LOW' else 'HIGH' end as verdict from (
+          select count(*) as n, count(distinct id) as i, count(distinct name) as m, count(distinct continent) as c from every),
+        lateral (values ('id', i), ('name', m), ('continent', c)) v(k, d)""",
     "head_lines": f"""with {_ORDERS_REC}, {_FILE}
         select number, value from (
           select *, row_number() over (order by number) as nth from numbered

@@ -5,6 +5,7 @@ Layout below a root folder::
     data/topic=<t>/run=<n>/       lines: partition, shard, pos, key, value
     ordered/run=<n>/              records of one or more ordered topics: topic, shard, pos, value
     segments/topic=<t>/run=<n>/   one row for each segment: which run holds it, where it begins
+    sketches/topic=<t>/run=<n>/   sketches of the keys' values, where a publish made them
 
 Every publish is a run. Its rows are numbered by the tasks that write them and become visible
 when its segments are recorded, so a publish that dies half-way is never read. The segments
@@ -41,6 +42,7 @@ from ordlog import workspace
 from ordlog.functions.codec import drop_empty, key_column, normalize_lines, parse_all, serialize
 from ordlog.operators import segments
 from ordlog.operators.order import bucket_rank
+from ordlog.operators.probe import HIGH, LOW, LOW_CARDINALITY
 from ordlog.schema import FIELDS, LOG, SOURCE_PARTITIONS
 
 _LEGAL_TOPIC = re.compile(r"[a-zA-Z0-9._-]{1,249}")
@@ -61,7 +63,8 @@ ORDERED = "topic string, shard bigint, pos bigint, value string, run bigint"
 # segment that does not begin its task's rows; since: the first run that counts
 SEGMENTS = """partition int, shard bigint, rows bigint, first bigint, start bigint, since bigint, at bigint,
     ordered boolean, low string, run bigint"""
-DATA, SORTED = "data", "ordered"
+SORTED = "ordered"
+SKETCHES = "key string, parsed bigint, sketch binary"
 MOST_ORDERS = 40  # each has a printable character of its own, and one for missing keys
 
 
@@ -75,6 +78,10 @@ def data_path(root: str, topic: str) -> str:
     return f"{root}/data/topic={_checked(topic)}"
 
 
+def _sketch_path(root: str, topic: str) -> str:
+    return f"{root}/sketches/topic={_checked(topic)}"
+
+
 def _segments_path(root: str, topic: str) -> str:
     return f"{root}/segments/topic={_checked(topic)}"
 
@@ -142,6 +149,7 @@ def _drop_runs(spark: SparkSession, root: str, topic: str, keep: int) -> None:
     """Delete what the topic's publishes before this one left, unless it is still in use."""
     used = set(state(spark, root, topic).places)
     paths = [(f"{_segments_path(root, topic)}/run={r}", r) for r in _runs_in(spark, _segments_path(root, topic))]
+    paths += [(f"{_sketch_path(root, topic)}/run={r}", r) for r in _runs_in(spark, _sketch_path(root, topic))]
     paths += [(f"{data_path(root, topic)}/run={r}", r) for r in _runs_in(spark, data_path(root, topic)) if (False, r) not in used]
     for path, run in paths:
         if run < keep:
@@ -236,12 +244,18 @@ def _task() -> Column:
 
 
 def publish(
-    lines: DataFrame, root: str, topic: str, partitions: int = SOURCE_PARTITIONS, mode: str = "overwrite"
+    lines: DataFrame,
+    root: str,
+    topic: str,
+    partitions: int = SOURCE_PARTITIONS,
+    mode: str = "overwrite",
+    sketched: Iterable[str] = (),
 ) -> int:
     """Write every line, outer blanks off, to the topic's partitions in turn; returns rows sent.
 
     No shuffle: each task deals its rows out to the partitions, tasks beginning at different
     ones, and numbers them. With mode ``append`` the topic and its partitions must exist.
+    ``sketched``: keys whose values are sketched on the way, for ``cardinality``.
     """
     spark = lines.sparkSession
     new = _width(mode, partitions)
@@ -259,7 +273,37 @@ def publish(
         "key",
         "value",
     )
-    return _commit(rows, root, topic, new)
+    keys = list(sketched)
+    if not keys:
+        return _commit(rows, root, topic, new)
+    seen = Observation("sketches")
+    parsed = parse_all(rows).observe(
+        seen,
+        F.count("id").alias("parsed"),
+        *[F.hll_sketch_agg(F.when(F.col("reason").isNull(), key_column(k).cast("string"))).alias(k) for k in keys],
+    )
+    sent = _commit(parsed.select(*rows.columns), root, topic, new)
+    found = [(k, seen.get["parsed"], seen.get[k]) for k in keys]
+    run = max(state(spark, root, topic).runs)
+    table = spark.createDataFrame(found, SKETCHES).coalesce(1)
+    table.write.mode("overwrite").parquet(f"{_sketch_path(root, topic)}/run={run}")
+    return sent
+
+
+def cardinality(spark: SparkSession, root: str, topic: str, threshold: int = LOW_CARDINALITY) -> DataFrame:
+    """Whether each sketched key of the topic has few or many values, over all publishes that
+    count, by their sketches alone: key, sampled (lines that parse), distinct_keys (an
+    estimate) and verdict."""
+    have = set(_runs_in(spark, _sketch_path(root, topic)))
+    lacking = [r for r in state(spark, root, topic).runs if r not in have]
+    if lacking:
+        raise ValueError(f"{topic} was published without sketches in runs {lacking}")
+    paths = [f"{_sketch_path(root, topic)}/run={r}" for r in state(spark, root, topic).runs]
+    merged = spark.read.schema(SKETCHES).parquet(*paths).groupBy("key").agg(
+        F.sum("parsed").alias("sampled"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_keys")
+    )
+    verdict = F.when(F.col("distinct_keys") < threshold, F.lit(LOW)).otherwise(F.lit(HIGH))
+    return merged.withColumn("verdict", verdict)
 
 
 def publish_orders(
@@ -410,14 +454,24 @@ def _insert(records: DataFrame, root: str, topic: str, key: str, shards: int | N
 
 
 def compact(spark: SparkSession, root: str, topic: str) -> None:
-    """Make one run of all runs of an unordered topic; offsets stay as they are."""
+    """Make one run of all runs of an unordered topic; offsets stay as they are, and so do
+    verdicts on its keys."""
     now = state(spark, root, topic)
+    sketches = None
+    if set(now.runs) <= set(_runs_in(spark, _sketch_path(root, topic))):
+        held = spark.read.schema(SKETCHES).parquet(*[f"{_sketch_path(root, topic)}/run={r}" for r in now.runs])
+        merged = held.groupBy("key").agg(F.sum("parsed"), F.hll_union_agg("sketch"))
+        sketches = [tuple(r) for r in merged.collect()]  # a row for each key
     partitions = segment_table(spark, root, topic, now.runs).select("partition").distinct().count()
     rows = _place_rows(_read_places(spark, root, topic, now.places), root, topic, now)
     ordered = segments.range_sorted(rows, ["partition", "offset"], ties=[])
     shard = F.shiftleft(F.col("partition").cast("bigint"), 32) + _task()
     numbered = ordered.select("partition", shard.alias("shard"), segments.task_position().alias("pos"), "key", "value")
     _commit(numbered, root, topic, partitions, parts_of_tasks=True)
+    if sketches is not None:
+        run = max(state(spark, root, topic).runs)
+        table = spark.createDataFrame(sketches, SKETCHES).coalesce(1)
+        table.write.mode("overwrite").parquet(f"{_sketch_path(root, topic)}/run={run}")
 
 
 def publish_buckets(

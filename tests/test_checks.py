@@ -178,6 +178,12 @@ def test_too_many_differences_take_the_exact_way(spark):
 
 def test_the_sketch_is_decoded_like_the_engine_made_it(spark):
     rows = spark.range(500).selectExpr("id", "cast(id as string) t")
-    hashes = {r[0] % (1 << 64) for r in rows.select(compare._row_hash(rows.columns)).collect()}
+    hashes = {r[0] % (1 << 64) for r in rows.select(compare.row_hash(rows.columns)).collect()}
     cells = {r.cell: [r[n] for n in compare.SUMS] for r in compare.difference_cells(rows, rows.limit(0)).collect()}
     assert compare.decode(cells) == dict.fromkeys(hashes, 1)
+
+
+def test_where_the_nulls_are_counts(spark):
+    a = spark.createDataFrame([(None, "x")], "a string, b string")
+    b = spark.createDataFrame([("x", None)], "a string, b string")
+    assert not compare.same_rows(a, b).first().equal and compare.same_rows(a, a).first().equal

@@ -213,6 +213,26 @@ def test_the_plan_of_several_orders_has_one_shuffle_of_data(spark, root, monkeyp
     assert one._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
 
 
+def test_verdicts_of_a_growing_topic_read_sketches_only(spark, root, line_df, monkeypatch):
+    some = lambda first, n: line_df([f"{i},n{i % 9},a,c{i % (3 + first)}" for i in range(first, first + n)] + ["bad", "x,a,b,c"])
+    log.publish(some(0, 50), root, "t", 2, sketched=["id", "name", "continent"])
+    found = lambda: {r.key: (r.sampled, r.distinct_keys, r.verdict) for r in log.cardinality(spark, root, "t").collect()}
+    assert found() == {"id": (50, 50, "HIGH"), "name": (50, 9, "LOW"), "continent": (50, 3, "LOW")}
+    log.publish(some(10, 50), root, "t", mode="append", sketched=["id", "name", "continent"])
+    real = log._read_places
+    monkeypatch.setattr(log, "_read_places", lambda *a: pytest.fail("the data was read"))
+    assert found() == {"id": (100, 60, "HIGH"), "name": (100, 9, "LOW"), "continent": (100, 13, "HIGH")}
+    monkeypatch.setattr(log, "_read_places", real)
+    before = found()
+    log.compact(spark, root, "t")
+    assert found() == before and len(log.recorded_runs(spark, root, "t")) == 1
+    log.publish(some(0, 5), root, "t", 1, sketched=["name"])  # replaces the topic
+    assert found() == {"name": (5, 5, "LOW")}
+    log.publish(some(0, 5), root, "t", mode="append")
+    with pytest.raises(ValueError, match="without sketches"):
+        log.cardinality(spark, root, "t")
+
+
 def test_compaction_keeps_offsets(spark, root, line_df):
     log.publish(line_df([f"a{i}" for i in range(20)]).repartition(3), root, "t", 3)
     for k in range(3):

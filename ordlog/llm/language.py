@@ -56,6 +56,7 @@ LEAST = 0.01  # so many of the training texts may have a lower share of known n-
 SLACK = 2  # standard deviations
 UNKNOWN = "und"
 
+FEW_KINDS = 64
 _BITS = 21  # of a code point
 _BLANK, _FIRST = 1, 2
 
@@ -65,6 +66,11 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
+@lru_cache(maxsize=1)
+def _numbers() -> np.ndarray:
+    return np.zeros(0x110000 + _FIRST, np.int32)
+
+
 def symbols(text: str) -> np.ndarray:
     """A number for each character: its own for a letter, one for all else."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -72,8 +78,25 @@ def symbols(text: str) -> np.ndarray:
 
 
 def _distinct(s: np.ndarray) -> np.ndarray:
-    two = s[:-1] << _BITS | s[1:]
-    return np.unique(np.concatenate([s, two, two[:-1] << _BITS | s[2:]]))
+    """The distinct n-grams of a text's symbols, sorted: single ones, then pairs, then triples."""
+    kinds = np.unique(s)
+    n = len(kinds)
+    if n > FEW_KINDS:
+        two = s[:-1] << _BITS | s[1:]
+        return np.unique(np.concatenate([s, two, two[:-1] << _BITS | s[2:]]))
+    # of few different symbols all triples have a place of their own
+    number = _numbers()
+    number[kinds] = np.arange(n, dtype=np.int32)
+    a = number[s]
+    two = a[:-1] * n + a[1:]
+    seen = np.zeros(n + n**2 + n**3, bool)
+    seen[a] = seen[two + n] = seen[two[:-1] * n + a[2:] + (n + n**2)] = True
+    at = np.flatnonzero(seen)
+    pairs, triples = np.searchsorted(at, [n, n + n**2])
+    first, second = np.divmod(at[pairs:triples] - n, n)
+    front, third = np.divmod(at[triples:] - (n + n**2), n)
+    pair = lambda x, y: kinds[x] << _BITS | kinds[y]
+    return np.concatenate([kinds[at[:pairs]], pair(first, second), pair(*np.divmod(front, n)) << _BITS | kinds[third]])
 
 
 def grams(text: str) -> np.ndarray:

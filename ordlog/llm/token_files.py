@@ -20,8 +20,11 @@ table of ranks, of the vocabulary's size, and one row for each file pass the dri
 The name of an added token in a text, such as <|endoftext|>, is either text like any other
 or, with ``special``, that token's one id, as the tokenizer has it by default.
 
-Null and empty texts have no ids but the end id. Null document ids come first. Rows with
-the same id follow each other in an order that is not fixed; every row is written.
+Null and empty texts have no ids but the end id; a very long text is encoded alone. Null
+document ids come first. Rows with the same id follow each other in an order that is not
+fixed; every row is written, repeated ones as often as they stand. Ids of the tokenizer that
+are equally frequent are ranked by number. An empty table makes no file. Only id and text are
+read, so other columns are not in the way.
 """
 
 from __future__ import annotations
@@ -50,7 +53,7 @@ FILE_IDS = 1 << 26
 END_ID = 1
 REMEMBERED = 3_000_000  # pieces of text whose ids a worker keeps, some 30 bytes each
 STEMS = 50_000  # words whose ids wait for the same word with another sign behind it
-CHUNK = 1 << 22  # bytes of texts encoded at once
+CHUNK = 1 << 21  # bytes of texts encoded at once
 # what can follow a word and is a piece of its own; an apostrophe may belong to the word
 _CLOSING = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 

@@ -61,6 +61,15 @@ def test_kernel_is_what_it_says():
     assert share == pytest.approx(np.ones(len(texts)))
 
 
+@pytest.mark.parametrize("few", [0, 3, 64, 10**6])
+def test_grams_are_the_same_however_many_symbols(monkeypatch, few):
+    texts = ["", "a", "ab", "é a", "東京 " * 9, "The quick brown fox jumps over 13 lazy dogs, naïve café! " * 3, "aaaa", "🙂"]
+    want = [language.grams(t).tolist() for t in texts]
+    monkeypatch.setattr(language, "FEW_KINDS", few)
+    assert [language.grams(t).tolist() for t in texts] == want
+    assert all(w == sorted(set(w)) for w in want)
+
+
 def test_long_texts_are_read_piece_by_piece(monkeypatch):
     text = "Der schnelle Fuchs, the lazy dog 東京 " * 40
     whole = language.grams(text)

@@ -29,11 +29,13 @@ from __future__ import annotations
 
 import bisect
 import re
+import sys
 import time
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +47,8 @@ from ordlog.operators.order import bucket_rank
 from ordlog.operators.probe import HIGH, LOW, LOW_CARDINALITY
 from ordlog.schema import FIELDS, LOG, SOURCE_PARTITIONS
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have the package
+
 _LEGAL_TOPIC = re.compile(r"[a-zA-Z0-9._-]{1,249}")
 _BEFORE = -1  # shard of the empty segment that each run has of each partition, at its end so far
 

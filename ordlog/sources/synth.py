@@ -7,14 +7,16 @@ partitioning, a lost task recomputes the same rows, there is nothing to shuffle,
 engine with 64-bit integers can reproduce the rows.
 
 Tasks draw whole batches at a time, as arrays. ``write_lines`` writes files of lines without
-making a row of each: a task hands on blocks of many lines.
+making a row of each: a task hands on blocks of many lines. Workers need numpy and Arrow, not
+this package: what they run is sent to them.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
-from functools import lru_cache
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,12 +25,15 @@ from ordlog.schema import (
     ADDRESS_CHARS,
     ADDRESS_LENGTH,
     CONTINENTS,
+    FIELDS,
     ID_LIMIT,
     LETTERS,
     NAME_LENGTH,
     RECORD,
 )
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # SplitMix64.
 GAMMA = 0x9E3779B97F4A7C15
 MIX = ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB))  # shift and multiplier of each round
@@ -52,7 +57,6 @@ def seed_word(seed: int) -> int:
     return (seed * 0xD1342543DE82EF95 + 1) % (1 << 64)
 
 
-@lru_cache(maxsize=1)
 def _tables():
     """Characters and choices for each value of a piece, and four digits of each number."""
     import numpy as np
@@ -75,12 +79,12 @@ def _mixed(z):
     return z ^ (z >> np.uint64(LAST_SHIFT))
 
 
-def _drawn(row_ids, seed: int):
+def _drawn(row_ids, seed: int, tables):
     """ids, names, addresses and continents of some row ids: numbers, and for each text a
     matrix of bytes with its length."""
     import numpy as np
 
-    (letters, chars), (name_sizes, address_sizes), digits, which, _ = _tables()
+    (letters, chars), (name_sizes, address_sizes), digits, which, _ = tables
     state = _mixed(row_ids.astype(np.int64).view(np.uint64) * np.uint64(GAMMA) + np.uint64(seed_word(seed)))
     steps = np.array([(k + 1) * GAMMA % (1 << 64) for k in range(WORDS)], np.uint64)
     piece = _mixed(state[:, None] + steps).astype("<u8", copy=False).view("<u2")
@@ -109,22 +113,22 @@ def _records(seed: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        continents = pa.array(CONTINENTS)
+        continents, tables = pa.array(CONTINENTS), _tables()
         for batch in batches:
             rows = batch.column("row_id")
-            ids, name, address, continent = _drawn(rows.to_numpy(), seed)
+            ids, name, address, continent = _drawn(rows.to_numpy(), seed, tables)
             columns = [rows, pa.array(ids), _texts(*name), _texts(*address), continents.take(pa.array(continent))]
-            yield pa.RecordBatch.from_arrays(columns, names=RECORDS.fieldNames())
+            yield pa.RecordBatch.from_arrays(columns, names=["row_id", *FIELDS])
 
     return run
 
 
-def _block(first: int, end: int, seed: int) -> bytes:
+def _block(first: int, end: int, seed: int, tables) -> bytes:
     """The lines of these row ids, each but the last with its line end."""
     import numpy as np
 
-    four = _tables()[-1]
-    ids, (name, name_size), (address, address_size), continent = _drawn(np.arange(first, end), seed)
+    four = tables[-1]
+    ids, (name, name_size), (address, address_size), continent = _drawn(np.arange(first, end), seed, tables)
     n, comma = len(ids), ord(",")
     widest = max(map(len, CONTINENTS))
     names = np.array([list(c.ljust(widest).encode()) for c in CONTINENTS], np.uint8)
@@ -153,9 +157,10 @@ def _blocks(count: int, seed: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        tables = _tables()
         for batch in batches:
             for b in batch.column("block").to_pylist():
-                lines = _block(b * BLOCK, min(count, (b + 1) * BLOCK), seed)
+                lines = _block(b * BLOCK, min(count, (b + 1) * BLOCK), seed, tables)
                 yield pa.RecordBatch.from_arrays([pa.array([lines]).cast(pa.string())], names=["value"])
 
     return run

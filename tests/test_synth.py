@@ -54,8 +54,8 @@ def test_ids_of_every_width_are_written_in_full():
     drawn = np.array([0, 7, 10, 99, 12345, 10**8, 999_999_999, 10**9, 2147483646], np.int32)
     real = synth._drawn
     try:
-        synth._drawn = lambda rows, seed: (drawn[: len(rows)], *real(rows, seed)[1:])
-        lines = synth._block(0, len(drawn), 42).decode().split("\n")
+        synth._drawn = lambda rows, *more: (drawn[: len(rows)], *real(rows, *more)[1:])
+        lines = synth._block(0, len(drawn), 42, synth._tables()).decode().split("\n")
     finally:
         synth._drawn = real
     assert [int(x.split(",")[0]) for x in lines] == drawn.tolist()
@@ -138,3 +138,32 @@ def test_rules_on_no_rows(line_df):
     report = {r.rule: r for r in rules.rule_report(line_df([]), 0).collect()}
     assert report["row_count"].passed and report["parses"].checked == 0
     assert not report["continent_present:Asia"].passed
+
+
+WITHOUT = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+from ordlog.operators import order_check
+from ordlog.sources import log, synth
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+synth.write_lines(spark, 100, "lines")
+rows = synth.records(spark, 100).drop("row_id")
+log.publish_sorted(rows, "root", "t", "id")
+log.publish_sorted(rows, "root", "t", "id", mode="append")
+report = order_check.order_report(log.read_topic(spark, "root", "t"), "offset").first()
+print("lines", spark.read.text("lines").count(), "rows", report["rows"], report.violations)
+"""
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    """A driver that has it on its own path only, in another folder."""
+    import os
+    import pathlib
+    import subprocess
+    import sys
+
+    repo = str(pathlib.Path(__file__).resolve().parents[1])
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", WITHOUT.format(repo=repo)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "lines 100 rows 200 0" in done.stdout, done.stderr[-3000:]

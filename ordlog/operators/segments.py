@@ -65,7 +65,11 @@ def shards_for(spark: SparkSession, size: int) -> int | None:
 
 
 def range_sorted(
-    df: DataFrame, order: list, ties: list[str] | None = None, shards: int | None = None
+    df: DataFrame,
+    order: list,
+    ties: list[str] | None = None,
+    shards: int | None = None,
+    longest: dict[str, int] | None = None,
 ) -> DataFrame:
     """Sort the whole table: task i holds rows that come before those of task i+1.
 
@@ -74,32 +78,39 @@ def range_sorted(
     order's columns, whole only inside a shard. The last range column is the number of the
     task the row came from: it spreads even a huge group of identical rows over shards, and
     being a property of the input split it is the same when a lost task runs again.
+    ``longest``: ``longest_texts`` of the table, where the caller knows it.
     """
     keys = total_order(df, order, ties)
     shards = shards or shards_for(df.sparkSession, scan_bytes(df))
     tagged = df.withColumn(TASK, F.spark_partition_id())
     size = [shards] if shards else []
-    ranged = tagged.repartitionByRange(*size, *short_keys(df, order, ties)).drop(TASK)
+    ranged = tagged.repartitionByRange(*size, *short_keys(df, order, ties, longest)).drop(TASK)
     return ranged.sortWithinPartitions(*keys)
 
 
-def short_keys(df: DataFrame, order: list, ties: list[str] | None = None) -> list[Column]:
+def short_keys(
+    df: DataFrame, order: list, ties: list[str] | None = None, longest: dict[str, int] | None = None
+) -> list[Column]:
     """Columns that order rows as the whole order does, or leave them equal, of which none is
-    longer than a text's first ``HEAD`` characters. Expressions of the caller's stay whole.
+    longer than a text's first ``HEAD`` characters. Expressions of the caller's stay whole,
+    and so do texts of which none is longer.
 
     Once a text has been cut, columns behind it say nothing of the order, and the rows are
     equal, unless the text is one that very many rows have: such are found beforehand and
     known as a whole (``often``), so that a large group of copies is parted by what follows."""
     named = [c for c in order if isinstance(c, str)]
     rest = [c for c in (df.columns if ties is None else ties) if c not in named]
-    texts = [c for c in [*named, *rest] if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
+    texts = _texts(df, [*named, *rest])
+    sizes = longest_texts(df, texts) if longest is None else longest
+    texts = [c for c in texts if sizes[c] > HEAD]
     copies = often(df, texts)
-    out, whole = [], F.lit(True)
+    out, whole = [], None
+    held = lambda c: c if whole is None else F.when(whole, c)
     for c in [*order, *rest]:
         if not isinstance(c, str):
             out.append(c)
         elif c not in texts:
-            out.append(F.when(whole, _comparable(df, c)))
+            out.append(held(_comparable(df, c)))
         else:
             head, long = head_of(c)
             place = long.cast("int")  # a whole text comes before those that go on
@@ -107,9 +118,22 @@ def short_keys(df: DataFrame, order: list, ties: list[str] | None = None) -> lis
                 heads = sorted({v[:HEAD] for v in copies[c]})
                 above = [(F.col(c) >= F.lit(v)).cast("int") + (F.col(c) > F.lit(v)).cast("int") for v in copies[c]]
                 place = F.when(long & head.isin(heads), reduce(Column.__add__, above, F.lit(1))).otherwise(place)
-            out += [F.when(whole, head), F.when(whole, place)]
-            whole = whole & (~long | F.col(c).isin(copies[c]) if copies[c] else ~long)
-    return [*out, F.when(whole, F.col(TASK))]
+            out += [held(head), held(place)]
+            ends = ~long | F.col(c).isin(copies[c]) if copies[c] else ~long
+            whole = ends if whole is None else whole & ends
+    return [*out, held(F.col(TASK))]
+
+
+def _texts(df: DataFrame, columns: list[str]) -> list[str]:
+    return [c for c in columns if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
+
+
+def longest_texts(df: DataFrame, columns: list[str]) -> dict[str, int]:
+    """The most bytes that a value of each text column has: one scan of lengths."""
+    texts = _texts(df, columns)
+    if not texts:
+        return {}
+    return {c: n or 0 for c, n in zip(texts, df.agg(*[F.max(F.octet_length(c)) for c in texts]).first())}
 
 
 def head_of(c: str) -> tuple[Column, Column]:

@@ -14,11 +14,11 @@ until its commit the old rows are read and from then on the new ones. Only then
 runs go. A topic may therefore be published to itself. One publisher at a time writes to a
 topic, and one at a time publishes ordered topics below a root.
 
-Several orders of the same records are one publish: each record travels once for each order,
-under a text key that begins with the topic's number, through one range exchange. A topic
-that is appended to stays ordered: its segments' first rows part its keys into ranges, and
-only the segments that the new rows fall into are written anew. The others are carried over
-by naming the run that holds them. ``compact`` makes one run of many.
+Several orders of the same records are one publish: one job sorts them beside each other and
+one commit shows them. A topic that is appended to stays ordered: its segments' first rows
+part its keys into ranges, and only the segments that the new rows fall into are written anew.
+The others are carried over by naming the run that holds them. ``compact`` makes one run of
+many.
 
 A partition of an unordered topic is a column, not a folder: writing folders would cost each
 task a sort, and readers take a topic whole. The same rows come from a Kafka topic through
@@ -69,7 +69,6 @@ SEGMENTS = """partition int, shard bigint, rows bigint, first bigint, start bigi
     ordered boolean, low string, run bigint"""
 SORTED = "ordered"
 SKETCHES = "key string, parsed bigint, sketch binary"
-MOST_ORDERS = 40  # each has a printable character of its own, and one for missing keys
 
 
 def _checked(topic: str) -> str:
@@ -318,20 +317,26 @@ def publish_orders(
 
     A topic has one partition, whose offset order is the order of its key, all fields
     breaking ties. It is written by as many tasks as the sort has shards; only the offsets,
-    not the tasks, are in one sequence. All topics come from one range exchange and become
-    visible in one commit.
+    not the tasks, are in one sequence. All topics are written by one job, whose sorts run
+    beside each other, and become visible in one commit.
     """
     spark = records.sparkSession
     topics = list(orders)
-    if len(topics) > MOST_ORDERS:
-        raise ValueError(f"{len(topics)} orders at once, {MOST_ORDERS} at most")
+    for key in orders.values():
+        key_column(key)
     run = _next_run(r for t in topics for r in _known_runs(spark, root, t))
-    each = [F.struct(F.lit(t).alias("topic"), _sort_text(k, i).alias("k")) for i, (t, k) in enumerate(orders.items())]
-    if not shards:
-        shards = segments.shards_for(spark, segments.scan_bytes(records) * len(topics))
-    copies = records.select(*FIELDS, F.inline(F.array(*each)))
-    ordered = segments.range_sorted(copies, ["k"], ties=list(FIELDS), shards=shards)
-    rows = ordered.select("topic", _task().alias("shard"), segments.task_position().alias("pos"), serialize().alias("value"))
+    fields = records.select(*FIELDS)
+    longest = segments.longest_texts(fields, list(FIELDS))
+    each = [
+        segments.range_sorted(fields, [k], shards=shards, longest=longest).select(
+            F.lit(t).alias("topic"), serialize().alias("value")
+        )
+        for t, k in orders.items()
+    ]
+    # numbered after they are put together: shards of different topics have different numbers
+    rows = reduce(DataFrame.unionAll, each).select(
+        "topic", _task().alias("shard"), segments.task_position().alias("pos"), "value"
+    )
     path = f"{root}/{SORTED}/run={run}"
     rows.write.mode("overwrite").parquet(path)
 
@@ -352,15 +357,6 @@ def publish_orders(
     return out
 
 
-def _sort_text(key: str, nth: int) -> Column:
-    """The key as text that orders as it does, missing ones first, behind all keys of the
-    orders before it."""
-    value = key_column(key)
-    text = F.lpad((value.cast("bigint") + (1 << 31)).cast("string"), 10, "0") if key == "id" else value
-    some, none = chr(ord("!") + 2 * nth + 1), chr(ord("!") + 2 * nth)
-    return F.coalesce(F.concat(F.lit(some), text), F.lit(none))
-
-
 def publish_sorted(
     records: DataFrame, root: str, topic: str, key: str, mode: str = "overwrite", shards: int | None = None
 ) -> int:

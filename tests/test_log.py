@@ -188,7 +188,7 @@ def test_what_can_not_be_appended_to(spark, root, line_df, record_df):
     assert log.publish_sorted(rows, root, "empty", "name", mode="append") == 9
 
 
-def test_orders_come_from_one_exchange_and_replace_each_other(spark, root, record_df):
+def test_orders_come_from_one_job_and_replace_each_other(spark, root, record_df):
     records = synth.records(spark, 700, tasks=3).drop("row_id").union(record_df(ODD))
     keys = {"by_id": "id", "by_name": "name", "continent": "continent"}
     assert log.publish_orders(records, root, keys, shards=4) == dict.fromkeys(keys, 705)
@@ -204,13 +204,13 @@ def test_orders_come_from_one_exchange_and_replace_each_other(spark, root, recor
     assert runs == 1  # what no topic reads any more is gone
 
 
-def test_the_plan_of_several_orders_has_one_shuffle_of_data(spark, root, monkeypatch):
+def test_several_orders_are_one_job_of_one_exchange_each(spark, root, monkeypatch):
     plans = []
     real = log.segments.range_sorted
     monkeypatch.setattr(log.segments, "range_sorted", lambda *a, **k: plans.append(real(*a, **k)) or plans[-1])
     log.publish_orders(synth.records(spark, 200), root, {k: k for k in ("id", "name", "continent")})
-    (one,) = plans
-    assert one._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert [p._jdf.queryExecution().executedPlan().toString().count("Exchange") for p in plans] == [1, 1, 1]
+    assert len(log._runs_in(spark, f"{root}/ordered")) == 1
 
 
 def test_verdicts_of_a_growing_topic_read_sketches_only(spark, root, line_df, monkeypatch):

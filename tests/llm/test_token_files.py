@@ -103,7 +103,7 @@ def test_names_of_added_tokens_are_tokens_as_by_default(spark, docs, tmp_path):
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.sampled_from("aB'é.,!s \t1_ßİé "), max_size=20))
 def test_pieces_of_any_text(text):
-    pieces = token_files._pieces(WORD_BPE, "<u2")
+    pieces = token_files.pieces_of(WORD_BPE, "<u2")
     got = [i for p in text.encode().split() for i in pieces.piece(p.lower())]
     assert got == pieces.whole(text.encode())
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,13 +66,19 @@ def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 # --- which rows differ, without shuffling rows ------------------------------------------
 
 CELL_BITS = 12
-_CHECK = ((1 << 31) - 1, 1103515245, 362437)  # a prime, and multipliers below it
-SUMS = ("n", "q0", "q1", "q2", "q3", "check")
+GROWTH_BITS = 3  # a sketch that was too small is made up to eight times as large
+SUMS = ("n", "q0", "q1", "q2", "q3", "check0", "check1")
+
+
+def _checks_of(h: int) -> list[int]:
+    """Halves of a checksum that does not add up as hashes do: the sum or the mean of several
+    hashes of one cell is a hash of that cell too, but has another checksum."""
+    check = zlib.crc32(str(_signed(h)).encode())
+    return [check & 0xFFFF, check >> 16]
 
 
-def _check_of(h: int) -> int:
-    prime, a, b = _CHECK
-    return ((h & prime) * a + (h >> 33) * b) % prime & 0xFFFF
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
 
 
 def _cells_of(h: int, bits: int) -> list[int]:
@@ -83,13 +91,12 @@ def difference_cells(left: DataFrame, right: DataFrame, bits: int = CELL_BITS) -
     Each row adds its count and parts of its hash to three of 3 * 2^bits cells, rows of the
     right table with the opposite sign; what both have cancels out. Tasks hand on no more
     than the cells. A sum of 16-bit parts holds over 10^14 rows."""
-    prime, a, b = _CHECK
     sides = []
+    low = lambda of, i: F.shiftrightunsigned(of, 16 * i).bitwiseAND(F.lit(0xFFFF))
     for df, sign in ((left, 1), (right.select(*left.columns), -1)):
         h = df.select(row_hash(left.columns).alias("h"))
-        part = lambda i: F.shiftrightunsigned("h", 16 * i).bitwiseAND(F.lit(0xFFFF))
-        check = (F.col("h").bitwiseAND(F.lit(prime)) * a + F.shiftrightunsigned("h", 33) * b) % prime
-        values = [F.lit(1), *[part(i) for i in range(4)], check.bitwiseAND(F.lit(0xFFFF))]
+        h = h.withColumn("check", F.crc32(F.col("h").cast("string")))
+        values = [F.lit(1), *[low("h", i) for i in range(4)], *[low("check", i) for i in range(2)]]
         at = [F.lit(j << bits) + F.shiftrightunsigned("h", 20 * j).bitwiseAND(F.lit((1 << bits) - 1)) for j in range(3)]
         signed = [(v * sign).cast("bigint").alias(n) for v, n in zip(values, SUMS)]
         sides.append(h.select(F.explode(F.array(*at)).alias("cell"), *signed))
@@ -100,23 +107,30 @@ def difference_cells(left: DataFrame, right: DataFrame, bits: int = CELL_BITS) -
 
 def decode(cells: dict[int, list[int]], bits: int = CELL_BITS) -> dict[int, int] | None:
     """The hashes of the differing rows and by how many they differ; None if there are more
-    than the cells can tell. Takes out rows that are alone in a cell, one after the other."""
+    than the cells can tell. Takes out rows that are alone in a cell, one after the other.
+
+    Each leaves a cell empty for good, so there are no more steps than cells. Were several
+    rows taken for one, they might be put back and taken out for ever."""
     cells, found, todo = {c: list(v) for c, v in cells.items()}, {}, list(cells)
+    steps = len(cells)
     while todo:
         cell = todo.pop()
-        n, *parts, check = cells.get(cell, [0] * 6)
-        if not n or any(p % n for p in (*parts, check)):
+        n, *parts = cells.get(cell, [0] * len(SUMS))
+        if not n or any(p % n for p in parts):
             continue
         parts = [p // n for p in parts]
         if not all(0 <= p <= 0xFFFF for p in parts):
             continue
-        h = sum(p << 16 * i for i, p in enumerate(parts))
-        if check // n != _check_of(h) or cell not in _cells_of(h, bits):
+        h = sum(p << 16 * i for i, p in enumerate(parts[:4]))
+        if parts[4:] != _checks_of(h) or cell not in _cells_of(h, bits):
             continue
+        if not steps:
+            return None
+        steps -= 1
         found[h] = found.get(h, 0) + n
         for other in _cells_of(h, bits):
-            held = cells.setdefault(other, [0] * 6)
-            for i, v in enumerate((1, *parts, _check_of(h))):
+            held = cells.setdefault(other, [0] * len(SUMS))
+            for i, v in enumerate((1, *parts)):
                 held[i] -= n * v
             todo.append(other)
     if any(any(v) for v in cells.values()):
@@ -124,19 +138,38 @@ def decode(cells: dict[int, list[int]], bits: int = CELL_BITS) -> dict[int, int]
     return {h: n for h, n in found.items() if n}
 
 
+def bits_needed(cells: dict[int, list[int]], bits: int = CELL_BITS) -> int:
+    """How large a sketch must be that holds what was too much for this one. The squares of
+    the cells' counts tell about how many rows differ, or more where they do by several copies."""
+    total = sum(v[0] for v in cells.values()) / 3
+    differing = sum(v[0] ** 2 for v in cells.values()) / 3 - total**2 / (1 << bits)
+    return max(bits + 1, int(differing).bit_length() - 1)
+
+
+def differing_hashes(left: DataFrame, right: DataFrame, bits: int = CELL_BITS) -> dict[int, int] | None:
+    """What ``decode`` finds in a sketch of the two tables, or in a larger one, of up to
+    2^(bits + GROWTH_BITS) cells three times, where the first shows that this will do."""
+    sketch = lambda size: {r.cell: [r[n] for n in SUMS] for r in difference_cells(left, right, size).collect()}
+    cells = sketch(bits)
+    found = decode(cells, bits)
+    if found is None and (larger := bits_needed(cells, bits)) <= bits + GROWTH_BITS:
+        found = decode(sketch(larger), larger)
+    return found
+
+
 def lost_rows(left: DataFrame, right: DataFrame, bits: int = CELL_BITS) -> DataFrame:
     """What ``multiset_diff`` gives, for tables that differ in few rows: found by a sketch, so
     that no row is shuffled but those that differ. Where they are too many for it (about
-    2^(bits + 1) different ones), the exact way is taken.
+    2^(bits + 1) different ones), a larger one is made; where they are too many for one eight
+    times as large, the exact way is taken.
 
-    Rows are known by 64-bit hashes. The differing ones are looked up by a second scan."""
-    cells = {r.cell: [r[n] for n in SUMS] for r in difference_cells(left, right, bits).collect()}
-    found = decode(cells, bits)
+    Rows are known by 64-bit hashes. The differing ones are looked up by one more scan."""
+    found = differing_hashes(left, right, bits)
     if found is None:
         return multiset_diff(left, right)
     spark, columns = left.sparkSession, left.columns
-    signed = [(h - (1 << 64) if h >> 63 else h, n) for h, n in found.items()]
-    known = F.broadcast(spark.createDataFrame(signed, "_hash bigint, surplus bigint"))  # some thousand rows
+    signed = [(_signed(h), n) for h, n in found.items()]
+    known = F.broadcast(spark.createDataFrame(signed, "_hash bigint, surplus bigint"))  # some ten thousand rows
     held = []
     for df, more in ((left, "surplus > 0"), (right.select(*columns), "surplus < 0")):
         mine = df.withColumn("_row", row_hash(columns)).join(known.filter(more), F.col("_row") == F.col("_hash"))
